@@ -1,0 +1,78 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tidepool.functions.parse import parse_behavior_csv, parse_event_line
+from tidepool.operators.prefix import running_agg
+from tidepool.operators.topn import pv_window_count
+from tidepool.operators.windows import count_window, day_window, sliding_sum, tumbling_sum
+
+# Fixture: behaviour CSV rows (one item, times 100..1000 s).
+BEHAVIOR = ["662867,2244074,1575622,pv,100", "561558,2244074,965809,pv,200", "894923,2244074,1879194,pv,300",
+            "834377,2244074,3738615,pv,400", "315321,2244074,4339722,pv,500", "625915,2244074,570735,pv,700",
+            "578814,2244074,982926,pv,800", "873335,2244074,1451783,pv,900", "429984,2244074,2355072,pv,1000"]
+# Fixture: event lines with readable local times.
+EVENT_LINES = ["1997-01-01 12:00:00,flink,1", "1997-01-01 12:00:01,flink,1", "1997-01-01 12:00:02,flink,1",
+               "1997-01-01 12:00:07,flink,1", "1997-01-01 12:00:08,flink,1", "1997-01-01 12:00:14,flink,1"]
+
+
+def _lines(spark, items):
+    return spark.createDataFrame([(i, s) for i, s in enumerate(items)], "seq long, line string")
+
+
+def test_pv_sliding_window_golden(spark):
+    b = parse_behavior_csv(_lines(spark, BEHAVIOR))
+    got = {r.window_end // 1000: r.pv for r in pv_window_count(b).collect()}
+    expect = {300: 2, 600: 5, 900: 7, 3900: 7, 4200: 4, 4500: 2}
+    expect.update({e: 9 for e in range(1200, 3601, 300)})
+    assert got == expect
+
+
+def test_tumbling_5s_golden(spark):
+    ev = parse_event_line(_lines(spark, EVENT_LINES), zone="Asia/Shanghai")
+    got = rows(tumbling_sum(ev, "word", "ts_ms", "num"), "word", "window_start", "total")
+    base = 852091200000  # 1997-01-01 12:00:00 at UTC+8
+    assert got == [("flink", base, 3), ("flink", base + 5000, 2), ("flink", base + 10000, 1)]
+
+
+def test_sliding_each_row_in_five_windows(spark):
+    df = spark.createDataFrame([("a", 10_500, 1)], "k string, t long, v long")
+    got = rows(sliding_sum(df, "k", "t", "v"), "window_start")
+    assert [g[0] for g in got] == [6000, 7000, 8000, 9000, 10000]
+
+
+def test_count_window_drops_tail(spark):
+    df = spark.createDataFrame([("w", i, 1) for i in range(12)], "k string, seq long, v long")
+    got = rows(count_window(df, "k", "seq", "v", 5), "window_no", "total")
+    assert got == [(0, 5), (1, 5)]
+
+
+def test_count_window_multichunk(spark):
+    df = spark.createDataFrame([("w" if i % 3 else "z", i, i) for i in range(40)], "k string, seq long, v long")
+    small = rows(count_window(df, "k", "seq", "v", 5, chunk_span=7))
+    big = rows(count_window(df, "k", "seq", "v", 5, chunk_span=1 << 20))
+    assert small == big and len(small) == 7
+
+
+def test_running_agg_matches_window(spark):
+    import random
+    rnd = random.Random(7)
+    data = [(rnd.choice("abc"), i * 3 + rnd.randint(0, 2), rnd.randint(-50, 50)) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, seq long, v long")
+    w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    for how, fn in (("sum", F.sum), ("max", F.max), ("min", F.min)):
+        expect = rows(df.withColumn("o", fn("v").over(w)), "k", "seq", "o")
+        for span in (5, 64, 1 << 20):
+            assert rows(running_agg(df, ["k"], ["seq"], "v", how, "o", span), "k", "seq", "o") == expect
+    g = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    expect = rows(df.withColumn("o", F.max("v").over(g)), "seq", "o")
+    assert rows(running_agg(df, [], ["seq"], "v", "max", "o", 10), "seq", "o") == expect
+
+
+def test_day_window_dst(spark):
+    # 2024-03-10 in New York has 23 hours.
+    t = 1710086400000  # 2024-03-10 16:00 UTC = 12:00 EDT
+    df = spark.createDataFrame([("a", t)], "k string, t long")
+    r = day_window(df, "k", "t", "America/New_York").first()
+    assert r.window_start == 1710046800000           # 2024-03-10 00:00 EST
+    assert r.window_end - r.window_start == 23 * 3600 * 1000
