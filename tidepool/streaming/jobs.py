@@ -123,3 +123,17 @@ def event_stream_from_files(spark: SparkSession, path: str, schema: str, files_p
 
 def with_event_time(df: DataFrame, ms_col: str, ts_col: str = "event_ts") -> DataFrame:
     return df.withColumn(ts_col, ms_to_ts(ms_col))
+
+
+def enrich_each_batch(load_dim, key: str, value_cols: list[str], sink, default: object = "",
+                      order_col: str | None = None):
+    """``foreachBatch`` function: re-read the dimension for every micro-batch
+    (``load_dim(spark)``, e.g. a JDBC read), left-join it, pass the enriched
+    batch to ``sink(df, batch_id)``. Dimension changes show up at the next batch.
+    """
+    from tidepool.operators.enrich import dim_lookup
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        dim = load_dim(df.sparkSession)
+        sink(dim_lookup(df, dim, key, value_cols, default, order_col), batch_id)
+    return run
