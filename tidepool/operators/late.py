@@ -39,15 +39,13 @@ def late_split(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness
     Columns ``(kind, user_id, window_start, window_end, n_orders, money, info)``.
     """
     tagged = tag_late(orders, size_ms, lag_ms, lateness_ms, chunk_span).withColumn("_txt", order_text())
-    on_time = tagged.where(~F.col("late"))
-    windows = on_time.groupBy("user_id", "window_start", "window_end").agg(
+    # One aggregation serves both outputs: a late row is a group of its own
+    # (keyed by its seq), so the prefix-max lineage is evaluated once.
+    kind = F.when(F.col("late"), F.lit("late")).otherwise(F.lit("window"))
+    grouped = tagged.groupBy(kind.alias("kind"), "user_id", "window_start", "window_end",
+                             F.when(F.col("late"), F.col("seq")).alias("_late_seq")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("money").cast("bigint").alias("money"),
-        rows_text("seq", F.col("_txt")).alias("_rows"))
-    windows = windows.select(
-        F.lit("window").alias("kind"), "user_id", "window_start", "window_end", "n_orders", "money",
-        F.concat(window_header("window_start", "window_end", zone), F.col("_rows")).alias("info"))
-    late = tagged.where(F.col("late")).select(
-        F.lit("late").alias("kind"), "user_id", "window_start", "window_end",
-        F.lit(1).cast("bigint").alias("n_orders"), F.col("money").cast("bigint").alias("money"),
-        F.col("_txt").alias("info"))
-    return windows.unionByName(late)
+        rows_text("seq", F.col("_txt")).alias("_rows"), F.first("_txt").alias("_txt"))
+    info = F.when(F.col("kind") == "late", F.col("_txt")).otherwise(
+        F.concat(window_header("window_start", "window_end", zone), F.col("_rows")))
+    return grouped.select("kind", "user_id", "window_start", "window_end", "n_orders", "money", info.alias("info"))

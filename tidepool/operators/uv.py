@@ -46,18 +46,20 @@ def daily_uv_cumulative(visits: DataFrame, zone: str = "UTC") -> DataFrame:
     1-second window holding at least one visit), ``day_uv`` = distinct users
     seen that day up to the end of that second.
 
-    Plan: first-visit second per (app, day, uid) — shuffled on the user, so a
-    hot app spreads; new users per second and active seconds are unioned and
-    summed; the running total is a window per (app, day) over at most 86,400
+    Plan: one scan and one aggregation over two grouping sets — the first
+    visit second per (app, day, uid), shuffled on the user so a hot app
+    spreads, and the active seconds per (app, day). Both become
+    (app, day, second, new users) marks, summed per second with map-side
+    combine; the running total is a window per (app, day) over at most 86,400
     seconds, whatever the visit volume.
     """
     v = with_day(visits, zone).withColumn(
         "sec", F.col("visit_time") - F.pmod(F.col("visit_time"), F.lit(1000)))
-    first = (v.groupBy("app_id", "day", "uid").agg(F.min("sec").alias("sec"))
-             .groupBy("app_id", "day", "sec").agg(F.count(F.lit(1)).alias("new_users")))
-    active = v.groupBy("app_id", "day", "sec").agg(F.lit(0).cast("bigint").alias("new_users"))
-    per_sec = first.unionByName(active).groupBy("app_id", "day", "sec").agg(
-        F.sum("new_users").alias("new_users"))
+    g = v.groupingSets([["app_id", "day", "uid"], ["app_id", "day", "sec"]], "app_id", "day", "uid", "sec").agg(
+        F.min("sec").alias("first_sec"), F.grouping("uid").alias("_by_sec"))
+    marks = g.select("app_id", "day", F.col("first_sec").alias("sec"),
+                     F.when(F.col("_by_sec") == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("new_users"))
+    per_sec = marks.groupBy("app_id", "day", "sec").agg(F.sum("new_users").alias("new_users"))
     w = Window.partitionBy("app_id", "day").orderBy("sec").rowsBetween(Window.unboundedPreceding, 0)
     return per_sec.select("app_id", "day", F.col("sec").alias("window_start"),
                           F.sum("new_users").over(w).cast("bigint").alias("day_uv"))
