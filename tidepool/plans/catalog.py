@@ -47,8 +47,11 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return TB.table(spark, sf, name)
+def _t(spark: SparkSession, sf: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table; spread over the cluster when its scan is too narrow (a
+    no-op on large inputs, see ``sources.tables.spread``)."""
+    df = TB.table(spark, sf, name)
+    return TB.spread(df) if spread else df
 
 
 # Fixed value: Asia/Shanghai is UTC+8 with no DST after 1991, so the oracle can
@@ -169,7 +172,8 @@ def q_tokens_space(spark, sf):
   count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS cnt FROM events""")
 def q_running_count(spark, sf):
     """Per-record running count per word (changelog of a keyed sum)."""
-    recs = _t(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("word"))
+    recs = _t(spark, sf, "events", spread=False).select(F.col("event_id").alias("seq"),
+                                                        F.col("event_type").alias("word"))
     return wordcount.running_count(recs, "word", "seq").select("seq", "word", "cnt")
 
 
@@ -336,8 +340,9 @@ SELECT word, CAST((rn - 1) // 5 AS BIGINT) AS window_no, CAST(sum(num) AS BIGINT
 GROUP BY ALL HAVING count(*) = 5""")
 def q_count_window(spark, sf):
     """Count windows of 5 per word in arrival order; incomplete tails dropped."""
-    e = _t(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("word"),
-                                       F.get_json_object("props", "$.k").cast("bigint").alias("num"))
+    e = _t(spark, sf, "events", spread=False).select(
+        F.col("event_id").alias("seq"), F.col("event_type").alias("word"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("num"))
     return windows.count_window(e, "word", "seq", "num", 5)
 
 
