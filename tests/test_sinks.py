@@ -85,3 +85,20 @@ def test_rate_generator_stream(spark, tmp_path):
     out = spark.table("gen")
     assert out.count() >= 5
     assert out.where("user_id < 1 OR user_id > 4 OR money < 1 OR money > 100").count() == 0
+
+
+def test_watermark_reporter_and_printer(spark, tmp_path, capsys):
+    from tidepool.sinks.text import labelled_printer, watermark_ms, with_task_context
+    src = tmp_path / "wm"
+    src.mkdir()
+    (src / "a.txt").write_text("1634473761000\n1634473766000\n")
+    lines = spark.readStream.format("text").load(str(src))
+    ev = lines.select(F.timestamp_millis(F.col("value").cast("long")).alias("ts")).withWatermark("ts", "1 second")
+    q = (ev.groupBy(F.window("ts", "5 seconds")).count().writeStream.outputMode("append")
+         .foreachBatch(labelled_printer("result")).option("checkpointLocation", str(tmp_path / "wmck")).start())
+    q.processAllAvailable()
+    q.processAllAvailable()
+    wm = watermark_ms(q)
+    q.stop()
+    assert wm in (0, 1634473765000)
+    assert with_task_context(spark.range(3)).where("partition_id >= 0").count() == 3

@@ -76,3 +76,24 @@ def test_day_window_dst(spark):
     r = day_window(df, "k", "t", "America/New_York").first()
     assert r.window_start == 1710046800000           # 2024-03-10 00:00 EST
     assert r.window_end - r.window_start == 23 * 3600 * 1000
+
+
+def test_processing_time_sliding_five_windows(spark):
+    from tidepool.operators.windows import processing_time_sliding_sum
+    df = spark.createDataFrame([("flink", 1), ("spark", 2), ("flink", 3)], "word string, num long")
+    out = processing_time_sliding_sum(df, "word", "num")
+    # every row lands in five 5 s windows sliding by 1 s
+    assert out.groupBy("word").agg(F.count("*").alias("n")).where("n < 5").count() == 0
+    assert out.where("window_end - window_start != 5000").count() == 0
+
+
+def test_streaming_day_window_offset_matches_zone_days(spark):
+    from tidepool.functions.timefmt import ms_to_ts
+    from tidepool.operators.windows import streaming_day_window_col
+    ts = [1634447599000, 1634486359000, 1634486400000, 1634572799999]
+    df = spark.createDataFrame([("a", t) for t in ts], "k string, t long")
+    by_offset = rows(df.groupBy("k", streaming_day_window_col(ms_to_ts("t"), "16 hours").alias("w"))
+                     .agg(F.count("*").alias("cnt"))
+                     .select("k", F.unix_millis("w.start").alias("window_start"), "cnt"))
+    by_zone = rows(day_window(df, "k", "t", "Asia/Shanghai"), "k", "window_start", "cnt")
+    assert by_offset == by_zone == [("a", 1634400000000, 2), ("a", 1634486400000, 2)]

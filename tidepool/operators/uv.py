@@ -65,13 +65,14 @@ def daily_uv_cumulative(visits: DataFrame, zone: str = "UTC") -> DataFrame:
                           F.sum("new_users").over(w).cast("bigint").alias("day_uv"))
 
 
-def uv_running(visits: DataFrame, zone: str = "UTC", chunk_span_ms: int = 3_600_000) -> DataFrame:
+def uv_running(visits: DataFrame, zone: str = "UTC", chunk_span_ms: int = 1000) -> DataFrame:
     """Header variant: one row per first visit of a user in a local day, with
     the day start and the running distinct count ``(app_id, day_start, uid,
     first_visit, uv)``. Ties in time are ordered by uid.
 
-    The running count is a chunked prefix count over time, so a hot
-    (app, day) is not one task.
+    The running count is a chunked prefix count over time (1 s chunks: at
+    most 86,400 chunk totals per day), so a hot (app, day) is spread over
+    many tasks, each holding the users first seen in one second.
     """
     first = (visits.withColumn("day_start", day_start_ms("visit_time", zone))
              .groupBy("app_id", "day_start", "uid").agg(F.min("visit_time").alias("first_visit")))
