@@ -85,6 +85,13 @@ def test_daily_uv_stream_trace(spark, tmp_path):
                    (1634486400000, 1634486400000, 1)]
 
 
+def test_daily_uv_bitmap_stream(spark, tmp_path):
+    from tidepool.streaming.jobs import daily_uv_stream
+    visits, _ = parse_visits(_stream_lines(spark, _files(tmp_path, VISITS)))
+    out = _run(daily_uv_stream(visits, "1 second", "16 hours"), "uv_bitmap_stream", "append", tmp_path)
+    assert rows(out, "day_start", "uv") == [(1634400000000, 3)]  # the second day is still open
+
+
 def test_tumbling_and_top_n_streams(spark, tmp_path):
     ev = ["1997-01-01 12:00:00,flink,1", "1997-01-01 12:00:01,flink,1", "1997-01-01 12:00:02,flink,1",
           "1997-01-01 12:00:07,flink,1", "1997-01-01 12:00:08,flink,1", "1997-01-01 12:00:14,flink,1"]

@@ -41,10 +41,12 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     round-robin repartitioned to ``factor`` x the default parallelism. The
     check is made at plan time and runs no job.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD access (e.g. a Connect session): leave the plan alone
+        return df
+    return df.repartition(target) if narrow else df
 
 
 # ---- record adapters ----------------------------------------------------------

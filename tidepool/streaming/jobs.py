@@ -96,6 +96,22 @@ def late_split_stream(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, l
     return out.select("kind", "user_id", "window_start", "window_end", "n_orders", "money", info.alias("info"))
 
 
+def daily_uv_stream(visits: DataFrame, lag: str = "1 minute", day_offset: str = "0 hours") -> DataFrame:
+    """Exact UV per app and day on a stream (``append``: one row per closed day).
+
+    Streaming rejects ``count(DISTINCT)``; bitmaps per (app, day, uid bucket)
+    stream and merge exactly. ``day_offset`` aligns days to a fixed-offset
+    zone (``"16 hours"`` for UTC+8). Output ``(app_id, day_start, uv)``.
+    """
+    from tidepool.operators.windows import streaming_day_window_col
+    v = with_event_ts(visits, "visit_time", "vt").withWatermark("vt", lag)
+    per_bucket = v.groupBy("app_id", streaming_day_window_col("vt", day_offset).alias("day"),
+                           F.bitmap_bucket_number("uid").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("uid")).alias("bm"))
+    per_day = per_bucket.groupBy("app_id", "day").agg(F.sum(F.bitmap_count("bm")).cast("bigint").alias("uv"))
+    return per_day.select("app_id", F.unix_millis("day.start").alias("day_start"), "uv")
+
+
 FLAG_SCHEMA = "app_id string, day_start long, uid long, visit_time long, flag int, et timestamp"
 TOTAL_SCHEMA = "app_id string, day_start long, window_start long, day_uv long"
 
