@@ -102,3 +102,38 @@ def test_watermark_reporter_and_printer(spark, tmp_path, capsys):
     q.stop()
     assert wm in (0, 1634473765000)
     assert with_task_context(spark.range(3)).where("partition_id >= 0").count() == 3
+
+
+def test_stream_word_counts_upserted_to_kv(spark, tmp_path):
+    from tidepool.operators.wordcount import word_count
+    from tidepool.sources.files import scan_text
+    from tidepool.streaming.jobs import word_count_stream
+    src = tmp_path / "wc-in"
+    src.mkdir()
+    lines = ["flink spark", "hello world", "flink spark", "spark hbase hbase flink flink", "   hbase"]
+    for i, line in enumerate(lines):
+        f = src / f"{i}.txt"
+        f.write_text(line + "\n")
+        os.utime(f, (1_600_000_000 + i, 1_600_000_000 + i))
+    root = str(tmp_path / "kv-wc")
+    q = kv.stream_to_kv(word_count_stream(scan_text(spark, str(src), True, 1)), "word", "cnt",
+                        functools.partial(kv.FileKVClient, root), str(tmp_path / "kv-ck"), interval="0 seconds")
+    q.processAllAvailable()
+    q.stop()
+    final, _ = kv.FileKVClient.read_all(root)
+    batch = {w: str(c) for w, c in rows(word_count(scan_text(spark, str(src))))}
+    assert final == batch
+
+
+def test_enrich_lookup_timeout_gives_default(spark):
+    import time as _t
+    from tidepool.operators.enrich import enrich_lookup
+    from tidepool.sources.lookup import table_geocoder
+
+    def slow(addr):
+        if addr == "slow 1":
+            _t.sleep(2)
+        return table_geocoder(addr)
+    df = spark.createDataFrame([(1, "slow 1"), (2, "fast 2")], "id long, addr string")
+    out = {r.id: r.title for r in enrich_lookup(df, "addr", slow, timeout_s=0.5).collect()}
+    assert out == {1: "", 2: "FAST 2"}

@@ -47,26 +47,42 @@ def _safe(lookup: Callable[[str], str | None]) -> Callable[[str], str | None]:
     return call
 
 
+# Lookups in flight per task and the per-call timeout.
+IN_FLIGHT = 10
+TIMEOUT_S = 3.0
+
+
 def fetch_replies(keys: DataFrame, key: str, lookup: Callable[[str], str | None],
-                  in_flight: int = 10) -> DataFrame:
+                  in_flight: int = IN_FLIGHT, timeout_s: float | None = TIMEOUT_S) -> DataFrame:
     """``(key, reply)`` for each row of ``keys``, calling ``lookup`` on a pool
-    of ``in_flight`` threads per task (the async-I/O capacity)."""
+    of ``in_flight`` threads per task (the async-I/O capacity). A call that
+    fails or exceeds ``timeout_s`` gives a null reply (the default result)."""
     call = _safe(lookup)
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("reply", T.StringType())])
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=in_flight) as pool:
+        from concurrent.futures import ThreadPoolExecutor, TimeoutError as Timeout
+        pool = ThreadPoolExecutor(max_workers=in_flight)
+        try:
             for pdf in batches:
                 ks = pdf[key].tolist()
-                yield pd.DataFrame({key: ks, "reply": list(pool.map(call, ks))})
+                futures = [pool.submit(call, k) for k in ks]
+                replies = []
+                for f in futures:
+                    try:
+                        replies.append(f.result(timeout=timeout_s))
+                    except Timeout:
+                        replies.append(None)
+                yield pd.DataFrame({key: ks, "reply": replies})
+        finally:
+            pool.shutdown(wait=False, cancel_futures=True)
 
     return keys.select(F.col(key).cast("string").alias(key)).mapInPandas(run, schema)
 
 
-def enrich_lookup(df: DataFrame, key: str, lookup: Callable[[str], str | None], in_flight: int = 10,
-                  partitions: int | None = None) -> DataFrame:
+def enrich_lookup(df: DataFrame, key: str, lookup: Callable[[str], str | None], in_flight: int = IN_FLIGHT,
+                  partitions: int | None = None, timeout_s: float | None = TIMEOUT_S) -> DataFrame:
     """Add ``title, lng, lat`` from a geocoding ``lookup(address) -> json``.
 
     Distinct keys are fetched once (spread over ``partitions`` tasks) and
@@ -75,7 +91,7 @@ def enrich_lookup(df: DataFrame, key: str, lookup: Callable[[str], str | None],
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     if partitions:
         keys = keys.repartition(partitions, key)
-    parsed = fetch_replies(keys, key, lookup, in_flight).select(key, *geocode_fields("reply"))
+    parsed = fetch_replies(keys, key, lookup, in_flight, timeout_s).select(key, *geocode_fields("reply"))
     out = df.join(parsed, on=key, how="left")
     return out.select(*df.columns, F.coalesce("title", F.lit("")).alias("title"),
                       F.coalesce("lng", F.lit(0.0)).alias("lng"), F.coalesce("lat", F.lit(0.0)).alias("lat"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -70,6 +71,17 @@ def upsert_batch_writer(key: str, value: str, client_factory: Callable[[], objec
     return write
 
 
+def stream_to_kv(df: DataFrame, key: str, value: str, client_factory: Callable[[], object], checkpoint: str,
+                 interval: str = "10 seconds", mode: str = "update", order: str | None = None,
+                 ttl_s: int | None = TTL_SECONDS, flush_rows: int = FLUSH_ROWS):
+    """Start a stream into the KV store: every ``interval`` (the time-based
+    flush) each micro-batch is written in ``flush_rows`` pipelines. Idle input
+    leaves nothing buffered, since each batch is flushed whole."""
+    writer = upsert_batch_writer(key, value, client_factory, order, ttl_s, flush_rows)
+    return (df.writeStream.outputMode(mode).foreachBatch(writer).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())
+
+
 class FileKVClient:
     """In-process stand-in for a KV server: each ``set_many`` call appends one
     JSON line (the pipelined chunk) to a file under ``root``. Used in tests
@@ -78,7 +90,8 @@ class FileKVClient:
     def __init__(self, root: str):
         self.root = root
         os.makedirs(root, exist_ok=True)
-        self.path = os.path.join(root, f"client-{uuid.uuid4().hex}.jsonl")
+        # creation-time prefix: replaying files in name order replays writes in order
+        self.path = os.path.join(root, f"client-{time.time_ns():020d}-{uuid.uuid4().hex}.jsonl")
 
     def set_many(self, items: list[tuple[str, str]], ttl_s: int | None) -> None:
         with open(self.path, "a", encoding="utf-8") as f:
