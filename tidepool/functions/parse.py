@@ -68,10 +68,16 @@ def strict(parsed: DataFrame, line_col: str = "line") -> DataFrame:
 
 
 def tolerant(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into (good rows, rejects); both views are lazy and share the scan."""
+    """Split into (good rows, rejects): two lazy views of the same parse."""
     return parsed.where("_ok").drop("_ok"), parsed.where(~F.col("_ok")).drop("_ok")
 
 
+def tagged(parsed: DataFrame, fields: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Good rows and rejects in one pass: ``ok`` flag, fields null on rejects."""
+    return parsed.select(*keep, F.col("_ok").alias("ok"),
+                         *[F.when(F.col("_ok"), F.col(f)).alias(f) for f in fields])
+
+
 # ---- the record formats of the jobs -----------------------------------------
 
 BEHAVIOR_SPEC = [("user_id", "long"), ("item_id", "long"), ("category_id", "long"),
@@ -101,6 +107,16 @@ def parse_visits(lines: DataFrame, line_col: str = "line", keep=()) -> tuple[Dat
     return tolerant(parse_fields(lines, VISIT_SPEC, line_col, keep, exact=True))
 
 
+def parse_orders_tagged(lines: DataFrame, line_col: str = "line", keep=()) -> DataFrame:
+    """Tolerant Order parse as one tagged output (single pass over the input)."""
+    return tagged(parse_fields(lines, ORDER_SPEC, line_col, keep), [n for n, _ in ORDER_SPEC], keep)
+
+
+def parse_visits_tagged(lines: DataFrame, line_col: str = "line", keep=()) -> DataFrame:
+    """Tolerant visit parse as one tagged output (single pass over the input)."""
+    return tagged(parse_fields(lines, VISIT_SPEC, line_col, keep, exact=True), [n for n, _ in VISIT_SPEC], keep)
+
+
 # Fixed value: the readable time format accepted by the event-line parser.
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 EVENT_TIME_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"

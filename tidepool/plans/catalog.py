@@ -20,7 +20,7 @@ from tidepool.functions import (
     utc_ntz_to_ms,
 )
 from tidepool.functions.parse import (
-    parse_behavior_csv, parse_event_line, parse_orders, parse_visits, parse_word_num,
+    parse_behavior_csv, parse_event_line, parse_orders_tagged, parse_visits_tagged, parse_word_num,
 )
 from tidepool.functions.timefmt import SECOND_FORMAT
 from tidepool.operators import enrich, late, median, topn, uv, windows, wordcount
@@ -101,11 +101,7 @@ SELECT o.seq, o_orderstatus <> 'P' AS ok,
 FROM o JOIN orders ON o.seq = orders.o_orderkey""")
 def q_parse_orders(spark, sf):
     """Tolerant order parse: good rows and rejects, tagged by ``ok``."""
-    good, bad = parse_orders(TB.order_lines(_t(spark, sf, "orders")), keep=("seq",))
-    cols = ["order_id", "user_id", "money", "pay_time"]
-    return good.select("seq", F.lit(True).alias("ok"), *cols).unionByName(
-        bad.select("seq", F.lit(False).alias("ok"), *[F.lit(None).cast(good.schema[c].dataType).alias(c)
-                                                       for c in cols]))
+    return parse_orders_tagged(TB.order_lines(_t(spark, sf, "orders")), keep=("seq",))
 
 
 @register("parse_visits", """SELECT event_id AS seq, event_type <> 'error' AS ok,
@@ -114,11 +110,7 @@ def q_parse_orders(spark, sf):
   CASE WHEN event_type <> 'error' THEN (epoch_us(ts) // 1000) END AS visit_time FROM events""")
 def q_parse_visits(spark, sf):
     """Tolerant exact-arity visit parse, tagged by ``ok``."""
-    good, bad = parse_visits(TB.visit_lines(_t(spark, sf, "events")), keep=("seq",))
-    cols = ["app_id", "uid", "visit_time"]
-    return good.select("seq", F.lit(True).alias("ok"), *cols).unionByName(
-        bad.select("seq", F.lit(False).alias("ok"), *[F.lit(None).cast(good.schema[c].dataType).alias(c)
-                                                       for c in cols]))
+    return parse_visits_tagged(TB.visit_lines(_t(spark, sf, "events")), keep=("seq",))
 
 
 @register("gen_orders", None)
