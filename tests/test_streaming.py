@@ -74,6 +74,16 @@ def test_count_window_stream(spark, tmp_path):
     assert rows(out, "window_no", "total") == [(0, 0 + 1 + 2 + 3 + 4), (1, 5 + 6 + 7 + 8 + 9)]
 
 
+def test_running_median_stream_golden(spark, tmp_path):
+    from tidepool.streaming.jobs import running_median_stream
+    nums = [1, 6, 7, 8, 3, 4, 2, 10]
+    path = _files(tmp_path, [f"{i},k,{n}" for i, n in enumerate(nums)], per_file=3)  # time = arrival order
+    src = parse_event_line(_stream_lines(spark, path))
+    out = _run(running_median_stream(src, "word", "ts_ms", "num"), "median_stream", "append", tmp_path)
+    got = [r.median for r in out.orderBy("ts_ms").collect()]
+    assert got == [1, 3.5, 6, 6.5, 6, 5, 4, 5]
+
+
 def test_daily_uv_stream_trace(spark, tmp_path):
     path = _files(tmp_path, VISITS)
     visits, _ = parse_visits(_stream_lines(spark, path))

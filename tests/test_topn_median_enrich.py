@@ -55,3 +55,31 @@ def test_enrich_lookup_failing_service(spark):
     df = spark.createDataFrame([(1, "x")], "id long, addr string")
     assert enrich_lookup(df, "addr", broken).select("title", "lng", "lat").first() == ("", 0.0, 0.0)
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_running_median_matches_window_form(spark):
+    import random
+    from tidepool.operators.median import running_median_window
+    rnd = random.Random(11)
+    data = [(rnd.choice("abcd"), i, None if i % 97 == 0 else float(rnd.randint(0, 40))) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, seq long, v double")
+    a = rows(running_median_window(df, "k", "seq", "v"), "k", "seq", "median")
+    b = rows(running_median(df, "k", "seq", "v", partitions=3), "k", "seq", "median")
+    assert a == b
+
+
+def test_running_median_helper_golden_and_property():
+    import random
+    import statistics
+    from tidepool.operators.order_stats import RunningMedian
+    m = RunningMedian()
+    assert [m.add(x) for x in [1, 6, 7, 8, 3, 4, 2, 10]] == [1, 3.5, 6, 6.5, 6, 5, 4, 5]
+    rnd = random.Random(5)
+    seen, m = [], RunningMedian()
+    for i in range(3000):
+        x = float(rnd.choice([rnd.randint(0, 5), rnd.random()]))
+        seen.append(x)
+        assert m.add(x) == statistics.median(seen)
+        if i % 500 == 499:  # reload from the histogram, as the stream does per batch
+            m = RunningMedian.from_counts(m.counts())
+            assert len(m.lo) + len(m.hi) <= 2 * len(set(seen))

@@ -16,12 +16,49 @@ def median_by_key(df: DataFrame, key: str, value: str, out: str = "median") -> D
     return df.groupBy(key).agg(F.median(value).alias(out))
 
 
-def running_median(df: DataFrame, key: str, seq: str, value: str, out: str = "median") -> DataFrame:
-    """Median of each key's values seen so far, one row per input row.
+def running_median_window(df: DataFrame, key: str, seq: str, value: str, out: str = "median") -> DataFrame:
+    """Running median as a window aggregate (JVM only).
 
-    ``percentile`` over a growing frame is evaluated incrementally by the
-    window operator (``median`` itself rejects an ordered frame).
+    ``percentile`` over a growing frame re-sorts its value-count map for every
+    row, O(n * d log d) per key: fine for short keys or few distinct values,
+    quadratic for a hot key with many distinct values. ``running_median`` is
+    the general form.
     """
     w = Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(out, F.percentile(F.col(value), F.lit(0.5)).over(w))
 
+
+def running_median(df: DataFrame, key: str, seq: str, value: str, out: str = "median",
+                   partitions: int | None = None) -> DataFrame:
+    """Median of each key's values seen so far, one row per input row.
+
+    Rows are hash-partitioned by key and sorted by (key, seq) within each
+    partition; ``mapInPandas`` streams through them in order keeping only the
+    current key's value histogram in two heaps: O(n log d) per key, memory
+    O(d) (d = distinct values of the key). Rows are never collected per key —
+    Arrow batches stream through. Null values are ignored, like ``percentile``.
+    """
+    from pyspark.sql import types as T
+
+    from tidepool.operators.order_stats import RunningMedian
+
+    src = df.select(key, seq, F.col(value).cast("double").alias(value))
+    schema = T.StructType(src.schema.fields + [T.StructField(out, T.DoubleType())])
+
+    def run(batches):
+        import math
+
+        import pandas as pd
+        current, med, last = object(), None, None
+        for pdf in batches:
+            res = []
+            for k, v in zip(pdf[key].tolist(), pdf[value].tolist()):
+                if k != current:
+                    current, med, last = k, RunningMedian(), None
+                if v is not None and not math.isnan(v):
+                    last = med.add(v)
+                res.append(last)
+            yield pdf.assign(**{out: pd.Series(res, dtype="float64")})
+
+    parts = src.repartition(partitions, key) if partitions else src.repartition(key)
+    return parts.sortWithinPartitions(key, seq).mapInPandas(run, schema)

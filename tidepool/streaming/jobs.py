@@ -19,7 +19,7 @@ from tidepool.operators.topn import filter_event
 from tidepool.operators.windows import window_agg, window_header, with_event_ts
 from tidepool.session import subdir
 from tidepool.streaming.processors import (
-    CountWindowProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor,
+    CountWindowProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor, RunningMedianProcessor,
 )
 
 
@@ -76,6 +76,16 @@ def count_window_stream(records: DataFrame, key: str = "word", seq: str = "seq",
         CountWindowProcessor(n, key, seq, value), schema, "append", "None")
 
 
+def running_median_stream(records: DataFrame, key: str = "user_id", seq: str = "seq",
+                          value: str = "value") -> DataFrame:
+    """Running median per key after every row; ``append``. State per key is a
+    value histogram. Key type is taken from the input."""
+    key_type = records.schema[key].dataType.simpleString()
+    schema = f"{key} {key_type}, {seq} long, {value} double, median double"
+    return records.select(key, F.col(seq).cast("long").alias(seq), F.col(value).cast("double").alias(value)) \
+        .groupBy(key).transformWithStateInPandas(RunningMedianProcessor(key, seq, value), schema, "append", "None")
+
+
 LATE_SCHEMA = ("kind string, user_id int, window_start long, window_end long, n_orders long, money long, "
                "rows string")
 

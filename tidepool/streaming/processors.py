@@ -189,3 +189,39 @@ class DayTotalProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RunningMedianProcessor(StatefulProcessor):
+    """Running median per key on a stream, one output row per input row.
+
+    State is a value histogram (``value -> count``), so it grows with the
+    number of distinct values, not with the rows seen. Each micro-batch loads
+    it into a two-heap order-statistics structure and writes back the counts
+    of the values the batch touched.
+    Output: ``key, seq, value, median``.
+    """
+
+    def __init__(self, key_col: str = "user_id", seq_col: str = "seq", value_col: str = "value"):
+        self.key_col, self.seq_col, self.value_col = key_col, seq_col, value_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.hist = handle.getMapState("hist", "v double", "c long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        from tidepool.operators.order_stats import RunningMedian
+
+        batch = pd.concat(list(rows)).sort_values(self.seq_col)
+        med = RunningMedian.from_counts({float(k[0]): int(v[0]) for k, v in self.hist.iterator()})
+        out = []
+        touched = set()
+        for seq, x in zip(batch[self.seq_col].tolist(), batch[self.value_col].tolist()):
+            x = float(x)
+            touched.add(x)
+            out.append((key[0], int(seq), x, med.add(x)))
+        counts = med.counts()
+        for v in touched:
+            self.hist.updateValue((v,), (counts[v],))
+        yield pd.DataFrame(out, columns=[self.key_col, self.seq_col, self.value_col, "median"])
+
+    def close(self) -> None:
+        pass
