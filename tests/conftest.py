@@ -17,4 +17,5 @@ def spark():
 def rows(df, *cols):
     """Collect as sorted tuples (order-insensitive compare)."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    out = [tuple(r[c] for c in cols) for r in df.collect()]
+    return sorted(out, key=lambda t: [(v is not None, v) for v in t])  # nulls first

@@ -64,6 +64,11 @@ def test_running_agg_matches_window(spark):
         expect = rows(df.withColumn("o", fn("v").over(w)), "k", "seq", "o")
         for span in (5, 64, 1 << 20):
             assert rows(running_agg(df, ["k"], ["seq"], "v", how, "o", span), "k", "seq", "o") == expect
+    nulls = df.union(spark.createDataFrame([(None, 1000 + i, None if i % 2 else i) for i in range(20)],
+                                           "k string, seq long, v long"))
+    for how, fn in (("sum", F.sum), ("count", F.count), ("max", F.max)):
+        expect = rows(nulls.withColumn("o", fn("v" if how != "count" else F.lit(1)).over(w)), "k", "seq", "o")
+        assert rows(running_agg(nulls, ["k"], ["seq"], "v", how, "o", 7), "k", "seq", "o") == expect
     g = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     expect = rows(df.withColumn("o", F.max("v").over(g)), "seq", "o")
     assert rows(running_agg(df, [], ["seq"], "v", "max", "o", 10), "seq", "o") == expect

@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _AGGS = {
-    "sum": (F.sum, lambda a, b: a + b, 0),
-    "count": (F.sum, lambda a, b: a + b, 0),
-    "max": (F.max, lambda a, b: F.greatest(a, b), None),
-    "min": (F.min, lambda a, b: F.least(a, b), None),
+    "sum": (F.sum, lambda a, b: a + b),
+    "count": (F.sum, lambda a, b: a + b),
+    "max": (F.max, F.greatest),
+    "min": (F.min, F.least),
 }
 
 
@@ -38,7 +38,7 @@ def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
     """
     if how not in _AGGS:
         raise ValueError(how)
-    agg_fn, combine, identity = _AGGS[how]
+    agg_fn, combine = _AGGS[how]
     v = F.lit(1).cast("bigint") if how == "count" else (F.col(value) if isinstance(value, str) else value)
     chunk = chunk_col or "_chunk"
     base = df.withColumn("_v", v)
@@ -49,15 +49,19 @@ def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
     prior = Window.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     if keys:
         prior = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, chunk, agg_fn("_chunk_total").over(prior).alias("_offset"))
+    join_cols = [*keys, chunk]
+    offsets = totals.select(*[F.col(c).alias(f"_o_{c}") for c in join_cols],
+                            agg_fn("_chunk_total").over(prior).alias("_offset"))
 
     inner = (Window.partitionBy(*keys, chunk).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = base.join(offsets, on=[*keys, chunk], how="inner")
+    # null-safe: a null key is a group of its own, as in a window
+    cond = [base[c].eqNullSafe(offsets[f"_o_{c}"]) for c in join_cols]
+    joined = base.join(offsets, on=cond, how="inner").drop(*[f"_o_{c}" for c in join_cols])
     running = agg_fn("_v").over(inner)
-    result = F.when(F.col("_offset").isNull(), running).otherwise(combine(F.col("_offset"), running))
-    if identity is not None:
-        result = F.coalesce(result, F.lit(identity))
+    offset = F.col("_offset")
+    # nulls are skipped as by the window aggregate: either side alone when the other is null
+    result = F.when(offset.isNull(), running).when(running.isNull(), offset).otherwise(combine(offset, running))
     out_df = joined.withColumn(out, result).drop("_v", "_offset")
     if chunk_col is None:
         out_df = out_df.drop(chunk)
