@@ -477,7 +477,8 @@ def q_median_by_key(spark, sf):
   AS median FROM events""")
 def q_running_median(spark, sf):
     """Median of each user's values so far, after every event."""
-    e = _t(spark, sf, "events").select(F.col("event_id").alias("seq"), "user_id", "value")
+    # no spread: the job hash-partitions by user itself
+    e = _t(spark, sf, "events", spread=False).select(F.col("event_id").alias("seq"), "user_id", "value")
     m = median.running_median(e, "user_id", "seq", "value")
     return m.select("seq", "user_id", "value", F.round("median", 6).alias("median"))
 
