@@ -51,7 +51,7 @@ STREAM_JOBS = ("word_count", "late_split", "count_window", "daily_uv_cumulative"
 def _stream(args) -> None:
     from pyspark.sql import functions as F
 
-    from tidepool.functions.parse import parse_event_line, parse_orders, parse_visits, parse_word_num
+    from tidepool.functions.parse import parse_event_line, parse_orders, parse_visits
     from tidepool.sources.files import scan_text
     from tidepool.streaming import jobs
 
