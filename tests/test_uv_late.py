@@ -2,7 +2,6 @@ from conftest import rows
 from tidepool.functions.parse import parse_orders, parse_visits
 from tidepool.operators.late import late_split
 from tidepool.operators.uv import daily_uv, daily_uv_cumulative, uv_bitmap, uv_running
-from tidepool.sources.files import with_arrival  # noqa: F401  (documented helper)
 
 # Fixture: the UV demo's visits (app, uid, visit ms).
 VISITS = ["app1,1001,1634447599000", "app1,1001,1634451199000", "app1,1001,1634483599000",
