@@ -102,3 +102,15 @@ def test_streaming_day_window_offset_matches_zone_days(spark):
                      .select("k", F.unix_millis("w.start").alias("window_start"), "cnt"))
     by_zone = rows(day_window(df, "k", "t", "Asia/Shanghai"), "k", "window_start", "cnt")
     assert by_offset == by_zone == [("a", 1634400000000, 2), ("a", 1634486400000, 2)]
+
+
+def test_slot_pre_aggregation_equals_window(spark):
+    import random
+    rnd = random.Random(2)
+    data = [(rnd.choice("ab"), rnd.randint(0, 60_000), rnd.randint(1, 9)) for _ in range(3000)]
+    df = spark.createDataFrame(data, "k string, t long, v long")
+    assert rows(sliding_sum(df, "k", "t", "v", "5 seconds", "1 second", pre_aggregate=True)) == \
+        rows(sliding_sum(df, "k", "t", "v", "5 seconds", "1 second"))
+    b = spark.createDataFrame([(i, 7, 1, "pv", t) for i, t in enumerate(data_t for _, data_t, _ in data)],
+                              "user_id long, item_id long, category_id long, event_id string, event_time long")
+    assert rows(pv_window_count(b, pre_aggregate=True)) == rows(pv_window_count(b))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import equals_ignore_case
 from tidepool.functions.timefmt import seconds_to_ms
-from tidepool.operators.windows import window_agg, with_event_ts
+from tidepool.operators.windows import duration_ms, sliding_slot_agg, window_agg, with_event_ts
 
 
 def filter_event(behaviours: DataFrame, kind: str = "pv") -> DataFrame:
@@ -15,15 +15,21 @@ def filter_event(behaviours: DataFrame, kind: str = "pv") -> DataFrame:
     return behaviours.where(equals_ignore_case("event_id", kind))
 
 
-def pv_window_count(behaviours: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
+def pv_window_count(behaviours: DataFrame, size: str = "1 hour", slide: str = "5 minutes",
+                    pre_aggregate: bool = False) -> DataFrame:
     """Page views per item on sliding windows: ``(item_id, window_end, pv)``.
 
     The count is incremental: partial counts per map task, merged after the
-    shuffle on (item, window).
+    shuffle on (item, window). ``pre_aggregate=True`` (batch only) counts per
+    (item, slot) before expanding to windows, for dense inputs.
     """
-    pv = filter_event(behaviours).withColumn("_ms", seconds_to_ms("event_time"))
-    pv = with_event_ts(pv.select("item_id", "_ms"), "_ms")
-    counted = window_agg(pv, ["item_id"], "event_ts", size, slide, [F.count(F.lit(1)).alias("pv")])
+    pv = filter_event(behaviours).withColumn("_ms", seconds_to_ms("event_time")).select("item_id", "_ms")
+    if pre_aggregate and not pv.isStreaming:
+        counted = sliding_slot_agg(pv, ["item_id"], "_ms", F.count(F.lit(1)), duration_ms(size),
+                                   duration_ms(slide), "pv")
+        return counted.select("item_id", "window_end", "pv")
+    counted = window_agg(with_event_ts(pv, "_ms"), ["item_id"], "event_ts", size, slide,
+                         [F.count(F.lit(1)).alias("pv")])
     return counted.select("item_id", "window_end", "pv")
 
 

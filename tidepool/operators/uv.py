@@ -35,7 +35,10 @@ def uv_bitmap(visits: DataFrame, zone: str = "UTC") -> DataFrame:
     v = with_day(visits, zone).select(
         "app_id", "day", F.bitmap_bucket_number("uid").alias("bucket"),
         F.bitmap_bit_position("uid").alias("pos"))
-    per_bucket = v.groupBy("app_id", "day", "bucket").agg(F.bitmap_construct_agg("pos").alias("bm"))
+    # The bitmap buffer needs a sort-based aggregate; dedupe with a hash
+    # aggregate first so only distinct (user, day) pairs are sorted.
+    distinct = v.select("app_id", "day", "bucket", "pos").distinct()
+    per_bucket = distinct.groupBy("app_id", "day", "bucket").agg(F.bitmap_construct_agg("pos").alias("bm"))
     return per_bucket.groupBy("app_id", "day").agg(F.sum(F.bitmap_count("bm")).cast("bigint").alias("uv"))
 
 

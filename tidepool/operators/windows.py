@@ -47,12 +47,58 @@ def tumbling_sum(records: DataFrame, key: str, ms_col: str, value: str, size: st
 
 
 def sliding_sum(records: DataFrame, key: str, ms_col: str, value: str, size: str = "5 seconds",
-                slide: str = "1 second", out: str = "total") -> DataFrame:
-    """Sliding window sum per key: each row lands in size/slide windows."""
+                slide: str = "1 second", out: str = "total", pre_aggregate: bool = False) -> DataFrame:
+    """Sliding window sum per key: each row lands in size/slide windows.
+
+    Default: Spark's ``window`` (an Expand feeding a map-side partial
+    aggregate; works on streams too). ``pre_aggregate=True`` (batch only)
+    sums per slide-sized slot first — worth it when many rows share a
+    (key, slot), see ``sliding_slot_agg``.
+    """
+    if pre_aggregate and not records.isStreaming:
+        return sliding_slot_agg(records, [key], ms_col, F.sum(value), duration_ms(size),
+                                duration_ms(slide), out)
     df = with_event_ts(records, ms_col)
     return window_agg(df, [key], "event_ts", size, slide, [F.sum(value).cast("bigint").alias(out)])
 
 
+_UNITS_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+
+
+def duration_ms(duration: str) -> int:
+    """``"5 seconds"`` -> 5000 (fixed-length units only)."""
+    n, unit = duration.split()
+    return int(n) * _UNITS_MS[unit.lower().rstrip("s")]
+
+
+def sliding_slot_agg(records: DataFrame, keys: list[str], ms_col: str, agg: Column, size_ms: int,
+                     slide_ms: int, out: str) -> DataFrame:
+    """Sliding-window sum/count in two steps, for dense batch input.
+
+    A window of ``size`` sliding by ``slide`` is the union of ``size/slide``
+    consecutive slots of length ``slide``. Rows are first aggregated per
+    (keys, slot) — map-side combined, one row per busy slot — and only those
+    slot totals are expanded to the windows they belong to, instead of
+    expanding every input row ``size/slide`` times. ``agg`` must be additive
+    (a sum or a count). Windows start at multiples of ``slide`` from the epoch,
+    as ``window`` assigns them. Output ``(keys..., window_start, window_end, out)``.
+
+    Trade-off: one extra (small) shuffle of slot totals. Measured at sf0.1,
+    where nearly every (key, slot) holds one row, it is about 2x slower than
+    ``window``; it pays off when rows per (key, slot) are many.
+    """
+    if size_ms % slide_ms:
+        raise ValueError("size must be a multiple of slide")
+    k = size_ms // slide_ms
+    slot = F.col(ms_col) - F.pmod(F.col(ms_col), F.lit(slide_ms))
+    slots = records.groupBy(*keys, slot.alias("_slot")).agg(agg.alias("_part"))
+    expanded = slots.select(*keys, "_slot", "_part", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
+    expanded = expanded.withColumn("window_start", F.col("_slot") - F.col("_i") * F.lit(slide_ms))
+    return (expanded.groupBy(*keys, "window_start")
+            .agg(F.sum("_part").cast("bigint").alias(out))
+            .select(*keys, "window_start", (F.col("window_start") + F.lit(size_ms)).alias("window_end"), out))
+
+
 def processing_time_sliding_sum(records: DataFrame, key: str, value: str, size: str = "5 seconds",
                                 slide: str = "1 second", out: str = "total") -> DataFrame:
     """The processing-time form: windows on the time each row is handled."""
