@@ -52,3 +52,19 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert _canon(df.columns, got) == _canon(cols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", ["time_funcs", "parse_event_line", "tumbling_sum", "day_window", "late_split",
+                                  "daily_uv_cumulative", "uv_running"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    """Times travel as epoch ms and calendar work names its zone, so a driver
+    session in a DST zone gives the same answers."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        got = _canon(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(E.oracle_sql()[name])
+    assert got == _canon([d[0] for d in res.description], res.fetchall())
