@@ -64,3 +64,68 @@ def test_tumbling_stream_equals_batch_on_events(spark, tmp_path):
     max_t = ev.agg(F.max("t")).first()[0]
     closed = [r for r in rows(tumbling_sum(ev, "word", "t", "num", "1 hour")) if r[2] <= max_t]
     assert got == closed and len(got) > 100
+
+
+def test_daily_uv_stream_equals_batch_on_events(spark, tmp_path):
+    """Three chained stateful stages (first-visit flags, 1 s windows, per-day
+    totals) against the batch plan on the real events table."""
+    from pyspark.sql import functions as F
+    from tidepool.operators.uv import daily_uv_cumulative
+    from tidepool.sources.tables import visits
+    from tidepool.streaming.jobs import daily_uv_cumulative_stream, run_to_memory
+
+    v = visits(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    flat = tmp_path / "visits"
+    n, per = 5, 200
+    for i in range(n):
+        out = tmp_path / f"v{i}"
+        v.where((F.col("seq") >= i * per) & (F.col("seq") < (i + 1) * per)).coalesce(1).write.parquet(str(out))
+        (f,) = out.glob("*.parquet")
+        flat.mkdir(exist_ok=True)
+        tgt = flat / f"{i:03d}.parquet"
+        tgt.write_bytes(f.read_bytes())
+        os.utime(tgt, (1_600_000_000 + i, 1_600_000_000 + i))
+    stream = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(str(flat))
+    q = run_to_memory(daily_uv_cumulative_stream(stream, 0, "1 second"), "uv_replay", checkpoint=str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    got = rows(spark.table("uv_replay").select("app_id", "window_start", "day_uv"))
+    max_t = v.agg(F.max("visit_time")).first()[0]
+    batch = rows(daily_uv_cumulative(v, "UTC").where(F.col("window_start") + 1000 <= max_t - 1000)
+                 .select("app_id", "window_start", "day_uv"))
+    assert got == batch and len(got) > 500
+
+
+def _replay_events(spark, tmp_path, n=5, per=200):
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.col("event_id").alias("seq"), F.col("event_type").alias("word"), "user_id", "value",
+        F.get_json_object("props", "$.k").cast("bigint").alias("num"))
+    flat = tmp_path / "events-flat"
+    flat.mkdir()
+    for i in range(n):
+        out = tmp_path / f"e{i}"
+        ev.where((F.col("seq") >= i * per) & (F.col("seq") < (i + 1) * per)).coalesce(1).write.parquet(str(out))
+        (f,) = out.glob("*.parquet")
+        tgt = flat / f"{i:03d}.parquet"
+        tgt.write_bytes(f.read_bytes())
+        os.utime(tgt, (1_600_000_000 + i, 1_600_000_000 + i))
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(str(flat))
+    return ev, stream
+
+
+def test_count_window_and_running_median_streams_equal_batch(spark, tmp_path):
+    from tidepool.operators.median import running_median
+    from tidepool.operators.windows import count_window
+    from tidepool.streaming.jobs import count_window_stream, run_to_memory, running_median_stream
+    ev, stream = _replay_events(spark, tmp_path)
+    q1 = run_to_memory(count_window_stream(stream, "word", "seq", "num", 5), "cw_replay",
+                       checkpoint=str(tmp_path / "ck1"))
+    q2 = run_to_memory(running_median_stream(stream, "user_id", "seq", "value"), "med_replay",
+                       checkpoint=str(tmp_path / "ck2"))
+    for q in (q1, q2):
+        q.processAllAvailable()
+        q.stop()
+    assert rows(spark.table("cw_replay")) == rows(count_window(ev, "word", "seq", "num", 5))
+    assert rows(spark.table("med_replay"), "user_id", "seq", "median") == \
+        rows(running_median(ev, "user_id", "seq", "value"), "user_id", "seq", "median")
