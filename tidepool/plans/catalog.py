@@ -385,6 +385,26 @@ def q_late_split(spark, sf):
     return late.late_split(TB.orders_records(_t(spark, sf, "orders")), 5000, 0, 0, "UTC")
 
 
+@register("late_split_events", f"""WITH o AS (SELECT (event_id + (event_id * 37) % 50) * 1048576 + event_id AS seq,
+    'e' || CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS INTEGER) AS user_id,
+    CAST(floor(value) AS INTEGER) AS money, (epoch_us(ts) // 1000) AS pay_time FROM events),
+w AS (SELECT *, pay_time - (pay_time % 60000) AS window_start, pay_time - (pay_time % 60000) + 60000 AS window_end,
+  max(pay_time) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS mx FROM o),
+t AS (SELECT *, window_end <= mx - 600000 AS late, {S.ORDER_TEXT} AS txt FROM w)
+SELECT 'window' AS kind, user_id, window_start, window_end, count(*) AS n_orders, CAST(sum(money) AS BIGINT) AS money,
+  printf('WindowInfo=[%s,%s),', {S.fmt_ms('window_start', '%Y%m%d%H%M%S')}, {S.fmt_ms('window_end', '%Y%m%d%H%M%S')})
+    || string_agg(txt || ':', '' ORDER BY seq) AS info
+FROM t WHERE NOT late GROUP BY user_id, window_start, window_end
+UNION ALL
+SELECT 'late' AS kind, user_id, window_start, window_end, CAST(1 AS BIGINT) AS n_orders, CAST(money AS BIGINT) AS money,
+  txt AS info FROM t WHERE late""")
+def q_late_split_events(spark, sf):
+    """1 min windows, 10 min watermark lag, over events arriving out of order
+    (derived arrival); only rows of already-closed windows are late."""
+    return late.late_split(TB.events_as_orders(_t(spark, sf, "events")), 60_000, 600_000, 0, "UTC",
+                           chunk_span=1 << 30)
+
+
 # ---------------------------------------------------------------------------
 # Unique visitors
 # ---------------------------------------------------------------------------

@@ -93,6 +93,23 @@ def orders_records(orders: DataFrame) -> DataFrame:
     )
 
 
+def events_as_orders(events: DataFrame) -> DataFrame:
+    """Events as payment records with an out-of-order arrival.
+
+    ``seq = event_id + (event_id * 37) % 50`` (ties broken by event_id) moves
+    events up to 49 places, so a watermark sees some rows late while most
+    arrive in time; ``money = floor(value)``, ``pay_time = ts`` (epoch ms).
+    """
+    arrival = F.col("event_id") + F.pmod(F.col("event_id") * F.lit(37), F.lit(50))
+    return events.select(
+        (arrival * F.lit(1 << 20) + F.col("event_id")).alias("seq"),
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("order_id"),
+        F.col("user_id").cast("int").alias("user_id"),
+        F.floor("value").cast("int").alias("money"),
+        utc_ntz_to_ms("ts").alias("pay_time"),
+    )
+
+
 # ---- text exports of the tables (inputs for the line parsers) ----------------
 
 def behavior_lines(events: DataFrame) -> DataFrame:
