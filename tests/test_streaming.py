@@ -95,6 +95,17 @@ def test_daily_uv_stream_trace(spark, tmp_path):
                    (1634486400000, 1634486400000, 1)]
 
 
+def test_day_window_stream_dst(spark, tmp_path):
+    """New York, 2024-03-10 has 23 hours; the day closes when a later row
+    moves the watermark past its end."""
+    from tidepool.streaming.jobs import day_window_stream
+    t = [1710086400000, 1710090000000, 1710180000000]  # two rows on Mar 10, one on Mar 11 (local)
+    lines = [f"{ms},a,1" for ms in t]
+    src = parse_event_line(_stream_lines(spark, _files(tmp_path, lines)))
+    out = _run(day_window_stream(src, "word", "ts_ms", "America/New_York"), "day_dst", "append", tmp_path)
+    assert rows(out, "window_start", "window_end", "cnt") == [(1710046800000, 1710129600000, 2)]
+
+
 def test_daily_uv_bitmap_stream(spark, tmp_path):
     from tidepool.streaming.jobs import daily_uv_stream
     visits, _ = parse_visits(_stream_lines(spark, _files(tmp_path, VISITS)))

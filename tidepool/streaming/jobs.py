@@ -19,7 +19,8 @@ from tidepool.operators.topn import filter_event
 from tidepool.operators.windows import window_agg, window_header, with_event_ts
 from tidepool.session import subdir
 from tidepool.streaming.processors import (
-    CountWindowProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor, RunningMedianProcessor,
+    CountWindowProcessor, DayCountProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor,
+    RunningMedianProcessor,
 )
 
 
@@ -106,6 +107,19 @@ def late_split_stream(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, l
     return out.select("kind", "user_id", "window_start", "window_end", "n_orders", "money", info.alias("info"))
 
 
+def day_window_stream(records: DataFrame, key: str, ms_col: str, zone: str, lag: str = "0 seconds") -> DataFrame:
+    """Calendar-day counts per key in ``zone`` (DST-aware) on a stream;
+    each day is emitted once the watermark passes its end. Output
+    ``(key, window_start, window_end, cnt)``. For fixed-offset zones
+    ``streaming_day_window_col`` with a plain aggregation does the same."""
+    from tidepool.functions.timefmt import day_start_ms, next_day_start_ms
+    df = (with_event_ts(records, ms_col, "_et").withWatermark("_et", lag).drop("_et")
+          .select(key, day_start_ms(ms_col, zone).alias("day_start"), next_day_start_ms(ms_col, zone).alias("day_end")))
+    key_type = records.schema[key].dataType.simpleString()
+    schema = f"{key} {key_type}, window_start long, window_end long, cnt long"
+    return df.groupBy(key).transformWithStateInPandas(DayCountProcessor(key), schema, "append", "EventTime")
+
+
 def daily_uv_stream(visits: DataFrame, lag: str = "1 minute", day_offset: str = "0 hours") -> DataFrame:
     """Exact UV per app and day on a stream (``append``: one row per closed day).
 

@@ -225,3 +225,51 @@ class RunningMedianProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class DayCountProcessor(StatefulProcessor):
+    """Calendar-day counts per key for any zone, DST included.
+
+    Input rows carry ``day_start, day_end`` (epoch ms, computed from the
+    zone's rules upstream). Each open day keeps a count; a timer at the day's
+    end emits ``(key, window_start, window_end, cnt)`` and clears it. Rows of
+    a day that already closed are dropped, as a window drops late data.
+    """
+
+    def __init__(self, key_col: str = "key"):
+        self.key_col = key_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.days = handle.getMapState("days", "day_start long", "day_end long, cnt long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        batch = pd.concat(list(rows))
+        counts = batch.groupby(["day_start", "day_end"]).size()
+        for (start, end), n in counts.items():
+            start, end = int(start), int(end)
+            if end <= wm:
+                continue  # the day has closed
+            k = (start,)
+            if self.days.containsKey(k):
+                _, cnt = self.days.getValue(k)
+            else:
+                cnt = 0
+                self.handle.registerTimer(end)
+            self.days.updateValue(k, (end, int(cnt) + int(n)))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        out = []
+        for k in list(self.days.keys()):
+            d_end, cnt = self.days.getValue(k)
+            if int(d_end) == end:
+                out.append((key[0], int(k[0]), end, int(cnt)))
+                self.days.removeKey((int(k[0]),))
+        if out:
+            yield pd.DataFrame(out, columns=[self.key_col, "window_start", "window_end", "cnt"])
+
+    def close(self) -> None:
+        pass
