@@ -21,7 +21,7 @@ from tidepool.session import local_session  # noqa: E402
 
 HEADLINE = ["word_count", "daily_uv_cumulative", "top_n_per_window", "late_split", "running_median"]
 EXTRA = ["tokens_ws_run", "uv_bitmap", "count_window", "running_count", "sliding_sum", "pv_window_count",
-         "window_rows", "join_dim_lookup", "uv_running", "recent_keys"]
+         "window_rows", "join_dim_lookup", "uv_running", "recent_keys", "late_split_events", "median_by_key"]
 
 
 def run_once(spark, name: str, sf: str) -> float:
