@@ -26,11 +26,14 @@ def dim_lookup(facts: DataFrame, dim: DataFrame, key: str, value_cols: list[str]
     """Left join ``facts`` to ``dim`` on ``key``; misses get ``default``.
 
     When several dimension rows share a key, the one with the largest
-    ``order_col`` wins (stated order instead of "last row read"). Pass
-    ``unique=True`` when the key is known unique to skip that reduction.
+    ``order_col`` wins (stated order instead of "last row read"); ties are
+    broken by the values themselves, so a recomputed task (after an executor
+    loss) picks the same row. Pass ``unique=True`` when the key is known
+    unique to skip that reduction.
     """
     if not unique:
-        pick = F.max_by(F.struct(*value_cols), F.col(order_col or value_cols[0]))
+        order = F.struct(F.col(order_col or value_cols[0]), *[F.col(c) for c in value_cols])
+        pick = F.max_by(F.struct(*value_cols), order)
         dim = dim.groupBy(key).agg(pick.alias("_v")).select(key, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
     else:
         dim = dim.select(key, *value_cols)
