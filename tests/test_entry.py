@@ -68,3 +68,24 @@ def test_results_do_not_depend_on_session_zone(spark, con, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     res = con.execute(E.oracle_sql()[name])
     assert got == _canon([d[0] for d in res.description], res.fetchall())
+
+
+def test_python_workers_import_package_from_any_cwd(tmp_path):
+    """The driver may import the entry module from another directory; plans
+    that run Python on workers must still find the package (shipped with
+    ``addPyFile``)."""
+    import subprocess
+    import sys
+    import textwrap
+    script = tmp_path / "drive.py"
+    script.write_text(textwrap.dedent("""
+        import importlib.util
+        spec = importlib.util.spec_from_file_location("__spark_entry__", "/root/repo/__spark_entry__.py")
+        E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+        print(E.queries()["running_median"](spark, "/root/testdata/sf0.001").count(),
+              E.queries()["enrich_lookup"](spark, "/root/testdata/sf0.001").count())
+    """))
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("1000 150"), out.stderr[-2000:]

@@ -60,6 +60,9 @@ def fetch_replies(keys: DataFrame, key: str, lookup: Callable[[str], str | None]
     """``(key, reply)`` for each row of ``keys``, calling ``lookup`` on a pool
     of ``in_flight`` threads per task (the async-I/O capacity). A call that
     fails or exceeds ``timeout_s`` gives a null reply (the default result)."""
+    from tidepool.session import ship_package
+
+    ship_package(keys.sparkSession)
     call = _safe(lookup)
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("reply", T.StringType())])
 

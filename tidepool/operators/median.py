@@ -42,6 +42,9 @@ def running_median(df: DataFrame, key: str, seq: str, value: str, out: str = "me
 
     from tidepool.operators.order_stats import RunningMedian
 
+    from tidepool.session import ship_package
+
+    ship_package(df.sparkSession)
     src = df.select(key, seq, F.col(value).cast("double").alias(value))
     schema = T.StructType(src.schema.fields + [T.StructField(out, T.DoubleType())])
 

@@ -63,3 +63,41 @@ def subdir(spark: SparkSession, name: str) -> str:
     """A path under the shared folder, e.g. for a streaming checkpoint."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidepool`` importable in executor Python workers.
+
+    Plans that run Python on workers (``mapInPandas``, state processors)
+    unpickle functions that refer to this package. A cluster launched with
+    ``--py-files`` (or with the package installed) already has it; otherwise
+    the package's sources are zipped once per application and distributed
+    with ``addPyFile``, as ``--py-files`` would.
+    """
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # a Connect session has no SparkContext
+        sc, app = None, f"connect-{id(spark)}"
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="tidepool-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
+    _SHIPPED.add(app)

@@ -17,7 +17,7 @@ from tidepool.functions.timefmt import ms_to_ts
 from tidepool.operators import wordcount
 from tidepool.operators.topn import filter_event
 from tidepool.operators.windows import window_agg, window_header, with_event_ts
-from tidepool.session import subdir
+from tidepool.session import ship_package, subdir
 from tidepool.streaming.processors import (
     CountWindowProcessor, DayCountProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor,
     RunningMedianProcessor,
@@ -72,6 +72,7 @@ COUNT_WINDOW_SCHEMA = "word string, window_no long, total long"
 def count_window_stream(records: DataFrame, key: str = "word", seq: str = "seq", value: str = "num",
                         n: int = 5) -> DataFrame:
     """Per-key count windows; ``records`` has ``key, seq, value``."""
+    ship_package(records.sparkSession)
     schema = COUNT_WINDOW_SCHEMA.replace("word", key)
     return records.select(key, seq, value).groupBy(key).transformWithStateInPandas(
         CountWindowProcessor(n, key, seq, value), schema, "append", "None")
@@ -81,6 +82,7 @@ def running_median_stream(records: DataFrame, key: str = "user_id", seq: str = "
                           value: str = "value") -> DataFrame:
     """Running median per key after every row; ``append``. State per key is a
     value histogram. Key type is taken from the input."""
+    ship_package(records.sparkSession)
     key_type = records.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, {seq} long, {value} double, median double"
     return records.select(key, F.col(seq).cast("long").alias(seq), F.col(value).cast("double").alias(value)) \
@@ -99,6 +101,7 @@ def late_split_stream(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, l
     The watermark is declared on a timestamp column which is then dropped, so
     the processor — not Spark's row filter — decides lateness per window.
     """
+    ship_package(orders.sparkSession)
     wm = with_event_ts(orders, "pay_time").withWatermark("event_ts", f"{lag_ms} milliseconds").drop("event_ts")
     out = wm.select("seq", "order_id", "user_id", "money", "pay_time").groupBy("user_id").transformWithStateInPandas(
         LateSplitProcessor(size_ms, lateness_ms), LATE_SCHEMA, "append", "EventTime")
@@ -112,6 +115,7 @@ def day_window_stream(records: DataFrame, key: str, ms_col: str, zone: str, lag:
     each day is emitted once the watermark passes its end. Output
     ``(key, window_start, window_end, cnt)``. For fixed-offset zones
     ``streaming_day_window_col`` with a plain aggregation does the same."""
+    ship_package(records.sparkSession)
     from tidepool.functions.timefmt import day_start_ms, next_day_start_ms
     df = (with_event_ts(records, ms_col, "_et").withWatermark("_et", lag).drop("_et")
           .select(key, day_start_ms(ms_col, zone).alias("day_start"), next_day_start_ms(ms_col, zone).alias("day_end")))
@@ -151,6 +155,7 @@ def daily_uv_cumulative_stream(visits: DataFrame, zone_offset_ms: int = 0, lag:
     The lag must be at least 1 s: with 0 s, visits whose time equals the
     maximum seen so far are filtered as late.
     """
+    ship_package(visits.sparkSession)
     v = (with_event_ts(visits, "visit_time", "vt").withWatermark("vt", lag).drop("vt")
          .withColumn("part_id", F.col("uid") % F.lit(buckets)))
     flags = v.select("app_id", "part_id", "uid", "visit_time").groupBy("app_id", "part_id") \
