@@ -47,9 +47,12 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def _t(spark: SparkSession, sf: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table; spread over the cluster when its scan is too narrow (a
-    no-op on large inputs, see ``sources.tables.spread``)."""
+def _t(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread=True`` for queries whose first stage is CPU-heavy
+    per row (tokenising, window expansion, row formatting): a scan narrower
+    than the cluster is then spread over it first (a no-op on large inputs,
+    see ``sources.tables.spread``). Light first stages (projection + partial
+    aggregate) and twice-scanned tables do better without it (measured)."""
     df = TB.table(spark, sf, name)
     return TB.spread(df) if spread else df
 
@@ -67,7 +70,7 @@ SHANGHAI_MS = 8 * 3600 * 1000
 @register("scan_text", f"WITH {S.LINES} SELECT doc_id, line_no, line FROM lines")
 def q_scan_text(spark, sf):
     """Documents read as text files: one row per line."""
-    return TB.doc_lines(_t(spark, sf, "documents"))
+    return TB.doc_lines(_t(spark, sf, "documents", spread=True))
 
 
 @register("scan_behavior_csv", f"""WITH {S.BEHAVIOURS}
@@ -133,38 +136,38 @@ def _count_sql(rule: str, nonblank: bool = False) -> str:
 @register("word_count", _count_sql("ws_run"))
 def q_word_count(spark, sf):
     """Word count over all document lines, ``\\s+`` separator."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "ws_run")
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_run")
 
 
 @register("tokens_ws_run", f"WITH {S.tokens_cte('ws_run')} SELECT doc_id, line_no, pos, word FROM toks")
 def q_tokens_ws_run(spark, sf):
     """The ``\\s+`` tokenizer's output rows (flatMap)."""
-    return tokens(TB.doc_lines(_t(spark, sf, "documents")), "ws_run", keep=("doc_id", "line_no"))
+    return tokens(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_run", keep=("doc_id", "line_no"))
 
 
 @register("tokens_ws_single", _count_sql("ws_single"))
 def q_tokens_ws_single(spark, sf):
     """Word count with the single ``\\s`` separator (empty tokens counted)."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "ws_single")
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_single")
 
 
 @register("tokens_nonblank", _count_sql("ws_single", nonblank=True))
 def q_tokens_nonblank(spark, sf):
     """Word count with ``\\s`` and blank tokens dropped."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "ws_single", drop_blank=True)
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_single", drop_blank=True)
 
 
 @register("tokens_space", _count_sql("space"))
 def q_tokens_space(spark, sf):
     """Word count with a literal space separator (tabs stay inside words)."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "space")
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "space")
 
 
 @register("running_count", """SELECT event_id AS seq, event_type AS word,
   count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS cnt FROM events""")
 def q_running_count(spark, sf):
     """Per-record running count per word (changelog of a keyed sum)."""
-    recs = _t(spark, sf, "events", spread=False).select(F.col("event_id").alias("seq"),
+    recs = _t(spark, sf, "events").select(F.col("event_id").alias("seq"),
                                                         F.col("event_type").alias("word"))
     return wordcount.running_count(recs, "word", "seq").select("seq", "word", "cnt")
 
@@ -201,7 +204,7 @@ FROM lines""")
 def q_str_funcs(spark, sf):
     """String helpers per document line: trim-empty test, Java split sizes,
     case-insensitive compare, formatting."""
-    lines = TB.doc_lines(_t(spark, sf, "documents"))
+    lines = TB.doc_lines(_t(spark, sf, "documents", spread=True))
     single = java_split("line", "ws_single")
     first = F.get(single, 0)
     return lines.select(
@@ -321,8 +324,9 @@ w AS (SELECT word, num, t - (t % 1000) - 1000 * unnest(range(5)) AS window_start
 SELECT word, window_start, window_start + 5000 AS window_end, CAST(sum(num) AS BIGINT) AS total FROM w GROUP BY ALL""")
 def q_sliding_sum(spark, sf):
     """Sliding 5 s / 1 s sums per word on event time."""
-    e = _t(spark, sf, "events").select(F.col("event_type").alias("word"), utc_ntz_to_ms("ts").alias("t"),
-                                       F.get_json_object("props", "$.k").cast("bigint").alias("num"))
+    e = _t(spark, sf, "events", spread=True).select(
+        F.col("event_type").alias("word"), utc_ntz_to_ms("ts").alias("t"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("num"))
     return windows.sliding_sum(e, "word", "t", "num", "5 seconds", "1 second")
 
 
@@ -332,7 +336,7 @@ SELECT word, CAST((rn - 1) // 5 AS BIGINT) AS window_no, CAST(sum(num) AS BIGINT
 GROUP BY ALL HAVING count(*) = 5""")
 def q_count_window(spark, sf):
     """Count windows of 5 per word in arrival order; incomplete tails dropped."""
-    e = _t(spark, sf, "events", spread=False).select(
+    e = _t(spark, sf, "events").select(
         F.col("event_id").alias("seq"), F.col("event_type").alias("word"),
         F.get_json_object("props", "$.k").cast("bigint").alias("num"))
     return windows.count_window(e, "word", "seq", "num", 5)
@@ -356,7 +360,7 @@ SELECT user_id, window_start, window_start + 5000 AS window_end, count(*) AS n_o
 FROM w GROUP BY user_id, window_start""")
 def q_window_rows(spark, sf):
     """Per user and 5 s window: the rows as text in arrival order, and the money."""
-    return windows.window_rows(TB.orders_records(_t(spark, sf, "orders")), 5000, "UTC")
+    return windows.window_rows(TB.orders_records(_t(spark, sf, "orders", spread=True)), 5000, "UTC")
 
 
 @register("window_money", f"""WITH {S.ORDERS}
@@ -497,8 +501,7 @@ def q_median_by_key(spark, sf):
   AS median FROM events""")
 def q_running_median(spark, sf):
     """Median of each user's values so far, after every event."""
-    # no spread: the job hash-partitions by user itself
-    e = _t(spark, sf, "events", spread=False).select(F.col("event_id").alias("seq"), "user_id", "value")
+    e = _t(spark, sf, "events").select(F.col("event_id").alias("seq"), "user_id", "value")
     m = median.running_median(e, "user_id", "seq", "value")
     return m.select("seq", "user_id", "value", F.round("median", 6).alias("median"))
 
