@@ -106,6 +106,22 @@ def test_day_window_stream_dst(spark, tmp_path):
     assert rows(out, "window_start", "window_end", "cnt") == [(1710046800000, 1710129600000, 2)]
 
 
+def test_allowed_lateness_updates_window(spark, tmp_path):
+    """Lateness 5 s: a row 5 s behind the maximum still corrects its window
+    (update mode); with no lateness its window was already evicted. (Spark
+    applies the watermark at micro-batch grain: state is evicted at the end
+    of the batch that ran with the advanced watermark, hence the extra row.)"""
+    base = 1_700_000_000_000
+    lines = [f"{base + d},a,1" for d in (0, 1000, 2000, 7000, 8000, 3000)]
+    got = {}
+    for lateness in (0, 5000):
+        src = parse_event_line(_stream_lines(spark, _files(tmp_path, lines)))
+        out = _run(tumbling_sum_stream(src, "word", "ts_ms", "num", "5 seconds", "0 seconds", lateness),
+                   f"late_upd_{lateness}", "update", tmp_path)
+        got[lateness] = max(r.total for r in out.where(f"window_start = {base}").collect())
+    assert got == {0: 3, 5000: 4}
+
+
 def test_daily_uv_bitmap_stream(spark, tmp_path):
     from tidepool.streaming.jobs import daily_uv_stream
     visits, _ = parse_visits(_stream_lines(spark, _files(tmp_path, VISITS)))

@@ -63,6 +63,7 @@ def sliding_sum(records: DataFrame, key: str, ms_col: str, value: str, size: str
 
 
 _UNITS_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+_UNITS_MS["milli"] = 1
 
 
 def duration_ms(duration: str) -> int:

@@ -30,9 +30,17 @@ def word_count_stream(lines: DataFrame, rule: str = "ws_run") -> DataFrame:
 
 
 def tumbling_sum_stream(records: DataFrame, key: str, ms_col: str, value: str, size: str = "5 seconds",
-                        lag: str = "0 seconds") -> DataFrame:
-    """Event-time tumbling sums; ``append`` emits each window once it closes."""
-    df = with_event_ts(records, ms_col).withWatermark("event_ts", lag)
+                        lag: str = "0 seconds", lateness_ms: int = 0) -> DataFrame:
+    """Event-time tumbling sums.
+
+    ``append`` emits each window once it closes. With allowed lateness, the
+    watermark trails by ``lag + lateness``: run in ``update`` mode to get an
+    early result per window and a corrected row for every late arrival
+    within the lateness; rows later than that are dropped.
+    """
+    from tidepool.operators.windows import duration_ms
+    delay = duration_ms(lag) + lateness_ms
+    df = with_event_ts(records, ms_col).withWatermark("event_ts", f"{delay} milliseconds")
     return window_agg(df, [key], "event_ts", size, None, [F.sum(value).cast("bigint").alias("total")])
 
 
