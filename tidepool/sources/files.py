@@ -7,7 +7,6 @@ CSV source), so the same job functions apply to either mode.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidepool.functions.parse import parse_behavior_csv
 
@@ -37,7 +36,3 @@ def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     return (spark.readStream.format("socket").option("host", host).option("port", port).load()
             .withColumnRenamed("value", "line"))
 
-
-def with_arrival(df: DataFrame) -> DataFrame:
-    """Attach an arrival order to a batch of lines read from files."""
-    return df.withColumn("seq", F.monotonically_increasing_id())
