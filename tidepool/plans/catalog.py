@@ -154,7 +154,8 @@ def q_tokens_ws_single(spark, sf):
 @register("tokens_nonblank", _count_sql("ws_single", nonblank=True))
 def q_tokens_nonblank(spark, sf):
     """Word count with ``\\s`` and blank tokens dropped."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_single", drop_blank=True)
+    lines = TB.doc_lines(_t(spark, sf, "documents", spread=True))
+    return wordcount.word_count(lines, "ws_single", drop_blank=True)
 
 
 @register("tokens_space", _count_sql("space"))
@@ -167,8 +168,7 @@ def q_tokens_space(spark, sf):
   count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS cnt FROM events""")
 def q_running_count(spark, sf):
     """Per-record running count per word (changelog of a keyed sum)."""
-    recs = _t(spark, sf, "events").select(F.col("event_id").alias("seq"),
-                                                        F.col("event_type").alias("word"))
+    recs = _t(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("word"))
     return wordcount.running_count(recs, "word", "seq").select("seq", "word", "cnt")
 
 
@@ -336,9 +336,8 @@ SELECT word, CAST((rn - 1) // 5 AS BIGINT) AS window_no, CAST(sum(num) AS BIGINT
 GROUP BY ALL HAVING count(*) = 5""")
 def q_count_window(spark, sf):
     """Count windows of 5 per word in arrival order; incomplete tails dropped."""
-    e = _t(spark, sf, "events").select(
-        F.col("event_id").alias("seq"), F.col("event_type").alias("word"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("num"))
+    e = _t(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("word"),
+                                       F.get_json_object("props", "$.k").cast("bigint").alias("num"))
     return windows.count_window(e, "word", "seq", "num", 5)
 
 
