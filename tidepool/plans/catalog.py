@@ -404,8 +404,9 @@ SELECT 'late' AS kind, user_id, window_start, window_end, CAST(1 AS BIGINT) AS n
 def q_late_split_events(spark, sf):
     """1 min windows, 10 min watermark lag, over events arriving out of order
     (derived arrival); only rows of already-closed windows are late."""
+    # seq packs (arrival, event_id) as arrival * 2^20 + event_id: 2^40 = 2^20 arrivals per chunk
     return late.late_split(TB.events_as_orders(_t(spark, sf, "events")), 60_000, 600_000, 0, "UTC",
-                           chunk_span=1 << 30)
+                           chunk_span=1 << 40)
 
 
 # ---------------------------------------------------------------------------
