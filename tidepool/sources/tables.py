@@ -98,9 +98,10 @@ def events_as_orders(events: DataFrame) -> DataFrame:
 
     Arrival ``event_id + (event_id * 37) % 50`` (ties broken by event_id)
     moves events up to 49 places, so a watermark sees some rows late while
-    most arrive in time. ``seq`` packs both as ``arrival * 2^20 + event_id``
-    (unique while event ids stay below 2^20 per arrival slot and arrivals
-    below 2^43); ``money = floor(value)``, ``pay_time = ts`` (epoch ms).
+    most arrive in time. ``seq`` packs both as ``arrival * 2^20 + event_id``:
+    since ``arrival - event_id`` is in [0, 49], this is unique and sorts by
+    (arrival, event_id) for any event id (no overflow below 2^43 arrivals).
+    ``money = floor(value)``, ``pay_time = ts`` (epoch ms).
     """
     arrival = F.col("event_id") + F.pmod(F.col("event_id") * F.lit(37), F.lit(50))
     return events.select(
