@@ -38,7 +38,7 @@ class CountWindowProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         cnt, total, wins = self.state.get() if self.state.exists() else (0, 0, 0)
         out = []
-        batch = pd.concat(list(rows)).sort_values(self.seq_col)
+        batch = pd.concat(list(rows)).sort_values(self.seq_col, kind="stable")
         for v in batch[self.value_col].tolist():
             cnt, total = cnt + 1, total + int(v)
             if cnt == self.n:
@@ -80,7 +80,7 @@ class LateSplitProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         out = []
-        batch = pd.concat(list(rows)).sort_values("seq")
+        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
         for r in batch.itertuples(index=False):
             t = int(r.pay_time)
             start = t - t % self.size_ms
@@ -131,7 +131,7 @@ class FirstVisitProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         out = []
-        batch = pd.concat(list(rows)).sort_values("visit_time")
+        batch = pd.concat(list(rows)).sort_values("visit_time", kind="stable")
         for r in batch.itertuples(index=False):
             t = int(r.visit_time)
             if t + 1 <= wm:
@@ -169,7 +169,7 @@ class DayTotalProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        batch = pd.concat(list(rows)).sort_values("window_start")
+        batch = pd.concat(list(rows)).sort_values("window_start", kind="stable")
         for r in batch.itertuples(index=False):
             k = (int(r.day_start),)
             total = int(self.totals.getValue(k)[0]) if self.totals.containsKey(k) else 0
@@ -210,7 +210,7 @@ class RunningMedianProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         from tidepool.operators.order_stats import RunningMedian
 
-        batch = pd.concat(list(rows)).sort_values(self.seq_col)
+        batch = pd.concat(list(rows)).sort_values(self.seq_col, kind="stable")
         med = RunningMedian.from_counts({float(k[0]): int(v[0]) for k, v in self.hist.iterator()})
         out = []
         touched = set()
