@@ -83,3 +83,27 @@ def test_running_median_helper_golden_and_property():
         if i % 500 == 499:  # reload from the histogram, as the stream does per batch
             m = RunningMedian.from_counts(m.counts())
             assert len(m.lo) + len(m.hi) <= 2 * len(set(seen))
+
+
+# Fixture: addresses for the geocoding enrichment (Chinese text).
+ADDRESSES = ["湖南省长沙县江背镇特立村中间屋组246号", "湖南省会同县金子岩侗族苗族乡三田村二十二组13号",
+             "湖南省长沙县榔梨镇花园村窑坪组115号", "湖南省平江县向家镇黄金村409-1号",
+             "湖南省中方县牌楼坳镇站坪村梅子坳村民小组", "湖南省长沙县安沙镇三合村代家老屋组646附1号",
+             "湖南省长沙县春华镇花园新村花园组387号", "湖南省长沙县福临镇同心村代家组200号",
+             "贵州省普定县坪上乡青坪村坡头组18号", "湖南省湘阴县静河乡地坡村六组",
+             "湖南省涟源市七星街镇正里村正里组", "湖南省长沙县星沙镇凉塘路社区众鑫建材市场6栋11号"]
+
+
+def test_enrich_chinese_addresses(spark):
+    import json
+
+    def service(addr):  # echoes the address as title; no location for addresses without a number
+        if not any(ch.isdigit() for ch in addr):
+            return json.dumps({"status": 0, "result": {"title": addr}}, ensure_ascii=False)
+        return json.dumps({"status": 0, "result": {"title": addr, "location": {"lng": 112.9, "lat": 28.2}}},
+                          ensure_ascii=False)
+    df = spark.createDataFrame(list(enumerate(ADDRESSES + ADDRESSES[:2])), "id long, address string")
+    out = {r.id: (r.title, r.lng, r.lat) for r in enrich_lookup(df, "address", service).collect()}
+    assert len(out) == 14
+    assert out[0] == (ADDRESSES[0], 112.9, 28.2) and out[12] == out[0]
+    assert out[4] == ("", 0.0, 0.0) and out[9] == ("", 0.0, 0.0)
