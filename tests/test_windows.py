@@ -114,3 +114,16 @@ def test_slot_pre_aggregation_equals_window(spark):
     b = spark.createDataFrame([(i, 7, 1, "pv", t) for i, t in enumerate(data_t for _, data_t, _ in data)],
                               "user_id long, item_id long, category_id long, event_id string, event_time long")
     assert rows(pv_window_count(b, pre_aggregate=True)) == rows(pv_window_count(b))
+
+
+def test_behavior_csv_file_source_batch_and_stream(spark, tmp_path):
+    from tidepool.sources.files import scan_behavior_csv
+    d = tmp_path / "behavior"
+    d.mkdir()
+    (d / "UserBehaviorTest.csv").write_text("\n".join(BEHAVIOR) + "\n")
+    batch = scan_behavior_csv(spark, str(d))
+    assert batch.count() == 9 and batch.where("item_id = 2244074 AND event_id = 'pv'").count() == 9
+    got = {r.window_end // 1000: r.pv for r in pv_window_count(batch).collect()}
+    assert got[300] == 2 and got[3600] == 9 and got[4500] == 2
+    stream = scan_behavior_csv(spark, str(d), stream=True)
+    assert stream.isStreaming and set(stream.columns) >= {"user_id", "item_id", "event_time"}
