@@ -89,3 +89,18 @@ def test_python_workers_import_package_from_any_cwd(tmp_path):
     """))
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("1000 150"), out.stderr[-2000:]
+
+
+def test_every_query_handles_empty_tables(spark, tmp_path):
+    """Same schemas, zero rows: every registered query plans and runs."""
+    for t in TABLES:
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
+    failures = {}
+    for name, fn in E.queries().items():
+        try:
+            n = fn(spark, str(tmp_path)).count()
+            if n:
+                failures[name] = f"{n} rows"
+        except Exception as e:  # collect all failures for one report
+            failures[name] = str(e).splitlines()[0][:200]
+    assert not failures, failures
