@@ -6,13 +6,16 @@ data. Instead we cut each key's order range into chunks of ``chunk_span``
 order units:
 
 1. aggregate every (key, chunk) — partial aggregation, tiny output;
-2. prefix over chunks per key — a window over the chunk totals only;
-3. running aggregate inside each (key, chunk) — many parallel partitions;
-4. combine 2 and 3 with a join on (key, chunk); the big side is shuffled
-   once on (key, chunk) and the window in step 3 reuses that partitioning.
-
-With no keys the same plan gives a global prefix (e.g. a running maximum over
-arrival order), where step 2 sees one row per chunk.
+2. prefix over chunk totals per key — a window over the chunk totals only:
+   the offset each chunk starts from;
+3. add one marker row per (key, chunk) carrying that offset, ordered before
+   the chunk's rows, and run the running aggregate inside each (key, chunk).
+
+Step 3 is a union plus one ordered window: no join, no broadcast, and the big
+side is shuffled exactly once, on (key, chunk). Null keys are a group of
+their own, as in any window. With no keys the same plan gives a global prefix
+(e.g. a running maximum over arrival order), where step 2 sees one row per
+chunk.
 """
 
 from __future__ import annotations
@@ -20,12 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_AGGS = {
-    "sum": (F.sum, lambda a, b: a + b),
-    "count": (F.sum, lambda a, b: a + b),
-    "max": (F.max, F.greatest),
-    "min": (F.min, F.least),
-}
+_AGGS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
 def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Column | str | None,
@@ -34,35 +32,31 @@ def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
 
     ``order_cols[0]`` must be numeric (it defines the chunk); the rest break
     ties. ``how`` is one of sum, count, max, min; ``count`` ignores ``value``
-    and numbers rows 1, 2, ... in order (row_number semantics).
+    and numbers rows 1, 2, ... in order (row_number semantics). Nulls in
+    ``value`` are skipped, as by the window aggregates.
     """
     if how not in _AGGS:
         raise ValueError(how)
-    agg_fn, combine = _AGGS[how]
+    agg_fn = _AGGS[how]
     v = F.lit(1).cast("bigint") if how == "count" else (F.col(value) if isinstance(value, str) else value)
     chunk = chunk_col or "_chunk"
     base = df.withColumn("_v", v)
     if chunk_col is None:
         base = base.withColumn(chunk, F.floor(F.col(order_cols[0]) / F.lit(chunk_span)).cast("bigint"))
+    base = base.withColumn("_marker", F.lit(1))
 
-    totals = base.groupBy(*keys, chunk).agg(agg_fn("_v").alias("_chunk_total"))
-    prior = Window.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    if keys:
-        prior = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    join_cols = [*keys, chunk]
-    offsets = totals.select(*[F.col(c).alias(f"_o_{c}") for c in join_cols],
-                            agg_fn("_chunk_total").over(prior).alias("_offset"))
+    totals = base.groupBy(*keys, chunk).agg(agg_fn("_v").alias("_total"))
+    prior = Window.partitionBy(*keys).orderBy(chunk) if keys else Window.orderBy(chunk)
+    markers = (totals.select(*keys, chunk, agg_fn("_total").over(prior.rowsBetween(Window.unboundedPreceding, -1))
+                             .alias("_v"))
+               .where(F.col("_v").isNotNull())
+               .withColumn("_marker", F.lit(0)))
 
-    inner = (Window.partitionBy(*keys, chunk).orderBy(*order_cols)
+    inner = (Window.partitionBy(*keys, chunk).orderBy("_marker", *order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # null-safe: a null key is a group of its own, as in a window
-    cond = [base[c].eqNullSafe(offsets[f"_o_{c}"]) for c in join_cols]
-    joined = base.join(offsets, on=cond, how="inner").drop(*[f"_o_{c}" for c in join_cols])
-    running = agg_fn("_v").over(inner)
-    offset = F.col("_offset")
-    # nulls are skipped as by the window aggregate: either side alone when the other is null
-    result = F.when(offset.isNull(), running).when(running.isNull(), offset).otherwise(combine(offset, running))
-    out_df = joined.withColumn(out, result).drop("_v", "_offset")
+    both = base.unionByName(markers, allowMissingColumns=True)
+    out_df = (both.withColumn(out, agg_fn("_v").over(inner))
+              .where(F.col("_marker") == 1).drop("_v", "_marker"))
     if chunk_col is None:
         out_df = out_df.drop(chunk)
     return out_df
