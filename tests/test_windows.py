@@ -127,3 +127,19 @@ def test_behavior_csv_file_source_batch_and_stream(spark, tmp_path):
     assert got[300] == 2 and got[3600] == 9 and got[4500] == 2
     stream = scan_behavior_csv(spark, str(d), stream=True)
     assert stream.isStreaming and set(stream.columns) >= {"user_id", "item_id", "event_time"}
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    """One key holds a third of the rows; its running count must not run in
+    one task. Rows per output partition stay well below the hot key's size."""
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string")))
+        .alias("k"), F.col("id").alias("seq"))
+    out = running_agg(df, ["k"], ["seq"], None, "count", "cnt", chunk_span=1000)
+    per_task = out.where("k = 'hot'").groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = [r["count"] for r in per_task.collect()]
+    assert sum(sizes) == n // 3 and max(sizes) < n // 3 // 2 and len(sizes) > 2
+    w = Window.partitionBy("k").orderBy("seq")
+    expect = rows(df.where("k = 'hot'").withColumn("cnt", F.row_number().over(w)), "seq", "cnt")
+    assert rows(out.where("k = 'hot'"), "seq", "cnt") == expect
