@@ -45,13 +45,17 @@ def _run(args) -> None:
         df.write.mode("overwrite").parquet(args.out)
 
 
-STREAM_JOBS = ("word_count", "late_split", "count_window", "daily_uv_cumulative", "running_median")
+STREAM_JOBS = ("word_count", "late_split", "count_window", "daily_uv_cumulative", "running_median", "top_n",
+               "tumbling_sum", "sliding_sum", "day_window", "daily_uv")
 
 
 def _stream(args) -> None:
     from pyspark.sql import functions as F
 
-    from tidepool.functions.parse import parse_event_line, parse_orders, parse_visits
+    from tidepool.functions.parse import (
+        parse_behavior_csv, parse_event_line, parse_orders, parse_visits, parse_word_num,
+    )
+    from tidepool.operators.windows import processing_time_sliding_sum
     from tidepool.sources.files import scan_text
     from tidepool.streaming import jobs
 
@@ -69,9 +73,23 @@ def _stream(args) -> None:
     elif args.job == "daily_uv_cumulative":
         visits, _ = parse_visits(lines)
         df = jobs.daily_uv_cumulative_stream(visits, args.zone_offset_ms, f"{max(args.lag_ms, 1000)} milliseconds")
-    else:
+    elif args.job == "running_median":
         ev = parse_event_line(lines, zone=args.zone)
         df = jobs.running_median_stream(ev, "word", "ts_ms", "num")
+    elif args.job == "top_n":  # behaviour CSV lines, 1 h windows sliding by 5 min
+        df = jobs.top_n_stream(parse_behavior_csv(lines), 5, f"{args.lag_ms} milliseconds")
+    elif args.job == "tumbling_sum":  # time,word,num lines
+        ev = parse_event_line(lines, zone=args.zone)
+        df = jobs.tumbling_sum_stream(ev, "word", "ts_ms", "num", "5 seconds", f"{args.lag_ms} milliseconds")
+    elif args.job == "sliding_sum":  # word,num lines, processing-time 5 s windows sliding by 1 s
+        df, mode = processing_time_sliding_sum(parse_word_num(lines), "word", "num"), "update"
+    elif args.job == "day_window":  # time,word,num lines, calendar days in --zone
+        ev = parse_event_line(lines, zone=args.zone)
+        df = jobs.day_window_stream(ev, "word", "ts_ms", args.zone, f"{args.lag_ms} milliseconds")
+    else:  # daily_uv: exact per app and day (bitmaps), one row per closed day
+        visits, _ = parse_visits(lines)
+        df = jobs.daily_uv_stream(visits, f"{max(args.lag_ms, 1000)} milliseconds",
+                                  f"{args.zone_offset_ms // 1000} seconds")
     ckpt = args.checkpoint or subdir(spark, f"stream-{args.job}")
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
     if args.out and mode == "append":
