@@ -176,3 +176,12 @@ def test_late_split_survives_restart(spark, tmp_path):
     run_once()
     got = rows(spark.read.parquet(out), "kind", "window_start", "money", "n_orders")
     assert got == [("late", 1634473760000, 20, 1), ("window", 1634473760000, 60, 3), ("window", 1634473765000, 30, 2)]
+
+
+def test_count_window_stream_numeric_key(spark, tmp_path):
+    from tidepool.streaming.jobs import count_window_stream
+    path = _files(tmp_path, [f"{i},{i % 2},{i}" for i in range(10)], per_file=5)
+    src = parse_event_line(_stream_lines(spark, path)).select(F.col("num").alias("k"), "ts_ms", "num")
+    src = src.withColumn("k", F.col("k") % 2)
+    out = _run(count_window_stream(src, "k", "ts_ms", "num", 5), "cw_numeric", "append", tmp_path)
+    assert rows(out) == [(0, 0, 0 + 2 + 4 + 6 + 8), (1, 0, 1 + 3 + 5 + 7 + 9)]

@@ -73,14 +73,12 @@ def top_n_stream(behaviours: DataFrame, n: int = 5, lag: str = "1 minute", size:
         F.col("t.pv").alias("pv"))
 
 
-COUNT_WINDOW_SCHEMA = "word string, window_no long, total long"
-
-
 def count_window_stream(records: DataFrame, key: str = "word", seq: str = "seq", value: str = "num",
                         n: int = 5) -> DataFrame:
-    """Per-key count windows; ``records`` has ``key, seq, value``."""
+    """Per-key count windows; ``records`` has ``key, seq, value``. Output
+    ``(key, window_no, total)``, the key keeping its input type."""
     ship_package(records.sparkSession)
-    schema = COUNT_WINDOW_SCHEMA.replace("word", key)
+    schema = f"{key} {records.schema[key].dataType.simpleString()}, window_no long, total long"
     return records.select(key, seq, value).groupBy(key).transformWithStateInPandas(
         CountWindowProcessor(n, key, seq, value), schema, "append", "None")
 
