@@ -68,14 +68,32 @@ def subdir(spark: SparkSession, name: str) -> str:
 _SHIPPED: set[str] = set()
 
 
+def _workers_can_import(spark: SparkSession) -> bool:
+    """One tiny job: can an executor Python worker import this package?"""
+    def probe(batches):
+        import importlib.util
+
+        import pandas as pd
+        for _ in batches:
+            pass
+        yield pd.DataFrame({"ok": [importlib.util.find_spec("tidepool") is not None]})
+
+    try:
+        return all(r.ok for r in spark.range(1, numPartitions=1).mapInPandas(probe, "ok boolean").collect())
+    except Exception:
+        return False
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidepool`` importable in executor Python workers.
 
     Plans that run Python on workers (``mapInPandas``, state processors)
     unpickle functions that refer to this package. A cluster launched with
-    ``--py-files`` (or with the package installed) already has it; otherwise
-    the package's sources are zipped once per application and distributed
-    with ``addPyFile``, as ``--py-files`` would.
+    ``--py-files`` (or with the package installed) already has it: a probe
+    job checks once per application and nothing is shipped. Otherwise the
+    package's sources are zipped (into the shared folder when it is a local
+    path, as in tests) and distributed with ``addPyFile``, as ``--py-files``
+    would.
     """
     import zipfile
 
@@ -86,18 +104,23 @@ def ship_package(spark: SparkSession) -> None:
         sc, app = None, f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
+    _SHIPPED.add(app)
+    if _workers_can_import(spark):
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
-    fd, path = tempfile.mkstemp(prefix="tidepool-", suffix=".zip")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ""
+    local_shared = shared.removeprefix("file:")
+    folder = local_shared if local_shared and os.path.isdir(local_shared) else None
+    fd, path = tempfile.mkstemp(prefix="tidepool-", suffix=".zip", dir=folder)
     os.close(fd)
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, files in os.walk(pkg_dir):
+        for folder_, _, files in os.walk(pkg_dir):
             for f in files:
                 if f.endswith(".py"):
-                    full = os.path.join(folder, f)
+                    full = os.path.join(folder_, f)
                     z.write(full, os.path.relpath(full, root))
     if sc is not None:
         sc.addPyFile(path)
     else:
         spark.addArtifacts(path, pyfile=True)
-    _SHIPPED.add(app)
