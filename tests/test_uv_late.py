@@ -64,3 +64,11 @@ def test_late_split_golden(spark):
 def test_late_split_all_in_order_has_no_late(spark):
     orders, _ = parse_orders(_lines(spark, sorted(ORDER_TRACE, key=lambda s: int(s.split(",")[3]))), keep=("seq",))
     assert late_split(orders).where("kind = 'late'").count() == 0
+
+
+def test_uv_bitmap_exact_for_negative_and_extreme_ids(spark):
+    ids = [-70000, -32769, -32768, -1, 0, 1, 32767, 32768, 32769, -1, 5, 5,
+           9223372036854775807, -9223372036854775807]
+    df = spark.createDataFrame([(i, "a", u, 1634447599000) for i, u in enumerate(ids)],
+                               "seq long, app_id string, uid long, visit_time long")
+    assert rows(uv_bitmap(df, ZONE), "uv") == rows(daily_uv(df, ZONE), "uv") == [(len(set(ids)),)]
