@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.operators.prefix import running_agg
-from tidepool.operators.windows import order_text, rows_text, tumbling_bounds, window_header
+from tidepool.operators.windows import (
+    format_order, records_text, sorted_records, tumbling_bounds, window_header,
+)
 
 
 def tag_late(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness_ms: int = 0,
@@ -38,14 +40,15 @@ def late_split(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness
     row per late order. Split with ``where(kind = ...)``.
     Columns ``(kind, user_id, window_start, window_end, n_orders, money, info)``.
     """
-    tagged = tag_late(orders, size_ms, lag_ms, lateness_ms, chunk_span).withColumn("_txt", order_text())
+    tagged = tag_late(orders, size_ms, lag_ms, lateness_ms, chunk_span)
     # One aggregation serves both outputs: a late row is a group of its own
-    # (keyed by its seq), so the prefix-max lineage is evaluated once.
+    # (keyed by its seq), so the prefix-max lineage is evaluated once. Raw
+    # fields are shuffled; the text is formatted after the aggregation.
     kind = F.when(F.col("late"), F.lit("late")).otherwise(F.lit("window"))
     grouped = tagged.groupBy(kind.alias("kind"), "user_id", "window_start", "window_end",
                              F.when(F.col("late"), F.col("seq")).alias("_late_seq")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("money").cast("bigint").alias("money"),
-        rows_text("seq", F.col("_txt")).alias("_rows"), F.first("_txt").alias("_txt"))
-    info = F.when(F.col("kind") == "late", F.col("_txt")).otherwise(
-        F.concat(window_header("window_start", "window_end", zone), F.col("_rows")))
+        sorted_records().alias("_recs"))
+    info = F.when(F.col("kind") == "late", format_order(F.col("_recs")[0])).otherwise(
+        F.concat(window_header("window_start", "window_end", zone), records_text("_recs")))
     return grouped.select("kind", "user_id", "window_start", "window_end", "n_orders", "money", info.alias("info"))

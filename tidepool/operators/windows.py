@@ -147,14 +147,26 @@ ORDER_TEXT = "Order(orderId=%s, userId=%d, money=%d, payTime=%d)"
 WINDOW_HEADER = "WindowInfo=[%s,%s),"
 
 
-def order_text(order_id="order_id", user_id="user_id", money="money", pay_time="pay_time") -> Column:
-    return F.format_string(ORDER_TEXT, F.col(order_id), F.col(user_id), F.col(money), F.col(pay_time))
+def order_record() -> Column:
+    """The fields of an order row, sortable by arrival (``seq`` first)."""
+    return F.struct("seq", "order_id", "user_id", "money", "pay_time")
 
 
-def rows_text(seq: str, text: Column) -> Column:
-    """Aggregate: the rows of a group as ``row:row:...:`` in arrival order."""
-    arr = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), text.alias("t"))))
-    return F.array_join(F.transform(arr, lambda x: F.concat(x["t"], F.lit(":"))), "")
+def format_order(rec: Column) -> Column:
+    """Text of one order record, e.g. ``Order(orderId=o1, userId=10, ...)``."""
+    return F.format_string(ORDER_TEXT, rec["order_id"], rec["user_id"], rec["money"], rec["pay_time"])
+
+
+def sorted_records() -> Column:
+    """Aggregate: the group's order records in arrival order. Raw fields are
+    shuffled, the text is formatted after the aggregation."""
+    return F.array_sort(F.collect_list(order_record()))
+
+
+def records_text(recs: Column | str) -> Column:
+    """``row:row:...:`` from sorted order records."""
+    r = F.col(recs) if isinstance(recs, str) else recs
+    return F.array_join(F.transform(r, lambda x: F.concat(format_order(x), F.lit(":"))), "")
 
 
 def window_header(start_ms: str, end_ms: str, zone: str) -> Column:
@@ -173,10 +185,9 @@ def window_rows(orders: DataFrame, size_ms: int = 5000, zone: str = "UTC") -> Da
 
     Output ``(user_id, window_start, window_end, n_orders, money, info)``.
     """
-    w = orders.select("seq", "user_id", "money", *tumbling_bounds("pay_time", size_ms),
-                      order_text().alias("_txt"))
+    w = orders.select("seq", "order_id", "user_id", "money", "pay_time", *tumbling_bounds("pay_time", size_ms))
     g = w.groupBy("user_id", "window_start", "window_end").agg(
         F.count(F.lit(1)).alias("n_orders"), F.sum("money").cast("bigint").alias("money"),
-        rows_text("seq", F.col("_txt")).alias("_rows"))
+        sorted_records().alias("_recs"))
     return g.select("user_id", "window_start", "window_end", "n_orders", "money",
-                    F.concat(window_header("window_start", "window_end", zone), F.col("_rows")).alias("info"))
+                    F.concat(window_header("window_start", "window_end", zone), records_text("_recs")).alias("info"))
