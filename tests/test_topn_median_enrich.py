@@ -19,6 +19,17 @@ def test_median_by_key(spark):
     assert rows(median_by_key(df, "k", "v")) == [("a", 3.0), ("b", 2.5)]
 
 
+def test_median_by_key_matches_builtin(spark):
+    import random
+    from tidepool.operators.median import median_by_key_builtin
+    rnd = random.Random(9)
+    data = [(rnd.choice(["hot"] * 6 + ["a", "b", "c"]), None if rnd.random() < 0.02 else float(rnd.randint(-50, 50)))
+            for _ in range(4000)] + [("one", 7.0), (None, 1.0), (None, 3.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    for chunks in (1, 7, 4096):
+        assert rows(median_by_key(df, "k", "v", chunks=chunks)) == rows(median_by_key_builtin(df, "k", "v"))
+
+
 def test_recent_keys_golden(spark):
     puts = [("u", "a", 1), ("u", "b", 2), ("u", "b", 3), ("u", "c", 4), ("u", "d", 5)]
     df = spark.createDataFrame([(u, k, v, i) for i, (u, k, v) in enumerate(puts)], "u string, key string, v long, seq long")

@@ -10,12 +10,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def median_by_key(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
-    """Exact median per key. ``median`` keeps value counts per key, merged
-    after partial aggregation, so duplicates collapse map-side."""
+def median_by_key_builtin(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
+    """Exact median per key with the built-in aggregate. Its buffer is a map
+    of every distinct value of the key, merged in one task: fine for modest
+    groups, unbounded for a hot key with many distinct values."""
     return df.groupBy(key).agg(F.median(value).alias(out))
 
 
+def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chunks: int = 4096) -> DataFrame:
+    """Exact median per key without gathering a key's values in one task.
+
+    1. count rows per (key, value) — shuffled on the value too, so a hot key
+       spreads over many tasks;
+    2. running count over the key's distinct values in value order, with the
+       chunked prefix plan (value-range chunks: ``chunks`` equal slices of the
+       global value range, from one small min/max job);
+    3. the median is the value holding rank ``(n+1)/2`` (odd ``n``) or the
+       mean of the values at ranks ``n/2`` and ``n/2 + 1`` (even ``n``).
+    Nulls are ignored, as by ``median``.
+    """
+    from tidepool.operators.prefix import running_agg
+
+    vals = df.select(key, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    counts = vals.groupBy(key, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    lo, hi = vals.agg(F.min("_x"), F.max("_x")).first() or (None, None)
+    width = (hi - lo) / chunks if lo is not None and hi > lo else 1.0
+    base = lo if lo is not None else 0.0
+    counts = counts.withColumn("_chunk", F.floor((F.col("_x") - F.lit(base)) / F.lit(width)).cast("bigint"))
+    cum = running_agg(counts, [key], ["_x"], "_c", "sum", "_cum", 1, chunk_col="_chunk")
+    n = counts.groupBy(key).agg(F.sum("_c").alias("_n")).withColumnRenamed(key, "_nk")
+    ranked = cum.join(n, cum[key].eqNullSafe(n["_nk"]), "inner").drop("_nk")  # a null key is a group too
+    r_lo = F.floor((F.col("_n") + 1) / 2)
+    r_hi = F.floor(F.col("_n") / 2) + 1
+    holds = lambda r: (F.col("_cum") - F.col("_c") < r) & (r <= F.col("_cum"))
+    picked = ranked.where(holds(r_lo) | holds(r_hi)).groupBy(key).agg(
+        F.max(F.when(holds(r_lo), F.col("_x"))).alias("_lo"), F.max(F.when(holds(r_hi), F.col("_x"))).alias("_hi"))
+    return picked.select(key, ((F.col("_lo") + F.col("_hi")) / 2).alias(out))
+
+
 def running_median_window(df: DataFrame, key: str, seq: str, value: str, out: str = "median") -> DataFrame:
     """Running median as a window aggregate (JVM only).
 
