@@ -33,7 +33,9 @@ def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chun
 
     vals = df.select(key, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     counts = vals.groupBy(key, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    lo, hi = vals.agg(F.min("_x"), F.max("_x")).first() or (None, None)
+    # one small job: min/max of the one column, partial-aggregated per task
+    lo, hi = df.agg(F.min(value), F.max(value)).first() or (None, None)
+    lo, hi = (float(lo), float(hi)) if lo is not None else (None, None)
     width = (hi - lo) / chunks if lo is not None and hi > lo else 1.0
     base = lo if lo is not None else 0.0
     counts = counts.withColumn("_chunk", F.floor((F.col("_x") - F.lit(base)) / F.lit(width)).cast("bigint"))
