@@ -69,6 +69,12 @@ def test_running_agg_matches_window(spark):
     for how, fn in (("sum", F.sum), ("count", F.count), ("max", F.max)):
         expect = rows(nulls.withColumn("o", fn("v" if how != "count" else F.lit(1)).over(w)), "k", "seq", "o")
         assert rows(running_agg(nulls, ["k"], ["seq"], "v", how, "o", 7), "k", "seq", "o") == expect
+    whole = Window.partitionBy("k")
+    for span in (5, 1 << 20):
+        got = running_agg(nulls, ["k"], ["seq"], "v", "sum", "o", span, total_out="t")
+        expect = rows(nulls.withColumn("o", F.sum("v").over(w)).withColumn("t", F.sum("v").over(whole)),
+                      "k", "seq", "o", "t")
+        assert rows(got, "k", "seq", "o", "t") == expect
     g = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     expect = rows(df.withColumn("o", F.max("v").over(g)), "seq", "o")
     assert rows(running_agg(df, [], ["seq"], "v", "max", "o", 10), "seq", "o") == expect

@@ -24,7 +24,8 @@ def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chun
        spreads over many tasks;
     2. running count over the key's distinct values in value order, with the
        chunked prefix plan (value-range chunks: ``chunks`` equal slices of the
-       global value range, from one small min/max job);
+       global value range, from one small min/max job), which also yields the
+       key's row count ``n``;
     3. the median is the value holding rank ``(n+1)/2`` (odd ``n``) or the
        mean of the values at ranks ``n/2`` and ``n/2 + 1`` (even ``n``).
     Nulls are ignored, as by ``median``.
@@ -39,9 +40,7 @@ def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chun
     width = (hi - lo) / chunks if lo is not None and hi > lo else 1.0
     base = lo if lo is not None else 0.0
     counts = counts.withColumn("_chunk", F.floor((F.col("_x") - F.lit(base)) / F.lit(width)).cast("bigint"))
-    cum = running_agg(counts, [key], ["_x"], "_c", "sum", "_cum", 1, chunk_col="_chunk")
-    n = counts.groupBy(key).agg(F.sum("_c").alias("_n")).withColumnRenamed(key, "_nk")
-    ranked = cum.join(n, cum[key].eqNullSafe(n["_nk"]), "inner").drop("_nk")  # a null key is a group too
+    ranked = running_agg(counts, [key], ["_x"], "_c", "sum", "_cum", 1, chunk_col="_chunk", total_out="_n")
     r_lo = F.floor((F.col("_n") + 1) / 2)
     r_hi = F.floor(F.col("_n") / 2) + 1
     holds = lambda r: (F.col("_cum") - F.col("_c") < r) & (r <= F.col("_cum"))

@@ -27,13 +27,16 @@ _AGGS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
 def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Column | str | None,
-                how: str, out: str, chunk_span: int, chunk_col: str | None = None) -> DataFrame:
+                how: str, out: str, chunk_span: int, chunk_col: str | None = None,
+                total_out: str | None = None) -> DataFrame:
     """Add ``out`` = aggregate of ``value`` over rows with order <= this row's.
 
     ``order_cols[0]`` must be numeric (it defines the chunk); the rest break
     ties. ``how`` is one of sum, count, max, min; ``count`` ignores ``value``
     and numbers rows 1, 2, ... in order (row_number semantics). Nulls in
-    ``value`` are skipped, as by the window aggregates.
+    ``value`` are skipped, as by the window aggregates. ``total_out`` adds the
+    aggregate over the key's whole group (carried by the marker rows, so it
+    costs no extra pass).
     """
     if how not in _AGGS:
         raise ValueError(how)
@@ -47,16 +50,23 @@ def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
 
     totals = base.groupBy(*keys, chunk).agg(agg_fn("_v").alias("_total"))
     prior = Window.partitionBy(*keys).orderBy(chunk) if keys else Window.orderBy(chunk)
-    markers = (totals.select(*keys, chunk, agg_fn("_total").over(prior.rowsBetween(Window.unboundedPreceding, -1))
-                             .alias("_v"))
-               .where(F.col("_v").isNotNull())
-               .withColumn("_marker", F.lit(0)))
+    marker_cols = [*keys, chunk, agg_fn("_total").over(prior.rowsBetween(Window.unboundedPreceding, -1)).alias("_v")]
+    if total_out:
+        whole = Window.partitionBy(*keys) if keys else Window.partitionBy()
+        marker_cols.append(agg_fn("_total").over(whole).alias("_grand"))
+    markers = totals.select(*marker_cols).withColumn("_marker", F.lit(0))
+    if not total_out:  # a marker is only needed where there is an offset
+        markers = markers.where(F.col("_v").isNotNull())
 
     inner = (Window.partitionBy(*keys, chunk).orderBy("_marker", *order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     both = base.unionByName(markers, allowMissingColumns=True)
-    out_df = (both.withColumn(out, agg_fn("_v").over(inner))
-              .where(F.col("_marker") == 1).drop("_v", "_marker"))
+    out_df = both.withColumn(out, agg_fn("_v").over(inner))
+    if total_out:  # same partitioning and order as ``inner``: no extra shuffle
+        out_df = out_df.withColumn(total_out, F.max("_grand").over(
+            Window.partitionBy(*keys, chunk).orderBy("_marker", *order_cols)
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    out_df = out_df.where(F.col("_marker") == 1).drop("_v", "_marker", "_grand")
     if chunk_col is None:
         out_df = out_df.drop(chunk)
     return out_df
