@@ -17,15 +17,15 @@ def median_by_key_builtin(df: DataFrame, key: str, value: str, out: str = "media
     return df.groupBy(key).agg(F.median(value).alias(out))
 
 
-def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chunks: int = 4096) -> DataFrame:
+def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chunks: int = 256) -> DataFrame:
     """Exact median per key without gathering a key's values in one task.
 
     1. count rows per (key, value) — shuffled on the value too, so a hot key
        spreads over many tasks;
     2. running count over the key's distinct values in value order, with the
-       chunked prefix plan (value-range chunks: ``chunks`` equal slices of the
-       global value range, from one small min/max job), which also yields the
-       key's row count ``n``;
+       chunked prefix plan (value-range chunks bounded by ``chunks - 1``
+       approximate quantiles of the column), which also yields the key's row
+       count ``n``;
     3. the median is the value holding rank ``(n+1)/2`` (odd ``n``) or the
        mean of the values at ranks ``n/2`` and ``n/2 + 1`` (even ``n``).
     Nulls are ignored, as by ``median``.
@@ -34,12 +34,19 @@ def median_by_key(df: DataFrame, key: str, value: str, out: str = "median", chun
 
     vals = df.select(key, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     counts = vals.groupBy(key, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    # one small job: min/max of the one column, partial-aggregated per task
-    lo, hi = df.agg(F.min(value), F.max(value)).first() or (None, None)
-    lo, hi = (float(lo), float(hi)) if lo is not None else (None, None)
-    width = (hi - lo) / chunks if lo is not None and hi > lo else 1.0
-    base = lo if lo is not None else 0.0
-    counts = counts.withColumn("_chunk", F.floor((F.col("_x") - F.lit(base)) / F.lit(width)).cast("bigint"))
+    # Chunk boundaries: approximate quantiles of the column (one small
+    # aggregation), so chunks hold similar numbers of rows even for
+    # heavy-tailed values. Exactness does not depend on them.
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / chunks for i in range(1, chunks)]
+    qs = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 1_000)).first()[0] if probs else None
+    splits = [float("-inf")] + sorted(set(float(q) for q in (qs or []))) + [float("inf")]
+    if len(splits) < 3:  # one chunk (empty input, one distinct value, or chunks=1)
+        counts = counts.withColumn("_chunk", F.lit(0).cast("bigint"))
+    else:
+        counts = Bucketizer(splits=splits, inputCol="_x", outputCol="_chunkd", handleInvalid="keep").transform(counts)
+        counts = counts.withColumn("_chunk", F.col("_chunkd").cast("bigint")).drop("_chunkd")
     ranked = running_agg(counts, [key], ["_x"], "_c", "sum", "_cum", 1, chunk_col="_chunk", total_out="_n")
     r_lo = F.floor((F.col("_n") + 1) / 2)
     r_hi = F.floor(F.col("_n") / 2) + 1
