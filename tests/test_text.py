@@ -62,3 +62,9 @@ def test_tokens_positions(spark):
     got = [(r.pos, r.word) for r in tokens(df, "ws_single").orderBy("pos").collect()]
     assert got == [(0, ""), (1, "a"), (2, ""), (3, "b")]
     assert tokens(df, "ws_single", drop_blank=True).select(F.collect_list("word")).first()[0] == ["a", "b"]
+
+
+def test_java_trim_keeps_non_breaking_space(spark):
+    # Java's trim removes chars <= U+0020 only; U+00A0 makes a token non-blank
+    df = spark.createDataFrame([(" ",), ("  ",), (" \x1f",)], "s string")
+    assert [r[0] for r in df.select(java_trim_is_empty("s")).collect()] == [False, False, True]

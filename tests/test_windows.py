@@ -149,3 +149,11 @@ def test_hot_key_is_split_across_tasks(spark):
     w = Window.partitionBy("k").orderBy("seq")
     expect = rows(df.where("k = 'hot'").withColumn("cnt", F.row_number().over(w)), "seq", "cnt")
     assert rows(out.where("k = 'hot'"), "seq", "cnt") == expect
+
+
+def test_slot_pre_aggregation_needs_whole_slides(spark):
+    import pytest
+    from tidepool.operators.windows import sliding_slot_agg
+    df = spark.createDataFrame([("a", 1, 1)], "k string, t long, v long")
+    with pytest.raises(ValueError):
+        sliding_slot_agg(df, ["k"], "t", F.sum("v"), 5000, 2000, "total")
