@@ -66,5 +66,5 @@ def test_tokens_positions(spark):
 
 def test_java_trim_keeps_non_breaking_space(spark):
     # Java's trim removes chars <= U+0020 only; U+00A0 makes a token non-blank
-    df = spark.createDataFrame([(" ",), ("  ",), (" \x1f",)], "s string")
+    df = spark.createDataFrame([("\u00a0",), (" \u00a0",), (" \x1f",)], "s string")
     assert [r[0] for r in df.select(java_trim_is_empty("s")).collect()] == [False, False, True]
