@@ -57,9 +57,17 @@ def test_bitmap_uv_dedupes_before_sorting(spark):
 
 
 def test_no_forced_broadcast(spark):
-    for name in ("join_dim_lookup", "enrich_lookup", "running_count", "late_split"):
+    for name in ("join_dim_lookup", "enrich_lookup", "running_count", "late_split", "late_split_events",
+                 "uv_running", "median_by_key"):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             E.queries()[name](spark, SF).explain(True)
         assert "broadcast" not in buf.getvalue().split("== Optimized Logical Plan ==")[0].lower().replace(
             "broadcastexchange", "").replace("broadcasthashjoin", ""), name
+
+
+def test_prefix_plans_have_no_join(spark):
+    """Chunk offsets ride as marker rows in the ordered window: no join."""
+    for name in ("running_count", "count_window", "late_split", "uv_running", "median_by_key"):
+        t = tree(plan(spark, name))
+        assert "Join" not in t and "Union" in t, name
