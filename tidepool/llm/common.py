@@ -19,16 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    return f"{shared_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the file, it does not re-run
     what made it) and gives later plans the true size.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(col: Column) -> Column:

@@ -65,3 +65,17 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone)
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
+
+OP10 = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hexed FROM pages),
+d AS (
+  SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, hexed,
+    array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST(((('0x' || substr(hexed, CAST(1 + 10 * (k // 8) AS INTEGER), 10))::BIGINT >> CAST(5 * (7 - k % 8) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+FROM d WINDOW same AS (PARTITION BY payload_digest)
+"""
