@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, fingerprint, line_dedup, mixing, sql, warc
+from tidepool.llm import decontaminate, fingerprint, html_extract, jaccard, line_dedup, mixing, pii, quality, sql, warc
 from tidepool.llm.common import shared_path, table
 
 
@@ -23,17 +23,33 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.report(table(spark, sf_dir, "pages"))
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.archive_and_index(table(spark, sf_dir, "pages"), shared_path(spark, "archives"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op3_line_dedup, op8_fingerprint, op10_warc)
+    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_quality, op5_pii, op6_html, op8_fingerprint, op9_jaccard, op10_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_decontaminate": sql.OP1, "op2_mix_sources": sql.OP2, "op3_line_dedup": sql.OP3,
