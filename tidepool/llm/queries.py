@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, fingerprint, html_extract, jaccard, line_dedup, mixing, pii, quality, sql, warc
+from tidepool.llm import decontaminate, fingerprint, html_extract, jaccard, line_dedup, mixing, pii, quality, sql, substring_dedup, warc
 from tidepool.llm.common import shared_path, table
 
 
@@ -35,6 +35,10 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.report(table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(table(spark, sf_dir, "documents"))
 
@@ -49,8 +53,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_quality, op5_pii, op6_html, op8_fingerprint, op9_jaccard, op10_warc)
+    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_quality, op5_pii, op6_html, op7_substring_dedup, op8_fingerprint, op9_jaccard, op10_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_decontaminate": sql.OP1, "op2_mix_sources": sql.OP2, "op3_line_dedup": sql.OP3,
-                              "op10_warc": sql.OP10}
+                              "op7_substring_dedup": sql.OP7, "op10_warc": sql.OP10}
