@@ -1,0 +1,151 @@
+"""Plain single-process versions of the operators' contracts, and small tables."""
+
+import hashlib
+import re
+
+import pandas as pd
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+BENCH_WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def prose(seed, n, vocab=400):
+    out, x = [], seed * 7919 + 17
+    for _ in range(n):
+        x = (x * 1103515245 + 12345) % (1 << 31)
+        out.append(f"w{x % vocab}")
+    return " ".join(out)
+
+
+def edge_docs():
+    """Nulls, empty and very long texts, ties, repeated rows, all kinds of space, odd characters."""
+    base = prose(1, 120)
+    rows = [
+        (1, base, "en", "s1"), (2, base, "en", "s1"), (3, base.replace("w1 ", "x1 ", 1), "en", None),
+        (4, None, None, "s2"), (5, "", "de", "s2"), (6, "   \t\r\n\x0b\x0c ", "fr", "s1"),
+        (7, "one two", "en", "s3"), (8, "ONE two", "en", "s3"), (9, "É é İ ı ß", "fr", "s4"),
+        (10, prose(2, 30_000), "en", "s1"), (11, base + "\n" + prose(3, 60), "en", "S1"),
+        (12, prose(3, 60) + "\n\n" + base.upper(), "en", "é"), (13, "word with odd\x1cspaces " * 20, "en", "s1"),
+        (14, "a" * 50_000, "en", "s1"), (15, "\U0001f600 " * 40 + base, "en", ""), (None, base, "en", "s1"), (None, None, None, None),
+        (16, "same row", "en", "s5"), (16, "same row", "en", "s5"), (17, prose(4, 13), "en", "s5"), (18, prose(4, 13), "en", "s5"),
+        (19, prose(4, 12), "en", "s5"), (20, "x" + prose(4, 13) + " tail", "en", "s5"),
+    ]
+    line = "This line is long enough to count as repeated text."
+    rows += [(100 + i, f"head {i}\n  {line.upper() if i % 2 else line}\t\nshort\n{line}", "en", f"s{i % 3}") for i in range(7)]
+    near = prose(9, 200).split()
+    for i in range(12):  # near copies, 4 to 26 words apart
+        words = list(near)
+        for k in range(i + 2):
+            words[(k * 31) % 200] = f"v{i}_{k}"
+        rows.append((200 + i, " ".join(words), "en", "s1"))
+    return rows
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, pos int, h1 long, size long, label string"
+
+
+def docs_frame(spark, rows=None):
+    """Documents with extra columns whose names the operators use themselves."""
+    rows = edge_docs() if rows is None else rows
+    full = [(i, t, g, s, None if t is None else len(t), -1, -2, -3, -4, "x") for i, t, g, s in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(3)
+
+
+def empty_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def windows(words, n):
+    return [tuple(words[i:i + n]) for i in range(len(words) - n + 1)]
+
+
+def decontaminated(docs, bench, n=10):
+    items = {}
+    for item, text in bench:
+        w = BENCH_WORDS.findall((text or "").translate(LOWER))
+        for win in windows(w, min(n, len(w))) if w else []:
+            items.setdefault(win, set()).add(str(item))
+    out = []
+    for i, text in docs:
+        w = BENCH_WORDS.findall((text or "").translate(LOWER))
+        hit, found = set(), set()
+        for size in {len(k) for k in items}:
+            for at, win in enumerate(windows(w, size)):
+                if win in items:
+                    hit |= set(range(at, at + size))
+                    found |= items[win]
+        out.append((i, len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
+    return out
+
+
+def line_key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+
+def lines_deduped(docs, min_chars=40, min_docs=5):
+    rank = lambda i: -(2 ** 63) if i is None else i
+    holders = {}
+    for i, text in docs:
+        for line in (text or "").split("\n"):
+            if len(line_key(line)) >= min_chars:
+                holders.setdefault(line_key(line), set()).add(rank(i))
+    out = []
+    for i, text in docs:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (len(line_key(x)) >= min_chars and len(holders[line_key(x)]) >= min_docs
+                                         and max(holders[line_key(x)]) != rank(i))]
+        out.append((i, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    return out
+
+
+def substrings_deduped(docs, n=13):
+    rank = lambda i: -(2 ** 63) if i is None else i
+    least = {}
+    for i, text in docs:
+        for w in windows(WORDS.findall(text or ""), n):
+            least[w] = min(least.get(w, rank(i)), rank(i))
+    out = []
+    for i, text in docs:
+        words = WORDS.findall(text or "")
+        gone = set()
+        for at, w in enumerate(windows(words, n)):
+            if least[w] < rank(i):
+                gone |= set(range(at, at + n))
+        out.append((i, len(words), len(gone), sha(" ".join(w for k, w in enumerate(words) if k not in gone))))
+    return out
+
+
+def shingles(text, n=5):
+    w = WORDS.findall((text or "").translate(LOWER))
+    return set(windows(w, n)) if len(w) >= n else ({tuple(w)} if w else set())
+
+
+def joined(docs, n=5):
+    """(doc_id, set size, smallest doc_id of the component) of each row."""
+    sets = [shingles(t, n) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                parent[find(i)] = find(j)
+    out = []
+    for i, a in enumerate(sets):
+        ids = [docs[j][0] for j in range(len(docs)) if find(j) == find(i) and docs[j][0] is not None]
+        out.append((docs[i][0], len(a), min(ids) if ids else None))
+    return out
+
+
+def canon(rows):
+    return sorted((tuple(None if pd.isna(v) else v for v in r) for r in rows), key=repr)

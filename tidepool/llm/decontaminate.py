@@ -62,10 +62,14 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = 10,
     found = []
     for size in sorted(lengths) or [n]:
         of_size = windows.where(F.col("len") == size)
-        side = F.broadcast(of_size) if small else of_size
         scanned = base.select("row", "w", F.posexplode(window_hashes(F.col("w"), size)).alias("at", "h"))
-        hit = (F.col("h") == F.col("hash")) & (F.slice(F.col("w"), F.col("at") + 1, size) == F.col("window"))
-        found.append(scanned.join(side, hit).select("row", "at", "len", "items"))
+        said = F.slice(F.col("w"), F.col("at") + 1, size)
+        if small:  # the words stay where they are; only hash hits are sliced and verified
+            hits = scanned.join(F.broadcast(of_size), (F.col("h") == F.col("hash")) & (said == F.col("window")))
+        else:  # what travels is the window, not the whole text's words
+            windowed = scanned.select("row", "at", "h", said.alias("said"))
+            hits = windowed.join(of_size, (F.col("h") == F.col("hash")) & (F.col("said") == F.col("window")))
+        found.append(hits.select("row", "at", "len", "items"))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -38,7 +38,7 @@ def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys``, hi, lo (32 bits each, as long) from ``keys`` and ``text``."""
     terms = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(NON_SPACES), F.lit(0))
     each = texts.select(*keys, F.explode_outer(terms).alias("term"))
-    length = F.least(F.length("term"), F.lit(LONGEST)).cast("long")
+    length = F.when(F.col("term").isNull(), 0).otherwise(F.least(F.length("term"), F.lit(LONGEST))).cast("long")
     votes = each.select(*keys, F.xxhash64("term").alias("h"), (length * length).alias("w"))
     lane = F.lit(LANES).cast("long")
     sums = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(lane) * F.col("w")).alias(f"s{i}") for i in range(32)]

@@ -136,20 +136,18 @@ DOT_WORD = re.compile(r" dot (?=[A-Za-z0-9-])", re.IGNORECASE)
 
 
 class Tape:
-    """Emitted text; for each character its source [start, end) and whether it was rewritten."""
+    """Emitted text, and for each character its source [start, end)."""
 
     def __init__(self):
         self.chars: list[str] = []
         self.start: list[int] = []
         self.end: list[int] = []
-        self.new: list[bool] = []
 
-    def put(self, emitted: str, start: int, end: int, new: bool) -> None:
+    def put(self, emitted: str, start: int, end: int) -> None:
         for c in emitted:
             self.chars.append(c)
             self.start.append(start)
             self.end.append(end)
-            self.new.append(new)
 
     def text(self) -> str:
         return "".join(self.chars)
@@ -158,11 +156,7 @@ class Tape:
 def normalise_chars(text: str) -> Tape:
     tape = Tape()
     for i, c in enumerate(text):
-        v = CHARS.get(ord(c))
-        if v is None:
-            tape.put(c, i, i + 1, False)
-        else:
-            tape.put(v, i, i + 1, True)
+        tape.put(CHARS.get(ord(c), c), i, i + 1)
     return tape
 
 
@@ -171,10 +165,10 @@ def normalise_tokens(tape: Tape) -> Tape:
 
     def copy(a: int, b: int) -> None:
         for k in range(a, b):
-            out.put(tape.chars[k], tape.start[k], tape.end[k], tape.new[k])
+            out.put(tape.chars[k], tape.start[k], tape.end[k])
 
     def swap(emitted: str, a: int, b: int) -> None:
-        out.put(emitted, tape.start[a], tape.end[b - 1], True)
+        out.put(emitted, tape.start[a], tape.end[b - 1])
 
     dots_until = 0
     for m in TOKENS.finditer(text):
@@ -219,11 +213,10 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         return []
     tape = normalise_tokens(normalise_chars(text))
     out = []
-    for kind, a, b in spans_of(tape.text()):
-        if not any(tape.new[a:b]):
-            continue
+    normal = tape.text()
+    for kind, a, b in spans_of(normal):
         start, end = tape.start[a], tape.end[b - 1]
-        if not any(k == kind and s <= start and end <= e for k, s, e in base):
+        if text[start:end] != normal[a:b] and not any(k == kind and s <= start and end <= e for k, s, e in base):
             out.append((kind, start, end))
     return out
 
