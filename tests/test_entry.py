@@ -108,13 +108,13 @@ def test_every_query_handles_empty_tables(spark, tmp_path):
 
 @pytest.mark.parametrize("name", ["running_count", "count_window", "late_split", "late_split_events", "uv_running"])
 def test_chunked_prefix_queries_with_many_chunks(spark, con, monkeypatch, name):
-    """Force narrow chunks so the per-(key, chunk) windows, chunk offsets and
-    their join are exercised on real data, then compare with the oracle."""
+    """Force narrow chunks so the per-(key, chunk) windows and the chunk
+    offsets are exercised on the small tables too, then compare with the oracle."""
     import tidepool.operators.prefix as P
     orig = P.running_agg
 
-    def narrow(df, keys, order_cols, value, how, out, chunk_span, chunk_col=None):
-        return orig(df, keys, order_cols, value, how, out, max(1, chunk_span // 65536), chunk_col)
+    def narrow(df, keys, order_cols, value, how, out, chunk_span=None, chunk_col=None):
+        return orig(df, keys, order_cols, value, how, out, chunk_span, chunk_col, chunk_rows=50)
     for mod in ("wordcount", "windows", "late", "uv"):
         monkeypatch.setattr(f"tidepool.operators.{mod}.running_agg", narrow)
     df = E.queries()[name](spark, SF)

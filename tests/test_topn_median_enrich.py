@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidepool.operators.enrich import dim_lookup, enrich_lookup
 from tidepool.operators.median import median_by_key, running_median
-from tidepool.operators.topn import recent_keys, top_n_per_window, top_n_streaming
+from tidepool.operators.topn import recent_keys, top_n_per_window
 from tidepool.sources.lookup import table_geocoder
 
 
@@ -26,8 +27,21 @@ def test_median_by_key_matches_builtin(spark):
     data = [(rnd.choice(["hot"] * 6 + ["a", "b", "c"]), None if rnd.random() < 0.02 else float(rnd.randint(-50, 50)))
             for _ in range(4000)] + [("one", 7.0), (None, 1.0), (None, 3.0)]
     df = spark.createDataFrame(data, "k string, v double")
-    for chunks in (1, 7, 4096):
-        assert rows(median_by_key(df, "k", "v", chunks=chunks)) == rows(median_by_key_builtin(df, "k", "v"))
+    for accuracy in (10, 100, 2000):  # brackets for hot keys, whole ranges for small ones
+        assert rows(median_by_key(df, "k", "v", accuracy=accuracy)) == rows(median_by_key_builtin(df, "k", "v"))
+
+
+def test_median_by_key_nan_and_infinity(spark):
+    import random
+    from tidepool.operators.median import median_by_key_builtin
+    rnd = random.Random(4)
+    odd = [float("nan"), float("inf"), float("-inf")]
+    data = [(k, rnd.choice(odd) if rnd.random() < share else rnd.random()) for k, share in ((0, .05), (1, .45), (2, 1.0))
+            for _ in range(800)] + [(3, float("nan")), (3, 1.0), (3, 2.0), (4, float("nan"))]
+    df = spark.createDataFrame(data, "k long, v double")
+    shown = lambda d: sorted((r.k, str(r.median)) for r in d.collect())
+    for accuracy in (20, 2000):
+        assert shown(median_by_key(df, "k", "v", accuracy=accuracy)) == shown(median_by_key_builtin(df, "k", "v"))
 
 
 def test_recent_keys_golden(spark):
@@ -37,12 +51,10 @@ def test_recent_keys_golden(spark):
     assert got == {"b": 3, "c": 4, "d": 5}
 
 
-def test_top_n_ties_and_streaming_form_agree(spark):
+def test_top_n_ties(spark):
     data = [(100, item, pv) for item, pv in [(5, 3), (4, 3), (9, 7), (1, 1), (2, 3), (8, 2), (7, 3)]]
     df = spark.createDataFrame(data, "window_end long, item_id long, pv long")
-    batch = rows(top_n_per_window(df, 5))
-    assert [(r[1], r[2]) for r in batch] == [(1, 9), (2, 2), (3, 4), (4, 5), (5, 7)]
-    assert rows(top_n_streaming(df, 5)) == batch
+    assert [(r[1], r[2]) for r in rows(top_n_per_window(df, 5))] == [(1, 9), (2, 2), (3, 4), (4, 5), (5, 7)]
 
 
 def test_dim_lookup_miss_and_duplicates(spark):
@@ -75,10 +87,35 @@ def test_running_median_matches_window_form(spark):
     data = [(rnd.choice("abcd"), i, None if i % 97 == 0 else float(rnd.randint(0, 40))) for i in range(2000)]
     df = spark.createDataFrame(data, "k string, seq long, v double")
     a = rows(running_median_window(df, "k", "seq", "v"), "k", "seq", "median")
-    b = rows(running_median(df, "k", "seq", "v", partitions=3), "k", "seq", "median")
+    b = rows(running_median(df, "k", "seq", "v"), "k", "seq", "median")
     assert a == b
 
 
+def test_running_median_null_and_large_keys(spark):
+    """Keys are never numbers of pandas: a null key is one key, near longs stay apart."""
+    data = [(None, i, float(i)) for i in range(1, 6)] + [(9007199254740993, 1, 5.0), (9007199254740992, 2, 1.0)]
+    df = spark.createDataFrame(data, "k long, seq long, v double")
+    got = {(r.k, r.seq): r.median for r in running_median(df, "k", "seq", "v").collect()}
+    assert [got[None, i] for i in range(1, 6)] == [1, 1.5, 2, 2.5, 3]
+    assert got[9007199254740993, 1] == 5.0 and got[9007199254740992, 2] == 1.0
+
+
+@pytest.mark.parametrize("hot_rows, chunk_rows", [(100, 60), (50, 7)])
+def test_running_median_of_hot_keys_in_chunks(spark, hot_rows, chunk_rows):
+    import random
+    import statistics
+    rnd = random.Random(3)
+    data = [(rnd.choice([None, "a", "a", "a", "hot", "hot", "hot", "hot"]), i * (1 << 21),
+             rnd.choice([None, float("nan"), float(rnd.randrange(50)), rnd.random() * 100, -3.0, float(i)])) for i in range(2500)]
+    df = spark.createDataFrame(data, "k string, seq long, v double")
+    got = {r.seq: r.median for r in running_median(df, "k", "seq", "v", hot_rows=hot_rows, chunk_rows=chunk_rows).collect()}
+    seen = {}
+    for k, seq, v in data:
+        if v is not None and v == v:
+            seen.setdefault(k, []).append(v)
+        assert got[seq] == (statistics.median(seen[k]) if seen.get(k) else None), seq
+
+
 def test_running_median_helper_golden_and_property():
     import random
     import statistics
@@ -93,7 +130,11 @@ def test_running_median_helper_golden_and_property():
         assert m.add(x) == statistics.median(seen)
         if i % 500 == 499:  # reload from the histogram, as the stream does per batch
             m = RunningMedian.from_counts(m.counts())
-            assert len(m.lo) + len(m.hi) <= 2 * len(set(seen))
+        if i == 2000:  # go on from the middle of what was seen only
+            inner = sorted(seen)[400:-400]
+            m = RunningMedian(inner, 400, 400)
+        if i == 2400:
+            m = RunningMedian.from_counts({v: seen.count(v) for v in set(seen)})
 
 
 # Fixture: addresses for the geocoding enrichment (Chinese text).

@@ -23,7 +23,7 @@ from tidepool.operators.windows import (
 
 
 def tag_late(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness_ms: int = 0,
-             chunk_span: int = 1 << 20) -> DataFrame:
+             chunk_span: int | None = None) -> DataFrame:
     """Orders with ``window_start, window_end, late``."""
     w = orders.select("seq", "order_id", "user_id", "money", "pay_time", *tumbling_bounds("pay_time", size_ms))
     m = running_agg(w, [], ["seq"], "pay_time", "max", "_max_ts", chunk_span)
@@ -32,7 +32,7 @@ def tag_late(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness_m
 
 
 def late_split(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness_ms: int = 0,
-               zone: str = "UTC", chunk_span: int = 1 << 20) -> DataFrame:
+               zone: str = "UTC", chunk_span: int | None = None) -> DataFrame:
     """Windows and late rows in one tagged output.
 
     ``kind = 'window'``: one row per (user, window) of on-time rows, with the

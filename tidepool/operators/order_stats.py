@@ -1,90 +1,50 @@
 """Running median over a growing multiset (small per-task helper).
 
-Two heaps of distinct values with per-side counts: the lower half as a
-max-heap, the upper half as a min-heap. Insert is O(log d) and memory O(d)
-for d distinct values, however many rows are added. Counts only ever drop
-for a heap's top, so no stale entries build up.
+One ascending list; an insert is a binary search and a memory move. The list
+may be a slice of a larger multiset: ``below`` and ``above`` count the values
+outside it, which only have to be counted, not kept, while the median cannot
+reach them.
 """
 
 from __future__ import annotations
 
-import heapq
+from bisect import bisect_left, insort
 
 
 class RunningMedian:
-    def __init__(self) -> None:
-        self.lo: list[float] = []          # max-heap (negated values)
-        self.hi: list[float] = []          # min-heap
-        self.lo_cnt: dict[float, int] = {}
-        self.hi_cnt: dict[float, int] = {}
-        self.n_lo = 0
-        self.n_hi = 0
+    def __init__(self, values: list[float] | None = None, below: int = 0, above: int = 0) -> None:
+        """``values`` ascending; ``below`` / ``above``: values smaller / larger than all of them."""
+        self.values = values or []
+        self.below, self.above = below, above
+        self.low = self.values[0] if self.values and below else None
+        self.high = self.values[-1] if self.values and above else None
 
     @classmethod
     def from_counts(cls, counts: dict[float, int]) -> "RunningMedian":
-        """Load a histogram: the smaller ceil(n/2) values go to the lower half."""
-        m = cls()
-        total = sum(counts.values())
-        need = (total + 1) // 2
-        for v in sorted(counts):
-            c = counts[v]
-            take = min(c, need)
-            if take:
-                m.lo_cnt[v] = take
-                m.n_lo += take
-                need -= take
-            if c - take:
-                m.hi_cnt[v] = c - take
-                m.n_hi += c - take
-        m.lo = [-v for v in m.lo_cnt]
-        m.hi = list(m.hi_cnt)
-        heapq.heapify(m.lo)
-        heapq.heapify(m.hi)
-        return m
+        return cls([v for v in sorted(counts) for _ in range(counts[v])])
 
     def counts(self) -> dict[float, int]:
-        out = dict(self.lo_cnt)
-        for v, c in self.hi_cnt.items():
-            out[v] = out.get(v, 0) + c
+        out: dict[float, int] = {}
+        for v in self.values:
+            out[v] = out.get(v, 0) + 1
         return out
 
-    def _push(self, heap: list, cnt: dict, v: float, negate: bool) -> None:
-        if cnt.get(v, 0) == 0:
-            heapq.heappush(heap, -v if negate else v)
-        cnt[v] = cnt.get(v, 0) + 1
+    def __len__(self) -> int:
+        return self.below + len(self.values) + self.above
 
-    def _move_lo_to_hi(self) -> None:
-        v = -self.lo[0]
-        self.lo_cnt[v] -= 1
-        if self.lo_cnt[v] == 0:
-            heapq.heappop(self.lo)
-            del self.lo_cnt[v]
-        self.n_lo -= 1
-        self._push(self.hi, self.hi_cnt, v, False)
-        self.n_hi += 1
-
-    def _move_hi_to_lo(self) -> None:
-        v = self.hi[0]
-        self.hi_cnt[v] -= 1
-        if self.hi_cnt[v] == 0:
-            heapq.heappop(self.hi)
-            del self.hi_cnt[v]
-        self.n_hi -= 1
-        self._push(self.lo, self.lo_cnt, v, True)
-        self.n_lo += 1
+    def median(self) -> float | None:
+        n = len(self)
+        if not n:
+            return None
+        hi = n // 2 - self.below
+        return self.values[hi] if n % 2 else (self.values[hi - 1] + self.values[hi]) / 2
 
     def add(self, v: float) -> float:
         """Insert ``v``; return the median of everything inserted so far."""
-        if self.n_lo == 0 or v <= -self.lo[0]:
-            self._push(self.lo, self.lo_cnt, v, True)
-            self.n_lo += 1
+        if self.low is not None and v < self.low:
+            self.below += 1
+        elif self.high is not None and v > self.high:
+            self.above += 1
         else:
-            self._push(self.hi, self.hi_cnt, v, False)
-            self.n_hi += 1
-        if self.n_lo > self.n_hi + 1:
-            self._move_lo_to_hi()
-        elif self.n_hi > self.n_lo:
-            self._move_hi_to_lo()
-        if self.n_lo > self.n_hi:
-            return -self.lo[0]
-        return (-self.lo[0] + self.hi[0]) / 2
+            insort(self.values, v, bisect_left(self.values, v) if self.values else 0)
+        return self.median()

@@ -2,10 +2,9 @@
 
 A window ``partitionBy(key).orderBy(seq)`` sends every row of a key to one
 task. If one key holds a third of the data, that task holds a third of the
-data. Instead we cut each key's order range into chunks of ``chunk_span``
-order units:
+data. Instead the order is cut into chunks:
 
-1. aggregate every (key, chunk) — partial aggregation, tiny output;
+1. aggregate every (key, chunk) — partial aggregation, small output;
 2. prefix over chunk totals per key — a window over the chunk totals only:
    the offset each chunk starts from;
 3. add one marker row per (key, chunk) carrying that offset, ordered before
@@ -16,6 +15,15 @@ side is shuffled exactly once, on (key, chunk). Null keys are a group of
 their own, as in any window. With no keys the same plan gives a global prefix
 (e.g. a running maximum over arrival order), where step 2 sees one row per
 chunk.
+
+Chunks are cut at approximate quantiles of the order column over all rows, so
+they hold about ``chunk_rows`` rows whether the order values are dense, sparse
+or bursty (rows with one order value stay together). There are at most
+``MAX_CHUNKS`` of them: a key has at most that many totals, and beyond
+``chunk_rows * MAX_CHUNKS`` rows the chunks grow instead. The quantiles come
+from one pass over the order column when the plan is built, as a range
+partitioning takes its bounds. A caller that knows its order's density gives
+``chunk_span`` (order units per chunk) and saves that pass.
 """
 
 from __future__ import annotations
@@ -26,9 +34,32 @@ from pyspark.sql import functions as F
 _AGGS = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
+MAX_CHUNKS = 8192
+
+
+def chunk_bounds(df: DataFrame, order: str, chunk_rows: int) -> list:
+    """Ascending order values at which a new chunk starts."""
+    probs = [i / MAX_CHUNKS for i in range(1, MAX_CHUNKS)]
+    r = df.agg(F.count(order).alias("n"), F.percentile_approx(order, probs, 5 * MAX_CHUNKS).alias("q")).first()
+    chunks = min(MAX_CHUNKS, -(-r["n"] // chunk_rows))
+    if chunks < 2:
+        return []
+    return sorted({r["q"][i * MAX_CHUNKS // chunks - 1] for i in range(1, chunks)})
+
+
+def bucket_of(value: Column, bounds: list) -> Column:
+    """How many of the ascending ``bounds`` are <= ``value`` (null: 0), by binary search."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    at = F.array(*[F.lit(b) for b in bounds])
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                       lambda pos, step: pos + F.when(F.get(at, pos + step - 1) <= value, step).otherwise(0)).cast("bigint")
+
+
 def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Column | str | None,
-                how: str, out: str, chunk_span: int, chunk_col: str | None = None,
-                total_out: str | None = None) -> DataFrame:
+                how: str, out: str, chunk_span: int | None = None, chunk_col: str | None = None,
+                total_out: str | None = None, chunk_rows: int = 2000) -> DataFrame:
     """Add ``out`` = aggregate of ``value`` over rows with order <= this row's.
 
     ``order_cols[0]`` must be numeric (it defines the chunk); the rest break
@@ -36,7 +67,7 @@ def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
     and numbers rows 1, 2, ... in order (row_number semantics). Nulls in
     ``value`` are skipped, as by the window aggregates. ``total_out`` adds the
     aggregate over the key's whole group (carried by the marker rows, so it
-    costs no extra pass).
+    costs no extra pass). ``chunk_col`` names a column that holds the chunk.
     """
     if how not in _AGGS:
         raise ValueError(how)
@@ -45,7 +76,10 @@ def running_agg(df: DataFrame, keys: list[str], order_cols: list[str], value: Co
     chunk = chunk_col or "_chunk"
     base = df.withColumn("_v", v)
     if chunk_col is None:
-        base = base.withColumn(chunk, F.floor(F.col(order_cols[0]) / F.lit(chunk_span)).cast("bigint"))
+        order = F.col(order_cols[0])
+        cut = F.floor(order / F.lit(chunk_span)).cast("bigint") if chunk_span else bucket_of(
+            order, chunk_bounds(df, order_cols[0], chunk_rows))
+        base = base.withColumn(chunk, cut)
     base = base.withColumn("_marker", F.lit(1))
 
     totals = base.groupBy(*keys, chunk).agg(agg_fn("_v").alias("_total"))

@@ -108,7 +108,7 @@ def processing_time_sliding_sum(records: DataFrame, key: str, value: str, size:
 
 
 def count_window(records: DataFrame, key: str, seq: str, value: str, n: int = 5,
-                 chunk_span: int = 1 << 20) -> DataFrame:
+                 chunk_span: int | None = None) -> DataFrame:
     """Per key, every ``n`` consecutive rows (arrival order ``seq``) form a window.
 
     Only complete windows are emitted; an incomplete tail never fires. The

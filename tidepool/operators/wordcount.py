@@ -24,7 +24,7 @@ def word_count(lines: DataFrame, rule: str = "ws_run", line_col: str = "line",
 
 
 def running_count(records: DataFrame, key: str, seq: str, out: str = "cnt",
-                  chunk_span: int = 1 << 20) -> DataFrame:
+                  chunk_span: int | None = None) -> DataFrame:
     """One row per input record with the key's count so far (a changelog).
 
     ``seq`` is the arrival order. Computed with chunked prefix sums, so a hot
