@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import rows
+from stubs import FileKVClient
 from tidepool.sinks import jdbc, kv, text
 from tidepool.sources.generator import gen_orders_batch
 
@@ -36,8 +37,8 @@ def test_jdbc_retry_does_not_duplicate(spark, tmp_path):
 def test_kv_pipelined_chunks_and_ttl(spark, tmp_path):
     root = str(tmp_path / "kv")
     df = _orders(spark, 2500).coalesce(1)
-    kv.write_kv(df, "order_id", "money", functools.partial(kv.FileKVClient, root), flush_rows=1000)
-    got, sizes = kv.FileKVClient.read_all(root)
+    kv.write_kv(df, "order_id", "money", functools.partial(FileKVClient, root), flush_rows=1000)
+    got, sizes = FileKVClient.read_all(root)
     assert sizes == [1000, 1000, 500] and len(got) == 2500
     with open(os.path.join(root, os.listdir(root)[0])) as f:
         assert '"ttl": 172800' in f.readline()
@@ -46,8 +47,17 @@ def test_kv_pipelined_chunks_and_ttl(spark, tmp_path):
 def test_kv_upsert_last_write_wins(spark, tmp_path):
     root = str(tmp_path / "kv2")
     df = spark.createDataFrame([("a", 1, 1), ("a", 3, 2), ("b", 2, 1)], "word string, cnt long, seq long")
-    kv.upsert_batch_writer("word", "cnt", functools.partial(kv.FileKVClient, root), order="seq")(df, 0)
-    assert kv.FileKVClient.read_all(root)[0] == {"a": "3", "b": "2"}
+    kv.upsert_batch_writer("word", "cnt", functools.partial(FileKVClient, root), order="seq")(df, 0)
+    assert FileKVClient.read_all(root)[0] == {"a": "3", "b": "2"}
+
+
+def test_kv_hash_upsert_keeps_hashes_apart(spark, tmp_path):
+    root = str(tmp_path / "kv3")
+    client = functools.partial(FileKVClient, root)
+    df = spark.createDataFrame([("a", 1)], "word string, cnt long")
+    kv.upsert_batch_writer("word", "cnt", client, hash_name=kv.WORD_COUNT_HASH)(df, 0)
+    kv.upsert_batch_writer("word", "cnt", client, hash_name="other")(df.selectExpr("word", "cnt + 1 as cnt"), 0)
+    assert FileKVClient.read_all(root)[0] == {f"{kv.WORD_COUNT_HASH}/a": "1", "other/a": "2"}
 
 
 def test_text_sink_roundtrip(spark, tmp_path):
@@ -87,21 +97,42 @@ def test_rate_generator_stream(spark, tmp_path):
     assert out.where("user_id < 1 OR user_id > 4 OR money < 1 OR money > 100").count() == 0
 
 
-def test_watermark_reporter_and_printer(spark, tmp_path, capsys):
-    from tidepool.sinks.text import labelled_printer, watermark_ms, with_task_context
-    src = tmp_path / "wm"
-    src.mkdir()
-    (src / "a.txt").write_text("1634473761000\n1634473766000\n")
-    lines = spark.readStream.format("text").load(str(src))
-    ev = lines.select(F.timestamp_millis(F.col("value").cast("long")).alias("ts")).withWatermark("ts", "1 second")
-    q = (ev.groupBy(F.window("ts", "5 seconds")).count().writeStream.outputMode("append")
-         .foreachBatch(labelled_printer("result")).option("checkpointLocation", str(tmp_path / "wmck")).start())
-    q.processAllAvailable()
+def _to_files(folder):
+    def open_out(part):
+        return open(os.path.join(folder, f"part-{part}-{os.getpid()}"), "a", encoding="utf-8")
+    return open_out
+
+
+def _printed(folder):
+    return [line for f in sorted(os.listdir(folder)) for line in open(os.path.join(folder, f), encoding="utf-8").read().splitlines()]
+
+
+def test_printer_prints_every_row(spark, tmp_path):
+    text.labelled_printer("result", _to_files(str(tmp_path)))(spark.range(0, 500, 1, 4), 0)
+    lines = _printed(str(tmp_path))
+    assert len(lines) == 500 and {line.split("> ")[0] for line in lines} == {f"result:{i}" for i in range(4)}
+
+
+def test_watermark_and_context_printer(spark, tmp_path):
+    src, outs = tmp_path / "wm", tmp_path / "printed"
+    src.mkdir(), outs.mkdir()
+    for i, at in enumerate((1634473761000, 1634473766000, 1634473767000)):
+        (src / f"{i}.txt").write_text(f"{at}\n")
+        os.utime(src / f"{i}.txt", (1_600_000_000 + i, 1_600_000_000 + i))
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(src))
+    ev = lines.select(F.timestamp_millis(F.col("value").cast("long")).alias("ts"), F.col("value").cast("long").alias("ms")).withWatermark("ts", "1 second")
+    holder = []
+    q = (ev.dropDuplicatesWithinWatermark(["ms"]).select("ms").writeStream
+         .foreachBatch(text.context_printer("row", "ms", lambda: text.watermark_ms(holder[0]) if holder else None, _to_files(str(outs))))
+         .option("checkpointLocation", str(tmp_path / "wmck")).start())
+    holder.append(q)
     q.processAllAvailable()
-    wm = watermark_ms(q)
+    wm = text.watermark_ms(q)
     q.stop()
-    assert wm in (0, 1634473765000)
-    assert with_task_context(spark.range(3)).where("partition_id >= 0").count() == 3
+    assert wm == 1634473766000  # the largest time less the lag
+    printed = _printed(str(outs))
+    assert len(printed) == 3 and all(line.startswith("row:") for line in printed)
+    assert any("1634473767000, 1634473767000, " in line for line in printed)  # value, element time, then watermark and subtask
 
 
 def test_stream_word_counts_upserted_to_kv(spark, tmp_path):
@@ -117,26 +148,56 @@ def test_stream_word_counts_upserted_to_kv(spark, tmp_path):
         os.utime(f, (1_600_000_000 + i, 1_600_000_000 + i))
     root = str(tmp_path / "kv-wc")
     q = kv.stream_to_kv(word_count_stream(scan_text(spark, str(src), True, 1)), "word", "cnt",
-                        functools.partial(kv.FileKVClient, root), str(tmp_path / "kv-ck"), interval="0 seconds")
+                        functools.partial(FileKVClient, root), str(tmp_path / "kv-ck"), interval="0 seconds")
     q.processAllAvailable()
     q.stop()
-    final, _ = kv.FileKVClient.read_all(root)
+    final, _ = FileKVClient.read_all(root)
     batch = {w: str(c) for w, c in rows(word_count(scan_text(spark, str(src))))}
     assert final == batch
 
 
 def test_enrich_lookup_timeout_gives_default(spark):
+    """A call's time starts when it does: ten calls that hang do not take the
+    healthy keys behind them along."""
     import time as _t
     from tidepool.operators.enrich import enrich_lookup
     from tidepool.sources.lookup import table_geocoder
 
     def slow(addr):
-        if addr == "slow 1":
-            _t.sleep(2)
+        if addr.startswith("slow"):
+            _t.sleep(3)
         return table_geocoder(addr)
-    df = spark.createDataFrame([(1, "slow 1"), (2, "fast 2")], "id long, addr string")
-    out = {r.id: r.title for r in enrich_lookup(df, "addr", slow, timeout_s=0.5).collect()}
-    assert out == {1: "", 2: "FAST 2"}
+    df = spark.createDataFrame([(i, f"slow {i}2") for i in range(10)] + [(i, f"fast {i}2") for i in range(10, 40)],
+                               "id long, addr string").coalesce(1)
+    out = {r.id: r.title for r in enrich_lookup(df, "addr", slow, timeout_s=0.3, partitions=1).collect()}
+    assert {i for i, title in out.items() if not title} == set(range(10))
+
+
+def test_enrich_lookup_on_a_stream(spark, tmp_path):
+    from tidepool.operators.enrich import enrich_lookup
+    from tidepool.sources.files import scan_text
+    from tidepool.sources.lookup import table_geocoder
+    src = tmp_path / "addr"
+    src.mkdir()
+    (src / "a.txt").write_text("street 2\nstreet 7\nstreet 2\n")
+    df = enrich_lookup(scan_text(spark, str(src), stream=True), "line", table_geocoder)
+    q = df.writeStream.format("memory").queryName("enriched").option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted((r.line, r.title) for r in spark.table("enriched").collect()) == [
+        ("street 2", "STREET 2"), ("street 2", "STREET 2"), ("street 7", "")]
+
+
+def test_checkpoint_folder_is_asked_for_off_local():
+    from types import SimpleNamespace
+
+    import pytest
+    from tidepool import session
+    conf = {"spark.master": "yarn"}
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=conf.get)))
+    assert not session.is_local(SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "local-cluster[2,1,512]"}.get)))
+    assert session.is_local(SimpleNamespace(conf=SimpleNamespace(get={"spark.master": "local[4]"}.get)))
 
 
 def test_stream_sinks_text_and_jdbc(spark, tmp_path):

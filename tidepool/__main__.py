@@ -1,7 +1,8 @@
 """Command line: run a registered query, or a streaming job over a directory.
 
   python -m tidepool list
-  python -m tidepool run word_count --tables /data/tables --out /data/out/wc [--format parquet|text|show]
+  python -m tidepool run word_count --tables /data/tables --out /data/out/wc [--format parquet|text|print]
+  python -m tidepool run word_count --tables /data/tables --format preview --limit 20
   python -m tidepool stream word_count --input /data/lines --out /data/out/wc --checkpoint /shared/ckpt/wc
 
 On a cluster, submit with spark-submit; the session comes from the launcher
@@ -36,8 +37,11 @@ def _session() -> SparkSession:
 def _run(args) -> None:
     spark = _session()
     df = REGISTRY[args.query].run(spark, args.tables)
-    if args.format == "show":
+    if args.format == "preview":
         df.show(args.limit, truncate=False)
+    elif args.format == "print":
+        for r in df.toLocalIterator():  # all rows, a partition at a time
+            print(*r, sep=",")
     elif args.format == "text":
         from tidepool.sinks.text import write_text
         write_text(df, args.out)
@@ -55,24 +59,27 @@ def _stream(args) -> None:
     from tidepool.functions.parse import (
         parse_behavior_csv, parse_event_line, parse_orders, parse_visits, parse_word_num,
     )
+    from tidepool.functions.text import tokens
     from tidepool.operators.windows import processing_time_sliding_sum
-    from tidepool.sources.files import scan_text
+    from tidepool.sinks.text import labelled_printer
+    from tidepool.sources.files import scan_text, with_seq
     from tidepool.streaming import jobs
 
     spark = _session()
-    lines = scan_text(spark, args.input, stream=True, max_files_per_trigger=args.files_per_batch)
+    lines = scan_text(spark, args.input, stream=True, max_files_per_trigger=args.files_per_batch,
+                      arrival=args.job in ("late_split", "count_window"))
     mode = "append"
     if args.job == "word_count":
         df, mode = jobs.word_count_stream(lines), "update"
     elif args.job == "late_split":
-        orders, _ = parse_orders(lines.withColumn("seq", F.lit(0).cast("long")), keep=("seq",))
+        orders, _ = parse_orders(with_seq(lines), keep=("seq",))
         df = jobs.late_split_stream(orders, 5000, args.lag_ms, 0, args.zone)
-    elif args.job == "count_window":
-        ev = parse_event_line(lines, zone=args.zone)
-        df = jobs.count_window_stream(ev.select("word", F.col("ts_ms").alias("seq"), "num"), n=5)
+    elif args.job == "count_window":  # words split at single spaces, in arrival order, five of a word per window
+        words = with_seq(tokens(lines, "space", keep=("arrived", "line_no")), "pos")
+        df = jobs.count_window_stream(words.select("word", "seq", F.lit(1).cast("long").alias("num")), n=5)
     elif args.job == "daily_uv_cumulative":
         visits, _ = parse_visits(lines)
-        df = jobs.daily_uv_cumulative_stream(visits, args.zone_offset_ms, f"{max(args.lag_ms, 1000)} milliseconds")
+        df = jobs.daily_uv_cumulative_stream(visits, args.zone, f"{max(args.lag_ms, 1000)} milliseconds")
     elif args.job == "running_median":
         ev = parse_event_line(lines, zone=args.zone)
         df = jobs.running_median_stream(ev, "word", "ts_ms", "num")
@@ -91,17 +98,23 @@ def _stream(args) -> None:
         df = jobs.daily_uv_stream(visits, f"{max(args.lag_ms, 1000)} milliseconds",
                                   f"{args.zone_offset_ms // 1000} seconds")
     ckpt = args.checkpoint or subdir(spark, f"stream-{args.job}")
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-    if args.out and mode == "append":
-        writer = writer.format("parquet").option("path", args.out)
-    else:
-        writer = writer.format("console").option("truncate", "false")
-    q = writer.start()
+
+    def start():
+        writer = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
+        if args.out and mode == "append":
+            writer = writer.format("parquet").option("path", args.out)
+        elif args.out:  # changed rows of each batch, in a folder that a retried batch overwrites
+            writer = writer.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{args.out}/batch_id={n}"))
+        else:
+            writer = writer.foreachBatch(labelled_printer(args.job))
+        return writer.start()
+
     if args.available_now:
+        q = start()
         q.processAllAvailable()
         q.stop()
     else:
-        q.awaitTermination()
+        jobs.supervise(start, args.restarts, args.restart_delay_s)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -112,8 +125,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("query", choices=sorted(REGISTRY))
     r.add_argument("--tables", required=True, help="folder with <table>.parquet")
     r.add_argument("--out")
-    r.add_argument("--format", choices=["parquet", "text", "show"], default="parquet")
-    r.add_argument("--limit", type=int, default=20)
+    r.add_argument("--format", choices=["parquet", "text", "print", "preview"], default="parquet")
+    r.add_argument("--limit", type=int, default=20, help="rows of a preview")
     s = sub.add_parser("stream", help="run a streaming job over a directory of text files")
     s.add_argument("job", choices=STREAM_JOBS)
     s.add_argument("--input", required=True)
@@ -123,6 +136,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--lag-ms", type=int, default=0)
     s.add_argument("--zone", default="UTC")
     s.add_argument("--zone-offset-ms", type=int, default=0)
+    s.add_argument("--restarts", type=int, default=1, help="restarts after a failure")
+    s.add_argument("--restart-delay-s", type=float, default=10.0)
     s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     args = p.parse_args(argv)
     if args.cmd == "list":
@@ -130,8 +145,8 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{name:22s} {q.doc.splitlines()[0] if q.doc else ''}")
         return 0
     if args.cmd == "run":
-        if args.format != "show" and not args.out:
-            p.error("--out is required unless --format show")
+        if args.format in ("parquet", "text") and not args.out:
+            p.error("--out is required for --format parquet and text")
         _run(args)
         return 0
     _stream(args)

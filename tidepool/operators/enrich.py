@@ -41,63 +41,92 @@ def dim_lookup(facts: DataFrame, dim: DataFrame, key: str, value_cols: list[str]
     return joined.select(*facts.columns, *[F.coalesce(F.col(c), F.lit(default)).alias(c) for c in value_cols])
 
 
-def _safe(lookup: Callable[[str], str | None]) -> Callable[[str], str | None]:
-    def call(k: str) -> str | None:
-        try:
-            return lookup(k)
-        except Exception:  # any failure becomes the default reply
-            return None
-    return call
-
-
 # Lookups in flight per task and the per-call timeout.
 IN_FLIGHT = 10
 TIMEOUT_S = 3.0
 
 
-def fetch_replies(keys: DataFrame, key: str, lookup: Callable[[str], str | None],
+def call_all(keys: list, lookup: Callable[[str], str | None], in_flight: int, timeout_s: float | None) -> dict:
+    """``{key: reply}``, at most ``in_flight`` calls at a time.
+
+    A call's time starts when it does: one that takes over ``timeout_s`` gives
+    None and its place to the next key (its thread is left to end by itself);
+    no key is answered without its own call.
+    """
+    import queue
+    import threading
+    import time
+
+    replies: dict = {}
+    done: queue.Queue = queue.Queue()
+    waiting, running = list(reversed(keys)), {}
+
+    def call(k: str) -> None:
+        try:
+            done.put((k, lookup(k)))
+        except Exception:  # any failure becomes the default reply
+            done.put((k, None))
+
+    while waiting or running:
+        while waiting and len(running) < in_flight:
+            k = waiting.pop()
+            running[k] = time.monotonic()
+            threading.Thread(target=call, args=(k,), daemon=True).start()
+        left = None if timeout_s is None else max(0.0, min(running.values()) + timeout_s - time.monotonic())
+        try:
+            k, reply = done.get(timeout=left)
+            if k in running:  # else its time was over before
+                del running[k]
+                replies[k] = reply
+        except queue.Empty:
+            over = time.monotonic() - timeout_s
+            for k in [k for k, began in running.items() if began <= over]:
+                del running[k]
+                replies[k] = None
+    return replies
+
+
+def fetch_replies(rows: DataFrame, key: str, lookup: Callable[[str], str | None],
                   in_flight: int = IN_FLIGHT, timeout_s: float | None = TIMEOUT_S) -> DataFrame:
-    """``(key, reply)`` for each row of ``keys``, calling ``lookup`` on a pool
-    of ``in_flight`` threads per task (the async-I/O capacity). A call that
-    fails or exceeds ``timeout_s`` gives a null reply (the default result)."""
+    """``rows`` with a string column ``reply``, calling ``lookup`` on up to
+    ``in_flight`` threads per task (the async-I/O capacity), once per distinct
+    key of an Arrow batch. A call that fails or exceeds ``timeout_s`` gives a
+    null reply (the default result), as does a null key, which is not called.
+    Works on batch and streaming input."""
     from tidepool.session import ship_package
 
-    ship_package(keys.sparkSession)
-    call = _safe(lookup)
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("reply", T.StringType())])
+    ship_package(rows.sparkSession)
+    schema = T.StructType([*rows.schema.fields, T.StructField("reply", T.StringType())])
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
-        from concurrent.futures import ThreadPoolExecutor, TimeoutError as Timeout
-        pool = ThreadPoolExecutor(max_workers=in_flight)
-        try:
-            for pdf in batches:
-                ks = pdf[key].tolist()
-                futures = [pool.submit(call, k) for k in ks]
-                replies = []
-                for f in futures:
-                    try:
-                        replies.append(f.result(timeout=timeout_s))
-                    except Timeout:
-                        replies.append(None)
-                yield pd.DataFrame({key: ks, "reply": replies})
-        finally:
-            pool.shutdown(wait=False, cancel_futures=True)
-
-    return keys.select(F.col(key).cast("string").alias(key)).mapInPandas(run, schema)
+        import pyarrow as pa
+        at = rows_names.index(key)
+        for batch in batches:
+            keys = [None if k is None else str(k) for k in batch.column(at).to_pylist()]
+            replies = call_all(list(dict.fromkeys(k for k in keys if k is not None)), lookup, in_flight, timeout_s)
+            said = pa.array([replies.get(k) for k in keys], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, said], [*rows_names, "reply"])
+
+    rows_names = rows.columns
+    return rows.mapInArrow(run, schema)
 
 
 def enrich_lookup(df: DataFrame, key: str, lookup: Callable[[str], str | None], in_flight: int = IN_FLIGHT,
                   partitions: int | None = None, timeout_s: float | None = TIMEOUT_S) -> DataFrame:
     """Add ``title, lng, lat`` from a geocoding ``lookup(address) -> json``.
 
-    Distinct keys are fetched once (spread over ``partitions`` tasks) and
-    joined back; failures, bad JSON and missing fields give ``("", 0.0, 0.0)``.
+    Bounded input: distinct keys are fetched once (spread over ``partitions``
+    tasks) and joined back. A stream has no join to make: each row's task
+    fetches its batch's distinct keys. Failures, bad JSON and missing fields
+    give ``("", 0.0, 0.0)``.
     """
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    if partitions:
-        keys = keys.repartition(partitions, key)
-    parsed = fetch_replies(keys, key, lookup, in_flight, timeout_s).select(key, *geocode_fields("reply"))
-    out = df.join(parsed, on=key, how="left")
+    if df.isStreaming:
+        out = fetch_replies(df, key, lookup, in_flight, timeout_s).select(*df.columns, *geocode_fields("reply"))
+    else:
+        keys = df.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull()).distinct()
+        if partitions:
+            keys = keys.repartition(partitions, key)
+        parsed = fetch_replies(keys, key, lookup, in_flight, timeout_s).select(key, *geocode_fields("reply"))
+        out = df.join(parsed, on=key, how="left")
     return out.select(*df.columns, F.coalesce("title", F.lit("")).alias("title"),
                       F.coalesce("lng", F.lit(0.0)).alias("lng"), F.coalesce("lat", F.lit(0.0)).alias("lat"))

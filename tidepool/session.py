@@ -7,6 +7,7 @@ in what is unset. Local helpers exist for tests and the benchmark.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,10 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names a folder every executor can reach; we read it from the
-    session. Only when it is unset (local tests) do we create our own.
+    session. Only when it is unset and the master is local (tests) do we
+    create our own: on a cluster, a folder of this machine would be one that
+    the executors cannot see.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -59,6 +64,11 @@ def shared_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True for ``local`` and ``local[...]`` masters (not for local-cluster)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")) is not None
+
+
 def subdir(spark: SparkSession, name: str) -> str:
     """A path under the shared folder, e.g. for a streaming checkpoint."""
     base = shared_dir(spark).rstrip("/")

@@ -1,9 +1,10 @@
 """Key-value sinks: running-count upserts and pipelined writes with expiry.
 
 The client is supplied by the caller as a zero-argument factory, called once
-per task (connections are not shipped from the driver). A client needs one
-method, ``set_many(items, ttl_s)``, which writes ``(key, value)`` pairs in one
-round trip (a pipeline) with an optional expiry.
+per task (connections are not shipped from the driver). A client needs
+``set_many(items, ttl_s)``, which writes ``(key, value)`` pairs in one round
+trip (a pipeline) with an optional expiry, and, for hash upserts,
+``hset_many(name, items)``, which sets fields of the hash ``name``.
 
 Guarantee: at-least-once delivery of idempotent ``SET``s. A retried task or
 micro-batch rewrites the same keys with the same values.
@@ -11,10 +12,6 @@ micro-batch rewrites the same keys with the same values.
 
 from __future__ import annotations
 
-import json
-import os
-import time
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame
@@ -23,6 +20,8 @@ from pyspark.sql import functions as F
 # Flush size and key expiry of the pipeline sink.
 FLUSH_ROWS = 1000
 TTL_SECONDS = 2 * 24 * 3600
+# Fixed value: the hash that the running word counts go to.
+WORD_COUNT_HASH = "wordcnt_sink_redis_demo"
 
 
 def _chunks(rows: Iterable, size: int) -> Iterator[list]:
@@ -37,16 +36,20 @@ def _chunks(rows: Iterable, size: int) -> Iterator[list]:
 
 
 def write_kv(df: DataFrame, key: str, value: str, client_factory: Callable[[], object],
-             flush_rows: int = FLUSH_ROWS, ttl_s: int | None = TTL_SECONDS) -> None:
-    """Write every row as ``SET key value [EX ttl]`` in pipelined chunks,
-    all partitions in parallel."""
+             flush_rows: int = FLUSH_ROWS, ttl_s: int | None = TTL_SECONDS, hash_name: str | None = None) -> None:
+    """Write every row as ``SET key value [EX ttl]``, or as ``HSET hash_name
+    key value`` where a hash is named, in pipelined chunks, all partitions in
+    parallel."""
     pairs = df.select(F.col(key).cast("string").alias("k"), F.col(value).cast("string").alias("v"))
 
     def run(rows: Iterator) -> None:
         client = client_factory()
         try:
             for chunk in _chunks(((r.k, r.v) for r in rows), flush_rows):
-                client.set_many(chunk, ttl_s)
+                if hash_name is None:
+                    client.set_many(chunk, ttl_s)
+                else:
+                    client.hset_many(hash_name, chunk)
         finally:
             close = getattr(client, "close", None)
             if close:
@@ -62,52 +65,22 @@ def latest_per_key(df: DataFrame, key: str, value: str, order: str) -> DataFrame
 
 def upsert_batch_writer(key: str, value: str, client_factory: Callable[[], object],
                         order: str | None = None, ttl_s: int | None = None,
-                        flush_rows: int = FLUSH_ROWS) -> Callable[[DataFrame, int], None]:
+                        flush_rows: int = FLUSH_ROWS, hash_name: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for running counts in ``update`` mode: the
-    newest value of each changed key is written (hash-set semantics)."""
+    newest value of each changed key is written (hash-set semantics, into
+    ``hash_name`` where one is given)."""
     def write(df: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(df, key, value, order) if order else df
-        write_kv(rows, key, value, client_factory, flush_rows, ttl_s)
+        write_kv(rows, key, value, client_factory, flush_rows, ttl_s, hash_name)
     return write
 
 
 def stream_to_kv(df: DataFrame, key: str, value: str, client_factory: Callable[[], object], checkpoint: str,
                  interval: str = "10 seconds", mode: str = "update", order: str | None = None,
-                 ttl_s: int | None = TTL_SECONDS, flush_rows: int = FLUSH_ROWS):
+                 ttl_s: int | None = TTL_SECONDS, flush_rows: int = FLUSH_ROWS, hash_name: str | None = None):
     """Start a stream into the KV store: every ``interval`` (the time-based
     flush) each micro-batch is written in ``flush_rows`` pipelines. Idle input
     leaves nothing buffered, since each batch is flushed whole."""
-    writer = upsert_batch_writer(key, value, client_factory, order, ttl_s, flush_rows)
+    writer = upsert_batch_writer(key, value, client_factory, order, ttl_s, flush_rows, hash_name)
     return (df.writeStream.outputMode(mode).foreachBatch(writer).option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval).start())
-
-
-class FileKVClient:
-    """In-process stand-in for a KV server: each ``set_many`` call appends one
-    JSON line (the pipelined chunk) to a file under ``root``. Used in tests
-    and dry runs; ``read_all`` replays the files into a dict."""
-
-    def __init__(self, root: str):
-        self.root = root
-        os.makedirs(root, exist_ok=True)
-        # creation-time prefix: replaying files in name order replays writes in order
-        self.path = os.path.join(root, f"client-{time.time_ns():020d}-{uuid.uuid4().hex}.jsonl")
-
-    def set_many(self, items: list[tuple[str, str]], ttl_s: int | None) -> None:
-        with open(self.path, "a", encoding="utf-8") as f:
-            f.write(json.dumps({"ttl": ttl_s, "items": items}) + "\n")
-
-    def close(self) -> None:
-        pass
-
-    @staticmethod
-    def read_all(root: str) -> tuple[dict[str, str], list[int]]:
-        """(final key->value map, sizes of every pipelined chunk)."""
-        kv, sizes = {}, []
-        for name in sorted(os.listdir(root)):
-            with open(os.path.join(root, name), encoding="utf-8") as f:
-                for line in f:
-                    rec = json.loads(line)
-                    sizes.append(len(rec["items"]))
-                    kv.update(dict(rec["items"]))
-        return kv, sizes

@@ -28,11 +28,38 @@ def stream_text(df: DataFrame, path: str, checkpoint: str, cols: list[str] | Non
         "checkpointLocation", checkpoint).outputMode("append").start()
 
 
-def labelled_printer(label: str, limit: int = 20) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` console printer with a label prefix, like ``print("result")``."""
+def _stdout(partition: int):
+    import sys
+    return sys.stdout
+
+
+def labelled_printer(label: str, open_out: Callable[[int], object] = _stdout) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` console printer with a label prefix, like ``print("result")``.
+
+    Every row is printed by the task that holds it, as ``label:subtask> row``;
+    ``open_out(subtask)`` gives the text file to print to (the task's standard
+    output by default).
+    """
+    def show(df: DataFrame, batch_id: int) -> None:
+        def write(rows) -> None:
+            from pyspark import TaskContext
+            part = TaskContext.get().partitionId()
+            out = open_out(part)
+            for r in rows:
+                print(f"{label}:{part}> {tuple(r)}", file=out, flush=True)
+        df.foreachPartition(write)
+    return show
+
+
+def context_printer(label: str, time_col: str, watermark: Callable[[], int | None],
+                    open_out: Callable[[int], object] = _stdout) -> Callable[[DataFrame, int], None]:
+    """As ``labelled_printer``, with each row's time context: its element time
+    (``time_col``), the watermark when the batch began (``watermark()``, e.g.
+    ``lambda: watermark_ms(query)``) and the subtask that holds it."""
     def show(df: DataFrame, batch_id: int) -> None:
-        for r in df.limit(limit).collect():  # a bounded preview only
-            print(f"{label}> {tuple(r)}")
+        at = F.lit(watermark()).cast("long").alias("watermark")
+        shown = with_task_context(df.select("*", F.col(time_col).alias("element_time"), at))
+        labelled_printer(label, open_out)(shown, batch_id)
     return show
 
 
