@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from conftest import ORDER_TRACE, rows
 from tidepool.functions.bits import narrow_to_int, unsigned_widen
 from tidepool.functions.json import geocode_fields
 from tidepool.functions.parse import (
@@ -8,11 +8,6 @@ from tidepool.functions.parse import (
 )
 from pyspark.sql import functions as F
 
-# Fixture: the order trace of the watermark demo, plus two bad lines.
-ORDER_TRACE = ["o1,10,10,1634473761000", "o2,10,30,1634473762000", "o4,10,20,1634473764000",
-               "o6,10,10,1634473766000", "o5,10,20,1634473765000", "o3,10,20,1634473763000",
-               "o10,10,10,1634473770000"]
-
 
 def _lines(spark, items):
     return spark.createDataFrame([(i, s) for i, s in enumerate(items)], "seq long, line string")
@@ -67,3 +62,10 @@ def test_geocode_json_defaults(spark):
     got = [tuple(r) for r in df.orderBy("i").select(*geocode_fields("r")).collect()]
     assert got[0] == ("T74", 116.30676, 39.98296)
     assert got[1:] == [("", 0.0, 0.0)] * 4
+
+
+def test_digits_with_a_line_end_are_no_number(spark):
+    from tidepool.functions.parse import parse_int, parse_long
+    df = spark.createDataFrame([("12",), ("12\r",), ("12\n",), ("+3",), ("",)], "s string")
+    got = [(r.i, r.n) for r in df.select(parse_int(F.col("s")).alias("i"), parse_long(F.col("s")).alias("n")).collect()]
+    assert got == [(12, 12), (None, None), (None, None), (3, 3), (None, None)]

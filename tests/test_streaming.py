@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import ORDER_TRACE, VISITS, rows
 from tidepool.functions.parse import parse_orders, parse_visits, parse_word_num
 from tidepool.operators.wordcount import word_count
 from tidepool.sources.files import scan_text
@@ -15,14 +15,6 @@ from tidepool.streaming.jobs import (
 )
 from tidepool.functions.parse import parse_behavior_csv, parse_event_line
 
-ORDER_TRACE = ["o1,10,10,1634473761000", "o2,10,30,1634473762000", "o4,10,20,1634473764000",
-               "o6,10,10,1634473766000", "o5,10,20,1634473765000", "o3,10,20,1634473763000",
-               "o10,10,10,1634473770000"]
-VISITS = ["app1,1001,1634447599000", "app1,1001,1634451199000", "app1,1001,1634483599000",
-          "app1,1002,1634483599000", "app1,1003,1634483599000", "app1,1001,1634486359000",
-          "app1,1001,1634486400000", "app1,1001,1634486459000"]
-
-
 def _files(tmp_path, lines, per_file=1):
     d = tmp_path / f"in-{uuid.uuid4().hex[:6]}"
     d.mkdir()
@@ -87,7 +79,7 @@ def test_running_median_stream_golden(spark, tmp_path):
 def test_daily_uv_stream_trace(spark, tmp_path):
     path = _files(tmp_path, VISITS)
     visits, _ = parse_visits(_stream_lines(spark, path))
-    out = _run(daily_uv_cumulative_stream(visits, 8 * 3600 * 1000, "1 second"), "uv_stream", "append", tmp_path)
+    out = _run(daily_uv_cumulative_stream(visits, "Asia/Shanghai", "1 second"), "uv_stream", "append", tmp_path)
     got = rows(out, "day_start", "window_start", "day_uv")
     # The last second stays open while the stream runs.
     assert got == [(1634400000000, 1634447599000, 1), (1634400000000, 1634451199000, 1),
@@ -95,6 +87,81 @@ def test_daily_uv_stream_trace(spark, tmp_path):
                    (1634486400000, 1634486400000, 1)]
 
 
+def test_late_visits_at_the_boundary(spark, tmp_path):
+    """With the maximum at 9000 and a lag of 2000, the rule's watermark is 6999:
+    6998 (at or before it less 1 ms) is late; 6999 is not late by that rule, but
+    its second has closed, so it goes without making its user seen."""
+    base = 1_700_000_000_000
+    late = [f"app1,{uid},{base + at}" for uid, at in ((2, 6998), (3, 6999), (4, 7000))]
+    again = [f"app1,{uid},{base + 8000}" for uid in (2, 3, 4)]
+    lines = [f"app1,1,{base + 9000}", f"app1,1,{base + 9000}", *late, *again, f"app1,1,{base + 60_000}", f"app1,1,{base + 60_000}"]
+    visits, _ = parse_visits(_stream_lines(spark, _files(tmp_path, lines)))
+    out = _run(daily_uv_cumulative_stream(visits, "UTC", "2 seconds"), "uv_late", "append", tmp_path)
+    got = {(r.window_start - base): r.day_uv for r in out.collect()}
+    assert got[7000] == 1 and got[8000] == 3 and got[9000] == 4  # user 4 at 7 s, users 2 and 3 only at 8 s
+
+
+def test_uv_days_of_a_zone_with_dst(spark, tmp_path):
+    """New York, 2024-03-10 has 23 hours: a visit just before and just after its end."""
+    end = 1710129600000
+    lines = [f"a,1,{end - 1000}", f"a,1,{end}", f"a,1,{end + 5000}", f"a,1,{end + 60_000}", f"a,1,{end + 60_000}"]
+    visits, _ = parse_visits(_stream_lines(spark, _files(tmp_path, lines)))
+    out = _run(daily_uv_cumulative_stream(visits, "America/New_York", "1 second"), "uv_dst", "append", tmp_path)
+    assert rows(out.where(f"window_start <= {end + 5000}"), "day_start", "window_start", "day_uv") == [
+        (1710046800000, end - 1000, 1), (end, end, 1), (end, end + 5000, 1)]
+
+
+def test_top_n_stream_equals_batch_with_many_items(spark, tmp_path):
+    from tidepool.operators.topn import pv_window_count, top_n_per_window
+    beh = [f"{i % 50},{(i * 7919) % 400},1,pv,{100 + (i * 37) % 7000}" for i in range(3000)]
+    last = ["1,1,1,pv,90000"]
+    path = _files(tmp_path, beh + last, per_file=3000)
+    top = _run(top_n_stream(parse_behavior_csv(_stream_lines(spark, path)), n=5, lag="0 seconds"), "top_many", "append", tmp_path)
+    batch = top_n_per_window(pv_window_count(parse_behavior_csv(scan_text(spark, path))), 5)
+    want = [r for r in rows(batch, "window_end", "rank", "item_id", "pv") if r[0] <= 86_000_000]
+    got = [r for r in rows(top, "window_end", "rank", "item_id", "pv") if r[0] <= 86_000_000]
+    assert got == want and len(want) > 100
+
+
+def test_processing_time_sliding_stream(spark, tmp_path):
+    """Windows of 5 s that slide by 1 s: every row is in five of them."""
+    from tidepool.operators.windows import processing_time_sliding_sum
+    path = _files(tmp_path, ["a,1", "a,2", "b,5"], per_file=3)
+    out = _run(processing_time_sliding_sum(parse_word_num(_stream_lines(spark, path)), "word", "num"), "slide_pt", "update", tmp_path)
+    got = rows(out, "word", "total")
+    assert got == [("a", 3)] * 5 + [("b", 5)] * 5
+    assert all((r.window_end - r.window_start) == 5000 for r in out.collect())
+
+
+def test_supervise_restarts_from_the_checkpoint(spark, tmp_path):
+    """A query that fails once is started again after the delay and loses nothing."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from tidepool.streaming.jobs import supervise
+    path = _files(tmp_path, ["1", "2", "3", "4"], per_file=1)
+    seen, flag = [], tmp_path / "failed"
+
+    def start(always=False):
+        def write(df, n):
+            if n == 2 and (always or not flag.exists()):
+                flag.write_text("x")
+                raise RuntimeError("lost")
+            seen.extend(r.line for r in df.collect())
+        return (_stream_lines(spark, path).writeStream.foreachBatch(write).option("checkpointLocation", str(tmp_path / f"sup-{always}"))
+                .trigger(availableNow=True).start())
+
+    assert supervise(start, restarts=1, delay_s=0.1) == 1
+    assert seen == ["1", "2", "3", "4"]
+    with pytest.raises(StreamingQueryException):
+        supervise(lambda: start(True), restarts=1, delay_s=0.1)
+
+
+def test_lines_end_at_newlines_only(spark, tmp_path):
+    (tmp_path / "cr").mkdir()
+    (tmp_path / "cr" / "a.txt").write_bytes(b"a\rb c\nd\r\n")
+    assert [r.line for r in scan_text(spark, str(tmp_path / "cr")).collect()] == ["a\rb c", "d"]
+
+
 def test_day_window_stream_dst(spark, tmp_path):
     """New York, 2024-03-10 has 23 hours; the day closes when a later row
     moves the watermark past its end."""

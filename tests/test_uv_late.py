@@ -1,15 +1,8 @@
-from conftest import rows
+from conftest import ORDER_TRACE, VISITS, rows
 from tidepool.functions.parse import parse_orders, parse_visits
 from tidepool.operators.late import late_split
 from tidepool.operators.uv import daily_uv, daily_uv_cumulative, uv_bitmap, uv_running
 
-# Fixture: the UV demo's visits (app, uid, visit ms).
-VISITS = ["app1,1001,1634447599000", "app1,1001,1634451199000", "app1,1001,1634483599000",
-          "app1,1002,1634483599000", "app1,1003,1634483599000", "app1,1001,1634486359000",
-          "app1,1001,1634486400000", "app1,1001,1634486459000"]
-ORDER_TRACE = ["o1,10,10,1634473761000", "o2,10,30,1634473762000", "o4,10,20,1634473764000",
-               "o6,10,10,1634473766000", "o5,10,20,1634473765000", "o3,10,20,1634473763000",
-               "o10,10,10,1634473770000"]
 ZONE = "Asia/Shanghai"
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import java_split
 
-INT_PATTERN = "^[+-]?[0-9]+$"
+INT_PATTERN = "\\A[+-]?[0-9]+\\z"  # "$" would also match before a final line end
 
 
 def parse_int(col: Column) -> Column:

@@ -59,10 +59,15 @@ def text_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
     return (
         df.where(F.col(text_col).isNotNull() & (F.col(text_col) != ""))
         .select(F.col(id_col), F.posexplode(F.split(body, "\\n", -1)).alias("line_no", "line"))
-        .withColumn("line", F.regexp_replace("line", "\\r\\z", ""))
+        .withColumn("line", without_cr("line"))
     )
 
 
+def without_cr(col: Column | str) -> Column:
+    """A line without the one ``\\r`` that may stand before its end."""
+    return F.regexp_replace(col, "\\r\\z", "")
+
+
 def tokens(lines: DataFrame, rule: str, line_col: str = "line",
            keep: tuple[str, ...] = (), drop_blank: bool = False) -> DataFrame:
     """flatMap a line column into ``(keep..., pos, word)`` rows.

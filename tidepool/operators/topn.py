@@ -45,19 +45,6 @@ def top_n_per_window(counts: DataFrame, n: int = 5) -> DataFrame:
             .select("window_end", F.col("rank").cast("int").alias("rank"), "item_id", "pv"))
 
 
-def top_n_streaming(counts: DataFrame, n: int = 5) -> DataFrame:
-    """Streaming form (``row_number`` is not allowed on streams): a second
-    aggregation by window end keeping the top ``n`` structs. Ties as batch:
-    ``-item_id`` inside the struct makes a descending sort favour small ids.
-    """
-    best = counts.groupBy("window_end").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct(F.col("pv"), (-F.col("item_id")).alias("neg_item"))),
-                             asc=False), 1, n).alias("top"))
-    return best.select("window_end", F.posexplode("top").alias("pos", "t")).select(
-        "window_end", (F.col("pos") + 1).cast("int").alias("rank"),
-        (-F.col("t.neg_item")).alias("item_id"), F.col("t.pv").alias("pv"))
-
-
 def recent_keys(puts: DataFrame, user: str, key: str, value: str, seq: str, k: int = 3) -> DataFrame:
     """Per user, the ``k`` keys put most recently, each with its last value.
 

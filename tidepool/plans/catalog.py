@@ -47,14 +47,9 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def _t(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread=True`` for queries whose first stage is CPU-heavy
-    per row (tokenising, window expansion, row formatting): a scan narrower
-    than the cluster is then spread over it first (a no-op on large inputs,
-    see ``sources.tables.spread``). Light first stages (projection + partial
-    aggregate) and twice-scanned tables do better without it (measured)."""
-    df = TB.table(spark, sf, name)
-    return TB.spread(df) if spread else df
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A driver table."""
+    return TB.table(spark, sf, name)
 
 
 # Fixed value: Asia/Shanghai is UTC+8 with no DST after 1991, so the oracle can
@@ -70,7 +65,7 @@ SHANGHAI_MS = 8 * 3600 * 1000
 @register("scan_text", f"WITH {S.LINES} SELECT doc_id, line_no, line FROM lines")
 def q_scan_text(spark, sf):
     """Documents read as text files: one row per line."""
-    return TB.doc_lines(_t(spark, sf, "documents", spread=True))
+    return TB.doc_lines(_t(spark, sf, "documents"))
 
 
 @register("scan_behavior_csv", f"""WITH {S.BEHAVIOURS}
@@ -116,9 +111,12 @@ def q_parse_visits(spark, sf):
     return parse_visits_tagged(TB.visit_lines(_t(spark, sf, "events")), keep=("seq",))
 
 
-@register("gen_orders", None)
+@register("gen_orders", """WITH g AS (SELECT md5('42:' || o_orderkey) AS m, o_orderdate FROM orders)
+SELECT substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21, 12) AS order_id,
+  CAST(('0x' || substr(m, 1, 8))::BIGINT % 4 + 1 AS INTEGER) AS user_id,
+  CAST(('0x' || substr(m, 25, 8))::BIGINT % 100 + 1 AS INTEGER) AS money, epoch_ms(o_orderdate) AS pay_time FROM g""")
 def q_gen_orders(spark, sf):
-    """Generated orders, one per order row, from seeded hashes (rows-only)."""
+    """Generated orders, one per order row, from the md5 of its key."""
     o = _t(spark, sf, "orders")
     return generator.gen_orders_batch(o, "o_orderkey", utc_ntz_to_ms("o_orderdate"))
 
@@ -136,32 +134,32 @@ def _count_sql(rule: str, nonblank: bool = False) -> str:
 @register("word_count", _count_sql("ws_run"))
 def q_word_count(spark, sf):
     """Word count over all document lines, ``\\s+`` separator."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_run")
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "ws_run")
 
 
 @register("tokens_ws_run", f"WITH {S.tokens_cte('ws_run')} SELECT doc_id, line_no, pos, word FROM toks")
 def q_tokens_ws_run(spark, sf):
     """The ``\\s+`` tokenizer's output rows (flatMap)."""
-    return tokens(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_run", keep=("doc_id", "line_no"))
+    return tokens(TB.doc_lines(_t(spark, sf, "documents")), "ws_run", keep=("doc_id", "line_no"))
 
 
 @register("tokens_ws_single", _count_sql("ws_single"))
 def q_tokens_ws_single(spark, sf):
     """Word count with the single ``\\s`` separator (empty tokens counted)."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "ws_single")
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "ws_single")
 
 
 @register("tokens_nonblank", _count_sql("ws_single", nonblank=True))
 def q_tokens_nonblank(spark, sf):
     """Word count with ``\\s`` and blank tokens dropped."""
-    lines = TB.doc_lines(_t(spark, sf, "documents", spread=True))
+    lines = TB.doc_lines(_t(spark, sf, "documents"))
     return wordcount.word_count(lines, "ws_single", drop_blank=True)
 
 
 @register("tokens_space", _count_sql("space"))
 def q_tokens_space(spark, sf):
     """Word count with a literal space separator (tabs stay inside words)."""
-    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents", spread=True)), "space")
+    return wordcount.word_count(TB.doc_lines(_t(spark, sf, "documents")), "space")
 
 
 @register("running_count", """SELECT event_id AS seq, event_type AS word,
@@ -204,7 +202,7 @@ FROM lines""")
 def q_str_funcs(spark, sf):
     """String helpers per document line: trim-empty test, Java split sizes,
     case-insensitive compare, formatting."""
-    lines = TB.doc_lines(_t(spark, sf, "documents", spread=True))
+    lines = TB.doc_lines(_t(spark, sf, "documents"))
     single = java_split("line", "ws_single")
     first = F.get(single, 0)
     return lines.select(
@@ -296,7 +294,7 @@ SELECT c_custkey, c_name,
   round(CASE WHEN last IN ('7', '3', '5') THEN 0.0 ELSE m + 0.5 END, 6) AS lat
 FROM c""")
 def q_enrich_lookup(spark, sf):
-    """Customers geocoded by address through a per-key lookup service."""
+    """Customers geocoded by address through a per-key lookup service (a stub: no service may be called here)."""
     c = _t(spark, sf, "customer").select("c_custkey", "c_name")
     out = enrich.enrich_lookup(c, "c_name", table_geocoder)
     return out.select("c_custkey", "c_name", "title", F.round("lng", 6).alias("lng"), F.round("lat", 6).alias("lat"))
@@ -324,7 +322,7 @@ w AS (SELECT word, num, t - (t % 1000) - 1000 * unnest(range(5)) AS window_start
 SELECT word, window_start, window_start + 5000 AS window_end, CAST(sum(num) AS BIGINT) AS total FROM w GROUP BY ALL""")
 def q_sliding_sum(spark, sf):
     """Sliding 5 s / 1 s sums per word on event time."""
-    e = _t(spark, sf, "events", spread=True).select(
+    e = _t(spark, sf, "events").select(
         F.col("event_type").alias("word"), utc_ntz_to_ms("ts").alias("t"),
         F.get_json_object("props", "$.k").cast("bigint").alias("num"))
     return windows.sliding_sum(e, "word", "t", "num", "5 seconds", "1 second")
@@ -359,7 +357,7 @@ SELECT user_id, window_start, window_start + 5000 AS window_end, count(*) AS n_o
 FROM w GROUP BY user_id, window_start""")
 def q_window_rows(spark, sf):
     """Per user and 5 s window: the rows as text in arrival order, and the money."""
-    return windows.window_rows(TB.orders_records(_t(spark, sf, "orders", spread=True)), 5000, "UTC")
+    return windows.window_rows(TB.orders_records(_t(spark, sf, "orders")), 5000, "UTC")
 
 
 @register("window_money", f"""WITH {S.ORDERS}
@@ -404,9 +402,7 @@ SELECT 'late' AS kind, user_id, window_start, window_end, CAST(1 AS BIGINT) AS n
 def q_late_split_events(spark, sf):
     """1 min windows, 10 min watermark lag, over events arriving out of order
     (derived arrival); only rows of already-closed windows are late."""
-    # seq packs (arrival, event_id) as arrival * 2^20 + event_id: 2^40 = 2^20 arrivals per chunk
-    return late.late_split(TB.events_as_orders(_t(spark, sf, "events")), 60_000, 600_000, 0, "UTC",
-                           chunk_span=1 << 40)
+    return late.late_split(TB.events_as_orders(_t(spark, sf, "events")), 60_000, 600_000, 0, "UTC")
 
 
 # ---------------------------------------------------------------------------

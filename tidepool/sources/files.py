@@ -7,19 +7,39 @@ CSV source), so the same job functions apply to either mode.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepool.functions.parse import parse_behavior_csv
-
+from tidepool.functions.text import text_lines, without_cr
 
 def scan_text(spark: SparkSession, path: str, stream: bool = False,
-              max_files_per_trigger: int | None = None) -> DataFrame:
-    """One row per line of a file or of every file in a directory."""
-    if stream:
-        reader = spark.readStream.format("text")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.load(path).withColumnRenamed("value", "line")
-    return spark.read.text(path).withColumnRenamed("value", "line")
+              max_files_per_trigger: int | None = None, arrival: bool = False) -> DataFrame:
+    """One row per line of a file or of every file in a directory.
+
+    Lines end at ``\\n``; one ``\\r`` before it is not part of the line, a lone
+    ``\\r`` inside a line is (the rule of ``functions.text.text_lines``).
+
+    ``arrival`` adds ``arrived``, the file's modification time (epoch ms), and
+    ``line_no``, the line's number in it, for ``with_seq``; files are then read
+    whole, each by one task.
+    """
+    reader = spark.readStream if stream else spark.read
+    reader = reader.format("text").option("wholetext", arrival).option("lineSep", "\n")
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = reader.load(path)
+    if not arrival:
+        return lines.select(without_cr("value").alias("line"))
+    files = lines.select(F.unix_millis("_metadata.file_modification_time").alias("arrived"), "value")
+    return text_lines(files, "value", "arrived").select("line", "arrived", "line_no")
+
+
+def with_seq(rows: DataFrame, *within: str) -> DataFrame:
+    """``rows`` of lines with ``arrived`` and ``line_no``, or of what was made of
+    them, with ``seq`` instead: a text that sorts in order of arrival, by file
+    time, line and the columns ``within`` a line."""
+    parts = ["arrived", "line_no", *within]
+    return rows.withColumn("seq", F.format_string("-".join(["%015d", "%012d", *["%09d"] * len(within)]), *parts)).drop("arrived", "line_no")
 
 
 def scan_behavior_csv(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:

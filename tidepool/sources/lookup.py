@@ -1,10 +1,10 @@
 """Lookup sources for enrichment.
 
 ``jdbc_dimension`` reads a dimension table once per batch (a set join
-instead of one query per record). ``table_geocoder`` is an in-process
-stand-in for an HTTP geocoding service: it answers from the address text
-alone, deterministically, and covers the failure shapes a real service
-returns (bad JSON, no ``result``, no ``location``).
+instead of one query per record). ``table_geocoder`` is a stub, for tests and the
+registered query, where no service may be called: it answers from the address
+text alone and covers the failure shapes a real HTTP geocoding service returns
+(bad JSON, no ``result``, no ``location``).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ _DIGITS = re.compile(r"([0-9]+)$")
 
 
 def table_geocoder(address: str) -> str | None:
-    """Deterministic geocoding reply for an address.
+    """Stub: a deterministic geocoding reply for an address.
 
     Rules: last digit 7 -> not JSON; 3 -> no ``result``; 5 -> no ``location``;
     otherwise title = upper-cased address, lng = 100 + length / 100,

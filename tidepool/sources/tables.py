@@ -32,23 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Spread rows over the cluster when the input offers too little parallelism.
-
-    For CPU-heavy per-row work (tokenising text). A large input already has
-    many more splits than cores and is returned unchanged (no extra shuffle);
-    a small or unsplittable one (e.g. a file with one row group) is
-    round-robin repartitioned to ``factor`` x the default parallelism. The
-    check is made at plan time and runs no job.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism * factor
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # no RDD access (e.g. a Connect session): leave the plan alone
-        return df
-    return df.repartition(target) if narrow else df
-
-
 # ---- record adapters ----------------------------------------------------------
 
 def doc_lines(documents: DataFrame) -> DataFrame:

@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidepool.functions.timefmt import day_start_ms, next_day_start_ms
 from tidepool.operators import wordcount
 from tidepool.operators.topn import filter_event
 from tidepool.operators.windows import window_agg, window_header, with_event_ts
 from tidepool.session import ship_package, subdir
 from tidepool.streaming.processors import (
     CountWindowProcessor, DayCountProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor,
-    RunningMedianProcessor,
+    RunningMedianProcessor, TopNProcessor,
 )
 
 
@@ -43,34 +44,47 @@ def tumbling_sum_stream(records: DataFrame, key: str, ms_col: str, value: str, s
     return window_agg(df, [key], "event_ts", size, None, [F.sum(value).cast("bigint").alias("total")])
 
 
-def _top_structs(pv: str, item: str) -> F.Column:
-    return F.struct(F.col(pv), (-F.col(item)).alias("neg_item"))
+TOP_SCHEMA = "window_end long, rank int, item_id long, pv long"
 
 
 def top_n_stream(behaviours: DataFrame, n: int = 5, lag: str = "1 minute", size: str = "1 hour",
-                 slide: str = "5 minutes", buckets: int = 1) -> DataFrame:
-    """Hot items: sliding-window page views, then top ``n`` per window, as
-    chained aggregations (``append``). Ties: pv desc, item id asc.
-
-    With ``buckets > 1`` an intermediate stage keeps the top ``n`` per
-    (window, item hash bucket), so the final stage merges ``buckets * n``
-    candidates per window instead of every item of the window.
+                 slide: str = "5 minutes", buckets: int = 16) -> DataFrame:
+    """Hot items: sliding-window page views, then top ``n`` per window (``append``).
+    Ties: pv desc, item id asc.
+
+    The counts of a closed window go, by item hash, to ``buckets`` processors
+    that keep the best ``n`` of what they see (state of ``n`` rows, emitted by
+    a timer), and one processor per window does the same with their
+    ``buckets * n`` candidates.
     """
+    ship_package(behaviours.sparkSession)
     pv = (filter_event(behaviours).withColumn("event_ts", F.timestamp_seconds("event_time"))
           .withWatermark("event_ts", lag))
     counts = pv.groupBy(F.window("event_ts", size, slide).alias("window"), "item_id").agg(
         F.count(F.lit(1)).alias("pv"))
-    if buckets > 1:
-        part = counts.groupBy("window", F.pmod(F.xxhash64("item_id"), F.lit(buckets)).alias("bucket")).agg(
-            F.slice(F.sort_array(F.collect_list(_top_structs("pv", "item_id")), asc=False), 1, n).alias("top"))
-        best = part.groupBy("window").agg(
-            F.slice(F.sort_array(F.flatten(F.collect_list("top")), asc=False), 1, n).alias("top"))
-    else:
-        best = counts.groupBy("window").agg(
-            F.slice(F.sort_array(F.collect_list(_top_structs("pv", "item_id")), asc=False), 1, n).alias("top"))
-    return best.select(F.unix_millis("window.end").alias("window_end"), F.posexplode("top").alias("pos", "t")).select(
-        "window_end", (F.col("pos") + 1).cast("int").alias("rank"), (-F.col("t.neg_item")).alias("item_id"),
-        F.col("t.pv").alias("pv"))
+    counts = counts.select(F.unix_millis("window.end").alias("window_end"), F.col("item_id").cast("long").alias("item_id"), "pv",
+                           F.pmod(F.xxhash64("item_id"), F.lit(buckets)).alias("bucket"))
+    part = counts.groupBy("window_end", "bucket").transformWithStateInPandas(
+        TopNProcessor(n), TOP_SCHEMA + ", et timestamp", "append", "EventTime", eventTimeColumnName="et")
+    return part.select("window_end", "item_id", "pv").groupBy("window_end").transformWithStateInPandas(
+        TopNProcessor(n, with_time=False), TOP_SCHEMA, "append", "EventTime")
+
+
+def supervise(start, restarts: int = 1, delay_s: float = 10.0) -> int:
+    """Run ``start()``'s query to its end; after a failure start it again from
+    its checkpoint, ``restarts`` times at most, ``delay_s`` apart (a fixed-delay
+    restart strategy). Returns the restarts used; the last failure is raised."""
+    import time
+
+    from pyspark.errors import StreamingQueryException
+    for used in range(restarts + 1):
+        try:
+            start().awaitTermination()
+            return used
+        except StreamingQueryException:
+            if used == restarts:
+                raise
+            time.sleep(delay_s)
 
 
 def count_window_stream(records: DataFrame, key: str = "word", seq: str = "seq", value: str = "num",
@@ -121,7 +135,6 @@ def day_window_stream(records: DataFrame, key: str, ms_col: str, zone: str, lag:
     ``(key, window_start, window_end, cnt)``. For fixed-offset zones
     ``streaming_day_window_col`` with a plain aggregation does the same."""
     ship_package(records.sparkSession)
-    from tidepool.functions.timefmt import day_start_ms, next_day_start_ms
     df = (with_event_ts(records, ms_col, "_et").withWatermark("_et", lag).drop("_et")
           .select(key, day_start_ms(ms_col, zone).alias("day_start"), next_day_start_ms(ms_col, zone).alias("day_end")))
     key_type = records.schema[key].dataType.simpleString()
@@ -149,9 +162,10 @@ FLAG_SCHEMA = "app_id string, day_start long, uid long, visit_time long, flag in
 TOTAL_SCHEMA = "app_id string, day_start long, window_start long, day_uv long"
 
 
-def daily_uv_cumulative_stream(visits: DataFrame, zone_offset_ms: int = 0, lag: str = "1 second",
+def daily_uv_cumulative_stream(visits: DataFrame, zone: str = "UTC", lag: str = "1 second",
                                buckets: int = 1000) -> DataFrame:
-    """Running daily UV per app at every closed 1 s window (three stages).
+    """Running daily UV per app at every closed 1 s window (three stages);
+    days are those of ``zone``, by name or offset, DST included.
 
     1. first-visit flags keyed by ``(app_id, uid % buckets)`` — a hot app is
        spread over ``buckets`` state keys;
@@ -163,8 +177,9 @@ def daily_uv_cumulative_stream(visits: DataFrame, zone_offset_ms: int = 0, lag:
     ship_package(visits.sparkSession)
     v = (with_event_ts(visits, "visit_time", "vt").withWatermark("vt", lag).drop("vt")
          .withColumn("part_id", F.col("uid") % F.lit(buckets)))
-    flags = v.select("app_id", "part_id", "uid", "visit_time").groupBy("app_id", "part_id") \
-        .transformWithStateInPandas(FirstVisitProcessor(zone_offset_ms), FLAG_SCHEMA, "append", "EventTime",
+    days = [day_start_ms("visit_time", zone).alias("day_start"), next_day_start_ms("visit_time", zone).alias("day_end")]
+    flags = v.select("app_id", "part_id", "uid", "visit_time", *days).groupBy("app_id", "part_id", "day_start", "day_end") \
+        .transformWithStateInPandas(FirstVisitProcessor(), FLAG_SCHEMA, "append", "EventTime",
                                     eventTimeColumnName="et")
     per_sec = flags.groupBy("app_id", "day_start", F.window("et", "1 second").alias("w")).agg(
         F.sum("flag").cast("bigint").alias("new_users"))

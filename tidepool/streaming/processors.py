@@ -14,12 +14,23 @@ by an event-time timer once the day can no longer receive rows.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-DAY_MS = 86_400_000
+
+
+def sorted_rows(rows: Iterator[pd.DataFrame], columns: list[str], by: str) -> Iterator[tuple]:
+    """A key's rows of the micro-batch in order of ``by``: of each pandas block
+    only ``columns`` are kept, as arrays, until the last block is read."""
+    kept = [[b[c].to_numpy() for c in columns] for b in rows]
+    arrays = [np.concatenate(c) for c in zip(*kept)]
+    order = np.argsort(arrays[columns.index(by)], kind="stable")
+    for i in order:
+        yield tuple(a[i] for a in arrays)
 
 
 class CountWindowProcessor(StatefulProcessor):
@@ -38,8 +49,7 @@ class CountWindowProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         cnt, total, wins = self.state.get() if self.state.exists() else (0, 0, 0)
         out = []
-        batch = pd.concat(list(rows)).sort_values(self.seq_col, kind="stable")
-        for v in batch[self.value_col].tolist():
+        for _, v in sorted_rows(rows, [self.seq_col, self.value_col], self.seq_col):
             cnt, total = cnt + 1, total + int(v)
             if cnt == self.n:
                 out.append((key[0], wins, total))
@@ -59,100 +69,131 @@ class LateSplitProcessor(StatefulProcessor):
     must be dropped before this operator, otherwise Spark filters rows of
     still-open windows). A row is late when ``window_end + lateness <=
     watermark``; otherwise it joins its window, which is emitted by a timer at
-    ``window_end + lateness``.
+    ``window_end + lateness``. A window's rows are single entries of its state
+    (window, position), so a row is written once, however many come after it.
     Output: ``kind, user_id, window_start, window_end, n_orders, money, rows``.
     """
 
     COLS = ["kind", "user_id", "window_start", "window_end", "n_orders", "money", "rows"]
+    FIELDS = ["seq", "order_id", "user_id", "money", "pay_time"]
 
     def __init__(self, size_ms: int = 5000, lateness_ms: int = 0):
         self.size_ms, self.lateness_ms = size_ms, lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.windows = handle.getMapState("windows", "start long", "n long, money long, rows string")
-
-    @staticmethod
-    def _text(r) -> str:
-        return (f"Order(orderId={r.order_id}, userId={int(r.user_id)}, money={int(r.money)}, "
-                f"payTime={int(r.pay_time)})")
+        self.windows = handle.getMapState("windows", "start long", "n long, money long")
+        self.rows = handle.getMapState("rows", "start long, at long", "row string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        out = []
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        for r in batch.itertuples(index=False):
-            t = int(r.pay_time)
+        out, changed = [], {}
+        for _, order_id, user_id, money, pay_time in sorted_rows(rows, self.FIELDS, "seq"):
+            t = int(pay_time)
             start = t - t % self.size_ms
             end = start + self.size_ms
+            text = f"Order(orderId={order_id}, userId={int(user_id)}, money={int(money)}, payTime={t})"
             if end + self.lateness_ms <= wm:
-                out.append(("late", int(key[0]), start, end, 1, int(r.money), self._text(r)))
+                out.append(("late", int(key[0]), start, end, 1, int(money), text))
                 continue
-            k = (start,)
-            if self.windows.containsKey(k):
-                n, money, text = self.windows.getValue(k)
-            else:
-                n, money, text = 0, 0, ""
-                self.handle.registerTimer(end + self.lateness_ms)
-            self.windows.updateValue(k, (int(n) + 1, int(money) + int(r.money), text + self._text(r) + ":"))
+            if start not in changed:
+                known = self.windows.containsKey((start,))
+                changed[start] = tuple(map(int, self.windows.getValue((start,)))) if known else (0, 0)
+                if not known:
+                    self.handle.registerTimer(end + self.lateness_ms)
+            n, total = changed[start]
+            self.rows.updateValue((start, n), (text,))
+            changed[start] = (n + 1, total + int(money))
+        for start, counts in changed.items():
+            self.windows.updateValue((start,), counts)
         if out:
             yield pd.DataFrame(out, columns=self.COLS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start = expiredTimerInfo.getExpiryTimeInMs() - self.lateness_ms - self.size_ms
-        k = (int(start),)
-        if self.windows.containsKey(k):
-            n, money, text = self.windows.getValue(k)
-            self.windows.removeKey(k)
-            yield pd.DataFrame([("window", int(key[0]), int(start), int(start) + self.size_ms, int(n), int(money),
-                                 text)], columns=self.COLS)
+        start = int(expiredTimerInfo.getExpiryTimeInMs() - self.lateness_ms - self.size_ms)
+        if self.windows.containsKey((start,)):
+            n, money = map(int, self.windows.getValue((start,)))
+            self.windows.removeKey((start,))
+            texts = []
+            for at in range(n):
+                texts.append(self.rows.getValue((start, at))[0])
+                self.rows.removeKey((start, at))
+            yield pd.DataFrame([("window", int(key[0]), start, start + self.size_ms, n, money,
+                                 "".join(f"{t}:" for t in texts))], columns=self.COLS)
 
     def close(self) -> None:
         pass
 
 
-class FirstVisitProcessor(StatefulProcessor):
-    """Stage 1 of cumulative UV, keyed by ``(app_id, part_id)``.
+class TopNProcessor(StatefulProcessor):
+    """The best ``n`` of a closed window's counts: pv desc, item id asc.
 
-    Emits every visit with ``flag`` 1 when it is the user's first that local
-    day, else 0. A visit at or before ``watermark - 1 ms`` (already closed
-    second) is dropped as late. Seen users are kept per day and cleared by a
-    timer at the end of the day.
-    Output: ``app_id, day, uid, visit_time, flag, et`` (``et`` = event time).
+    The counts of a window leave the aggregation in the one micro-batch that
+    closes it, so nothing is kept between batches; within one, a heap of
+    ``n`` rows is. Output: ``window_end, rank, item_id, pv`` (and ``et``, the
+    last instant of the window, for a stage that follows).
     """
 
-    def __init__(self, zone_offset_ms: int = 0):
-        self.offset = zone_offset_ms
+    def __init__(self, n: int = 5, with_time: bool = True):
+        self.n, self.with_time = n, with_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best: list[tuple[int, int]] = []
+        for block in rows:
+            best = heapq.nlargest(self.n, [*best, *zip(block["pv"].tolist(), (-block["item_id"]).tolist())])
+        end = int(key[0])
+        out = pd.DataFrame([(end, i + 1, -neg, pv) for i, (pv, neg) in enumerate(best)],
+                           columns=["window_end", "rank", "item_id", "pv"])
+        if self.with_time:
+            out["et"] = pd.Timestamp(end - 1, unit="ms", tz="UTC")
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+class FirstVisitProcessor(StatefulProcessor):
+    """Stage 1 of cumulative UV, keyed by ``(app_id, part_id, day_start, day_end)``.
+
+    Emits every visit with ``flag`` 1 when it is the user's first that day,
+    else 0. Spark's watermark is ``max - lag``, one more than the rule's (which
+    drops a visit at or before its watermark less 1 ms): a visit is late when
+    ``visit + 2 <= watermark``. One whose second has closed cannot be counted
+    any more; it is dropped too, and does not make its user seen. Seen users
+    of the day are cleared, all at once, by a timer at its end.
+    Output: ``app_id, day_start, uid, visit_time, flag, et`` (``et`` = event time).
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "day_start long, uid long", "flag int")
+        self.seen = handle.getMapState("seen", "uid long", "flag int")
+        self.open = handle.getValueState("open", "flag int")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         out = []
-        batch = pd.concat(list(rows)).sort_values("visit_time", kind="stable")
-        for r in batch.itertuples(index=False):
-            t = int(r.visit_time)
-            if t + 1 <= wm:
-                continue  # late visit: the process function drops it
-            local = t + self.offset
-            day_start = local - local % DAY_MS - self.offset
-            k = (int(day_start), int(r.uid))
+        for t, uid in sorted_rows(rows, ["visit_time", "uid"], "visit_time"):
+            t, uid = int(t), int(uid)
+            last = t - t % 1000 + 999
+            if t + 2 <= wm or last <= wm:
+                continue
+            if not self.open.exists():
+                self.open.update((1,))
+                self.handle.registerTimer(int(key[3]))
             flag = 0
-            if not self.seen.containsKey(k):
-                self.seen.updateValue(k, (1,))
-                self.handle.registerTimer(day_start + DAY_MS)
+            if not self.seen.containsKey((uid,)):
+                self.seen.updateValue((uid,), (1,))
                 flag = 1
-            out.append((key[0], int(day_start), int(r.uid), t, flag, pd.Timestamp(t, unit="ms", tz="UTC")))
+            out.append((key[0], int(key[2]), uid, t, flag, pd.Timestamp(last, unit="ms", tz="UTC")))
         if out:
             yield pd.DataFrame(out, columns=["app_id", "day_start", "uid", "visit_time", "flag", "et"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        ended = expiredTimerInfo.getExpiryTimeInMs() - DAY_MS
-        for k in list(self.seen.keys()):
-            if int(k[0]) <= ended:
-                self.seen.removeKey((int(k[0]), int(k[1])))
+        self.seen.clear()
+        self.open.clear()
         return iter([])
 
     def close(self) -> None:
@@ -161,7 +202,10 @@ class FirstVisitProcessor(StatefulProcessor):
 
 class DayTotalProcessor(StatefulProcessor):
     """Stage 3 of cumulative UV, keyed by ``app_id``: running total per day
-    over the per-second flag sums. Day totals are cleared at day end."""
+    over the per-second flag sums. A day's total is cleared once its longest
+    possible length (25 hours) has passed."""
+
+    KEPT_MS = 25 * 3600 * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -169,20 +213,19 @@ class DayTotalProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         out = []
-        batch = pd.concat(list(rows)).sort_values("window_start", kind="stable")
-        for r in batch.itertuples(index=False):
-            k = (int(r.day_start),)
+        for start, day, new_users in sorted_rows(rows, ["window_start", "day_start", "new_users"], "window_start"):
+            k = (int(day),)
             total = int(self.totals.getValue(k)[0]) if self.totals.containsKey(k) else 0
             if total == 0 and not self.totals.containsKey(k):
-                self.handle.registerTimer(int(r.day_start) + DAY_MS + 1000)
-            total += int(r.new_users)
+                self.handle.registerTimer(int(day) + self.KEPT_MS + 1000)
+            total += int(new_users)
             self.totals.updateValue(k, (total,))
-            out.append((key[0], int(r.day_start), int(r.window_start), total))
+            out.append((key[0], int(day), int(start), total))
         if out:
             yield pd.DataFrame(out, columns=["app_id", "day_start", "window_start", "day_uv"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        day = expiredTimerInfo.getExpiryTimeInMs() - DAY_MS - 1000
+        day = expiredTimerInfo.getExpiryTimeInMs() - self.KEPT_MS - 1000
         if self.totals.containsKey((int(day),)):
             self.totals.removeKey((int(day),))
         return iter([])
@@ -210,11 +253,10 @@ class RunningMedianProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         from tidepool.operators.order_stats import RunningMedian
 
-        batch = pd.concat(list(rows)).sort_values(self.seq_col, kind="stable")
         med = RunningMedian.from_counts({float(k[0]): int(v[0]) for k, v in self.hist.iterator()})
         out = []
         touched = set()
-        for seq, x in zip(batch[self.seq_col].tolist(), batch[self.value_col].tolist()):
+        for seq, x in sorted_rows(rows, [self.seq_col, self.value_col], self.seq_col):
             x = float(x)
             touched.add(x)
             out.append((key[0], int(seq), x, med.add(x)))
@@ -245,8 +287,10 @@ class DayCountProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        batch = pd.concat(list(rows))
-        counts = batch.groupby(["day_start", "day_end"]).size()
+        counts: dict[tuple[int, int], int] = {}
+        for block in rows:
+            for day, n in block.groupby(["day_start", "day_end"]).size().items():
+                counts[day] = counts.get(day, 0) + n
         for (start, end), n in counts.items():
             start, end = int(start), int(end)
             if end <= wm:
