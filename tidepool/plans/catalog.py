@@ -283,7 +283,7 @@ def q_join_dim_lookup(spark, sf):
     """Orders enriched with customer name and segment (left lookup, miss -> '')."""
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = _t(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    return enrich.dim_lookup(o, c, "o_custkey", ["c_name", "c_mktsegment"], default="", unique=True)
+    return enrich.dim_lookup(o, c, "o_custkey", ["c_name", "c_mktsegment"], default="")
 
 
 @register("enrich_lookup", """WITH c AS (SELECT c_custkey, c_name, right(c_name, 1) AS last,
