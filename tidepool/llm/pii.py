@@ -7,8 +7,8 @@ non-overlapping per kind.
 Disguises are undone by two transducers that keep, for every character they
 emit, the source characters it stands for: the first maps homoglyphs and other
 scripts' digits to ASCII one to one and drops zero-width characters; the
-second rewrites tokens ("[at]", "(dot)", "x at y dot com", runs of spelled
-digits). The same patterns then run on the normalised text, and each hit that
+second rewrites tokens ("[at]", "(dot)", "x at y dot com", "x @ y . com", runs
+of spelled digits). The same patterns then run on the normalised text, and each hit that
 holds a rewritten character is mapped back to its source span and added,
 unless it lies in a base span of its kind. Base spans always stay.
 
@@ -122,17 +122,27 @@ ODD_CHAR = re.compile(classed(CHARS))
 # Digit names.
 DIGIT_NAMES = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
                "eight": "8", "nine": "9"}
+# Words for the at sign and the dot (English, German, Spanish, French).
+AT_WORDS = "at|arroba|arobase"
+DOT_WORDS = "dot|punkt|punto|point"
 NAME = "|".join(DIGIT_NAMES)
-BRACKET_AT = r"[ ]?[\[({<][ ]?at[ ]?[\])}>][ ]?"
-BRACKET_DOT = r"[ ]?[\[({<][ ]?(?:dot|punkt|punto|point)[ ]?[\])}>][ ]?"
-PLAIN = (r"(?<=[A-Za-z0-9])(?P<plain_at> at )(?=[A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63}){1,4}(?![A-Za-z0-9]))")
+OPEN, CLOSE = r"[ ]?[\[({<][ ]?", r"[ ]?[\])}>][ ]?"
+LABEL = "[A-Za-z0-9-]{1,63}"
+# "x at y dot com" needs both words; " @ " stands alone, its dots may be spaced.
+WORDED = rf"{LABEL}(?: (?:{DOT_WORDS}) {LABEL}){{1,4}}(?![A-Za-z0-9])"
+SPACED = rf"{LABEL}(?:(?: (?:{DOT_WORDS}) | \. |\.){LABEL}){{1,4}}(?![A-Za-z0-9])"
 TOKENS = re.compile(
-    rf"(?P<at>{BRACKET_AT})|(?P<dot>{BRACKET_DOT})|{PLAIN}"
-    rf"|(?P<digits>(?<![A-Za-z0-9])(?:plus )?(?:(?:{NAME})(?![A-Za-z])|[0-9])(?:[ -]?(?:(?<![A-Za-z])(?:{NAME})(?![A-Za-z])|dot(?![A-Za-z])|point(?![A-Za-z])|[0-9])){{3,}})",
+    rf"(?P<at>{OPEN}(?:{AT_WORDS}){CLOSE})|(?P<dot>{OPEN}(?:{DOT_WORDS}){CLOSE})"
+    rf"|(?<=[A-Za-z0-9])(?P<plain_at> (?:(?:{AT_WORDS}) (?={WORDED})|@ (?={SPACED})))"
+    rf"|(?P<digits>(?<![A-Za-z0-9])(?:plus )?(?:(?:{NAME})(?![A-Za-z])|[0-9])"
+    rf"(?:[ -]?(?:(?<![A-Za-z])(?:{NAME})(?![A-Za-z])|dot(?![A-Za-z])|point(?![A-Za-z])|[0-9])){{3,}})",
+    re.IGNORECASE)
+DOMAIN_AHEAD = re.compile(f"{WORDED}|{SPACED}", re.IGNORECASE)
+TRIGGER = re.compile(
+    rf"[\[({{<] ?(?:{AT_WORDS}|{DOT_WORDS}) ?[\])}}>]| (?:{AT_WORDS}) {LABEL} (?:{DOT_WORDS}) | @ |(?<![A-Za-z])(?:{NAME})(?:[ -]|$)",
     re.IGNORECASE)
-TRIGGER = re.compile(rf"[\[({{<] ?(?:at|dot|punkt|punto|point) ?[\])}}>]| at [A-Za-z0-9-]{{1,63}} dot |(?<![A-Za-z])(?:{NAME})(?:[ -]|$)", re.IGNORECASE)
 SPELLED = re.compile(rf"(?P<plus>plus )|(?P<name>{NAME})|(?P<dot>[ ]?(?:dot|point)[ ]?)|(?P<other>.)", re.IGNORECASE | re.DOTALL)
-DOT_WORD = re.compile(r" dot (?=[A-Za-z0-9-])", re.IGNORECASE)
+DOT_WORD = re.compile(rf" (?:{DOT_WORDS}|\.) (?=[A-Za-z0-9-])", re.IGNORECASE)
 
 
 class Tape:
@@ -185,7 +195,7 @@ def normalise_tokens(tape: Tape) -> Tape:
         if m["at"] or m["plain_at"]:
             swap("@", m.start(), m.end())
             if m["plain_at"]:
-                rest = re.compile(r"[A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63}){1,4}", re.IGNORECASE).match(text, at)
+                rest = DOMAIN_AHEAD.match(text, at)
                 dots_until = rest.end() if rest else 0
         elif m["dot"]:
             swap(".", m.start(), m.end())

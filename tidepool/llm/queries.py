@@ -57,4 +57,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_decontaminate": sql.OP1, "op2_mix_sources": sql.OP2, "op3_line_dedup": sql.OP3,
-                              "op7_substring_dedup": sql.OP7, "op10_warc": sql.OP10}
+                              "op7_substring_dedup": sql.OP7, "op9_jaccard": sql.OP9, "op10_warc": sql.OP10}

@@ -81,6 +81,22 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+OP9 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT a AS x, b AS y FROM link UNION SELECT r.x, l.b FROM reach r JOIN link l ON r.y = l.a),
+low AS (SELECT x, min(y) AS y FROM reach GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN low ON d.doc_id = low.x
+"""
+
 OP10 = r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hexed FROM pages),
