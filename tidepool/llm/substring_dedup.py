@@ -42,7 +42,7 @@ from tidepool.session import ship_package
 
 NO_ID = -(2 ** 63)
 PART_BITS = 22  # cells per part of a sketch row
-FLUSH = 2_000_000  # windows held before a task sends them on
+FLUSH = 1_000_000  # windows held before a task sends them on
 
 
 def sketch_bits(text_bytes: int, max_cells: int) -> int:
@@ -94,7 +94,7 @@ def sketch(docs: DataFrame, n: int, bits: int) -> dict[int, bytes]:
                 pair, _, _ = window_hashes(words, n)
                 held.append(cells_of(pair, bits))
                 size += len(pair[0])
-                if size >= 2 * FLUSH:
+                if size >= FLUSH:
                     yield sent(held)
                     held, size = [], 0
         if size:
@@ -137,6 +137,7 @@ def opened(shared, bits: int) -> list[np.ndarray]:
         for part, blob in shared.value["bits"].items():
             row, p = divmod(part, parts)
             rows[row][p * size:(p + 1) * size] = np.frombuffer(zstandard.decompress(blob), np.uint8)
+        shared.value["bits"].clear()  # this worker's copy
         _OPEN[shared.value["id"]] = rows
     return _OPEN[shared.value["id"]]
 
@@ -237,6 +238,7 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: dict[int, bytes],
             yield settle(held)
 
     def group(batches):
+        _OPEN.clear()  # a worker that scanned before has no use for the sketch here
         at, held = None, []
         for batch in batches:
             for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -268,7 +270,7 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: dict[int, bytes],
     return entries.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(group, "row long, start int, stop int")
 
 
-def removed_windows(docs: DataFrame, n: int = 13, max_cells: int = 1 << 29, shard_bytes: int = 64 << 20) -> DataFrame:
+def removed_windows(docs: DataFrame, n: int = 13, max_cells: int = 1 << 29, shard_bytes: int = 32 << 20) -> DataFrame:
     """(row, starts, stops): for each row with repeated windows, their position ranges, staged."""
     ship_package(docs.sparkSession)
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
