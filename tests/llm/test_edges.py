@@ -84,7 +84,8 @@ def test_jaccard_blocks_in_parts(spark, part_tokens):
             words = [*words[:i * 6], f"n{g}_{i}", *words[i * 6 + 1:]]
             rows.append((g * 100 + i, " ".join(words), "en", "s"))
     rows += [(900 + i, prose(60, 46) + " " + prose(200 + i, 20), "en", "s") for i in range(20)]  # a passage shared by many
-    got = jaccard.report(docs_frame(spark, rows), part_tokens=part_tokens, max_broadcast_rows=0 if part_tokens == 1 else 1000)
+    got = jaccard.report(docs_frame(spark, rows), part_tokens=part_tokens, max_broadcast_rows=0 if part_tokens == 1 else 1000,
+                         max_broadcast_tokens=0 if part_tokens == 1 else 1000)
     assert canon(got.collect()) == canon(brute.joined([(i, t) for i, t, _, _ in rows]))
 
 
