@@ -320,14 +320,20 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
 
 
-def aligned_blocks(pages: DataFrame) -> DataFrame:
-    """The columns of BLOCKS, one row per page, nodes named by the host's reference page."""
+def aligned_blocks(pages: DataFrame, max_broadcast_bytes: int = 32 << 20) -> DataFrame:
+    """The columns of BLOCKS, one row per page, nodes named by the host's reference page.
+
+    The reference pages are broadcast if they have ``max_broadcast_bytes`` in
+    all at most; else pages and references meet in a shuffled join.
+    """
     ship_package(pages.sparkSession)
     hosted = with_host(pages)
     first = hosted.groupBy("host").agg(F.min("page_id").alias("page_id"))
     refs = stage(hosted.join(first.withColumnRenamed("host", "ref_host"),
                              (F.col("host") == F.col("ref_host")) & hosted["page_id"].eqNullSafe(first["page_id"]))
                  .groupBy("host").agg(F.min("html").alias("ref_html")), "references")
+    size = refs.agg(F.sum(F.octet_length("ref_html") + F.octet_length("host"))).first()[0] or 0
+    side = F.broadcast(refs) if size <= max_broadcast_bytes else refs
 
     def run(batches):
         known: dict[str, Shape] = {}
@@ -350,7 +356,7 @@ def aligned_blocks(pages: DataFrame) -> DataFrame:
         made["blocks"] = [[dict(zip(("region", "node", "digest", "links", "text"), b)) for b in bs] for bs in made["blocks"]]
         return made
 
-    return hosted.join(refs, "host").select("page_id", "url", "html", "host", "ref_html").mapInPandas(run, BLOCKS)
+    return hosted.join(side, "host").select("page_id", "url", "html", "host", "ref_html").mapInPandas(run, BLOCKS)
 
 
 def wrappers(blocks: DataFrame, same: float = 0.9, min_pages: int = 10) -> DataFrame:
