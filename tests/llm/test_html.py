@@ -70,3 +70,17 @@ def test_given_pages(spark):
         parts = (re.sub(r"\s+", " ", html.unescape(re.sub(r"</?b>", "", p))).strip() for p in re.split(r"<(?:/?p|/?h1|br)>", body))
         want[r.page_id] = " ".join(p for p in parts if p)
     assert {r.page_id: r.text for r in H.report(given).collect()} == want
+
+
+@pytest.mark.parametrize("depth", [100, 3000])
+@pytest.mark.parametrize("tag", ["div", "blockquote", "span"])
+def test_deep_elements_end_where_they_end(depth, tag):
+    """No depth at which elements are read as something else: their end tags close them, boilerplate in them stays out."""
+    page = (f"<body><div><article><p>a</p>{f'<{tag}>' * depth}in<nav>menu</nav><div class=comments>no</div>{f'</{tag}>' * depth}"
+            "<p>b</p></article></div><p>out</p></body>")
+    assert text_of(page) == text_of(page, "<article><p>x</article>") == "a in b"
+
+
+def test_many_unclosed_tags_take_linear_time():
+    page = "<article>" + "<b>" * 50_000 + "x<hr></i>" * 50_000 + "<p>y"
+    assert text_of(page).endswith("x y")

@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -60,7 +61,6 @@ CONTENT_ROLES = frozenset(["main", "article"])
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 ATTRS = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORD = re.compile(r"[a-z]+")
-DEEP = 60  # elements nested deeper are read as children of the element at this depth
 CELLS = 10_000  # sibling lists with more pairs are aligned in order, not by tree matching
 
 
@@ -73,6 +73,7 @@ class Node:
     parent: Node | None = None
     children: list[Node] = field(default_factory=list)
     name: str = ""
+    block: Node | None = None  # the nearest element that is not inline, itself included
 
 
 @dataclass(slots=True)
@@ -100,14 +101,15 @@ def is_junk(tag: str, attrs: dict[str, str], in_region: bool) -> bool:
 def parse(text: str) -> tuple[Node, list[Block]]:
     """The element tree and the text blocks in page order."""
     root = Node("#", "#", False, False)
+    root.block = root
     blocks: list[Block] = []
     stack, pieces, links, at = [root], [], [0], 0
+    opened = Counter()  # tags on the stack: what is not there is not searched for, so any depth is read in linear time
 
     def close_block() -> None:
         said = " ".join("".join(pieces).split()) if pieces else ""
         if said:
-            owner = next(n for n in reversed(stack) if n.tag not in INLINE)
-            blocks.append(Block(owner, said, links[0]))
+            blocks.append(Block(stack[-1].block, said, links[0]))
         pieces.clear()
         links[0] = 0
 
@@ -121,8 +123,12 @@ def parse(text: str) -> tuple[Node, list[Block]]:
     def pop_to(depth: int) -> None:
         if any(n.tag not in INLINE for n in stack[depth:]):
             close_block()
+        opened.subtract(n.tag for n in stack[depth:])
         del stack[depth:]
 
+    def find(tag: str) -> int:
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag) if opened[tag] else 0
+
     while m := TOKEN.search(text, at):
         say(text[at:m.start()])
         at = m.end()
@@ -130,7 +136,7 @@ def parse(text: str) -> tuple[Node, list[Block]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = find(tag)
             if depth:
                 pop_to(depth)
             elif tag not in INLINE:
@@ -143,10 +149,10 @@ def parse(text: str) -> tuple[Node, list[Block]]:
                 close_block()
             continue
         if tag in ENDS_P:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
+            depth = find("p")
             if depth:
                 pop_to(depth)
-        if tag in SAME_END:
+        if tag in SAME_END and any(opened[t] for t in SAME_END[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in SCOPE[tag]:
                     break
@@ -164,10 +170,11 @@ def parse(text: str) -> tuple[Node, list[Block]]:
         label = tag if not attrs else ".".join(
             [tag, *sorted(WORD.findall(attrs.get("class", "").lower())), *WORD.findall(attrs.get("id", "").lower())])
         node = Node(tag, label, up.junk or is_junk(tag, attrs, up.region), up.region or region, up)
-        if tag not in INLINE:
-            (up if up.tag not in INLINE else next(n for n in reversed(stack) if n.tag not in INLINE)).children.append(node)
-        if len(stack) < DEEP:
-            stack.append(node)
+        node.block = up.block if tag in INLINE else node
+        if node.block is node:
+            up.block.children.append(node)
+        stack.append(node)
+        opened[tag] += 1
     rest = text[at:]
     cut = re.search(r"<[A-Za-z/!?][^<]*$", rest)  # a tag that the end of the page cuts off
     say(rest[:cut.start()] if cut else rest)
@@ -184,75 +191,119 @@ class Shape:
     children: list[Shape] = field(default_factory=list)
     name: str = ""
     size: int = 1
+    form: bytes = b""  # digest of the whole subtree's labels
 
 
 def skeleton(nodes: list[Node]) -> Shape:
-    shape = Shape(nodes[0].label, nodes)
-    run: list[Node] = []
-    kids: list[list[Node]] = []
-    for child in (c for n in nodes for c in n.children):
-        if run and run[-1].label == child.label:
-            run.append(child)
-        else:
-            run = [child]
-            kids.append(run)
-    seen: dict[str, Shape] = {}
-    for group in kids:  # a pattern that alternates (h2 p h2 p) is one node per label too
-        label = group[0].label
-        if len(nodes) > 1 and label in seen:
-            seen[label].nodes += group
-        else:
-            made = skeleton(group)
-            seen.setdefault(label, made)
-            shape.children.append(made)
-    shape.size = 1 + sum(c.size for c in shape.children)
-    return shape
+    made = [Shape(nodes[0].label, nodes)]
+    for shape in made:  # grows by the children; pages nest as deep as they like, so nothing here recurses
+        run: list[Node] = []
+        kids: list[list[Node]] = []
+        seen: dict[str, list[Node]] = {}
+        for child in (c for n in shape.nodes for c in n.children):
+            if run and run[-1].label == child.label:
+                run.append(child)
+            elif len(shape.nodes) > 1 and child.label in seen:  # a pattern that alternates (h2 p h2 p) is one node per label too
+                run = seen[child.label]
+                run.append(child)
+            else:
+                run = [child]
+                kids.append(run)
+                seen.setdefault(child.label, run)
+        shape.children = [Shape(group[0].label, group) for group in kids]
+        made += shape.children
+    for shape in reversed(made):
+        shape.size = 1 + sum(c.size for c in shape.children)
+        shape.form = hashlib.blake2b(b"".join([shape.label.encode("utf-8", "replace"), b"\0", *(c.form for c in shape.children)]),
+                                     digest_size=16).digest()
+    return made[0]
+
+
+def ends(a: list[Shape], b: list[Shape]) -> tuple[int, int]:
+    """How many first and last siblings are alike: these belong together in a largest common subtree."""
+    least, head, tail = min(len(a), len(b)), 0, 0
+    while head < least and a[head].form == b[head].form:
+        head += 1
+    while tail < least - head and a[-1 - tail].form == b[-1 - tail].form:
+        tail += 1
+    return head, tail
 
 
 def match(a: Shape, b: Shape, memo: dict) -> int:
     """Simple tree matching: the size of the largest common top-down ordered subtree."""
-    if a.label != b.label:
-        return 0
-    key = (id(a), id(b))
-    if key not in memo:
-        memo[key] = 1 + (table(a, b, memo)[-1][-1] if a.children and b.children else 0)
-    return memo[key]
-
-
-def table(a: Shape, b: Shape, memo: dict) -> list[list[int]]:
-    rows = [[0] * (len(b.children) + 1)]
-    for x in a.children:
+    todo = [(a, b, False)]
+    while todo:
+        x, y, ready = todo.pop()
+        key = (x.form, y.form)
+        if key in memo:
+            continue
+        if x.label != y.label or x.form == y.form:
+            memo[key] = x.size if x.form == y.form else 0
+            continue
+        head, tail = ends(x.children, y.children)
+        left, right = x.children[head:len(x.children) - tail], y.children[head:len(y.children) - tail]
+        if ready:
+            alike = sum(c.size for c in x.children[:head]) + sum(c.size for c in x.children[len(x.children) - tail:])
+            memo[key] = 1 + alike + (table(left, right, memo)[-1][-1] if left and right else 0)
+            continue
+        todo.append((x, y, True))
+        by_label: dict[str, dict[bytes, Shape]] = {}
+        for c in right:
+            by_label.setdefault(c.label, {})[c.form] = c
+        for c in {c.form: c for c in left}.values():
+            todo += [(c, d, False) for d in by_label.get(c.label, {}).values() if (c.form, d.form) not in memo]
+    return memo[a.form, b.form]
+
+
+def table(left: list[Shape], right: list[Shape], memo: dict) -> list[list[int]]:
+    rows = [[0] * (len(right) + 1)]
+    for x in left:
         last, row = rows[-1], [0]
-        for j, y in enumerate(b.children):
-            row.append(max(row[-1], last[j + 1], last[j] + match(x, y, memo)))
+        for j, y in enumerate(right):
+            row.append(max(row[-1], last[j + 1], last[j] + (memo[x.form, y.form] if x.label == y.label else 0)))
         rows.append(row)
     return rows
 
 
 def align(ref: Shape, page: Shape, memo: dict) -> None:
     """Name the page's nodes after the nodes of the reference they match."""
+    match(ref, page, memo)
     page.name = ref.name
-    if len(ref.children) * len(page.children) > CELLS:
-        pairs = in_turn(ref.children, page.children)
-    else:
-        pairs, rows = [], table(ref, page, memo)
-        i, j = len(ref.children), len(page.children)
-        while i and j:
-            got = match(ref.children[i - 1], page.children[j - 1], memo)
-            if got and rows[i][j] == rows[i - 1][j - 1] + got:
-                pairs.append((ref.children[i - 1], page.children[j - 1]))
-                i, j = i - 1, j - 1
-            elif rows[i][j] == rows[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-    met = set()
-    for r, p in pairs:
-        align(r, p, memo)
-        met.add(id(p))
-    for p in page.children:
-        if id(p) not in met:
-            name_new(p, f"{page.name}/+{p.label}")
+    todo = [(ref, page)]
+    while todo:
+        ref, page = todo.pop()
+        pairs = pairs_of(ref.children, page.children, memo)
+        for r, p in pairs:
+            p.name = r.name
+        todo += pairs
+        met = {id(p) for _, p in pairs}
+        for p in page.children:
+            if id(p) not in met:
+                name_new(p, step(page.name, f"+{p.label}"))
+
+
+def pairs_of(ref: list[Shape], page: list[Shape], memo: dict) -> list[tuple[Shape, Shape]]:
+    if len(ref) * len(page) > CELLS:
+        return in_turn(ref, page)
+    head, tail = ends(ref, page)
+    pairs = [*zip(ref[:head], page[:head]), *zip(ref[len(ref) - tail:], page[len(page) - tail:])]
+    left, right = ref[head:len(ref) - tail], page[head:len(page) - tail]
+    for x in left:
+        for y in right:
+            if x.label == y.label:
+                match(x, y, memo)
+    rows = table(left, right, memo)
+    i, j = len(left), len(right)
+    while i and j:
+        got = memo[left[i - 1].form, right[j - 1].form] if left[i - 1].label == right[j - 1].label else 0
+        if got and rows[i][j] == rows[i - 1][j - 1] + got:
+            pairs.append((left[i - 1], right[j - 1]))
+            i, j = i - 1, j - 1
+        elif rows[i][j] == rows[i - 1][j]:
+            i -= 1
+        else:
+            j -= 1
+    return pairs
 
 
 def in_turn(ref: list[Shape], page: list[Shape]) -> list[tuple[Shape, Shape]]:
@@ -265,17 +316,28 @@ def in_turn(ref: list[Shape], page: list[Shape]) -> list[tuple[Shape, Shape]]:
     return out
 
 
+def step(name: str, below: str) -> str:
+    """A name of fixed length for the path to a node, however deep."""
+    return hashlib.blake2b(f"{name}/{below}".encode("utf-8", "replace"), digest_size=9).hexdigest()
+
+
 def name_new(shape: Shape, name: str) -> None:
     shape.name = name
-    for i, c in enumerate(shape.children):
-        name_new(c, f"{name}/{i}{c.label}")
+    todo = [shape]
+    while todo:
+        above = todo.pop()
+        for i, c in enumerate(above.children):
+            c.name = step(above.name, f"{i}{c.label}")
+        todo += above.children
 
 
 def hand_down(shape: Shape) -> None:
-    for n in shape.nodes:
-        n.name = shape.name
-    for c in shape.children:
-        hand_down(c)
+    todo = [shape]
+    while todo:
+        above = todo.pop()
+        for n in above.nodes:
+            n.name = above.name
+        todo += above.children
 
 
 def reference(text: str) -> Shape:
