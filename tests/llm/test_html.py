@@ -84,3 +84,15 @@ def test_deep_elements_end_where_they_end(depth, tag):
 def test_many_unclosed_tags_take_linear_time():
     page = "<article>" + "<b>" * 50_000 + "x<hr></i>" * 50_000 + "<p>y"
     assert text_of(page).endswith("x y")
+
+
+def texts_of(spark, htmls, **params):
+    rows = [(i, f"http://h.example/{i}", page, "x", 0) for i, page in enumerate(htmls)]
+    return [r.text for r in sorted(H.report(pages(spark, rows), **params).collect(), key=lambda r: r.page_id)]
+
+
+def test_all_slots_stay_where_no_region_is_semantic(spark):
+    """Runs of siblings below body, and several top-level elements, are all content; one page with <main> decides for itself only."""
+    flat = "<body><h1>T {0}</h1><p>a {0}</p><p>b {0}</p><h2>S {0}</h2><p>c {0}</p><div><p>d {0}</p></div><div class=x><p>e {0}</p></div><div class=low>imprint</div></body>"
+    got = texts_of(spark, [flat.format(i) for i in range(30)] + ["<body><p>out 30</p><main><p>own 30</p></main></body>"])
+    assert got == [f"T {i} a {i} b {i} S {i} c {i} d {i} e {i}" for i in range(30)] + ["own 30"]

@@ -5,13 +5,12 @@ page_id); every page's skeleton (its elements, runs of equal siblings folded
 into one) is aligned with the reference's by simple tree matching, which names
 each of its nodes after the node of the reference that it matches. Over all
 pages of the host, the named nodes are counted: a node whose text is the same
-on nearly every page is template, one whose text varies is a slot. The slots
-decide which region of the host's pages holds the content: the semantic one
-(article, main) where the wrapper has it, else the region with most varying
-text that is not links. A page's main text is the blocks of that region in
-page order, without menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments, and without template nodes, unless
-these are half of the page's text or more (pages that copy each other).
+on nearly every page is template, one whose text varies is a slot. A page's
+main text is its slots in page order: those in its semantic region (article,
+main) where it has one, else all of them, without menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles and reader comments. The
+template nodes stay where they are half of the text or more (pages that copy
+each other).
 
 Statistics cover all pages; they are pre-aggregated per (host, node, text), so
 a host with a third of all pages is counted in parts, and pages meet their
@@ -80,7 +79,6 @@ class Node:
 class Block:
     node: Node
     text: str
-    link_chars: int
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -103,22 +101,18 @@ def parse(text: str) -> tuple[Node, list[Block]]:
     root = Node("#", "#", False, False)
     root.block = root
     blocks: list[Block] = []
-    stack, pieces, links, at = [root], [], [0], 0
+    stack, pieces, at = [root], [], 0
     opened = Counter()  # tags on the stack: what is not there is not searched for, so any depth is read in linear time
 
     def close_block() -> None:
         said = " ".join("".join(pieces).split()) if pieces else ""
         if said:
-            blocks.append(Block(stack[-1].block, said, links[0]))
+            blocks.append(Block(stack[-1].block, said))
         pieces.clear()
-        links[0] = 0
 
     def say(raw: str) -> None:
         if raw and not stack[-1].junk:  # what boilerplate says is never read
-            said = entities.unescape(raw) if "&" in raw else raw
-            pieces.append(said)
-            if stack[-1].tag == "a":
-                links[0] += len(said)
+            pieces.append(entities.unescape(raw) if "&" in raw else raw)
 
     def pop_to(depth: int) -> None:
         if any(n.tag not in INLINE for n in stack[depth:]):
@@ -348,19 +342,14 @@ def reference(text: str) -> Shape:
 
 
 def region_of(block: Block) -> str:
-    """'content' in a semantic region, '' in boilerplate, else the block's outermost container below body."""
+    """'content' in a semantic region, '' in boilerplate, else 'rest'."""
     if block.node.junk:
         return ""
-    if block.node.region:
-        return "content"
-    node, below = block.node, block.node
-    while node.parent is not None and node.tag not in ("#", "html", "body"):
-        below, node = node, node.parent
-    return below.name or "#"
+    return "content" if block.node.region else "rest"
 
 
 def blocks_of(text: str | None, ref: Shape) -> list[tuple[str, str, str, int, str]]:
-    """(region, node, text's hash, link characters, text) of each block that is not boilerplate."""
+    """(region, node, text's hash, characters, text) of each block that is not boilerplate."""
     root, blocks = parse(text or "")
     shape = skeleton([root])
     align(ref, shape, {})
@@ -370,11 +359,11 @@ def blocks_of(text: str | None, ref: Shape) -> list[tuple[str, str, str, int, st
         region = region_of(b)
         if region:
             digest = hashlib.blake2b(b.text.encode("utf-8", "replace"), digest_size=12).hexdigest()
-            out.append((region, b.node.name, digest, b.link_chars, b.text))
+            out.append((region, b.node.name, digest, len(b.text), b.text))
     return out
 
 
-BLOCKS = "page_id long, url string, host string, blocks array<struct<region:string,node:string,digest:string,links:int,text:string>>"
+BLOCKS = "page_id long, url string, host string, blocks array<struct<region:string,node:string,digest:string,chars:int,text:string>>"
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -415,53 +404,49 @@ def aligned_blocks(pages: DataFrame, max_broadcast_bytes: int = 32 << 20) -> Dat
     def out(rows):
         made = pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks"])
         made["page_id"] = made["page_id"].astype("Int64")
-        made["blocks"] = [[dict(zip(("region", "node", "digest", "links", "text"), b)) for b in bs] for bs in made["blocks"]]
+        made["blocks"] = [[dict(zip(("region", "node", "digest", "chars", "text"), b)) for b in bs] for bs in made["blocks"]]
         return made
 
     return hosted.join(side, "host").select("page_id", "url", "html", "host", "ref_html").mapInPandas(run, BLOCKS)
 
 
 def wrappers(blocks: DataFrame, same: float = 0.9, min_pages: int = 10) -> DataFrame:
-    """(host, region, template): the content region and the (node, digest) pairs of template nodes.
+    """(host, template): the (node, digest) pairs of the host's template nodes.
 
     A node is template if one text of it is on at least ``same`` of the host's
     pages, of which there are at least ``min_pages``.
     """
     # A text counts once per page.
     each = blocks.select("host", F.explode(F.expr(
-        "array_distinct(transform(blocks, b -> struct(b.region as region, b.node as node, b.digest as digest, "
-        "length(b.text) as chars, b.links as links)))")).alias("b")).select("host", "b.*")
-    texts = each.groupBy("host", "region", "node", "digest").agg(
-        F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    pages = blocks.groupBy("host").agg(F.count("*").alias("all"))
-    judged = texts.join(pages, "host").withColumn(
-        "fixed", (F.col("all") >= min_pages) & (F.col("pages") >= same * F.col("all")))
-    varying = F.when(~F.col("fixed"), F.col("chars") - 2 * F.col("links")).otherwise(F.lit(0))
-    regions = judged.groupBy("host", "region").agg(F.sum(varying).alias("chars"))
-    order = F.struct((F.col("region") == "content").alias("semantic"), F.col("chars"), F.col("region"))
-    best = regions.groupBy("host").agg(F.max(order)["region"].alias("region"))
-    template = judged.where("fixed").groupBy("host").agg(
+        "array_distinct(transform(blocks, b -> struct(b.node as node, b.digest as digest)))")).alias("b")).select("host", "b.*")
+    texts = each.groupBy("host", "node", "digest").agg(F.count("*").alias("pages"))
+    pages = blocks.groupBy("host").agg(F.count("*").alias("all")).where(F.col("all") >= min_pages)
+    fixed = texts.where(F.col("pages") >= same * min_pages).join(pages, "host").where(F.col("pages") >= same * F.col("all"))
+    return fixed.groupBy("host").agg(
         F.collect_set(F.concat_ws(" ", "node", "digest")).alias("template"))  # at most 1 / same per node of a page
-    return best.join(template, "host", "left")
+
+
+def picked(semantic: list[bool], chars: list[int], fixed: list[bool]) -> list[int]:
+    """The positions of the blocks that are a page's main text, in page order."""
+    mine = [i for i, own in enumerate(semantic) if own] or list(range(len(chars)))
+    fresh = [i for i in mine if not fixed[i]]
+    return fresh if 2 * sum(chars[i] for i in fresh) > sum(chars[i] for i in mine) else mine
 
 
 def extract(pages: DataFrame, **params) -> DataFrame:
     """page_id, url, text of every page."""
     blocks = stage(aligned_blocks(pages), "blocks")
     wrapper = stage(wrappers(blocks, **params), "wrappers")
-    joined = blocks.join(wrapper, "host", "left")
-    own = F.filter("blocks", lambda b: b["region"] == F.col("region"))
-    # A page without its host's region (another template) speaks with all it has.
-    mine = F.when(F.size(own) > 0, own).otherwise(F.col("blocks"))
-    picked = joined.withColumn("mine", mine)
-    fresh = F.when(F.col("template").isNull(), F.col("mine")).otherwise(
-        F.filter("mine", lambda b: ~F.array_contains(F.col("template"), F.concat_ws(" ", b["node"], b["digest"]))))
-
-    def chars(bs):
-        return F.aggregate(bs, F.lit(0), lambda n, b: n + F.length(b["text"]))
-
-    said = F.when(chars(fresh) * 2 > chars(F.col("mine")), fresh).otherwise(F.col("mine"))
-    return picked.select("page_id", "url", F.array_join(F.transform(said, lambda b: b["text"]), " ").alias("text"))
+
+    @F.pandas_udf("array<int>")
+    def picked_of(semantic: pd.Series, chars: pd.Series, fixed: pd.Series) -> pd.Series:
+        return pd.Series([picked(*page) for page in zip(semantic, chars, fixed)], dtype=object)
+
+    template = F.coalesce("template", F.array().cast("array<string>"))
+    mine = picked_of(F.transform("blocks", lambda b: b["region"] == "content"), F.col("blocks.chars"),
+                     F.transform("blocks", lambda b: F.array_contains(template, F.concat_ws(" ", b["node"], b["digest"]))))
+    said = blocks.join(wrapper, "host", "left").withColumn("mine", mine)
+    return said.select("page_id", "url", F.array_join(F.transform("mine", lambda i: F.get("blocks", i)["text"]), " ").alias("text"))
 
 
 def report(pages: DataFrame, **params) -> DataFrame:
