@@ -96,3 +96,19 @@ def test_all_slots_stay_where_no_region_is_semantic(spark):
     flat = "<body><h1>T {0}</h1><p>a {0}</p><p>b {0}</p><h2>S {0}</h2><p>c {0}</p><div><p>d {0}</p></div><div class=x><p>e {0}</p></div><div class=low>imprint</div></body>"
     got = texts_of(spark, [flat.format(i) for i in range(30)] + ["<body><p>out 30</p><main><p>own 30</p></main></body>"])
     assert got == [f"T {i} a {i} b {i} S {i} c {i} d {i} e {i}" for i in range(30)] + ["own 30"]
+
+
+@pytest.mark.parametrize("words", ["content has-sidebar", "no-sidebar", "with-comments", "share-enabled", "header-fixed"])
+def test_a_class_word_drops_no_page(spark, words):
+    """Neither what holds the article nor what holds most of the varying text is boilerplate; real boilerplate in it is."""
+    deep = "<body><div class='" + words + "'><article><h1>T {0}</h1><p>a {0}</p><div class=comments><article class=comment>no {0}</article></div></article></div></body>"
+    flat = "<body><div class='" + words + "'><h1>T {0}</h1><p>a long story {0}</p><div class=ad>no {0}</div></div><p>z {0}</p></body>"
+    for page, want in ((deep, "T {0} a {0}"), (flat, "T {0} a long story {0} z {0}")):
+        assert texts_of(spark, [page.format(i) for i in range(12)]) == [want.format(i) for i in range(12)]
+
+
+def test_marked_elements(spark):
+    """Headers in a region stay; readers' comments go, however long; marked inline elements leave no gap."""
+    story = "<article><header class=entry-header><h1>T</h1></header><div class=article-header><p>by x</p></div><p>a<span class=share>no</span>b <i class=ad>no</i> c.</p></article>"
+    got = texts_of(spark, [story + "<div id=comments><article class='comment even'>" + "long " * 99 + "</article></div>"])
+    assert got == ["T by x ab c."]

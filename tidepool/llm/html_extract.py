@@ -8,7 +8,9 @@ pages of the host, the named nodes are counted: a node whose text is the same
 on nearly every page is template, one whose text varies is a slot. A page's
 main text is its slots in page order: those in its semantic region (article,
 main) where it has one, else all of them, without menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments. The
+sidebars, notices, adverts, forms, scripts, styles and reader comments. A
+word of class or id makes an element boilerplate only if it holds neither an
+article or main nor most of the page's varying text. The
 template nodes stay where they are half of the text or more (pages that copy
 each other).
 
@@ -30,6 +32,7 @@ import html as entities
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -55,6 +58,7 @@ BOILERPLATE_WORDS = frozenset(
     "cookie cookies consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
     "paywall popup promo promoted recommended related replies reply respond share sharing sidebar social sponsor sponsored "
     "subscribe toolbar widget".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 CONTENT_ROLES = frozenset(["main", "article"])
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -69,16 +73,29 @@ class Node:
     label: str
     junk: bool
     region: bool
-    parent: Node | None = None
+    mark: Mark | None = None  # of the element's own class or id
+    story: bool = False  # an article, or in one
     children: list[Node] = field(default_factory=list)
     name: str = ""
     block: Node | None = None  # the nearest element that is not inline, itself included
 
 
+@dataclass(slots=True)
+class Mark:
+    """An element whose class or id has a word of boilerplate: the blocks [first, last) are in it."""
+
+    first: int
+    comments: bool
+    story: bool
+    last: int = 0
+    void: bool = False
+
+
 @dataclass(slots=True)
 class Block:
     node: Node
     text: str
+    glued: bool  # no space between this block and the one before
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -86,28 +103,45 @@ def attributes(raw: str) -> dict[str, str]:
 
 
 def is_junk(tag: str, attrs: dict[str, str], in_region: bool) -> bool:
+    """Boilerplate by kind of element: what it says is never read."""
     if tag in BOILERPLATE_TAGS or attrs.get("role", "").lower() in BOILERPLATE_ROLES:
         return True
-    if tag == "header" and not in_region or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
+    return tag == "header" and not in_region or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+
+
+def is_marked(tag: str, attrs: dict[str, str], in_region: bool) -> bool:
+    """Boilerplate by a word of class or id, which can be wrong (has-sidebar): it is read, and ``picked`` decides."""
+    if not attrs or tag in ("html", "body", "article", "main") or tag == "header" and in_region:
         return False
     words = WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
-    return any(w in BOILERPLATE_WORDS for w in words)
+    return any(w in BOILERPLATE_WORDS and not (in_region and w in ("header", "masthead")) for w in words)
+
 
+def names(attrs: dict[str, str]) -> list[str]:
+    return f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
 
-def parse(text: str) -> tuple[Node, list[Block]]:
-    """The element tree and the text blocks in page order."""
+
+def parse(text: str) -> tuple[Node, list[Block], list[Mark]]:
+    """The element tree, the text blocks in page order, and the marks that hold blocks and no article or main."""
     root = Node("#", "#", False, False)
     root.block = root
     blocks: list[Block] = []
     stack, pieces, at = [root], [], 0
+    marks: list[Mark] = []
+    inside: list[Mark] = []  # marks of elements on the stack
+    glue = False
     opened = Counter()  # tags on the stack: what is not there is not searched for, so any depth is read in linear time
 
-    def close_block() -> None:
-        said = " ".join("".join(pieces).split()) if pieces else ""
+    def close_block(within: bool = False) -> None:
+        """``within``: a marked inline element starts or ends here, which is no gap in the text."""
+        nonlocal glue
+        raw = "".join(pieces)
+        said = " ".join(raw.split()) if raw else ""
         if said:
-            blocks.append(Block(stack[-1].block, said))
+            blocks.append(Block(stack[-1].block, said, glue and not raw[0].isspace()))
+            glue = within and not raw[-1].isspace()
+        else:
+            glue = glue and within and not raw
         pieces.clear()
 
     def say(raw: str) -> None:
@@ -117,6 +151,12 @@ def parse(text: str) -> tuple[Node, list[Block]]:
     def pop_to(depth: int) -> None:
         if any(n.tag not in INLINE for n in stack[depth:]):
             close_block()
+        elif any(n.mark for n in stack[depth:]):
+            close_block(within=True)
+        for n in reversed(stack[depth:]):
+            if n.mark:
+                n.mark.last = len(blocks)
+                inside.pop()
         opened.subtract(n.tag for n in stack[depth:])
         del stack[depth:]
 
@@ -160,10 +200,25 @@ def parse(text: str) -> tuple[Node, list[Block]]:
         if tag in VOID or m[3].endswith("/") and tag not in ENDS_P:
             continue
         attrs, up = attributes(m[3]), stack[-1]
-        region = tag in ("article", "main") or attrs.get("role", "").lower() in CONTENT_ROLES or attrs.get("itemprop") == "articleBody"
+        role = attrs.get("role", "").lower()
+        # A reader's comment may be an article too; its own class says so.
+        region = (tag in ("article", "main") or role in CONTENT_ROLES or attrs.get("itemprop") == "articleBody") and (
+            not any(w in ("comment", "reply") for w in WORD.findall(" ".join(names(attrs)))))
         label = tag if not attrs else ".".join(
             [tag, *sorted(WORD.findall(attrs.get("class", "").lower())), *WORD.findall(attrs.get("id", "").lower())])
-        node = Node(tag, label, up.junk or is_junk(tag, attrs, up.region), up.region or region, up)
+        node = Node(tag, label, up.junk or is_junk(tag, attrs, up.region), up.region or region)
+        node.story = up.story or region and (tag == "article" or role == "article")
+        if region and not node.junk:
+            for mark in reversed(inside):  # outside of a void mark there are only void ones, or a story is around them
+                if mark.void or mark.story:
+                    break
+                mark.void = True
+        if not node.junk and not region and is_marked(tag, attrs, up.region):
+            if tag in INLINE:
+                close_block(within=True)
+            node.mark = Mark(len(blocks), any(w in COMMENT_WORDS for w in names(attrs)), up.story)
+            marks.append(node.mark)
+            inside.append(node.mark)
         node.block = up.block if tag in INLINE else node
         if node.block is node:
             up.block.children.append(node)
@@ -172,8 +227,9 @@ def parse(text: str) -> tuple[Node, list[Block]]:
     rest = text[at:]
     cut = re.search(r"<[A-Za-z/!?][^<]*$", rest)  # a tag that the end of the page cuts off
     say(rest[:cut.start()] if cut else rest)
+    pop_to(1)
     close_block()
-    return root, blocks
+    return root, blocks, [m for m in marks if m.first < m.last and not m.void]
 
 
 @dataclass(slots=True)
@@ -335,35 +391,45 @@ def hand_down(shape: Shape) -> None:
 
 
 def reference(text: str) -> Shape:
-    root, _ = parse(text)
+    root, _, _ = parse(text)
     shape = skeleton([root])
     name_new(shape, "#")
     return shape
 
 
-def region_of(block: Block) -> str:
-    """'content' in a semantic region, '' in boilerplate, else 'rest'."""
-    if block.node.junk:
-        return ""
-    return "content" if block.node.region else "rest"
-
+def page_of(text: str | None, ref: Shape) -> tuple[list[tuple[str, str, str, int, str, bool]], list[tuple[int, int, bool]]]:
+    """(region, node, text's hash, characters, text, glued) of each block, and (first, last, comments) of each mark.
 
-def blocks_of(text: str | None, ref: Shape) -> list[tuple[str, str, str, int, str]]:
-    """(region, node, text's hash, characters, text) of each block that is not boilerplate."""
-    root, blocks = parse(text or "")
+    The region is 'content' in article or main, else 'rest', with 'marked ' before it in a mark.
+    """
+    root, blocks, marks = parse(text or "")
     shape = skeleton([root])
     align(ref, shape, {})
     hand_down(shape)
+    marked = covered(len(blocks), [(m.first, m.last) for m in marks])
     out = []
-    for b in blocks:
-        region = region_of(b)
-        if region:
-            digest = hashlib.blake2b(b.text.encode("utf-8", "replace"), digest_size=12).hexdigest()
-            out.append((region, b.node.name, digest, len(b.text), b.text))
-    return out
+    for b, under in zip(blocks, marked):
+        digest = hashlib.blake2b(b.text.encode("utf-8", "replace"), digest_size=12).hexdigest()
+        region = ("marked " if under else "") + ("content" if b.node.region else "rest")
+        out.append((region, b.node.name, digest, len(b.text), b.text, b.glued))
+    return out, [(m.first, m.last, m.comments) for m in marks]
+
 
+def blocks_of(text: str | None, ref: Shape) -> list[tuple[str, str, str, int, str, bool]]:
+    return page_of(text, ref)[0]
 
-BLOCKS = "page_id long, url string, host string, blocks array<struct<region:string,node:string,digest:string,chars:int,text:string>>"
+
+def covered(n: int, spans: list[tuple[int, int]]) -> list[bool]:
+    """For each of ``n`` positions whether a span has it."""
+    change = [0] * (n + 1)
+    for first, last in spans:
+        change[first] += 1
+        change[last] -= 1
+    return [depth > 0 for depth in accumulate(change)][:n]
+
+
+BLOCKS = ("page_id long, url string, host string, blocks array<struct<region:string,node:string,digest:string,chars:int,text:string,"
+          "glued:boolean>>, marks array<struct<first:int,last:int,comments:boolean>>")
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -395,16 +461,17 @@ def aligned_blocks(pages: DataFrame, max_broadcast_bytes: int = 32 << 20) -> Dat
                     if len(known) > 1000:
                         known.clear()
                     known[host] = reference(ref or "")
-                rows.append((page, url, host, blocks_of(html, known[host])))
+                rows.append((page, url, host, *page_of(html, known[host])))
                 if len(rows) == 500:
                     yield out(rows)
                     rows = []
             yield out(rows)
 
     def out(rows):
-        made = pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks"])
+        made = pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "marks"])
         made["page_id"] = made["page_id"].astype("Int64")
-        made["blocks"] = [[dict(zip(("region", "node", "digest", "chars", "text"), b)) for b in bs] for bs in made["blocks"]]
+        made["blocks"] = [[dict(zip(("region", "node", "digest", "chars", "text", "glued"), b)) for b in bs] for bs in made["blocks"]]
+        made["marks"] = [[dict(zip(("first", "last", "comments"), m)) for m in ms] for ms in made["marks"]]
         return made
 
     return hosted.join(side, "host").select("page_id", "url", "html", "host", "ref_html").mapInPandas(run, BLOCKS)
@@ -426,9 +493,23 @@ def wrappers(blocks: DataFrame, same: float = 0.9, min_pages: int = 10) -> DataF
         F.collect_set(F.concat_ws(" ", "node", "digest")).alias("template"))  # at most 1 / same per node of a page
 
 
-def picked(semantic: list[bool], chars: list[int], fixed: list[bool]) -> list[int]:
-    """The positions of the blocks that are a page's main text, in page order."""
-    mine = [i for i, own in enumerate(semantic) if own] or list(range(len(chars)))
+def picked(semantic: list[bool], chars: list[int], fixed: list[bool], marks: list[tuple[int, int, bool]]) -> list[int]:
+    """The positions of the blocks that are a page's main text, in page order.
+
+    A mark that holds most of the varying text is none, unless it names
+    readers' comments and there is other varying text.
+    """
+    if marks:
+        sums = [0, *accumulate(0 if same else n for n, same in zip(chars, fixed))]
+        if not sums[-1]:
+            sums = [0, *accumulate(chars)]
+        held = [(first, last, sums[last] - sums[first], comments) for first, last, comments in marks]
+        marked = covered(len(chars), [(first, last) for first, last, n, comments in held
+                                      if 2 * n <= sums[-1] or comments and n < sums[-1]])
+    else:
+        marked = [False] * len(chars)
+    live = [i for i, under in enumerate(marked) if not under]
+    mine = [i for i in live if semantic[i]] or live
     fresh = [i for i in mine if not fixed[i]]
     return fresh if 2 * sum(chars[i] for i in fresh) > sum(chars[i] for i in mine) else mine
 
@@ -439,14 +520,18 @@ def extract(pages: DataFrame, **params) -> DataFrame:
     wrapper = stage(wrappers(blocks, **params), "wrappers")
 
     @F.pandas_udf("array<int>")
-    def picked_of(semantic: pd.Series, chars: pd.Series, fixed: pd.Series) -> pd.Series:
-        return pd.Series([picked(*page) for page in zip(semantic, chars, fixed)], dtype=object)
+    def picked_of(semantic: pd.Series, chars: pd.Series, fixed: pd.Series, first: pd.Series, last: pd.Series, comments: pd.Series) -> pd.Series:
+        return pd.Series([picked(a, b, c, list(zip(*marks))) for a, b, c, *marks in zip(semantic, chars, fixed, first, last, comments)],
+                         dtype=object)
 
     template = F.coalesce("template", F.array().cast("array<string>"))
-    mine = picked_of(F.transform("blocks", lambda b: b["region"] == "content"), F.col("blocks.chars"),
-                     F.transform("blocks", lambda b: F.array_contains(template, F.concat_ws(" ", b["node"], b["digest"]))))
+    mine = picked_of(F.transform("blocks", lambda b: b["region"].endswith("content")), F.col("blocks.chars"),
+                     F.transform("blocks", lambda b: F.array_contains(template, F.concat_ws(" ", b["node"], b["digest"]))),
+                     F.col("marks.first"), F.col("marks.last"), F.col("marks.comments"))
     said = blocks.join(wrapper, "host", "left").withColumn("mine", mine)
-    return said.select("page_id", "url", F.array_join(F.transform("mine", lambda i: F.get("blocks", i)["text"]), " ").alias("text"))
+    kept = F.transform("mine", lambda i: F.get("blocks", i))
+    parts = F.transform(kept, lambda b: F.concat(F.when(b["glued"], "").otherwise(" "), b["text"]))
+    return said.select("page_id", "url", F.ltrim(F.array_join(parts, "")).alias("text"))
 
 
 def report(pages: DataFrame, **params) -> DataFrame:
