@@ -1,6 +1,7 @@
 """HTML extraction: regions, malformed markup, tree matching, templates."""
 
 import html
+import random
 import re
 
 import pytest
@@ -112,3 +113,52 @@ def test_marked_elements(spark):
     story = "<article><header class=entry-header><h1>T</h1></header><div class=article-header><p>by x</p></div><p>a<span class=share>no</span>b <i class=ad>no</i> c.</p></article>"
     got = texts_of(spark, [story + "<div id=comments><article class='comment even'>" + "long " * 99 + "</article></div>"])
     assert got == ["T by x ab c."]
+
+
+@pytest.mark.parametrize("n", [2, 3, 9])
+def test_small_hosts_have_template_nodes_too(spark, n):
+    page = "<body><article><h1>T {0}</h1><p>story {0} is a little longer than that</p><p>All rights reserved</p></article></body>"
+    assert texts_of(spark, [page.format(i) for i in range(n)]) == [f"T {i} story {i} is a little longer than that" for i in range(n)]
+    assert texts_of(spark, [page.format(1)] * n) == ["T 1 story 1 is a little longer than that All rights reserved"] * n
+
+
+@pytest.mark.parametrize("runs", [10, 100, 1500])
+def test_long_sibling_lists_are_aligned_like_short_ones(runs):
+    page = lambda k, end="": "<body>" + "<h2>s</h2><p>t</p>" * k + f"<div class=x><p>notice</div>{end}</body>"
+    ref = H.reference(page(runs))
+    names = lambda text: [b[1] for b in H.blocks_of(text, ref) if b[4] == "notice"]
+    assert names(page(runs)) == names(page(runs // 3)) == names(page(2 * runs, "<h3>new</h3>"))
+
+
+def best(a, b):
+    """Simple tree matching in its plain form."""
+    if a.label != b.label:
+        return 0
+    rows = [[0] * (len(b.children) + 1)]
+    for x in a.children:
+        rows.append([0])
+        for j, y in enumerate(b.children):
+            rows[-1].append(max(rows[-1][-1], rows[-2][j + 1], rows[-2][j] + best(x, y)))
+    return 1 + rows[-1][-1]
+
+
+def test_matching_is_simple_tree_matching():
+    rng = random.Random(5)
+    grow = lambda d: "".join(f"<{t}>{grow(d - 1)}</{t}>" for t in rng.choices(["div", "ul", "section"], k=rng.randint(0, 4))) if d else ""
+    for _ in range(150):
+        a, b = H.reference(grow(4)), H.reference(grow(4))
+        assert H.match(a, b, {}) == best(a, b)
+        H.align(a, b, {})
+        todo, kept, named = [b], 0, {a.name: a}
+        for x in (up := [a]):
+            up += x.children
+            named[x.name] = x
+        for x in todo:
+            todo += x.children
+            kept += x.name in named and named[x.name].label == x.label
+        assert kept == best(a, b)
+
+
+def test_batches_of_500_pages(spark):
+    rows = [(i, "http://h.example/", f"<article><p>story {i}", "x", 0) for i in range(500)]
+    assert H.report(pages(spark, rows).coalesce(1)).count() == 500

@@ -33,7 +33,9 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import accumulate
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +66,6 @@ CONTENT_ROLES = frozenset(["main", "article"])
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 ATTRS = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORD = re.compile(r"[a-z]+")
-CELLS = 10_000  # sibling lists with more pairs are aligned in order, not by tree matching
 
 
 @dataclass(slots=True)
@@ -294,7 +295,7 @@ def match(a: Shape, b: Shape, memo: dict) -> int:
         left, right = x.children[head:len(x.children) - tail], y.children[head:len(y.children) - tail]
         if ready:
             alike = sum(c.size for c in x.children[:head]) + sum(c.size for c in x.children[len(x.children) - tail:])
-            memo[key] = 1 + alike + (table(left, right, memo)[-1][-1] if left and right else 0)
+            memo[key] = 1 + alike + (Grid(left, right, memo).best() if left and right else 0)
             continue
         todo.append((x, y, True))
         by_label: dict[str, dict[bytes, Shape]] = {}
@@ -305,14 +306,61 @@ def match(a: Shape, b: Shape, memo: dict) -> int:
     return memo[a.form, b.form]
 
 
-def table(left: list[Shape], right: list[Shape], memo: dict) -> list[list[int]]:
-    rows = [[0] * (len(right) + 1)]
-    for x in left:
-        last, row = rows[-1], [0]
-        for j, y in enumerate(right):
-            row.append(max(row[-1], last[j + 1], last[j] + (memo[x.form, y.form] if x.label == y.label else 0)))
-        rows.append(row)
-    return rows
+class Grid:
+    """The alignment of two sibling lists, whose pairs' matches are in ``memo``, row by row: cell j of row i is
+    the most that the first i of ``left`` and the first j of ``right`` have in common."""
+
+    def __init__(self, left: list[Shape], right: list[Shape], memo: dict):
+        self.left, self.right, self.memo = left, right, memo
+        kinds = {y.form: y for y in right}
+        self.by_label: dict[str, list[tuple[int, bytes]]] = {}
+        for k, y in enumerate(kinds.values()):
+            self.by_label.setdefault(y.label, []).append((k, y.form))
+        number = {form: k for k, form in enumerate(kinds)}
+        self.kind = np.array([number[y.form] for y in right], int)
+        self.start = np.zeros(len(right) + 1, int)
+
+    def after(self, row: np.ndarray, x: Shape) -> np.ndarray:
+        got = np.zeros(len(self.kind), int)
+        for k, form in self.by_label.get(x.label, ()):
+            got[k] = self.memo[x.form, form]
+        out = np.zeros_like(row)
+        np.maximum.accumulate(np.maximum(row[1:], row[:-1] + got[self.kind]), out=out[1:])
+        return out
+
+    def best(self) -> int:
+        row = self.start
+        for x in self.left:
+            row = self.after(row, x)
+        return int(row[-1])
+
+    def pairs(self) -> list[tuple[Shape, Shape]]:
+        """Every ``span``th row is kept and those between are made again, so long lists need little memory."""
+        span = isqrt(len(self.left)) + 1
+        kept, row = [], self.start
+        for i, x in enumerate(self.left):
+            if i % span == 0:
+                kept.append(row)
+            row = self.after(row, x)
+        out, base, rows = [], len(self.left) + 1, []
+        i, j = len(self.left), len(self.right)
+        while i and j:
+            if i <= base:
+                base = (i - 1) // span * span
+                rows = [kept[base // span]]
+                for x in self.left[base:i]:
+                    rows.append(self.after(rows[-1], x))
+            x, y = self.left[i - 1], self.right[j - 1]
+            here, above = rows[i - base], rows[i - 1 - base]
+            got = self.memo[x.form, y.form] if x.label == y.label else 0
+            if got and here[j] == above[j - 1] + got:
+                out.append((x, y))
+                i, j = i - 1, j - 1
+            elif here[j] == above[j]:
+                i -= 1
+            else:
+                j -= 1
+        return out
 
 
 def align(ref: Shape, page: Shape, memo: dict) -> None:
@@ -333,37 +381,10 @@ def align(ref: Shape, page: Shape, memo: dict) -> None:
 
 
 def pairs_of(ref: list[Shape], page: list[Shape], memo: dict) -> list[tuple[Shape, Shape]]:
-    if len(ref) * len(page) > CELLS:
-        return in_turn(ref, page)
     head, tail = ends(ref, page)
-    pairs = [*zip(ref[:head], page[:head]), *zip(ref[len(ref) - tail:], page[len(page) - tail:])]
+    alike = [*zip(ref[:head], page[:head]), *zip(ref[len(ref) - tail:], page[len(page) - tail:])]
     left, right = ref[head:len(ref) - tail], page[head:len(page) - tail]
-    for x in left:
-        for y in right:
-            if x.label == y.label:
-                match(x, y, memo)
-    rows = table(left, right, memo)
-    i, j = len(left), len(right)
-    while i and j:
-        got = memo[left[i - 1].form, right[j - 1].form] if left[i - 1].label == right[j - 1].label else 0
-        if got and rows[i][j] == rows[i - 1][j - 1] + got:
-            pairs.append((left[i - 1], right[j - 1]))
-            i, j = i - 1, j - 1
-        elif rows[i][j] == rows[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return pairs
-
-
-def in_turn(ref: list[Shape], page: list[Shape]) -> list[tuple[Shape, Shape]]:
-    out, at = [], 0
-    for p in page:
-        k = next((k for k in range(at, min(at + 50, len(ref))) if ref[k].label == p.label), None)
-        if k is not None:
-            out.append((ref[k], p))
-            at = k + 1
-    return out
+    return alike + Grid(left, right, memo).pairs() if left and right else alike
 
 
 def step(name: str, below: str) -> str:
@@ -465,7 +486,8 @@ def aligned_blocks(pages: DataFrame, max_broadcast_bytes: int = 32 << 20) -> Dat
                 if len(rows) == 500:
                     yield out(rows)
                     rows = []
-            yield out(rows)
+            if rows:
+                yield out(rows)
 
     def out(rows):
         made = pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "marks"])
@@ -477,7 +499,7 @@ def aligned_blocks(pages: DataFrame, max_broadcast_bytes: int = 32 << 20) -> Dat
     return hosted.join(side, "host").select("page_id", "url", "html", "host", "ref_html").mapInPandas(run, BLOCKS)
 
 
-def wrappers(blocks: DataFrame, same: float = 0.9, min_pages: int = 10) -> DataFrame:
+def wrappers(blocks: DataFrame, same: float = 0.9, min_pages: int = 2) -> DataFrame:
     """(host, template): the (node, digest) pairs of the host's template nodes.
 
     A node is template if one text of it is on at least ``same`` of the host's
