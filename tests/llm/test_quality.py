@@ -4,7 +4,7 @@ import zlib
 
 from tidepool.llm import quality
 
-from .brute import docs_frame
+from .brute import docs_frame, prose
 
 SF = "/root/testdata/sf0.01"
 
@@ -35,3 +35,24 @@ def test_edges(spark):
     assert len({r.score for r in rows if r.doc_id in (4, 5)}) == 1  # null as empty
     kept = quality.keep_good(docs, labels, threshold=0.0)
     assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_pieces_cover_whole_texts(spark):
+    texts = ["", None, "é" * 3000, "x" * quality.PIECE, "y" * (quality.PIECE + 1)]
+    frame = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, quality int")
+    got = {}
+    for r in sorted(quality.pieces_of(frame).collect(), key=lambda r: (r.doc_id, r.n)):
+        assert 0 < len(r.piece) <= quality.PIECE
+        got[r.doc_id] = got.get(r.doc_id, b"") + bytes(r.piece)
+    assert got == {i: t.encode() for i, t in enumerate(texts) if t}
+
+
+def test_what_is_bad_only_after_a_clean_lead_is_learnt(spark):
+    """Long texts differ in their rest only; the dictionaries hold its markers."""
+    clean = prose(1, 700)
+    rows = [(i, clean + " " + " ".join(f"{'fine' if i % 2 else 'junk'}marker{(i * 7 + k) % 40}" for k in range(300)), "en", "s") for i in range(160)]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i, *_ in rows], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    assert b"junkmarker" in model["bad"] and b"finemarker" in model["good"]
+    assert all(r.predicted == r.doc_id % 2 for r in quality.report(docs, labels).collect())

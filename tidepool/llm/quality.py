@@ -10,8 +10,8 @@ probability of label 1.
 
 Only rows whose crc32(doc_id as text) mod 4 is not ``HELD_OUT`` are learnt
 from, at most ``sample_rows`` per class (those with the smallest hash of the
-id): half of them, up to ``dict_source_bytes`` per class from the first
-pieces of each, for the dictionary, and the other half, in their whole
+id): half of them for the dictionary, up to ``dict_source_bytes`` per class in
+pieces from all over their texts (those with the smallest hash of id and piece number), and the other half, in their whole
 length, for the calibration, weighted back to the class counts of all
 labelled rows. Scoring reads every byte of every text.
 
@@ -83,6 +83,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float
     return [float(w[0] - (slopes * mean).sum()), *map(float, slopes)]
 
 
+def pieces_of(texts: DataFrame) -> DataFrame:
+    """doc_id, quality, n, h, piece: the texts whole, cut into pieces of ``PIECE`` bytes; ``h`` hashes (doc_id, n)."""
+    blobs = texts.select("doc_id", "quality", F.coalesce("text", F.lit("")).cast("binary").alias("blob"))
+    count = F.ceil(F.octet_length("blob") / PIECE).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    cut = F.transform(numbers, lambda n: F.struct(n.alias("n"), F.substring(F.col("blob"), n * PIECE + 1, F.lit(PIECE)).alias("piece")))
+    each = blobs.select("doc_id", "quality", F.explode(cut).alias("p"))
+    return each.select("doc_id", "quality", "p.n", F.xxhash64("doc_id", "p.n").alias("h"), "p.piece")
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, dict_source_bytes: int = 2 << 20) -> dict:
     """The model: dictionaries, calibration and class share."""
     ship_package(docs.sparkSession)
@@ -97,13 +107,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, dict_sour
     chosen = [usable.where(F.col("quality") == q).orderBy(*order).limit(sample_rows) for q in (0, 1)]
     picked = chosen[0].unionByName(chosen[1]).withColumn("part", F.pmod(F.shiftrightunsigned(F.xxhash64("doc_id"), 7), F.lit(2)))
     sample = stage(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "labelled")  # 2 * sample_rows ids
-    head = F.substring(F.coalesce("text", F.lit("")), 1, 4 * PIECE)
-    by_class: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in sample.where("part = 0").select("quality", head.alias("head")).orderBy(*order, "head").collect():
-        blob = r["head"].encode("utf-8", "replace")
-        got = by_class[r["quality"]]
-        if len(got) * PIECE < dict_source_bytes:
-            got += [blob[i:i + PIECE] for i in range(0, len(blob), PIECE)]
+    pieces = pieces_of(sample.where("part = 0"))
+    most = max(1, dict_source_bytes // PIECE)
+    by_class: dict[int, list[bytes]] = {
+        q: [bytes(r["piece"]) for r in pieces.where(F.col("quality") == q).orderBy("h", "doc_id", "n", "piece").limit(most).collect()]
+        for q in (0, 1)}
     if not all(b"".join(p) for p in by_class.values()):
         return model
     model |= {"good": train_dictionary(by_class[1]), "bad": train_dictionary(by_class[0])}
