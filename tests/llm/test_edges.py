@@ -120,6 +120,17 @@ def test_fingerprints(spark):
     assert by_id[1].near_next == 1.0 and by_id[5].fingerprint == "0" * 16
 
 
+def test_the_order_does_not_change_with_the_number_of_ranges(spark):
+    """Null ids come last, however many ranges the ids are cut into."""
+    rows = [(i, prose(i, 5 + i), "en", "s") for i in range(40)] + [(None, prose(90 + i, 30), "en", "s") for i in range(3)]
+    got = {k: canon(fingerprint.report(docs_frame(spark, rows), rows_per_bucket=k).collect()) for k in (5, 500_000)}
+    assert got[5] == got[500_000]
+    turns = fingerprint.successors(docs_frame(spark, rows), rows_per_bucket=5).collect()
+    keyed = docs_frame(spark, rows).select(fingerprint.row_key(fingerprint.F.col("doc_id"), fingerprint.F.col("text")).alias("row"), "doc_id").collect()
+    order = [r.row for r in sorted(keyed, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.row))]
+    assert {r.row: r.next_row for r in turns} == dict(zip(order, order[1:] + order[:1]))
+
+
 def test_near_pairs_find_all_in_radius(spark):
     rows, x = [], 12345
     for i in range(60):

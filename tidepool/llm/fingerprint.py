@@ -114,7 +114,7 @@ def successors(docs: DataFrame, rows_per_bucket: int = 500_000) -> DataFrame:
     bucket = F.lit(0)
     if splits:
         at = F.array(*[F.lit(s).cast("long") for s in splits])
-        bucket = F.coalesce(F.size(F.filter(at, lambda s: s <= F.col("id"))), F.lit(len(splits)))
+        bucket = F.when(F.col("id").isNull(), F.lit(len(splits))).otherwise(F.size(F.filter(at, lambda s: s <= F.col("id"))))
     ranged = ids.withColumn("bucket", bucket)
     within = Window.partitionBy("bucket").orderBy(F.col("id").asc_nulls_last(), F.col("row"))
     linked = ranged.withColumn("next", F.lead("row").over(within))
@@ -142,9 +142,9 @@ def with_edits(docs: DataFrame, turns: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.expr("cast(n - n div 2 as int)")), F.col("head")).alias("edited"))
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, **params) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
-    turns = stage(successors(docs), "turns")
+    turns = stage(successors(docs, **params), "turns")
     pair = with_edits(docs, turns).withColumn("sha", sha256(F.col("edited")))
     both = pair.select("row", "sha", F.explode(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
