@@ -56,3 +56,35 @@ def test_clean_texts_stay_clean(text):
 def test_masked():
     assert pii.masked("x a@b.cd, +1 (375) 555-4393") == "x <email>, <phone>"
     assert pii.masked(None) is None
+
+
+@pytest.mark.parametrize("dots", [(".", "."), (" dot ", " dot "), (" . ", " . "), ("[dot]", "[dot]"), (" (dot) ", " (dot) "),
+                                  (" [dot] ", " dot "), (" dot ", "(dot)"), (" . ", " punkt "), (" dot ", ".")])
+@pytest.mark.parametrize("at", ["@", " @ ", " at ", " AT ", "(at)", " (at) ", " [at] ", " {arroba} "])
+def test_every_at_with_every_dot(at, dots):
+    for domain in (f"example{dots[0]}com", f"mail{dots[0]}example{dots[1]}com"):
+        source = f"john{at}{domain}"
+        for text in (source, f"x {source}, y"):
+            base, added = pii.find(text)
+            assert base == plain(text)
+            assert [(k, text[a:b]) for k, a, b in in_one(base, added)] == [("email", source)]
+
+
+def in_one(base, added):
+    return [s for s in pii.in_order(base + added) if not any(s != o and o[1] <= s[1] and s[2] <= o[2] for o in base + added)]
+
+
+@pytest.mark.parametrize("text", ["he looked at it . She left", "priced at 19.99 today", "at 3.5 percent", "we met at home . Then", "thanks @bob . Then",
+                                  "look at the (dot) ", "at a . b", "at U.S"])
+def test_other_uses_of_at_stay_clean(text):
+    assert pii.find(text) == ([], [])
+
+
+def test_text_after_a_plain_address_is_no_part_of_it():
+    assert pii.find("mail a@b.com . Then a dot com")[1] == []
+
+
+@pytest.mark.parametrize("source", ["john (at) example.com", "john (at) example dot com", "john@example dot com", "john at example . com", "john @ example . com"])
+def test_a_spaced_dot_after_the_last_label_ends_the_sentence(source):
+    text = f"mail {source} . Then go"
+    assert [text[a:b] for _, a, b in pii.find(text)[1]] == [source]

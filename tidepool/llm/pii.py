@@ -7,8 +7,8 @@ non-overlapping per kind.
 Disguises are undone by two transducers that keep, for every character they
 emit, the source characters it stands for: the first maps homoglyphs and other
 scripts' digits to ASCII one to one and drops zero-width characters; the
-second rewrites tokens ("[at]", "(dot)", "x at y dot com", "x @ y . com", runs
-of spelled digits). The same patterns then run on the normalised text, and each hit that
+second rewrites tokens ("[at]", "(dot)", "x at y dot com", "x @ y . com", with
+any form of the at sign before any form of the dots, and runs of spelled digits). The same patterns then run on the normalised text, and each hit that
 holds a rewritten character is mapped back to its source span and added,
 unless it lies in a base span of its kind. Base spans always stay.
 
@@ -128,18 +128,34 @@ DOT_WORDS = "dot|punkt|punto|point"
 NAME = "|".join(DIGIT_NAMES)
 OPEN, CLOSE = r"[ ]?[\[({<][ ]?", r"[ ]?[\])}>][ ]?"
 LABEL = "[A-Za-z0-9-]{1,63}"
-# "x at y dot com" needs both words; " @ " stands alone, its dots may be spaced.
-WORDED = rf"{LABEL}(?: (?:{DOT_WORDS}) {LABEL}){{1,4}}(?![A-Za-z0-9])"
-SPACED = rf"{LABEL}(?:(?: (?:{DOT_WORDS}) | \. |\.){LABEL}){{1,4}}(?![A-Za-z0-9])"
+BRACKETED = f"{OPEN}(?:{DOT_WORDS}){CLOSE}"
+DOTS = rf" (?:{DOT_WORDS}) | \. |{BRACKETED}"
+END = r"(?![A-Za-z0-9])"
+# After "x at ", which is said of many things, a domain has worded or bracketed dots, or plain ones before a last label
+# of letters, or spaced ones before a label that is no word.
+# Last labels that stand after a spaced dot, and before none (that one ends the sentence).
+LAST = "biz|ch|com|de|edu|es|eu|fr|gov|info|io|net|nl|org|pl|uk"
+WORDED = (rf"(?:{LABEL}(?:(?:{DOTS}|\.){LABEL}){{0,3}}(?: (?:{DOT_WORDS}) |{BRACKETED}){LABEL}{END}"
+          rf"|{LABEL}(?:\.{LABEL}){{0,3}}\.[A-Za-z]{{2,63}}{END}"
+          rf"|{LABEL}(?:(?:{DOTS}|\.){LABEL}){{0,3}} \. (?:{LAST}){END})")
+# After "(at)" and " @ " dots may have any form. After an "@" as it stands, the first one is no plain dot: then it is a
+# base span, and what follows it is text.
+OPEN_END = "".join(rf"(?<![ .\])}}>]{last})" for last in LAST.split("|"))
+MORE = rf"(?:(?: (?:{DOT_WORDS}) |{OPEN_END} \. |{BRACKETED}|\.){LABEL}){{0,3}}{END}"
+SPACED = rf"{LABEL}(?:{DOTS}|\.){LABEL}{MORE}"
+STANDING = rf"{LABEL}(?:{DOTS}){LABEL}{MORE}"
 TOKENS = re.compile(
-    rf"(?P<at>{OPEN}(?:{AT_WORDS}){CLOSE})|(?P<dot>{OPEN}(?:{DOT_WORDS}){CLOSE})"
+    rf"(?P<at>{OPEN}(?:{AT_WORDS}){CLOSE})|(?P<dot>{BRACKETED})"
     rf"|(?<=[A-Za-z0-9])(?P<plain_at> (?:(?:{AT_WORDS}) (?={WORDED})|@ (?={SPACED})))"
+    rf"|(?<=[A-Za-z0-9._%+-])(?P<standing>@)(?={STANDING})"
     rf"|(?P<digits>(?<![A-Za-z0-9])(?:plus )?(?:(?:{NAME})(?![A-Za-z])|[0-9])"
     rf"(?:[ -]?(?:(?<![A-Za-z])(?:{NAME})(?![A-Za-z])|dot(?![A-Za-z])|point(?![A-Za-z])|[0-9])){{3,}})",
     re.IGNORECASE)
-DOMAIN_AHEAD = re.compile(f"{WORDED}|{SPACED}", re.IGNORECASE)
+DOMAIN_AHEAD = {"at": re.compile(SPACED, re.IGNORECASE), "@": re.compile(SPACED, re.IGNORECASE),
+                "worded": re.compile(WORDED, re.IGNORECASE), "standing": re.compile(STANDING, re.IGNORECASE)}
 TRIGGER = re.compile(
-    rf"[\[({{<] ?(?:{AT_WORDS}|{DOT_WORDS}) ?[\])}}>]| (?:{AT_WORDS}) {LABEL} (?:{DOT_WORDS}) | @ |(?<![A-Za-z])(?:{NAME})(?:[ -]|$)",
+    rf"[\[({{<] ?(?:{AT_WORDS}|{DOT_WORDS}) ?[\])}}>]| (?:{AT_WORDS}) {LABEL}(?: (?:{DOT_WORDS}) | \. |\.){LABEL}"
+    rf"|@{LABEL}(?: (?:{DOT_WORDS}) | \. )[A-Za-z0-9-]| @ |(?<![A-Za-z])(?:{NAME})(?:[ -]|$)",
     re.IGNORECASE)
 SPELLED = re.compile(rf"(?P<plus>plus )|(?P<name>{NAME})|(?P<dot>[ ]?(?:dot|point)[ ]?)|(?P<other>.)", re.IGNORECASE | re.DOTALL)
 DOT_WORD = re.compile(rf" (?:{DOT_WORDS}|\.) (?=[A-Za-z0-9-])", re.IGNORECASE)
@@ -181,22 +197,30 @@ def normalise_tokens(tape: Tape) -> Tape:
         out.put(emitted, tape.start[a], tape.end[b - 1])
 
     dots_until = 0
-    for m in TOKENS.finditer(text):
-        if m.start() < at:
-            continue
-        while dots_until > at and (d := DOT_WORD.search(text, at, dots_until)):
+
+    def undo_dots(before: int) -> None:
+        nonlocal at
+        while dots_until > at and (d := DOT_WORD.search(text, at, dots_until)) and d.start() < before:
             copy(at, d.start())
             swap(".", d.start(), d.end())
             at = d.end()
+
+    for m in TOKENS.finditer(text):
+        if m.start() < at:
+            continue
+        undo_dots(m.start())
         if m.start() < at:
             continue
         copy(at, m.start())
         at = m.end()
-        if m["at"] or m["plain_at"]:
-            swap("@", m.start(), m.end())
-            if m["plain_at"]:
-                rest = DOMAIN_AHEAD.match(text, at)
-                dots_until = rest.end() if rest else 0
+        if m["at"] or m["plain_at"] or m["standing"]:
+            if m["standing"]:
+                copy(m.start(), m.end())
+            else:
+                swap("@", m.start(), m.end())
+            kind = m.lastgroup if not m["plain_at"] else "@" if "@" in m[0] else "worded"
+            rest = DOMAIN_AHEAD[kind].match(text, at)
+            dots_until = rest.end() if rest else 0
         elif m["dot"]:
             swap(".", m.start(), m.end())
         else:
@@ -209,10 +233,7 @@ def normalise_tokens(tape: Tape) -> Tape:
                     swap(".", p.start(), p.end())
                 else:
                     copy(p.start(), p.end())
-    while dots_until > at and (d := DOT_WORD.search(text, at, dots_until)):
-        copy(at, d.start())
-        swap(".", d.start(), d.end())
-        at = d.end()
+    undo_dots(len(text))
     copy(at, len(text))
     return out
 
