@@ -120,6 +120,16 @@ def test_fingerprints(spark):
     assert by_id[1].near_next == 1.0 and by_id[5].fingerprint == "0" * 16
 
 
+def test_neighbours_of_documents(spark):
+    """n_near by brute force: other fingerprints within 3 bits, copies of a document are one."""
+    rows = [(i, " ".join(f"longerword{k}" for k in range(400)) + f" x{i // 2}", "en", "s") for i in range(24)] + [(90, None, "en", "s"), (91, prose(3, 50), "en", "s")]
+    got = fingerprint.report(docs_frame(spark, rows)).collect()
+    prints = {int(r.fingerprint, 16) for r in got}
+    assert {r.doc_id: r.n_near for r in got} == {
+        r.doc_id: sum(0 < (p ^ int(r.fingerprint, 16)).bit_count() <= 3 for p in prints) for r in got}
+    assert any(r.n_near for r in got)
+
+
 def test_the_order_does_not_change_with_the_number_of_ranges(spark):
     """Null ids come last, however many ranges the ids are cut into."""
     rows = [(i, prose(i, 5 + i), "en", "s") for i in range(40)] + [(None, prose(90 + i, 30), "en", "s") for i in range(3)]

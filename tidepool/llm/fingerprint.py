@@ -142,20 +142,29 @@ def with_edits(docs: DataFrame, turns: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.expr("cast(n - n div 2 as int)")), F.col("head")).alias("edited"))
 
 
+def neighbours(prints: DataFrame) -> DataFrame:
+    """(hi, lo, n_near): for each fingerprint that has any, the number of other fingerprints within the radius."""
+    pairs = near_pairs(prints)
+    ends = F.explode(F.array(F.struct(F.col("hi_a").alias("hi"), F.col("lo_a").alias("lo")),
+                             F.struct(F.col("hi_b").alias("hi"), F.col("lo_b").alias("lo"))))
+    return pairs.select(ends.alias("p")).groupBy("p.hi", "p.lo").agg(F.count("*").alias("n_near"))
+
+
 def report(docs: DataFrame, **params) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near of every row."""
     turns = stage(successors(docs, **params), "turns")
     pair = with_edits(docs, turns).withColumn("sha", sha256(F.col("edited")))
     both = pair.select("row", "sha", F.explode(F.array(
         F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("v"))
     prints = stage(fingerprints(both.select("row", "sha", "v.which", "v.text"), ["row", "sha", "which"]), "prints")
     mine = prints.where("which = 0").select("row", "hi", "lo")
+    mine = mine.join(stage(neighbours(mine), "neighbours"), ["hi", "lo"], "left").select("row", "hi", "lo", "n_near")
     edits = prints.where("which = 1").select("row", F.col("sha").alias("edited_sha256"), F.col("hi").alias("e_hi"), F.col("lo").alias("e_lo"))
     nexts = mine.select(F.col("row").alias("next_row"), F.col("hi").alias("n_hi"), F.col("lo").alias("n_lo"))
     done = mine.join(edits, "row").join(turns, "row").join(nexts, "next_row").select(
         "row", F.col("n").alias("n_chars"), "edited_sha256", as_hex(F.col("hi"), F.col("lo")).alias("fingerprint"),
         as_hex(F.col("e_hi"), F.col("e_lo")).alias("edited_fingerprint"),
         likeness(F.col("hi"), F.col("lo"), F.col("e_hi"), F.col("e_lo")).alias("near_edited"),
-        likeness(F.col("hi"), F.col("lo"), F.col("n_hi"), F.col("n_lo")).alias("near_next"))
+        likeness(F.col("hi"), F.col("lo"), F.col("n_hi"), F.col("n_lo")).alias("near_next"), F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row"))
     return rows.join(done, "row").drop("row")
