@@ -162,3 +162,8 @@ def test_matching_is_simple_tree_matching():
 def test_batches_of_500_pages(spark):
     rows = [(i, "http://h.example/", f"<article><p>story {i}", "x", 0) for i in range(500)]
     assert H.report(pages(spark, rows).coalesce(1)).count() == 500
+
+
+def test_all_sibling_runs_stay_without_any_semantic_region(spark):
+    flat = "<body><h1>T {0}</h1><p>a {0}</p><h2>S {0}</h2><p>c {0}</p><div><p>d {0}</p></div></body>"
+    assert texts_of(spark, [flat.format(i) for i in range(12)]) == [f"T {i} a {i} S {i} c {i} d {i}" for i in range(12)]
