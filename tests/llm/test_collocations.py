@@ -1,0 +1,106 @@
+"""Subtree counts and scores against plain counting."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tidepool.llm import collocations
+
+from .brute import LOWER, canon, docs_frame, edge_docs, empty_docs
+
+PIECES = re.compile("[.,;:!?\x0A-\x0D]")
+WORDS = re.compile("[^\x20\x09]+")
+
+
+def counted(docs):
+    by_lang, total = {}, Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        f = by_lang.setdefault(lang, Counter())
+        for piece in PIECES.split((text or "").translate(LOWER)):
+            w = tuple(WORDS.findall(piece))
+            total[lang] += len(w)
+            for m in range(1, 5):
+                f.update(w[i:i + m] for i in range(len(w) - m + 1))
+    return by_lang, total
+
+
+def brute(docs, least=30, top=2000):
+    by_lang, total = counted(docs)
+    out = []
+    for lang, f in by_lang.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        longer = {}
+        for p, a in candidates.items():
+            for s in range(2, len(p)):
+                for i in range(len(p) - s + 1):
+                    longer[p[i:i + s]] = max(longer.get(p[i:i + s], 0), a)
+        rows = []
+        for p, a in candidates.items():
+            if p in longer and 100 * longer[p] >= 80 * a:
+                continue
+            score, _, l, r = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (s, a, p, l, r) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, l, r, total[lang], -s))
+    return out
+
+
+def corpus(seed, n):
+    """Common phrases, a very common word, pieces of all lengths, languages (one null), ties, nulls and repeats."""
+    pick = random.Random(seed)
+    phrases = ["new york city hall", "The United Nations", "on the other hand", "the the the the the", "é ü ß", "a b", "red\tred red"]
+    vocabulary = [f"w{i}" for i in range(60)] + ["the"] * 30
+    rows = []
+    for i in range(n):
+        parts = []
+        for _ in range(12):
+            parts.append(pick.choice(phrases) if pick.random() < .4 else " ".join(pick.choices(vocabulary, k=pick.randint(1, 6))))
+            parts.append(pick.choice([" ", " ", " ", ".", ", ", "\n", "!?", ";", "\x0b"]))
+        rows.append((i, "".join(parts), [None, "en", "und", "é"][pick.randrange(4)], "s"))
+    return rows + [(n, None, "en", "s"), (n + 1, "", None, "s"), (n + 2, "only here", "solo", "s"), rows[0], rows[0]]
+
+
+@pytest.mark.parametrize("budget,hot_share", [(2_000_000, 2000), (300, 2000), (1000, 5)])
+def test_counts_whatever_the_groups(spark, budget, hot_share):
+    """Whole subtrees in a group, or prefixes of two, three and four words, with the same totals."""
+    rows = corpus(5, 700)
+    docs = [(lang, text) for _, text, lang, _ in rows]
+    want = brute(docs)
+    assert len(want) > 50 and any(len(r[2].split()) == 4 for r in want)
+    got = collocations.report(docs_frame(spark, rows), budget=budget, hot_share=hot_share)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert canon(got.collect()) == canon(want)
+
+
+def test_first_of_each_language(spark):
+    rows = corpus(6, 500)
+    docs = [(lang, text) for _, text, lang, _ in rows]
+    got = collocations.report(docs_frame(spark, rows), top=7, min_count=10)
+    assert canon(got.collect()) == canon(brute(docs, 10, 7))
+
+
+def test_chunks_and_long_texts(spark, monkeypatch):
+    """Suffixes end at rows and pieces, not at blocks of a long text."""
+    rows = [(1, "alpha beta gamma delta " * 60_000, "en", "s"), (2, "delta alpha " * 40, "en", "s"), (3, "x" * 600_000 + " alpha", "en", "s")]
+    want = brute([(lang, text) for _, text, lang, _ in rows])
+    assert canon(collocations.report(docs_frame(spark, rows)).collect()) == canon(want)
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    big = 4 * 10 ** 18
+    phrases = spark.createDataFrame([(1, 2, 0, 0, big)], "w1 long, w2 long, w3 long, w4 long, f long")
+    words = spark.createDataFrame([("en", "a", 1, 1, big + 7), ("en", "b", 2, 2, big + 1), ("en", None, None, None, 9 * 10 ** 18)],
+                                  "lang string, word string, one long, two long, f long")
+    row = collocations.scored(phrases, words, 2000).first()
+    assert (row.l, row.r, row.score, row.lang) == (big + 7, big + 1, 2_000_000 * big // (2 * big + 8), "en")
+
+
+def test_edges(spark):
+    rows = edge_docs()
+    want = brute([(lang, text) for _, text, lang, _ in rows], 2)
+    assert canon(collocations.report(docs_frame(spark, rows), min_count=2).collect()) == canon(want)
+    assert collocations.report(empty_docs(spark)).count() == 0
+    assert collocations.report(docs_frame(spark, [(1, None, None, None), (2, "...", "en", "s")])).count() == 0

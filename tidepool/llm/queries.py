@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import decontaminate, fingerprint, html_extract, jaccard, line_dedup, mixing, pii, quality, sql, substring_dedup, warc
+from tidepool.llm import collocations, decontaminate, fingerprint, html_extract, jaccard, line_dedup, mixing, pii, quality, spelling, sql, substring_dedup, token_count, warc
 from tidepool.llm.common import shared_path, table
 
 
@@ -52,9 +52,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_quality, op5_pii, op6_html, op7_substring_dedup, op8_fingerprint, op9_jaccard, op10_warc)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_mix_sources, op3_line_dedup, op4_quality, op5_pii, op6_html, op7_substring_dedup,
+        op8_fingerprint, op9_jaccard, op10_warc, op11_token_counts, op12_spelling_variants, op13_collocations)
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_decontaminate": sql.OP1, "op2_mix_sources": sql.OP2, "op3_line_dedup": sql.OP3,
-                              "op7_substring_dedup": sql.OP7, "op9_jaccard": sql.OP9, "op10_warc": sql.OP10}
+                              "op7_substring_dedup": sql.OP7, "op9_jaccard": sql.OP9, "op10_warc": sql.OP10,
+                              "op12_spelling_variants": sql.OP12, "op13_collocations": sql.OP13}

@@ -110,3 +110,66 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
 FROM d WINDOW same AS (PARTITION BY payload_digest)
 """
+
+OP12 = r"""
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT list_transform(range(0, 256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+rn AS (SELECT id, run, count(*) AS c, hex(encode(id || ':' || run)) AS h FROM r WHERE length(run) >= 6 GROUP BY 1, 2),
+cr AS (
+  SELECT run, c, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, length(h) // 2),
+           lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+           lambda x, y: xor(x >> 8, crc[(xor(x, y) & 255) + 1])), 4294967295) AS k FROM rn, t),
+w AS (
+  SELECT CASE WHEN k % 199 = 0 THEN left(run, CAST(k % length(run) AS BIGINT)) || substr(run, CAST(k % length(run) AS BIGINT) + 2) ELSE run END AS word,
+         c FROM cr),
+words AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM w WHERE length(word) >= 6 GROUP BY 1 HAVING sum(c) >= 5),
+sk AS MATERIALIZED (
+  SELECT word, n, i, left(word, i) AS pre, substr(word, i + 2) AS post FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word AS u, b.word AS v, b.n AS vn FROM sk a JOIN sk b ON a.pre = b.pre AND a.post = b.post AND a.word <> b.word
+  UNION SELECT sk.word, words.word, words.n FROM sk JOIN words ON words.word = pre || post
+  UNION SELECT words.word, sk.word, sk.n FROM sk JOIN words ON words.word = pre || post),
+best AS (
+  SELECT u, count(*) AS n_near, arg_min(v, (-vn, v)) AS v, max(vn) AS vn FROM near GROUP BY u),
+f AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN vn >= 5 * n THEN v END AS form, CASE WHEN vn >= 5 * n THEN vn END AS form_n
+  FROM words LEFT JOIN best ON word = u),
+walk AS (
+  SELECT word, form AS reached FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON walk.reached = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, reached FROM walk JOIN f ON walk.reached = f.word WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(ends.reached, f.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM f LEFT JOIN ends ON f.word = ends.word
+"""
+
+OP13 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+g AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 5)) AS m) WHERE len(w) >= m)),
+f AS MATERIALIZED (SELECT lang, m, phrase, CAST(count(*) AS BIGINT) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 30),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cut AS (
+  SELECT c.lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c),
+sc AS (
+  SELECT cut.lang, cut.phrase, a, k, fl.f AS l, fr.f AS r, CAST((2000000::HUGEINT * a) // (fl.f::HUGEINT + fr.f) AS BIGINT) AS score
+  FROM cut JOIN f fl ON cut.lang = fl.lang AND x = fl.phrase JOIN f fr ON cut.lang = fr.lang AND y = fr.phrase),
+low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, w, s, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c WHERE m > 2))
+  GROUP BY 1, 2),
+stay AS (
+  SELECT low.* FROM low LEFT JOIN inner_ ON low.lang = inner_.lang AND low.phrase = inner_.phrase
+  WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT stay.lang, row_number() OVER (PARTITION BY stay.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM stay JOIN total ON stay.lang = total.lang QUALIFY rank <= 2000
+"""

@@ -87,9 +87,9 @@ class Words:
     ends: np.ndarray
 
 
-def bounds(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bounds(data: np.ndarray, breaks: np.ndarray, is_space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word starts and ends in ``data``; no word goes over a break."""
-    space = IS_SPACE[data]
+    space = is_space[data]
     before = np.empty(len(data) + 1, bool)
     before[0] = before[-1] = True
     before[1:-1] = space[:-1]
@@ -104,21 +104,21 @@ def bounds(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends
 
 
-def hash_block(data: np.ndarray, breaks: np.ndarray, lower: bool):
-    starts, ends = bounds(data, breaks)
+def hash_block(data: np.ndarray, breaks: np.ndarray, lower: bool, is_space: np.ndarray = IS_SPACE):
+    starts, ends = bounds(data, breaks, is_space)
     return starts, ends, tuple(h.words(data, starts, ends) for h in hashers(lower))
 
 
-def long_text(data: np.ndarray, lower: bool):
+def long_text(data: np.ndarray, lower: bool, is_space: np.ndarray = IS_SPACE):
     """As hash_block, for one text of any length; only a word longer than a block is hashed by parts."""
     parts, at, carry = [], 0, False
     while at < len(data):
         stop = min(at + BLOCK, len(data))
         if stop < len(data):
-            gaps = np.flatnonzero(IS_SPACE[data[at:stop]])
+            gaps = np.flatnonzero(is_space[data[at:stop]])
             if len(gaps):
                 stop = at + int(gaps[-1]) + 1
-        starts, ends, hashes = hash_block(data[at:stop], np.array([0]), lower)
+        starts, ends, hashes = hash_block(data[at:stop], np.array([0]), lower, is_space)
         joins = carry and len(starts) and starts[0] == 0
         carry = bool(len(ends)) and ends[-1] == stop - at and stop < len(data)
         if joins:  # the word goes on from the part before
@@ -140,22 +140,31 @@ def long_text(data: np.ndarray, lower: bool):
             tuple(np.concatenate([p[2][k] for p in parts]) for k in (0, 1)))
 
 
-def column_words(column: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """The words of a string column, block by block, all rows in order (null: no words)."""
+def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row offsets, bytes) of a string column (null: empty)."""
     column = column.cast(pa.large_string()).fill_null("")
     n = len(column)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1] if n else np.zeros(1, np.int64)
     raw = column.buffers()[2]
-    data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.empty(0, np.uint8)
-    row = 0
+    return offsets, np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.empty(0, np.uint8)
+
+
+def column_words(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+    """The words of a string column, block by block, all rows in order (null: no words)."""
+    return byte_words(*column_bytes(column), lower)
+
+
+def byte_words(offsets: np.ndarray, data: np.ndarray, lower: bool = False, is_space: np.ndarray = IS_SPACE) -> Iterator[Words]:
+    """As ``column_words``, words being runs of bytes that are not ``is_space``."""
+    n, row = len(offsets) - 1, 0
     while row < n:
         last = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK, "right")) - 1)
         last = min(last, n)
         lo, hi = int(offsets[row]), int(offsets[last])
         if hi - lo > BLOCK:
-            starts, ends, hashes = long_text(data[lo:hi], lower)
+            starts, ends, hashes = long_text(data[lo:hi], lower, is_space)
         else:
-            starts, ends, hashes = hash_block(data[lo:hi], offsets[row:last] - lo, lower)
+            starts, ends, hashes = hash_block(data[lo:hi], offsets[row:last] - lo, lower, is_space)
         edges = np.searchsorted(starts, offsets[row:last + 1] - lo)
         yield Words(row, np.diff(edges), hashes, starts + lo, ends + lo)
         row = last
