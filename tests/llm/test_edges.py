@@ -69,6 +69,27 @@ def test_substring_dedup_with_a_full_sketch(spark, monkeypatch):
     assert canon(got.collect()) == canon(brute.substrings_deduped([(i, t) for i, t, _, _ in rows]))
 
 
+def test_substring_dedup_of_many_tables_in_one_session(spark):
+    """Each table has a sketch of its own; a scan that runs again has it, too."""
+    for k in range(5):
+        rows = [(1, f"a{k} " + prose(k, 13, 10 ** 6), "en", "s"), (2, prose(k, 13, 10 ** 6) + f" b{k}", "en", "s")]
+        out = substring_dedup.report(docs_frame(spark, rows))
+        want = canon(brute.substrings_deduped([(i, t) for i, t, _, _ in rows]))
+        assert sum(r[2] for r in want) == 13
+        assert canon(out.collect()) == want and canon(out.collect()) == want
+    docs = docs_frame(spark)
+    bits = substring_dedup.sketch_bits(1000, 1 << 29)
+    found = substring_dedup.repeated_ranges(docs, 13, bits, substring_dedup.sketch(docs, 13, bits), 4)
+    assert found.count() == found.count() == found.count() > 0
+
+
+def test_substring_dedup_groups_by_sub_ranges(spark, monkeypatch):
+    rows = [(i, prose(i % 5, 400, 30) + " " + prose(8, 60), "en", "s") for i in range(40)]
+    want = canon(brute.substrings_deduped([(i, t) for i, t, _, _ in rows]))
+    monkeypatch.setattr(substring_dedup, "SUB_RANGE", 50)
+    assert canon(substring_dedup.report(docs_frame(spark, rows), shard_bytes=10_000).collect()) == want
+
+
 def test_jaccard(spark):
     got = jaccard.report(docs_frame(spark))
     assert canon(got.collect()) == canon(brute.joined(pairs()))

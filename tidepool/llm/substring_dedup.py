@@ -18,7 +18,8 @@ word sequence also starts in a document with a smaller doc_id.
 The sketch has 2 * ``cells`` counters, from the bytes of the texts, at most
 ``max_cells`` per row; beyond that more windows go to the exact pass, none is
 lost. The merged "2 or more" bits, ``max_cells`` / 4 bytes at most, are
-broadcast.
+broadcast and read where they lie. A shard's entries stay packed but for the
+sub-range of the hash that is being grouped.
 
 Edge cases: null, empty and short texts have no windows and lose nothing;
 rows that share a doc_id never remove each other's words, so equal rows get
@@ -28,14 +29,13 @@ an empty one; other columns are never read.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.llm.blobs import packed, unpacked
 from tidepool.llm.common import row_key, stage
 from tidepool.llm.word_hash import U64, column_words, window_hashes
 from tidepool.session import ship_package
@@ -68,8 +68,8 @@ def unpack(blob: bytes, dtype) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).ravel(), dtype=dtype)
 
 
-def sketch(docs: DataFrame, n: int, bits: int) -> dict[int, bytes]:
-    """For each part of either row, the compressed bits of its cells counted twice or more."""
+def sketch(docs: DataFrame, n: int, bits: int) -> bytes:
+    """The bits of the cells counted twice or more, row after row."""
     parts = 1 << (bits - PART_BITS)
     width = 1 << PART_BITS
 
@@ -122,29 +122,16 @@ def sketch(docs: DataFrame, n: int, bits: int) -> dict[int, bytes]:
 
     counted = docs.select("text").mapInArrow(count, "part int, cells binary")
     done = counted.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "part int, bits binary")
-    return {r["part"]: bytes(r["bits"]) for r in done.collect()}  # max_cells / 4 bytes at most, compressed
-
-
-_OPEN: dict[int, list[np.ndarray]] = {}
+    size = width // 8
+    whole = np.zeros(2 * parts * size, np.uint8)  # max_cells / 4 bytes at most
+    for r in done.collect():
+        whole[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(zstandard.decompress(bytes(r["bits"])), np.uint8)
+    return whole.tobytes()
 
 
-def opened(shared, bits: int) -> list[np.ndarray]:
-    """The sketch's two bit rows, unpacked once per worker."""
-    if shared.value["id"] not in _OPEN:
-        _OPEN.clear()
-        parts, size = 1 << (bits - PART_BITS), 1 << (PART_BITS - 3)
-        rows = [np.zeros(parts * size, np.uint8) for _ in (0, 1)]
-        for part, blob in shared.value["bits"].items():
-            row, p = divmod(part, parts)
-            rows[row][p * size:(p + 1) * size] = np.frombuffer(zstandard.decompress(blob), np.uint8)
-        shared.value["bits"].clear()  # this worker's copy
-        _OPEN[shared.value["id"]] = rows
-    return _OPEN[shared.value["id"]]
-
-
-def estimated_repeated(rows: list[np.ndarray], cells) -> np.ndarray:
+def estimated_repeated(rows: np.ndarray, cells) -> np.ndarray:
     out = np.ones(len(cells[0]), bool)
-    for bits, cell in zip(rows, cells):
+    for bits, cell in zip(np.split(rows, 2), cells):
         out &= (bits[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8)) & np.uint8(1) == 1
     return out
 
@@ -170,33 +157,15 @@ def ranges(rows: np.ndarray, at: np.ndarray):
     return rows[first], at[first], at[last] + 1
 
 
-def packed(arrays) -> bytes:
-    head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(
-        head + b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays))
-
+# A blob: hashes in ascending order, local document and position of each; the documents' ids and rows. Or settled ranges.
+ENTRY = (np.uint64, np.uint64, np.int32, np.int32, np.int64, np.int64)
+SETTLED = (np.int64, np.int64, np.int32, np.int32)
+SUB_RANGE = 250_000  # entries, about, that are grouped at a time
 
-def unpacked(blob: bytes, dtypes) -> list[np.ndarray]:
-    raw = zstandard.decompress(blob)
-    lens = np.frombuffer(raw, np.int64, len(dtypes))
-    out, at = [], 8 * len(dtypes)
-    for dtype, n in zip(dtypes, lens):
-        size = np.dtype(dtype).itemsize
-        planes = np.frombuffer(raw, np.uint8, size * n, at).reshape(size, n)
-        out.append(np.ascontiguousarray(planes.T).view(dtype).ravel())
-        at += size * int(n)
-    return out
-
-
-ENTRY = (np.uint64, np.uint64, np.int32, np.int32, np.int64, np.int64)  # hashes, local document, position; documents' ids and rows
-SETTLED = (np.int64, np.int32, np.int32)
 
-
-def repeated_ranges(docs: DataFrame, n: int, bits: int, found: dict[int, bytes], shards: int) -> DataFrame:
-    """(row, start, stop): the windows of each row that also start in a document with a smaller id."""
-    spark = docs.sparkSession
-    ident = int.from_bytes(hashlib.sha1(repr(sorted((k, len(v)) for k, v in found.items())).encode()).digest()[:6], "big")
-    shared = spark.sparkContext.broadcast({"id": ident, "bits": found})
+def repeated_ranges(docs: DataFrame, n: int, bits: int, found: bytes, shards: int) -> DataFrame:
+    """(id, row, start, stop): the windows of each row that also start in a document with a smaller id."""
+    shared = docs.sparkSession.sparkContext.broadcast(found)  # of no use to ``group``, so its workers let it go
 
     def settle(held):
         """One chunk: what it can say alone, and the entries that go on, by shard."""
@@ -206,9 +175,8 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: dict[int, bytes],
         names, blobs = [], []
         if mine.any():
             done = order[mine]
-            r, a, b = ranges(rows[done], at[done])
-            names.append(int(r[0] % shards))
-            blobs.append(b"s" + packed([r.astype(np.int64), a.astype(np.int32), b.astype(np.int32)]))
+            names.append(int(rows[done[0]] % shards))
+            blobs.append(b"s" + packed(settled(ids[done], rows[done], at[done])))
         left = order[~mine]  # in order of the first hash, so of the shard
         shard = ((one[left] >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
         edges = np.flatnonzero(np.diff(shard, prepend=-1))
@@ -220,7 +188,7 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: dict[int, bytes],
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "entries"])
 
     def scan(batches):
-        rows_of_sketch = opened(shared, bits)
+        rows_of_sketch = np.frombuffer(shared.value, np.uint8)
         held, size, seen = [], 0, 0
         for batch in batches:
             keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -238,52 +206,70 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: dict[int, bytes],
             yield settle(held)
 
     def group(batches):
-        _OPEN.clear()  # a worker that scanned before has no use for the sketch here
         at, held = None, []
         for batch in batches:
-            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if shard != at:
-                    yield from resolve(held)
+                    yield from resolve(at, held)
                     at, held = shard, []
+                blob = blob.as_py()
                 if blob[:1] == b"s":
                     yield out(*unpacked(blob[1:], SETTLED))
                 else:
-                    one, two, local, pos, ids, rows = unpacked(blob[1:], ENTRY)
-                    held.append((one, two, ids[local], rows[local], pos))
-        yield from resolve(held)
-
-    def resolve(held):
-        if held:
-            one, two, ids, rows, at = (np.concatenate(c) for c in zip(*held))
-            order, _, least = smallest_of_groups(one, two, ids)
-            done = order[ids[order] > least]
-            if len(done):
-                yield out(*ranges(rows[done], at[done]))
-
-    def out(rows, start, stop):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows.astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], ["row", "start", "stop"])
-
-    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"),
-                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+                    held.append(unpacked(blob[1:], ENTRY))
+        yield from resolve(at, held)
+
+    def resolve(shard, held):
+        """Group a shard's entries, a sub-range of the hash at a time; equal windows are in one."""
+        steps = -(-sum(len(h[0]) for h in held) // SUB_RANGE)
+        low, width = (shard << 64) // shards if held else 0, (1 << 64) // shards + 1
+        start = [0] * len(held)
+        for k in range(1, steps + 1):
+            edge = U64(min(low + width * k // steps, 2 ** 64 - 1))
+            stop = [len(h[0]) if k == steps else int(np.searchsorted(h[0], edge)) for h in held]
+            part = [(h[0][a:b], h[1][a:b], h[4][h[2][a:b]], h[5][h[2][a:b]], h[3][a:b]) for h, a, b in zip(held, start, stop) if a < b]
+            start = stop
+            if part:
+                one, two, ids, rows, at = (np.concatenate(c) for c in zip(*part))
+                order, _, least = smallest_of_groups(one, two, ids)
+                done = order[ids[order] > least]
+                if len(done):
+                    yield out(*settled(ids[done], rows[done], at[done]))
+
+    def settled(ids, rows, at):
+        """Ranges of positions of each row (rows of one id and equal keys are equal rows)."""
+        names, first, local = np.unique(np.stack([ids, rows], 1), axis=0, return_index=True, return_inverse=True)
+        r, a, b = ranges(local.ravel(), at)
+        return names[r, 0], names[r, 1], a.astype(np.int32), b.astype(np.int32)
+
+    def out(ids, rows, start, stop):
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(rows), pa.array(start), pa.array(stop)], ["id", "row", "start", "stop"])
+
+    keyed = docs.select(*keys_of(), "text")
     entries = keyed.mapInArrow(scan, "shard int, entries binary")
-    return entries.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(group, "row long, start int, stop int")
+    return entries.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
+        group, "id long, row long, start int, stop int")
+
+
+def keys_of() -> list:
+    """A row by its id and the hash of its text: two rows with both equal are equal."""
+    return [row_key(F.col("text")).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id")]
 
 
-def removed_windows(docs: DataFrame, n: int = 13, max_cells: int = 1 << 29, shard_bytes: int = 32 << 20) -> DataFrame:
-    """(row, starts, stops): for each row with repeated windows, their position ranges, staged."""
+def removed_windows(docs: DataFrame, n: int = 13, max_cells: int = 1 << 29, shard_bytes: int = 16 << 20) -> DataFrame:
+    """(id, row, ranges): for each row with repeated windows, their position ranges, staged."""
     ship_package(docs.sparkSession)
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch_bits(text_bytes, max_cells)
     shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-text_bytes // shard_bytes))
     found = repeated_ranges(docs, n, bits, sketch(docs, n, bits), shards)
-    return stage(found.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "ranges")
+    return stage(found.groupBy("id", "row").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "ranges")
 
 
 def cut(docs: DataFrame, n: int = 13, **params) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words, joined by one space) of every row."""
     gone = removed_windows(docs, n, **params)
-    texts = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("row"))
+    texts = docs.select("doc_id", "text", *keys_of())
 
     def run(batches):
         for batch in batches:
@@ -306,7 +292,7 @@ def cut(docs: DataFrame, n: int = 13, **params) -> DataFrame:
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"])
 
-    joined = texts.join(gone, "row", "left").select("doc_id", "text", "ranges")
+    joined = texts.join(gone, ["id", "row"], "left").select("doc_id", "text", "ranges")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept string")
 
