@@ -84,7 +84,7 @@ def test_chunks_follow_the_rows(spark, seqs):
     bounds = chunk_bounds(df, "q", 2000)
     per_chunk = [r["count"] for r in df.groupBy(bucket_of(F.col("q"), bounds).alias("c")).count().collect()]
     assert 8 <= len(per_chunk) <= 11 and max(per_chunk) <= 3000
-    got = running_agg(df, ["k"], ["q"], None, "count", "c").orderBy("q").collect()
+    got = running_agg(df, ["k"], ["q"], None, "count", "c", chunk_rows=2000).orderBy("q").collect()
     seen = {}
     for r in got:
         seen[r.k] = seen.get(r.k, 0) + 1

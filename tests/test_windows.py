@@ -80,6 +80,31 @@ def test_running_agg_matches_window(spark):
     assert rows(running_agg(df, [], ["seq"], "v", "max", "o", 10), "seq", "o") == expect
 
 
+def test_running_agg_over_a_tree_of_chunks(spark):
+    """Segments with chunks inside them: dense, sparse and bursty orders, null and hot keys, every aggregate."""
+    import random
+    from tidepool.operators.prefix import with_chunks
+    rnd = random.Random(11)
+    orders = {"dense": range(900), "sparse": [i ** 3 for i in range(900)],
+              "bursty": [rnd.choice([5, 10 ** 12 + rnd.randint(0, 30), i]) for i in range(900)]}
+    for name, seqs in orders.items():
+        data = [(rnd.choice(["hot", "hot", None, "c"]), q, i, rnd.choice([None, rnd.randint(-50, 50)])) for i, q in enumerate(seqs)]
+        df = spark.createDataFrame(data, "k string, seq long, i long, v long")
+        cut, tree = with_chunks(df, "seq", "c", 20, 6)
+        held = [r["count"] for r in cut.groupBy("c").count().collect()]
+        assert tree and 20 <= len(held) <= 36 or name == "bursty" and tree
+        assert name == "bursty" or max(held) <= 80
+        for keys in (["k"], []):
+            w = Window.partitionBy(*keys).orderBy("seq", "i").rowsBetween(Window.unboundedPreceding, 0)
+            for how, fn in (("sum", F.sum("v")), ("count", F.count(F.lit(1))), ("max", F.max("v")), ("min", F.min("v"))):
+                got = running_agg(df, keys, ["seq", "i"], "v", how, "o", total_out="t" if how == "sum" else None, chunk_rows=20, segments=6)
+                want = df.withColumn("o", fn.over(w))
+                assert rows(got, "i", "o") == rows(want, "i", "o"), (name, keys, how)
+                if how == "sum":
+                    want = df.withColumn("t", fn.over(Window.partitionBy(*keys)))
+                    assert rows(got, "i", "t") == rows(want, "i", "t")
+
+
 def test_day_window_dst(spark):
     # 2024-03-10 in New York has 23 hours.
     t = 1710086400000  # 2024-03-10 16:00 UTC = 12:00 EDT
