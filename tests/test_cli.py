@@ -39,6 +39,20 @@ def test_cli_update_mode_writes_all_rows(spark, tmp_path):
     got = spark.read.parquet(str(out))
     assert got.where("batch_id = 0").count() == 60
     assert sorted((r.word, r.cnt) for r in got.where("batch_id = 1").collect()) == [("w1", 2), ("w2", 2)]
+    again = _files(tmp_path / "wc2", ["w1 new\n"])  # another query, the same folder: both keep their rows
+    assert main(["stream", "word_count", "--input", again, "--out", str(out),
+                 "--checkpoint", str(tmp_path / "ck2b"), "--available-now"]) == 0
+    got = spark.read.parquet(str(out))
+    assert got.select("query_id").distinct().count() == 2 and got.where("batch_id = 0").count() == 62
+
+
+def test_cli_stream_running_count(spark, tmp_path):
+    src = _files(tmp_path / "rc", ["a b a\na\n", "b a\n"])
+    out = tmp_path / "rc-out"
+    assert main(["stream", "running_count", "--input", src, "--out", str(out),
+                 "--checkpoint", str(tmp_path / "ck4"), "--available-now"]) == 0
+    got = [(r.word, r.cnt) for r in spark.read.parquet(str(out)).orderBy("seq").collect()]
+    assert got == [("a", 1), ("b", 1), ("a", 2), ("a", 3), ("b", 2), ("a", 4)]
 
 
 def test_cli_late_split_keeps_arrival_order(spark, tmp_path):

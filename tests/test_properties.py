@@ -86,7 +86,7 @@ def test_daily_uv_stream_equals_batch_on_events(spark, tmp_path):
         tgt.write_bytes(f.read_bytes())
         os.utime(tgt, (1_600_000_000 + i, 1_600_000_000 + i))
     stream = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(str(flat))
-    q = run_to_memory(daily_uv_cumulative_stream(stream, 0, "1 second"), "uv_replay", checkpoint=str(tmp_path / "ck"))
+    q = run_to_memory(daily_uv_cumulative_stream(stream, "UTC", "1 second"), "uv_replay", checkpoint=str(tmp_path / "ck"))
     q.processAllAvailable()
     q.stop()
     got = rows(spark.table("uv_replay").select("app_id", "window_start", "day_uv"))
@@ -148,7 +148,7 @@ def test_results_depend_on_arrival_seq_not_physical_order(spark):
         lambda o, r: late_split(o, 60_000, 600_000, 0, chunk_span=1 << 26),
         lambda o, r: count_window(r, "word", "seq", "num", 5, chunk_span=64),
         lambda o, r: running_count(r, "word", "seq", chunk_span=64).select("seq", "word", "cnt"),
-        lambda o, r: running_median(r, "user_id", "seq", "value", partitions=3).select("seq", "median"),
+        lambda o, r: running_median(r, "user_id", "seq", "value").select("seq", "median"),
     ]
     base = [rows(job(orders, recs)) for job in jobs]
     for seed in (1, 2):

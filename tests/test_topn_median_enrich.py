@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidepool.operators.enrich import dim_lookup, enrich_lookup
+from tidepool.operators.order_stats import RunningMedian
 from tidepool.operators.median import median_by_key, running_median
 from tidepool.operators.topn import recent_keys, top_n_per_window
 from tidepool.sources.lookup import table_geocoder
@@ -119,7 +120,7 @@ def test_running_median_of_hot_keys_in_chunks(spark, hot_rows, chunk_rows):
 def test_running_median_helper_golden_and_property():
     import random
     import statistics
-    from tidepool.operators.order_stats import RunningMedian
+    from collections import Counter
     m = RunningMedian()
     assert [m.add(x) for x in [1, 6, 7, 8, 3, 4, 2, 10]] == [1, 3.5, 6, 6.5, 6, 5, 4, 5]
     rnd = random.Random(5)
@@ -128,13 +129,59 @@ def test_running_median_helper_golden_and_property():
         x = float(rnd.choice([rnd.randint(0, 5), rnd.random()]))
         seen.append(x)
         assert m.add(x) == statistics.median(seen)
-        if i % 500 == 499:  # reload from the histogram, as the stream does per batch
-            m = RunningMedian.from_counts(m.counts())
+        if i % 500 == 499:  # from values and counts
+            m = RunningMedian(sorted(Counter(seen).items()))
         if i == 2000:  # go on from the middle of what was seen only
-            inner = sorted(seen)[400:-400]
-            m = RunningMedian(inner, 400, 400)
+            inner = sorted(seen)
+            low, high = inner[700], inner[-700]
+            inner = [v for v in inner if low <= v <= high]
+            m = RunningMedian(sorted(Counter(inner).items()), sum(v < low for v in seen), sum(v > high for v in seen))
         if i == 2400:
-            m = RunningMedian.from_counts({v: seen.count(v) for v in set(seen)})
+            m = RunningMedian(sorted(Counter(seen).items()))
+
+
+def test_count_tree_reads_a_node_per_level():
+    """Medians from a tree that is written and read again for each batch; a batch reads few of its nodes."""
+    import random
+    import statistics
+    from tidepool.operators.order_stats import CountTree
+    rnd = random.Random(8)
+    seen, store, root, made = [], {}, 0, 0
+
+    class Counting(dict):
+        reads = 0
+
+        def __getitem__(self, k):
+            Counting.reads += 1
+            return super().__getitem__(k)
+
+    for batch in range(60):
+        tree = CountTree(Counting(store), root, made, width=8)
+        Counting.reads = 0
+        for _ in range(40 if batch < 59 else 1):
+            x = rnd.choice([float(rnd.randint(0, 9)), rnd.random() * 100, -rnd.random()])
+            seen.append(x)
+            tree.add(x)
+        assert tree.median() == statistics.median(seen)
+        tree.save()
+        store, root, made = dict(tree.store), tree.root, tree.made
+    assert made > 150 and Counting.reads < 25
+    assert len(CountTree(store, root, made)) == len(seen)
+
+
+def test_running_median_under_ties_sends_counts(spark):
+    """A value that most rows have travels to a later chunk as one pair."""
+    import random
+    from tidepool.operators import median
+    rnd = random.Random(4)
+    data = [("k", i, 5.0 if rnd.random() < .9 else rnd.random() * 10) for i in range(20_000)]
+    df = spark.createDataFrame(data, "k string, seq long, v double")
+    parts = median._chunked(df, "k", "seq", "v", 1000)
+    context = parts.where("_kind = 0")
+    assert context.agg({"_n": "sum"}).first()[0] > 100_000 and context.count() < 20 * 2500
+    got = {r.seq: r.median for r in running_median(df, "k", "seq", "v", hot_rows=100, chunk_rows=1000).collect()}
+    m = RunningMedian()
+    assert all(got[seq] == m.add(v) for _, seq, v in data)
 
 
 # Fixture: addresses for the geocoding enrichment (Chinese text).
@@ -159,3 +206,44 @@ def test_enrich_chinese_addresses(spark):
     assert len(out) == 14
     assert out[0] == (ADDRESSES[0], 112.9, 28.2) and out[12] == out[0]
     assert out[4] == ("", 0.0, 0.0) and out[9] == ("", 0.0, 0.0)
+
+
+def test_hanging_calls_never_exceed_the_bound():
+    """1,000 keys of a service that hangs: ten calls alive at most, all keys answered, also those of the next batch."""
+    import threading
+    import time
+    from tidepool.operators.enrich import call_all
+    alive, most, free, lock = [0], [0], threading.Event(), threading.Lock()
+
+    def hangs(k):
+        with lock:
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+        free.wait()
+        with lock:
+            alive[0] -= 1
+        return "late"
+
+    keys = [str(i) for i in range(1000)]
+    assert call_all(keys, hangs, 10, 0.01) == dict.fromkeys(keys)
+    assert call_all(["a", "b"], lambda k: k, 10, 0.05) == {"a": None, "b": None}  # the calls that hang keep their permits
+    assert most[0] == alive[0] == 10
+    threading.Timer(0.1, free.set).start()
+    assert call_all(["a", "b"], lambda k: k, 10, 5.0) == {"a": "a", "b": "b"}
+    time.sleep(0.05)
+    assert alive[0] == 0
+
+
+def test_slow_and_failing_calls():
+    import time
+    from tidepool.operators.enrich import call_all
+
+    def service(k):
+        if k == "bad":
+            raise OSError("no")
+        time.sleep(0.3 if k == "slow" else 0)
+        return k.upper()
+
+    got = call_all(["slow", "bad", *map(str, range(50))], service, 4, 0.1)
+    assert got == {"slow": None, "bad": None, **{str(i): str(i) for i in range(50)}}
+    assert call_all(["slow"], service, 4, None) == {"slow": "SLOW"}

@@ -49,7 +49,7 @@ def _run(args) -> None:
         df.write.mode("overwrite").parquet(args.out)
 
 
-STREAM_JOBS = ("word_count", "late_split", "count_window", "daily_uv_cumulative", "running_median", "top_n",
+STREAM_JOBS = ("word_count", "running_count", "closing_sum", "late_split", "count_window", "daily_uv_cumulative", "running_median", "top_n",
                "tumbling_sum", "sliding_sum", "day_window", "daily_uv")
 
 
@@ -62,20 +62,24 @@ def _stream(args) -> None:
     from tidepool.functions.text import tokens
     from tidepool.operators.windows import processing_time_sliding_sum
     from tidepool.sinks.text import labelled_printer
-    from tidepool.sources.files import scan_text, with_seq
+    from tidepool.sources.files import ARRIVAL, scan_text, with_seq
     from tidepool.streaming import jobs
 
     spark = _session()
     lines = scan_text(spark, args.input, stream=True, max_files_per_trigger=args.files_per_batch,
-                      arrival=args.job in ("late_split", "count_window"))
+                      arrival=args.job in ("late_split", "count_window", "running_count"))
     mode = "append"
     if args.job == "word_count":
         df, mode = jobs.word_count_stream(lines), "update"
     elif args.job == "late_split":
         orders, _ = parse_orders(with_seq(lines), keep=("seq",))
-        df = jobs.late_split_stream(orders, 5000, args.lag_ms, 0, args.zone)
+        df = jobs.late_split_stream(orders, 5000, args.lag_ms, args.lateness_ms, args.zone)
+    elif args.job == "running_count":  # words split at single spaces, each with its count so far
+        df = jobs.running_count_stream(with_seq(tokens(lines, "space", keep=ARRIVAL), "pos"))
+    elif args.job == "closing_sum":  # word,num lines, processing-time 5 s windows sliding by 1 s, each once, at its end
+        df = jobs.closing_sum_stream(parse_word_num(lines), heartbeat=not args.available_now)
     elif args.job == "count_window":  # words split at single spaces, in arrival order, five of a word per window
-        words = with_seq(tokens(lines, "space", keep=("arrived", "line_no")), "pos")
+        words = with_seq(tokens(lines, "space", keep=ARRIVAL), "pos")
         df = jobs.count_window_stream(words.select("word", "seq", F.lit(1).cast("long").alias("num")), n=5)
     elif args.job == "daily_uv_cumulative":
         visits, _ = parse_visits(lines)
@@ -103,8 +107,8 @@ def _stream(args) -> None:
         writer = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
         if args.out and mode == "append":
             writer = writer.format("parquet").option("path", args.out)
-        elif args.out:  # changed rows of each batch, in a folder that a retried batch overwrites
-            writer = writer.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{args.out}/batch_id={n}"))
+        elif args.out:
+            writer = writer.foreachBatch(jobs.write_changes(args.out))
         else:
             writer = writer.foreachBatch(labelled_printer(args.job))
         return writer.start()
@@ -134,6 +138,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint")
     s.add_argument("--files-per-batch", type=int, default=1)
     s.add_argument("--lag-ms", type=int, default=0)
+    s.add_argument("--lateness-ms", type=int, default=0, help="late_split: how long a window takes late rows")
     s.add_argument("--zone", default="UTC")
     s.add_argument("--zone-offset-ms", type=int, default=0)
     s.add_argument("--restarts", type=int, default=1, help="restarts after a failure")

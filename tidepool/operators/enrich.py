@@ -46,43 +46,62 @@ IN_FLIGHT = 10
 TIMEOUT_S = 3.0
 
 
+_PERMITS: dict = {}  # of this worker: one per call that may be alive, by their number
+
+
 def call_all(keys: list, lookup: Callable[[str], str | None], in_flight: int, timeout_s: float | None) -> dict:
-    """``{key: reply}``, at most ``in_flight`` calls at a time.
+    """``{key: reply}``; never more than ``in_flight`` calls are alive in this worker.
 
-    A call's time starts when it does: one that takes over ``timeout_s`` gives
-    None and its place to the next key (its thread is left to end by itself);
-    no key is answered without its own call.
+    ``in_flight`` keys have their turn at a time. A key's time starts with its
+    turn, and again with its call; one that gets no permit, or no reply, within
+    ``timeout_s`` gives None and its turn to the next key. A call that is given
+    up keeps its permit until it really ends, also beyond this batch: a service
+    that hangs has ``in_flight`` calls, and what waits for it times out.
     """
     import queue
     import threading
     import time
+    from collections import deque
 
+    permits = _PERMITS.setdefault(in_flight, threading.Semaphore(in_flight))
     replies: dict = {}
     done: queue.Queue = queue.Queue()
-    waiting, running = list(reversed(keys)), {}
+    waiting, turns, running = deque(keys), deque(), {}
 
     def call(k: str) -> None:
         try:
-            done.put((k, lookup(k)))
+            said = (k, lookup(k))
         except Exception:  # any failure becomes the default reply
-            done.put((k, None))
-
-    while waiting or running:
-        while waiting and len(running) < in_flight:
-            k = waiting.pop()
-            running[k] = time.monotonic()
+            said = (k, None)
+        permits.release()
+        done.put(said)
+
+    while waiting or turns or running:
+        now = time.monotonic()
+        while waiting and len(turns) + len(running) < in_flight:
+            turns.append((waiting.popleft(), now))
+        while turns and permits.acquire(blocking=False):
+            k, _ = turns.popleft()
+            running[k] = now
             threading.Thread(target=call, args=(k,), daemon=True).start()
-        left = None if timeout_s is None else max(0.0, min(running.values()) + timeout_s - time.monotonic())
+        since = [*running.values(), *(t for _, t in turns)]
+        left = None if timeout_s is None else max(0.0, min(since) + timeout_s - now)
+        if turns:  # a permit may come back from a call of another batch
+            left = 0.02 if left is None else min(left, 0.02)
         try:
             k, reply = done.get(timeout=left)
             if k in running:  # else its time was over before
                 del running[k]
                 replies[k] = reply
         except queue.Empty:
+            if timeout_s is None:
+                continue
             over = time.monotonic() - timeout_s
             for k in [k for k, began in running.items() if began <= over]:
                 del running[k]
                 replies[k] = None
+            while turns and turns[0][1] <= over:
+                replies[turns.popleft()[0]] = None
     return replies
 
 

@@ -80,8 +80,10 @@ def running_median(df: DataFrame, key: str, seq: str, value: str, out: str = "me
     is cut into arrival chunks of about ``chunk_rows`` rows, which run side by
     side: inside a chunk the median moves by at most the chunk's rows, so a
     chunk needs, of the earlier values, only those that close to the median
-    it starts from, and the counts below and above them. Null and NaN values
-    are ignored; a null key is a key; ``seq`` orders the rows of a key.
+    it starts from, and the counts below and above them. These values travel
+    as (value, count), so equal ones cost one pair a chunk however many rows
+    have them. Null and NaN values are ignored; a null key is a key; ``seq``
+    orders the rows of a key.
     """
     from tidepool.session import ship_package
 
@@ -99,17 +101,18 @@ def running_median(df: DataFrame, key: str, seq: str, value: str, out: str = "me
 
 def _one_chunk(src: DataFrame, seq: str, value: str) -> DataFrame:
     return src.select("*", F.lit(0).cast("bigint").alias("_chunk"), F.lit(1).alias("_kind"), F.col(seq).alias("_at"),
-                      F.col(value).alias("_x"), F.lit(0).cast("bigint").alias("_below"), F.lit(0).cast("bigint").alias("_above"))
+                      F.col(value).alias("_x"), F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_above"))
 
 
 def _chunked(src: DataFrame, key: str, seq: str, value: str, chunk_rows: int) -> DataFrame:
-    """The rows by chunk (kind 1), and before them what the chunk needs of earlier rows (kind 0: a value; -1: counts)."""
+    """The rows by chunk (kind 1), and before them what the chunk needs of earlier rows (kind 0: a value and its
+    count ``_n``; -1: the counts ``_n`` below and ``_above``)."""
     x = F.when(~F.isnan(value), F.col(value))
     rows = src.withColumn("_x", x).withColumn("_chunk", bucket_of(F.col(seq), chunk_bounds(src, seq, chunk_rows)))
     rows = rows.withColumn("_vb", bucket_of(F.col("_x"), chunk_bounds(rows, "_x", chunk_rows)))
-    seen = rows.where(F.col("_x").isNotNull())
-    # Earlier rows per (chunk, value bucket): the grid's running sums over chunks.
-    grid = seen.groupBy(key, "_chunk", "_vb").agg(F.count(F.lit(1)).alias("_c"))
+    counted = rows.where(F.col("_x").isNotNull()).groupBy(key, "_chunk", "_vb", "_x").agg(F.count(F.lit(1)).alias("_n"))
+    # Earlier rows per (chunk, value bucket): the grid's running sums over chunks, SEGMENTS * SEGMENTS cells a key at most.
+    grid = counted.groupBy(key, "_chunk", "_vb").agg(F.sum("_n").alias("_c"))
     chunks = rows.groupBy(key, "_chunk").agg(F.count("_x").alias("_own"))
     buckets = grid.select(F.col(key).alias("_bk"), "_vb").distinct()
     cells = chunks.join(buckets, F.col(key).eqNullSafe(F.col("_bk"))).drop("_bk")
@@ -123,29 +126,31 @@ def _chunked(src: DataFrame, key: str, seq: str, value: str, chunk_rows: int) ->
     reach = F.col("_own") + 2
     near = prior.where((F.col("_c") > 0) & (F.col("_cum") > F.col("_all") / 2 - reach)
                        & (F.col("_cum") - F.col("_c") < F.col("_all") / 2 + reach))
-    sides = near.groupBy(key, "_chunk").agg(F.min(F.col("_cum") - F.col("_c")).alias("_below"),
+    sides = near.groupBy(key, "_chunk").agg(F.min(F.col("_cum") - F.col("_c")).alias("_n"),
                                             (F.max("_all") - F.max("_cum")).alias("_above"))
     wanted = near.select(F.col(key).alias("_wk"), F.col("_chunk").alias("_for"), F.col("_vb").alias("_wb"))
-    context = seen.join(wanted, F.col(key).eqNullSafe(F.col("_wk")) & (F.col("_vb") == F.col("_wb"))
-                        & (F.col("_chunk") < F.col("_for"))).select(key, F.col("_for").alias("_chunk"), "_x")
+    context = counted.join(wanted, F.col(key).eqNullSafe(F.col("_wk")) & (F.col("_vb") == F.col("_wb"))
+                           & (F.col("_chunk") < F.col("_for"))).groupBy(key, F.col("_for").alias("_chunk"), "_x").agg(F.sum("_n").alias("_n"))
     data = rows.select(key, seq, value, "_chunk", F.lit(1).alias("_kind"), F.col(seq).alias("_at"), "_x")
     parts = data.unionByName(context.withColumn("_kind", F.lit(0)), allowMissingColumns=True).unionByName(
         sides.withColumn("_kind", F.lit(-1)), allowMissingColumns=True)
-    return parts.withColumn("_below", F.coalesce("_below", F.lit(0))).withColumn("_above", F.coalesce("_above", F.lit(0)))
+    return parts.withColumn("_n", F.coalesce("_n", F.lit(0))).withColumn("_above", F.coalesce("_above", F.lit(0)))
 
 
 def _streamed(rows: DataFrame, key: str, seq: str, value: str, out: str, schema: T.StructType) -> DataFrame:
-    """Each (key, chunk) in order: counts, earlier values, then its rows with their medians."""
+    """Each (key, chunk) in order: counts, earlier values with theirs, then its rows with their medians."""
     import pyarrow as pa
 
-    cols = [key, "_chunk", "_kind", "_x", "_below", "_above", seq, value]
+    cols = [key, "_chunk", "_kind", "_x", "_n", "_above", seq, value]
     done = T.StructType([*schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches):
         current, med, context, sides = object(), None, [], (0, 0)
         for batch in batches:
             keep, medians = [], []
-            where, kinds, xs, below, above = (batch.column(k).to_pylist() for k in (1, 2, 3, 4, 5))
+            where, kinds, xs = (batch.column(k).to_pylist() for k in (1, 2, 3))
+            first = min(kinds, default=1)  # only what comes before rows has counts
+            below, above = (batch.column(k).to_pylist() for k in (4, 5)) if first < 1 else ((), ())
             for i, k in enumerate(batch.column(0).to_pylist()):
                 here = ("nan" if k != k else k, k is None, where[i])
                 if here != current:
@@ -153,7 +158,7 @@ def _streamed(rows: DataFrame, key: str, seq: str, value: str, out: str, schema:
                 if kinds[i] < 0:
                     sides = (below[i], above[i])
                 elif kinds[i] == 0:
-                    context.append(xs[i])
+                    context.append((xs[i], below[i]))
                 else:
                     if med is None:
                         med = RunningMedian(context, *sides)

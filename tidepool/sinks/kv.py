@@ -17,9 +17,10 @@ from collections.abc import Callable, Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Flush size and key expiry of the pipeline sink.
+# Flush size, key expiry and longest wait of the pipeline sink.
 FLUSH_ROWS = 1000
 TTL_SECONDS = 2 * 24 * 3600
+FLUSH_MS = 10_000
 # Fixed value: the hash that the running word counts go to.
 WORD_COUNT_HASH = "wordcnt_sink_redis_demo"
 
@@ -80,7 +81,22 @@ def stream_to_kv(df: DataFrame, key: str, value: str, client_factory: Callable[[
                  ttl_s: int | None = TTL_SECONDS, flush_rows: int = FLUSH_ROWS, hash_name: str | None = None):
     """Start a stream into the KV store: every ``interval`` (the time-based
     flush) each micro-batch is written in ``flush_rows`` pipelines. Idle input
-    leaves nothing buffered, since each batch is flushed whole."""
+    leaves nothing buffered, since each batch is flushed whole. Small frequent
+    batches go through ``buffered_to_kv`` instead."""
     writer = upsert_batch_writer(key, value, client_factory, order, ttl_s, flush_rows, hash_name)
     return (df.writeStream.outputMode(mode).foreachBatch(writer).option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval).start())
+
+
+def buffered_to_kv(df: DataFrame, key: str, value: str, client_factory: Callable[[], object], checkpoint: str,
+                   flush_rows: int = FLUSH_ROWS, flush_ms: int = FLUSH_MS, ttl_s: int | None = TTL_SECONDS,
+                   hash_name: str | None = None, buffers: int = 16, trigger: str = "1 second"):
+    """Start an append stream into the KV store through a buffer that is state:
+    rows go out ``flush_rows`` at a time, or ``flush_ms`` after a buffer's first
+    row, also when no input comes; unsent rows come back after a restart."""
+    from tidepool.streaming.jobs import buffered_stream
+
+    due = buffered_stream(df, key, value, flush_rows, flush_ms, buffers)
+    return (due.writeStream.outputMode("append")
+            .foreachBatch(upsert_batch_writer("k", "v", client_factory, None, ttl_s, flush_rows, hash_name))
+            .option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start())

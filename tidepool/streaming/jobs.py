@@ -19,8 +19,8 @@ from tidepool.operators.topn import filter_event
 from tidepool.operators.windows import window_agg, window_header, with_event_ts
 from tidepool.session import ship_package, subdir
 from tidepool.streaming.processors import (
-    CountWindowProcessor, DayCountProcessor, DayTotalProcessor, FirstVisitProcessor, LateSplitProcessor,
-    RunningMedianProcessor, TopNProcessor,
+    BufferProcessor, ClosingWindowProcessor, CountWindowProcessor, DayCountProcessor, DayTotalProcessor, FirstVisitProcessor,
+    LateSplitProcessor, RunningCountProcessor, RunningMedianProcessor, TopNProcessor,
 )
 
 
@@ -100,7 +100,7 @@ def count_window_stream(records: DataFrame, key: str = "word", seq: str = "seq",
 def running_median_stream(records: DataFrame, key: str = "user_id", seq: str = "seq",
                           value: str = "value") -> DataFrame:
     """Running median per key after every row; ``append``. State per key is a
-    value histogram. Key type is taken from the input."""
+    tree of counted values. Key type is taken from the input."""
     ship_package(records.sparkSession)
     key_type = records.schema[key].dataType.simpleString()
     schema = f"{key} {key_type}, {seq} long, {value} double, median double"
@@ -108,15 +108,66 @@ def running_median_stream(records: DataFrame, key: str = "user_id", seq: str = "
         .groupBy(key).transformWithStateInPandas(RunningMedianProcessor(key, seq, value), schema, "append", "None")
 
 
+def running_count_stream(records: DataFrame, key: str = "word", seq: str = "seq", out: str = "cnt") -> DataFrame:
+    """The count of each record's key up to it, one row per record (``append``):
+    ``(key, seq, cnt)``. Inside a micro-batch records go by ``seq``; a record
+    of a later batch counts after those of earlier ones."""
+    ship_package(records.sparkSession)
+    kinds = {c: records.schema[c].dataType.simpleString() for c in (key, seq)}
+    return records.select(key, seq).groupBy(key).transformWithStateInPandas(
+        RunningCountProcessor(key, seq, out), f"{key} {kinds[key]}, {seq} {kinds[seq]}, {out} long", "append", "None")
+
+
+def with_heartbeat(rows: DataFrame) -> DataFrame:
+    """``rows`` and a source that ticks once a second and adds none of its own: batches, and so timers, also run when
+    a query starts again and finds no new input (Spark runs idle batches only after one with input)."""
+    ticks = rows.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load().where(F.col("value") < 0)
+    return rows.unionByName(ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]))
+
+
+def closing_sum_stream(records: DataFrame, key: str = "word", value: str = "num", size: str = "5 seconds",
+                       slide: str = "1 second", out: str = "total", heartbeat: bool = True) -> DataFrame:
+    """Sums over sliding windows of processing time (``append``): each window is
+    emitted once, at its end, whether or not new input comes:
+    ``(key, window_start, window_end, total)``. ``heartbeat`` closes windows that
+    a stopped query left open as soon as it runs again."""
+    from tidepool.operators.windows import duration_ms
+    size_ms, slide_ms = duration_ms(size), duration_ms(slide)
+    if size_ms % slide_ms:
+        raise ValueError("size must be a multiple of slide")
+    ship_package(records.sparkSession)
+    kind = records.schema[key].dataType.simpleString()
+    read = records.select(key, F.coalesce(F.col(value).cast("long"), F.lit(0)).alias(value))
+    return (with_heartbeat(read) if heartbeat else read).groupBy(key).transformWithStateInPandas(
+        ClosingWindowProcessor(key, value, size_ms, slide_ms, out), f"{key} {kind}, window_start long, window_end long, {out} long",
+        "append", "ProcessingTime")
+
+
+def buffered_stream(rows: DataFrame, key: str, value: str, flush_rows: int = 1000, flush_ms: int = 10_000,
+                    buffers: int = 16) -> DataFrame:
+    """``(k, v)`` of every row, held in ``buffers`` buffers and let go
+    ``flush_rows`` at a time or ``flush_ms`` after a buffer's first row
+    (``append``). What is held is state: it outlives a restart, and goes out
+    without new input. A key's rows share a buffer and keep their order of batches."""
+    ship_package(rows.sparkSession)
+    pairs = with_heartbeat(rows.select(F.col(key).cast("string").alias("k"), F.col(value).cast("string").alias("v"))).withColumn(
+        "buffer", F.pmod(F.xxhash64("k"), F.lit(buffers)))
+    return pairs.groupBy("buffer").transformWithStateInPandas(
+        BufferProcessor(flush_rows, flush_ms), "k string, v string", "append", "ProcessingTime")
+
+
 LATE_SCHEMA = ("kind string, user_id int, window_start long, window_end long, n_orders long, money long, "
-               "rows string")
+               "rows string, version long")
 
 
 def late_split_stream(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, lateness_ms: int = 0,
                       zone: str = "UTC") -> DataFrame:
     """Windows and late rows, tagged by ``kind`` (``window`` / ``late``).
 
-    ``orders`` has ``seq, order_id, user_id, money, pay_time`` (epoch ms).
+    ``orders`` has ``seq, order_id, user_id, money, pay_time`` (epoch ms). A
+    window is emitted once its end has passed (``version`` 1) and again, whole,
+    for every row within ``lateness_ms`` after that (2, 3, ...): the largest
+    version is its final content. Rows later than that are ``late`` (version 0).
     The watermark is declared on a timestamp column which is then dropped, so
     the processor — not Spark's row filter — decides lateness per window.
     """
@@ -126,7 +177,7 @@ def late_split_stream(orders: DataFrame, size_ms: int = 5000, lag_ms: int = 0, l
         LateSplitProcessor(size_ms, lateness_ms), LATE_SCHEMA, "append", "EventTime")
     info = F.when(F.col("kind") == "window",
                   F.concat(window_header("window_start", "window_end", zone), F.col("rows"))).otherwise(F.col("rows"))
-    return out.select("kind", "user_id", "window_start", "window_end", "n_orders", "money", info.alias("info"))
+    return out.select("kind", "user_id", "window_start", "window_end", "n_orders", "money", info.alias("info"), "version")
 
 
 def day_window_stream(records: DataFrame, key: str, ms_col: str, zone: str, lag: str = "0 seconds") -> DataFrame:
@@ -197,6 +248,14 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: st
 
 
 
+def write_changes(path: str):
+    """``foreachBatch`` function: each batch's changed rows as Parquet in a folder of its own, by the query's id (which
+    a restart keeps) and the batch's. A retried batch overwrites itself; another query's rows stay."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        df.write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
+    return write
+
 
 def enrich_each_batch(load_dim, key: str, value_cols: list[str], sink, default: object = "",
                       order_col: str | None = None):

@@ -1,12 +1,15 @@
 """Stateful processors for the jobs the built-in streaming operators cannot express.
 
 * ``CountWindowProcessor`` — per-key count windows (fire on every n-th row).
-* ``LateSplitProcessor`` — tumbling windows that route rows arriving after
-  their window closed to a side output instead of silently dropping them.
+* ``LateSplitProcessor`` — tumbling windows that fire at their end and again
+  for each late row, and route rows beyond the lateness to a side output.
 * ``FirstVisitProcessor`` — flags a user's first visit of a day (stage 1 of
   the cumulative UV job), keyed by (app, uid bucket) to spread hot apps.
 * ``DayTotalProcessor`` — per app, a running per-day total of the flags
   (stage 3 of the cumulative UV job).
+* ``RunningMedianProcessor``, ``RunningCountProcessor`` — one row per input row.
+* ``ClosingWindowProcessor``, ``BufferProcessor`` — processing-time windows and
+  a write buffer, let go by timers.
 
 State is bounded: windows are dropped when emitted, per-day state is cleared
 by an event-time timer once the day can no longer receive rows.
@@ -63,18 +66,20 @@ class CountWindowProcessor(StatefulProcessor):
 
 
 class LateSplitProcessor(StatefulProcessor):
-    """Tumbling event-time windows with a late side output, keyed by user.
+    """Tumbling event-time windows with allowed lateness and a late side output, keyed by user.
 
     Input rows carry epoch-ms ``pay_time`` (the watermarked timestamp column
     must be dropped before this operator, otherwise Spark filters rows of
-    still-open windows). A row is late when ``window_end + lateness <=
-    watermark``; otherwise it joins its window, which is emitted by a timer at
-    ``window_end + lateness``. A window's rows are single entries of its state
-    (window, position), so a row is written once, however many come after it.
-    Output: ``kind, user_id, window_start, window_end, n_orders, money, rows``.
+    still-open windows). A window fires when the watermark reaches its end
+    (version 1), by a timer; each row that comes after that and before
+    ``window_end + lateness`` fires it again with its new contents (versions
+    2, 3, ...); at ``window_end + lateness`` its state goes, and later rows are
+    late. A window's rows are single entries of its state (window, position),
+    so a row is written once, however many come after it.
+    Output: ``kind, user_id, window_start, window_end, n_orders, money, rows, version``.
     """
 
-    COLS = ["kind", "user_id", "window_start", "window_end", "n_orders", "money", "rows"]
+    COLS = ["kind", "user_id", "window_start", "window_end", "n_orders", "money", "rows", "version"]
     FIELDS = ["seq", "order_id", "user_id", "money", "pay_time"]
 
     def __init__(self, size_ms: int = 5000, lateness_ms: int = 0):
@@ -82,44 +87,62 @@ class LateSplitProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.windows = handle.getMapState("windows", "start long", "n long, money long")
+        self.windows = handle.getMapState("windows", "start long", "n long, money long, version long")
         self.rows = handle.getMapState("rows", "start long, at long", "row string")
 
+    def fired(self, user: int, start: int, n: int, money: int, version: int) -> tuple:
+        texts = (self.rows.getValue((start, at))[0] for at in range(n))
+        return ("window", user, start, start + self.size_ms, n, money, "".join(f"{t}:" for t in texts), version)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        out, changed = [], {}
+        user, out, changed = int(key[0]), [], {}
         for _, order_id, user_id, money, pay_time in sorted_rows(rows, self.FIELDS, "seq"):
             t = int(pay_time)
             start = t - t % self.size_ms
             end = start + self.size_ms
             text = f"Order(orderId={order_id}, userId={int(user_id)}, money={int(money)}, payTime={t})"
             if end + self.lateness_ms <= wm:
-                out.append(("late", int(key[0]), start, end, 1, int(money), text))
+                out.append(("late", user, start, end, 1, int(money), text, 0))
                 continue
             if start not in changed:
                 known = self.windows.containsKey((start,))
-                changed[start] = tuple(map(int, self.windows.getValue((start,)))) if known else (0, 0)
+                changed[start] = tuple(map(int, self.windows.getValue((start,)))) if known else (0, 0, 0)
                 if not known:
                     self.handle.registerTimer(end + self.lateness_ms)
-            n, total = changed[start]
+                    if end > wm and self.lateness_ms:
+                        self.handle.registerTimer(end)
+            n, total, version = changed[start]
+            if end <= wm and n and not version:  # its end has passed, its timer runs after these rows
+                version = 1
+                out.append(self.fired(user, start, n, total, version))
             self.rows.updateValue((start, n), (text,))
-            changed[start] = (n + 1, total + int(money))
-        for start, counts in changed.items():
-            self.windows.updateValue((start,), counts)
+            n, total = n + 1, total + int(money)
+            if end <= wm:
+                version += 1
+                out.append(self.fired(user, start, n, total, version))
+            changed[start] = (n, total, version)
+        for start, held in changed.items():
+            self.windows.updateValue((start,), held)
         if out:
             yield pd.DataFrame(out, columns=self.COLS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start = int(expiredTimerInfo.getExpiryTimeInMs() - self.lateness_ms - self.size_ms)
-        if self.windows.containsKey((start,)):
-            n, money = map(int, self.windows.getValue((start,)))
-            self.windows.removeKey((start,))
-            texts = []
-            for at in range(n):
-                texts.append(self.rows.getValue((start, at))[0])
-                self.rows.removeKey((start, at))
-            yield pd.DataFrame([("window", int(key[0]), start, start + self.size_ms, n, money,
-                                 "".join(f"{t}:" for t in texts))], columns=self.COLS)
+        at, out = int(expiredTimerInfo.getExpiryTimeInMs()), []
+        ended, over = at - self.size_ms, at - self.lateness_ms - self.size_ms
+        for start in sorted({ended, over}):
+            if self.windows.containsKey((start,)):
+                n, money, version = map(int, self.windows.getValue((start,)))
+                if not version:
+                    version = 1
+                    out.append(self.fired(int(key[0]), start, n, money, version))
+                    self.windows.updateValue((start,), (n, money, version))
+                if start == over:
+                    self.windows.removeKey((start,))
+                    for k in range(n):
+                        self.rows.removeKey((start, k))
+        if out:
+            yield pd.DataFrame(out, columns=self.COLS)
 
     def close(self) -> None:
         pass
@@ -234,41 +257,158 @@ class DayTotalProcessor(StatefulProcessor):
         pass
 
 
+class StateMap(dict):
+    """A map state read entry by entry, as a store of a tree's nodes."""
+
+    def __init__(self, state):
+        self.state = state
+
+    def __missing__(self, number: int) -> bytes:
+        return bytes(self.state.getValue((number,))[0])
+
+    def __setitem__(self, number: int, raw: bytes) -> None:
+        self.state.updateValue((number,), (raw,))
+
+
 class RunningMedianProcessor(StatefulProcessor):
     """Running median per key on a stream, one output row per input row.
 
-    State is a value histogram (``value -> count``), so it grows with the
-    number of distinct values, not with the rows seen. Each micro-batch loads
-    it into a two-heap order-statistics structure and writes back the counts
-    of the values the batch touched.
+    State is a search tree of values with counts, a map entry per node: a row
+    reads and writes one node per level, so a micro-batch's work follows its
+    rows, not the values seen before (``CountTree``; a key with a billion
+    distinct values has five levels). Null and NaN values are ignored.
     Output: ``key, seq, value, median``.
     """
 
-    def __init__(self, key_col: str = "user_id", seq_col: str = "seq", value_col: str = "value"):
-        self.key_col, self.seq_col, self.value_col = key_col, seq_col, value_col
+    def __init__(self, key_col: str = "user_id", seq_col: str = "seq", value_col: str = "value", width: int = 128):
+        self.key_col, self.seq_col, self.value_col, self.width = key_col, seq_col, value_col, width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.hist = handle.getMapState("hist", "v double", "c long")
+        self.tree = handle.getValueState("tree", "root long, made long")
+        self.nodes = handle.getMapState("nodes", "number long", "node binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        from tidepool.operators.order_stats import RunningMedian
+        from tidepool.operators.order_stats import CountTree
 
-        med = RunningMedian.from_counts({float(k[0]): int(v[0]) for k, v in self.hist.iterator()})
+        root, made = map(int, self.tree.get()) if self.tree.exists() else (0, 0)
+        tree = CountTree(StateMap(self.nodes), root, made, self.width)
         out = []
-        touched = set()
         for seq, x in sorted_rows(rows, [self.seq_col, self.value_col], self.seq_col):
-            x = float(x)
-            touched.add(x)
-            out.append((key[0], int(seq), x, med.add(x)))
-        counts = med.counts()
-        for v in touched:
-            self.hist.updateValue((v,), (counts[v],))
+            x = float("nan") if x is None else float(x)
+            if x == x:
+                tree.add(x)
+            out.append((key[0], int(seq), x, tree.median()))
+        tree.save()
+        self.tree.update((tree.root, tree.made))
         yield pd.DataFrame(out, columns=[self.key_col, self.seq_col, self.value_col, "median"])
 
     def close(self) -> None:
         pass
 
 
+class RunningCountProcessor(StatefulProcessor):
+    """The changelog of a keyed count: one output row per input row, ``key, seq, cnt``, in order of ``seq``."""
+
+    def __init__(self, key_col: str = "word", seq_col: str = "seq", out: str = "cnt"):
+        self.key_col, self.seq_col, self.out = key_col, seq_col, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = int(self.count.get()[0]) if self.count.exists() else 0
+        seqs = np.sort(np.concatenate([b[self.seq_col].to_numpy() for b in rows]), kind="stable")
+        self.count.update((n + len(seqs),))
+        yield pd.DataFrame({self.key_col: [key[0]] * len(seqs), self.seq_col: seqs, self.out: np.arange(n + 1, n + len(seqs) + 1)})
+
+    def close(self) -> None:
+        pass
+
+
+class ClosingWindowProcessor(StatefulProcessor):
+    """Sums over sliding windows of processing time, each emitted once, by a timer at its end, with or without new input.
+
+    A row belongs to the windows that hold the moment it is handled. Output:
+    ``key, window_start, window_end, total``.
+    """
+
+    def __init__(self, key_col: str = "word", value_col: str = "num", size_ms: int = 5000, slide_ms: int = 1000, out: str = "total"):
+        self.key_col, self.value_col, self.size_ms, self.slide_ms, self.out = key_col, value_col, size_ms, slide_ms, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.totals = handle.getMapState("totals", "start long", "total long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        total = sum(int(b[self.value_col].sum()) for b in rows)
+        start = now - now % self.slide_ms
+        while start > now - self.size_ms:
+            before = 0
+            if self.totals.containsKey((start,)):
+                before = int(self.totals.getValue((start,))[0])
+            else:
+                self.handle.registerTimer(start + self.size_ms)
+            self.totals.updateValue((start,), (before + total,))
+            start -= self.slide_ms
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end = int(expiredTimerInfo.getExpiryTimeInMs())
+        start = end - self.size_ms
+        if self.totals.containsKey((start,)):
+            total = int(self.totals.getValue((start,))[0])
+            self.totals.removeKey((start,))
+            yield pd.DataFrame([(key[0], start, end, total)], columns=[self.key_col, "window_start", "window_end", self.out])
+
+    def close(self) -> None:
+        pass
+
+
+class BufferProcessor(StatefulProcessor):
+    """A write buffer that survives a restart: rows are held in state and let go together, once there are ``rows`` of
+    them or ``wait_ms`` after the first came, by a timer that needs no new input. Output: ``k, v``."""
+
+    def __init__(self, rows: int = 1000, wait_ms: int = 10_000):
+        self.rows, self.wait_ms = rows, wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "k string, v string")
+        self.meta = handle.getValueState("meta", "n long, due long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, due = map(int, self.meta.get()) if self.meta.exists() else (0, 0)
+        fresh = pd.concat([b[["k", "v"]] for b in rows])
+        if n + len(fresh) >= self.rows:  # whole buffers go, the rest waits
+            held = pd.DataFrame([tuple(r) for r in self.held.get()] if n else [], columns=["k", "v"])
+            every = pd.concat([held, fresh])
+            go = len(every) - len(every) % self.rows
+            yield every[:go]
+            if due:
+                self.handle.deleteTimer(due)
+            self.held.clear()
+            fresh, n, due = every[go:], 0, 0
+        if len(fresh):
+            if not due:
+                due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+                self.handle.registerTimer(due)
+            self.held.appendList([(k, v) for k, v in fresh.itertuples(index=False, name=None)])
+            self.meta.update((n + len(fresh), due))
+        else:
+            self.meta.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.meta.exists() and int(self.meta.get()[1]) == int(expiredTimerInfo.getExpiryTimeInMs()):
+            held = pd.DataFrame([tuple(r) for r in self.held.get()], columns=["k", "v"])
+            self.held.clear()
+            self.meta.clear()
+            yield held
+
+    def close(self) -> None:
+        pass
+
+
 class DayCountProcessor(StatefulProcessor):
     """Calendar-day counts per key for any zone, DST included.
 
