@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -167,3 +168,34 @@ def test_batches_of_500_pages(spark):
 def test_all_sibling_runs_stay_without_any_semantic_region(spark):
     flat = "<body><h1>T {0}</h1><p>a {0}</p><h2>S {0}</h2><p>c {0}</p><div><p>d {0}</p></div></body>"
     assert texts_of(spark, [flat.format(i) for i in range(12)]) == [f"T {i} a {i} S {i} c {i} d {i}" for i in range(12)]
+
+
+def said(page):
+    _, blocks, marks = H.parse(page)
+    mine = H.picked([b.node.region for b in blocks], [len(b.text) for b in blocks], [False] * len(blocks),
+                               [(m.first, m.last, m.comments) for m in marks])
+    return [blocks[i].text for i in mine]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><form id=aspnetForm><label>Name</label><div>menu</div><article><p>Its <b>text</b></p></article></form></body>", ["Its text"]),
+    ("<body><form><label>Name</label><button>Go</button><p>All the text of the page is in a form.</p></form><aside>beside</aside></body>",
+     ["All the text of the page is in a form."]),
+    ("<div hidden><main><p>shown by a script</p></main></div><div hidden>never</div>", ["shown by a script"]),
+    ("<div aria-hidden=true><p>most of the page's text, shown later</p></div><p>little</p>", ["most of the page's text, shown later", "little"]),
+    ("<p>Text of the page</p><form>find <label>x</label></form><dialog>a cookie</dialog><div hidden>no</div><div role=alert>no</div>"
+     "<aside>beside the text, and far longer than the text is, but beside it</aside>", ["Text of the page"]),
+    ("<aside><article><p>inside an aside</p></article></aside>", ["inside an aside"]),
+    ("<p title=it's>a &lt; b < c</p><p a='x>y'>q</p><p b=\"open>r</p>", ["a < b < c", "q", "r"]),
+    ("<p>one</p><p x=\">\" y='<i>'>two</p><a href=\"x", ["one", "two"]),
+])
+def test_wrapped_pages_and_odd_tags(page, text):
+    assert said(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a '", "<a b='", "<a b=\"", "<a b=\">\"", "<!", "<?", "</", "<!--", "<", "&", "</script ", "<a\""])
+@pytest.mark.parametrize("tail", ["", ">"])
+def test_odd_pages_take_linear_time(unit, tail):
+    began = time.process_time()
+    H.parse(unit * (1_000_000 // len(unit)) + tail)
+    assert time.process_time() - began < 5

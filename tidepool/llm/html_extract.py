@@ -9,8 +9,10 @@ on nearly every page is template, one whose text varies is a slot. A page's
 main text is its slots in page order: those in its semantic region (article,
 main) where it has one, else all of them, without menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments. A
-word of class or id makes an element boilerplate only if it holds neither an
-article or main nor most of the page's varying text. The
+form, a dialog, a hidden element or a word of class or id makes an element
+boilerplate only if it holds neither an article or main nor most of the page's
+varying text (a form around the whole page loses its controls and labels); an
+aside only if it holds no article or main and there is other text. The
 template nodes stay where they are half of the text or more (pages that copy
 each other).
 
@@ -53,8 +55,11 @@ ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form
 SAME_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
             "option": {"option"}}
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "p": {"body"}}
-BOILERPLATE_TAGS = frozenset("nav footer aside form button dialog menu head".split())
-BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+BOILERPLATE_TAGS = frozenset("nav footer button menu head".split())
+CONTROL_TAGS = frozenset("label legend output progress meter".split())  # in a form, besides those in RAW
+WRAPPING_TAGS = frozenset("form dialog".split())
+WRAPPING_ROLES = frozenset("search form dialog alert".split())
+LANDMARK_ROLES = frozenset("navigation banner contentinfo complementary menu menubar".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox adslot banner breadcrumb breadcrumbs comment comments commentlist "
     "cookie cookies consent disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
@@ -63,7 +68,8 @@ BOILERPLATE_WORDS = frozenset(
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 CONTENT_ROLES = frozenset(["main", "article"])
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+TAG_NAME = re.compile(r"(/?)([A-Za-z][A-Za-z0-9:-]*)")
+TAG_SIGN = re.compile(r"[>\"']")
 ATTRS = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 WORD = re.compile(r"[a-z]+")
 
@@ -83,10 +89,10 @@ class Node:
 
 @dataclass(slots=True)
 class Mark:
-    """An element whose class or id has a word of boilerplate: the blocks [first, last) are in it."""
+    """An element of a kind, or with a word of class or id, that is mostly boilerplate: the blocks [first, last) are in it."""
 
     first: int
-    comments: bool
+    comments: bool  # readers' comments or what stands beside the text: goes wherever there is other text
     story: bool
     last: int = 0
     void: bool = False
@@ -99,15 +105,70 @@ class Block:
     glued: bool  # no space between this block and the one before
 
 
+class Tags:
+    """The tags of a page in order, each found by one pass over it, however odd the page."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.last = text.rfind(">")
+        self.closed = {'"': True, "'": True}  # whether there may be more of these quotes
+        self.quoted = True
+
+    def next(self, at: int) -> tuple[int, int, re.Match | None, str] | None:
+        """(start, end, name, attributes) of the first tag from ``at``; the name of a comment or declaration is None."""
+        text = self.text
+        while (start := text.find("<", at)) >= 0:
+            if text.startswith("<!--", start):
+                end = text.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(text), None, ""
+            if start > self.last:
+                return None
+            if text.startswith(("!", "?"), start + 1):
+                return start, text.index(">", start) + 1, None, ""
+            name = TAG_NAME.match(text, start + 1)
+            if name:
+                end = self.end(name.end())
+                return start, end + 1, name, text[name.end():end]
+            at = start + 1
+        return None
+
+    def end(self, at: int) -> int:
+        """The ">" that ends a tag: the first that is in no attribute's quotes."""
+        text, begin, first = self.text, at, at
+        while self.quoted and (sign := TAG_SIGN.search(text, at)):
+            here = sign.start()
+            if sign[0] == ">":
+                return here
+            at = here + 1
+            if self.closed[sign[0]] and text[begin:here].rstrip()[-1:] == "=":
+                close = text.find(sign[0], at)
+                if close < 0:
+                    self.closed[sign[0]] = False  # an open quote is read as any character
+                else:
+                    at = close + 1
+            begin = at
+        self.quoted = False  # quotes that swallow all the rest are none
+        return text.find(">", first)
+
+
 def attributes(raw: str) -> dict[str, str]:
     return {k.lower(): (v or "").strip("\"'") for k, v in ATTRS.findall(raw)} if raw.strip(" /") else {}
 
 
 def is_junk(tag: str, attrs: dict[str, str], in_region: bool) -> bool:
     """Boilerplate by kind of element: what it says is never read."""
-    if tag in BOILERPLATE_TAGS or attrs.get("role", "").lower() in BOILERPLATE_ROLES:
-        return True
-    return tag == "header" and not in_region or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+    return tag in BOILERPLATE_TAGS or tag == "header" and not in_region
+
+
+def wraps(tag: str, attrs: dict[str, str]) -> str:
+    """What an element is that is boilerplate by kind, unless it holds the page's text: 'whole' (a form around the
+    page, an element that a script shows), 'aside' (beside other text) or ''."""
+    role = attrs.get("role", "").lower()
+    if tag == "aside" or role in LANDMARK_ROLES:
+        return "aside"
+    if tag in WRAPPING_TAGS or role in WRAPPING_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        return "whole"
+    return ""
 
 
 def is_marked(tag: str, attrs: dict[str, str], in_region: bool) -> bool:
@@ -164,10 +225,12 @@ def parse(text: str) -> tuple[Node, list[Block], list[Mark]]:
     def find(tag: str) -> int:
         return next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag) if opened[tag] else 0
 
-    while m := TOKEN.search(text, at):
-        say(text[at:m.start()])
-        at = m.end()
-        if m[2] is None:
+    tags = Tags(text)
+    while found := tags.next(at):
+        start, end, m, inner = found
+        say(text[at:start])
+        at = end
+        if m is None:
             continue
         tag = m[2].lower()
         if m[1]:
@@ -198,26 +261,28 @@ def parse(text: str) -> tuple[Node, list[Block], list[Mark]]:
             pieces.append(" ")
         if tag not in INLINE and tag not in ("br",):
             close_block()
-        if tag in VOID or m[3].endswith("/") and tag not in ENDS_P:
+        if tag in VOID or inner.endswith("/") and tag not in ENDS_P:
             continue
-        attrs, up = attributes(m[3]), stack[-1]
+        attrs, up = attributes(inner), stack[-1]
         role = attrs.get("role", "").lower()
         # A reader's comment may be an article too; its own class says so.
         region = (tag in ("article", "main") or role in CONTENT_ROLES or attrs.get("itemprop") == "articleBody") and (
             not any(w in ("comment", "reply") for w in WORD.findall(" ".join(names(attrs)))))
         label = tag if not attrs else ".".join(
             [tag, *sorted(WORD.findall(attrs.get("class", "").lower())), *WORD.findall(attrs.get("id", "").lower())])
-        node = Node(tag, label, up.junk or is_junk(tag, attrs, up.region), up.region or region)
+        control = tag in CONTROL_TAGS and opened["form"] > 0
+        node = Node(tag, label, up.junk or control or is_junk(tag, attrs, up.region), up.region or region)
         node.story = up.story or region and (tag == "article" or role == "article")
         if region and not node.junk:
             for mark in reversed(inside):  # outside of a void mark there are only void ones, or a story is around them
                 if mark.void or mark.story:
                     break
                 mark.void = True
-        if not node.junk and not region and is_marked(tag, attrs, up.region):
+        kind = wraps(tag, attrs)
+        if not node.junk and not region and (kind or is_marked(tag, attrs, up.region)):
             if tag in INLINE:
                 close_block(within=True)
-            node.mark = Mark(len(blocks), any(w in COMMENT_WORDS for w in names(attrs)), up.story)
+            node.mark = Mark(len(blocks), kind == "aside" or any(w in COMMENT_WORDS for w in names(attrs)), up.story)
             marks.append(node.mark)
             inside.append(node.mark)
         node.block = up.block if tag in INLINE else node
@@ -461,14 +526,17 @@ def with_host(pages: DataFrame) -> DataFrame:
 def aligned_blocks(pages: DataFrame, max_broadcast_bytes: int = 32 << 20) -> DataFrame:
     """The columns of BLOCKS, one row per page, nodes named by the host's reference page.
 
-    The reference pages are broadcast if they have ``max_broadcast_bytes`` in
-    all at most; else pages and references meet in a shuffled join.
+    The names of the references, and then their pages, are broadcast if they
+    have ``max_broadcast_bytes`` in all at most; else pages and references meet
+    in a shuffled join.
     """
     ship_package(pages.sparkSession)
     hosted = with_host(pages)
-    first = hosted.groupBy("host").agg(F.min("page_id").alias("page_id"))
-    refs = stage(hosted.join(first.withColumnRenamed("host", "ref_host"),
-                             (F.col("host") == F.col("ref_host")) & hosted["page_id"].eqNullSafe(first["page_id"]))
+    # Which page is a host's reference is known before any html moves; then only references do.
+    first = stage(hosted.groupBy(F.col("host").alias("ref_host")).agg(F.min("page_id").alias("ref_page")), "hosts")
+    size = first.agg(F.sum(F.octet_length("ref_host") + 16)).first()[0] or 0
+    named = F.broadcast(first) if size <= max_broadcast_bytes else first
+    refs = stage(hosted.join(named, (F.col("host") == F.col("ref_host")) & F.col("page_id").eqNullSafe(F.col("ref_page")))
                  .groupBy("host").agg(F.min("html").alias("ref_html")), "references")
     size = refs.agg(F.sum(F.octet_length("ref_html") + F.octet_length("host"))).first()[0] or 0
     side = F.broadcast(refs) if size <= max_broadcast_bytes else refs
@@ -518,8 +586,8 @@ def wrappers(blocks: DataFrame, same: float = 0.9, min_pages: int = 2) -> DataFr
 def picked(semantic: list[bool], chars: list[int], fixed: list[bool], marks: list[tuple[int, int, bool]]) -> list[int]:
     """The positions of the blocks that are a page's main text, in page order.
 
-    A mark that holds most of the varying text is none, unless it names
-    readers' comments and there is other varying text.
+    A mark that holds most of the varying text is none, unless it is readers'
+    comments or an aside and there is other varying text.
     """
     if marks:
         sums = [0, *accumulate(0 if same else n for n, same in zip(chars, fixed))]
