@@ -88,3 +88,61 @@ def test_text_after_a_plain_address_is_no_part_of_it():
 def test_a_spaced_dot_after_the_last_label_ends_the_sentence(source):
     text = f"mail {source} . Then go"
     assert [text[a:b] for _, a, b in pii.find(text)[1]] == [source]
+
+
+NAMES = ["zero one two three four five six seven eight nine", "null eins zwei drei vier fünf sechs sieben acht neun",
+         "cero uno dos tres cuatro cinco seis siete ocho nueve", "zéro un deux trois quatre cinq six sept huit neuf"]
+LOOKALIKE = str.maketrans("aeopcx", "аеорсх")
+
+
+def spell(digits, names, dot=" dot "):
+    return dot.join(" ".join(names.split()[int(c)] for c in part) for part in digits.split("."))
+
+
+def planted(pick):
+    """(kind, disguise) of every kind, by every way of disguise."""
+    word = lambda: "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randint(3, 9)))
+    labels = [word() for _ in range(pick.randint(1, 6))] + [pick.choice(["com", "org", "de", "net", "io"])]
+    local = f"{word()}.{word()}"
+    dots = pick.choice([" dot ", "[dot]", " (dot) ", " [.] ", "{punkt}"])
+    yield "email", local + pick.choice([" at ", " [at] ", "(at)", " [@] "]) + dots.join(labels)
+    yield "email", f"{local}@{'.'.join(labels)}".translate(LOOKALIKE).replace("@", pick.choice(["@", "＠", "@\u200b"])) + ""
+    ip = ".".join(str(pick.randint(0, 255)) for _ in range(4))
+    yield "ip", spell(ip, pick.choice(NAMES), pick.choice([" dot ", " point "]))
+    yield "ip", ip.replace(".", pick.choice([" dot ", "[.]", " [dot] ", "(dot)", "。"]))
+    yield "ip", "".join(chr(ord(c) + 0xFEE0) if c.isdigit() else c for c in ip)
+    number = "4" + "".join(pick.choices("0123456789", k=14))
+    number += next(c for c in "0123456789" if pii.luhn(number + c))
+    yield "card", spell(number, pick.choice(NAMES))
+    yield "card", "".join(chr(ord(c) + 0xFEE0) for c in number)
+    phone = "".join(pick.choices("123456789", k=11))
+    yield "phone", "plus " + spell(phone, pick.choice(NAMES))
+    yield "phone", "＋" + "".join(chr(ord(c) + 0xFEE0) for c in phone)
+
+
+def test_recall_of_planted_disguises():
+    """At least nine in ten of each kind, found whole, in running text."""
+    import random
+    pick, met, hit = random.Random(6), {}, {}
+    for _ in range(200):
+        for kind, source in planted(pick):
+            text = f"Some words before, {source}, and more after."
+            spans = {(k, text[a:b]) for found in pii.find(text) for k, a, b in found}
+            met[kind] = met.get(kind, 0) + 1
+            hit[kind] = hit.get(kind, 0) + ((kind, source) in spans)
+    assert all(hit[k] >= 0.9 * met[k] for k in met), (hit, met)
+
+
+@pytest.mark.parametrize("text", ["meet me at noon.Then we go", "look at it.This is one", "one or two, three at most", "un deux trois",
+                                  "version one dot two", "at one point two of us left", "chapter 1 point 2", "we met at a . Then left"])
+def test_sentences_are_no_disguise(text):
+    assert pii.find(text) == ([], [])
+
+
+def test_long_chains_take_linear_time():
+    import time
+    began = time.process_time()
+    for text in ("x at " + "a." * 100_000, "x at " + "a dot " * 60_000, "one dot " * 50_000, "x @ " * 50_000, "a" * 300_000 + " at b", "x at a " * 40_000,
+                 "at at " * 50_000, "1 dot " * 60_000):
+        pii.find(text)
+    assert time.process_time() - began < 40

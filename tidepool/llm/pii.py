@@ -8,7 +8,8 @@ Disguises are undone by two transducers that keep, for every character they
 emit, the source characters it stands for: the first maps homoglyphs and other
 scripts' digits to ASCII one to one and drops zero-width characters; the
 second rewrites tokens ("[at]", "(dot)", "x at y dot com", "x @ y . com", with
-any form of the at sign before any form of the dots, and runs of spelled digits). The same patterns then run on the normalised text, and each hit that
+any form of the at sign before any form of the dots, domains of any number of labels, and runs of digits spelled in
+four languages, "dot" between them included). The same patterns then run on the normalised text, and each hit that
 holds a rewritten character is mapped back to its source span and added,
 unless it lies in a base span of its kind. Base spans always stay.
 
@@ -119,33 +120,40 @@ def classed(codes) -> str:
 ODD_CHAR = re.compile(classed(CHARS))
 
 # --- second transducer: tokens ---
-# Digit names.
+# Digit names (English, German, Spanish, French).
 DIGIT_NAMES = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
-               "eight": "8", "nine": "9"}
+               "eight": "8", "nine": "9",
+               "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7",
+               "acht": "8", "neun": "9",
+               "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7",
+               "ocho": "8", "nueve": "9",
+               "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8",
+               "neuf": "9"}
 # Words for the at sign and the dot (English, German, Spanish, French).
 AT_WORDS = "at|arroba|arobase"
 DOT_WORDS = "dot|punkt|punto|point"
-NAME = "|".join(DIGIT_NAMES)
+NAME = "|".join(sorted(DIGIT_NAMES, key=len, reverse=True))
 OPEN, CLOSE = r"[ ]?[\[({<][ ]?", r"[ ]?[\])}>][ ]?"
-LABEL = "[A-Za-z0-9-]{1,63}"
-BRACKETED = f"{OPEN}(?:{DOT_WORDS}){CLOSE}"
+LABEL = "[A-Za-z0-9-]++"
+BRACKETED = rf"{OPEN}(?:{DOT_WORDS}|\.){CLOSE}"
 DOTS = rf" (?:{DOT_WORDS}) | \. |{BRACKETED}"
 END = r"(?![A-Za-z0-9])"
 # After "x at ", which is said of many things, a domain has worded or bracketed dots, or plain ones before a last label
 # of letters, or spaced ones before a label that is no word.
 # Last labels that stand after a spaced dot, and before none (that one ends the sentence).
 LAST = "biz|ch|com|de|edu|es|eu|fr|gov|info|io|net|nl|org|pl|uk"
-WORDED = (rf"(?:{LABEL}(?:(?:{DOTS}|\.){LABEL}){{0,3}}(?: (?:{DOT_WORDS}) |{BRACKETED}){LABEL}{END}"
-          rf"|{LABEL}(?:\.{LABEL}){{0,3}}\.[A-Za-z]{{2,63}}{END}"
-          rf"|{LABEL}(?:(?:{DOTS}|\.){LABEL}){{0,3}} \. (?:{LAST}){END})")
+# A last label in one case: "at noon.Then" is the end of a sentence.
+WORDED = (rf"(?:{LABEL}(?:(?:{DOTS}|\.){LABEL})*(?: (?:{DOT_WORDS}) |{BRACKETED}){LABEL}{END}"
+          rf"|{LABEL}(?:\.{LABEL})*\.(?-i:[a-z]{{2,63}}|[A-Z]{{2,63}}){END}"
+          rf"|{LABEL}(?:(?:{DOTS}|\.){LABEL})* \. (?:{LAST}){END})")
 # After "(at)" and " @ " dots may have any form. After an "@" as it stands, the first one is no plain dot: then it is a
 # base span, and what follows it is text.
 OPEN_END = "".join(rf"(?<![ .\])}}>]{last})" for last in LAST.split("|"))
-MORE = rf"(?:(?: (?:{DOT_WORDS}) |{OPEN_END} \. |{BRACKETED}|\.){LABEL}){{0,3}}{END}"
+MORE = rf"(?:(?: (?:{DOT_WORDS}) |{OPEN_END} \. |{BRACKETED}|\.){LABEL})*{END}"
 SPACED = rf"{LABEL}(?:{DOTS}|\.){LABEL}{MORE}"
 STANDING = rf"{LABEL}(?:{DOTS}){LABEL}{MORE}"
 TOKENS = re.compile(
-    rf"(?P<at>{OPEN}(?:{AT_WORDS}){CLOSE})|(?P<dot>{BRACKETED})"
+    rf"(?P<at>{OPEN}(?:{AT_WORDS}|@){CLOSE})|(?P<dot>{BRACKETED})"
     rf"|(?<=[A-Za-z0-9])(?P<plain_at> (?:(?:{AT_WORDS}) (?={WORDED})|@ (?={SPACED})))"
     rf"|(?<=[A-Za-z0-9._%+-])(?P<standing>@)(?={STANDING})"
     rf"|(?P<digits>(?<![A-Za-z0-9])(?:plus )?(?:(?:{NAME})(?![A-Za-z])|[0-9])"
@@ -154,10 +162,10 @@ TOKENS = re.compile(
 DOMAIN_AHEAD = {"at": re.compile(SPACED, re.IGNORECASE), "@": re.compile(SPACED, re.IGNORECASE),
                 "worded": re.compile(WORDED, re.IGNORECASE), "standing": re.compile(STANDING, re.IGNORECASE)}
 TRIGGER = re.compile(
-    rf"[\[({{<] ?(?:{AT_WORDS}|{DOT_WORDS}) ?[\])}}>]| (?:{AT_WORDS}) {LABEL}(?: (?:{DOT_WORDS}) | \. |\.){LABEL}"
-    rf"|@{LABEL}(?: (?:{DOT_WORDS}) | \. )[A-Za-z0-9-]| @ |(?<![A-Za-z])(?:{NAME})(?:[ -]|$)",
+    rf"[\[({{<] ?(?:{AT_WORDS}|{DOT_WORDS}|@|\.) ?[\])}}>]| (?:{AT_WORDS}) {LABEL}(?: (?:{DOT_WORDS}) | \. |\.){LABEL}"
+    rf"|@{LABEL}(?: (?:{DOT_WORDS}) | \. )[A-Za-z0-9-]| @ |(?<![A-Za-z])(?:{NAME})[ -]?(?:{NAME}|dot|point|[0-9])|[0-9] ?(?:dot|point|{NAME})(?![A-Za-z])",
     re.IGNORECASE)
-SPELLED = re.compile(rf"(?P<plus>plus )|(?P<name>{NAME})|(?P<dot>[ ]?(?:dot|point)[ ]?)|(?P<other>.)", re.IGNORECASE | re.DOTALL)
+SPELLED = re.compile(rf"(?P<plus>plus )|(?P<gap>(?<=[A-Za-zé])[ -](?=(?:{NAME})(?![A-Za-z])))|(?P<name>{NAME})|(?P<dot>[ ]?(?:dot|point)[ ]?)|(?P<other>.)", re.IGNORECASE | re.DOTALL)
 DOT_WORD = re.compile(rf" (?:{DOT_WORDS}|\.) (?=[A-Za-z0-9-])", re.IGNORECASE)
 
 
@@ -227,6 +235,8 @@ def normalise_tokens(tape: Tape) -> Tape:
             for p in SPELLED.finditer(text, m.start(), m.end()):
                 if p["plus"]:
                     swap("+", p.start(), p.end())
+                elif p["gap"]:
+                    continue  # spelled digits that follow each other are one number
                 elif p["name"]:
                     swap(DIGIT_NAMES[p["name"].lower()], p.start(), p.end())
                 elif p["dot"]:
