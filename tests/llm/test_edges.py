@@ -1,5 +1,6 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, clashing names, and empty tables."""
 
+import numpy as np
 import pytest
 
 from tidepool.llm import decontaminate, fingerprint, jaccard, line_dedup, mixing, pii, quality, substring_dedup
@@ -79,10 +80,23 @@ def test_substring_dedup_of_many_tables_in_one_session(spark):
         assert canon(out.collect()) == want and canon(out.collect()) == want
     docs = docs_frame(spark)
     bits = substring_dedup.sketch_bits(1000, 1 << 29)
-    found = substring_dedup.repeated_ranges(docs, 13, bits, substring_dedup.sketch(docs, 13, bits), 4)
+    shared = spark.sparkContext.broadcast(("own", substring_dedup.sketch(docs, 13, bits)))
+    found = substring_dedup.repeated_windows(docs, 13, bits, shared, 4)
     assert found.count() == found.count() == found.count() > 0
 
 
+def test_positions_as_steps():
+    docs = [([0], 1), ([5], 1), ([0, 1, 2, 255, 510, 511, 5000], 2), ([254, 255, 256, 100_000], -3)]
+    rows = [(i, k, x) for k, (at, i) in enumerate(docs) for x in at]
+    ids, keys, at = (np.array(c, np.int64) for c in zip(*rows))
+    mixed = np.random.default_rng(1).permutation(len(rows))
+    steps, ends, counts, i, k = substring_dedup.by_document(ids[mixed], keys[mixed], at[mixed])
+    back = np.split(substring_dedup.positions_of(steps, counts), np.cumsum(counts)[:-1])
+    assert {int(key): list(map(int, b)) for key, b in zip(k, back)} == {key: at for key, (at, _) in enumerate(docs)}
+    parts = np.split(steps, ends[:-1])
+    assert {int(key): substring_dedup.positions_of(b).tolist() for key, b in zip(k, parts)} == {key: at for key, (at, _) in enumerate(docs)}
+
+
 def test_substring_dedup_groups_by_sub_ranges(spark, monkeypatch):
     rows = [(i, prose(i % 5, 400, 30) + " " + prose(8, 60), "en", "s") for i in range(40)]
     want = canon(brute.substrings_deduped([(i, t) for i, t, _, _ in rows]))

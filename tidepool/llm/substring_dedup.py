@@ -12,13 +12,14 @@ word sequence also starts in a document with a smaller doc_id.
    windows are grouped exactly (128 bits) and held against the smallest
    doc_id. So a window found in a third of all documents sends one entry per
    chunk.
-3. Each document's settled windows come back as ranges of positions, and its
-   words are removed.
+3. Repeated windows go, packed, to the task of their documents' range, which
+   has each document's positions in order, a byte each; the words in them are
+   removed.
 
 The sketch has 2 * ``cells`` counters, from the bytes of the texts, at most
 ``max_cells`` per row; beyond that more windows go to the exact pass, none is
 lost. The merged "2 or more" bits, ``max_cells`` / 4 bytes at most, are
-broadcast and read where they lie. A shard's entries stay packed but for the
+broadcast under a name of the table's own. A shard's entries stay packed but for the
 sub-range of the hash that is being grouped.
 
 Edge cases: null, empty and short texts have no windows and lose nothing;
@@ -29,6 +30,8 @@ an empty one; other columns are never read.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -126,7 +129,49 @@ def sketch(docs: DataFrame, n: int, bits: int) -> bytes:
     whole = np.zeros(2 * parts * size, np.uint8)  # max_cells / 4 bytes at most
     for r in done.collect():
         whole[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(zstandard.decompress(bytes(r["bits"])), np.uint8)
-    return whole.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(whole.tobytes())
+
+
+_OPEN: dict[str, np.ndarray] = {}  # of this worker: the sketch that it reads, by its own name
+
+
+def opened(shared) -> np.ndarray:
+    name, blob = shared.value
+    if name not in _OPEN:
+        _OPEN.clear()
+        _OPEN[name] = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return _OPEN[name]
+
+
+def let_go() -> None:
+    """A worker that scanned before has no use for the sketch; another scan opens it again."""
+    _OPEN.clear()
+
+
+def by_document(ids, rows, at):
+    """(steps, ends, counts, ids, rows): each document's positions in order, as the steps between them, a byte each (255
+    says that the step goes on); where its bytes end, how many positions they are."""
+    order = np.lexsort((at, rows, ids))
+    ids, rows, at = ids[order], rows[order], at[order]
+    fresh = np.ones(len(ids), bool)
+    fresh[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])
+    first = np.flatnonzero(fresh)
+    gaps = np.diff(at, prepend=0)
+    gaps[first] = at[first]
+    more = gaps // 255
+    places = np.cumsum(more + 1)
+    steps = np.full(int(places[-1]) if len(places) else 0, 255, np.uint8)
+    steps[places - 1] = gaps % 255
+    last = np.append(first[1:], len(ids))[:len(first)] - 1
+    return steps, places[last], np.diff(np.append(first, len(ids))).astype(np.int32), ids[first], rows[first]
+
+
+def positions_of(steps: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+    """The positions of one document, or of documents of ``counts`` positions each."""
+    at = np.cumsum(steps, dtype=np.int64)[steps != 255]
+    if counts is not None and len(counts) > 1:
+        at = at - np.repeat(np.concatenate([[0], at[np.cumsum(counts)[:-1] - 1]]), counts)
+    return at
 
 
 def estimated_repeated(rows: np.ndarray, cells) -> np.ndarray:
@@ -146,26 +191,26 @@ def smallest_of_groups(one, two, ids):
     return order, fresh, least
 
 
-def ranges(rows: np.ndarray, at: np.ndarray):
-    """Positions as (row, start, stop) of runs; rows and positions in any order."""
-    order = np.lexsort((at, rows))
-    rows, at = rows[order], at[order]
-    fresh = np.ones(len(rows), bool)
-    fresh[1:] = (rows[1:] != rows[:-1]) | (at[1:] > at[:-1] + 1)
-    first = np.flatnonzero(fresh)
-    last = np.append(first[1:], len(rows))[:len(first)] - 1
-    return rows[first], at[first], at[last] + 1
-
-
-# A blob: hashes in ascending order, local document and position of each; the documents' ids and rows. Or settled ranges.
+# A blob: steps between hashes, second hashes, local document and position of each; the documents' ids and rows.
 ENTRY = (np.uint64, np.uint64, np.int32, np.int32, np.int64, np.int64)
-SETTLED = (np.int64, np.int64, np.int32, np.int32)
+# Repeated windows: steps between a document's positions, how many it has, the documents' ids and rows.
+FOUND = (np.uint8, np.int32, np.int64, np.int64)
 SUB_RANGE = 250_000  # entries, about, that are grouped at a time
 
 
-def repeated_ranges(docs: DataFrame, n: int, bits: int, found: bytes, shards: int) -> DataFrame:
-    """(id, row, start, stop): the windows of each row that also start in a document with a smaller id."""
-    shared = docs.sparkSession.sparkContext.broadcast(found)  # of no use to ``group``, so its workers let it go
+def repeated_windows(docs: DataFrame, n: int, bits: int, shared, shards: int) -> DataFrame:
+    """(id, row, windows): for each row with windows that also start in a document with a smaller id, the steps between
+    their positions.
+
+    ``shared``: the broadcast (name, sketch), the name being the table's own."""
+
+    def found_blob(ids, rows, at) -> bytes:
+        steps, _, counts, ids, rows = by_document(ids, rows, at)
+        return packed([steps, counts, ids, rows])
+
+    def opened_blob(blob: bytes):
+        steps, counts, ids, rows = unpacked(blob, FOUND)
+        return np.repeat(ids, counts), np.repeat(rows, counts), positions_of(steps, counts)
 
     def settle(held):
         """One chunk: what it can say alone, and the entries that go on, by shard."""
@@ -176,7 +221,7 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: bytes, shards: in
         if mine.any():
             done = order[mine]
             names.append(int(rows[done[0]] % shards))
-            blobs.append(b"s" + packed(settled(ids[done], rows[done], at[done])))
+            blobs.append(b"s" + found_blob(ids[done], rows[done], at[done]))
         left = order[~mine]  # in order of the first hash, so of the shard
         shard = ((one[left] >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
         edges = np.flatnonzero(np.diff(shard, prepend=-1))
@@ -184,11 +229,11 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: bytes, shards: in
             part = left[a:b]
             who, first, local = np.unique(rows[part], return_index=True, return_inverse=True)
             names.append(int(shard[a]))
-            blobs.append(b"e" + packed([one[part], two[part], local.astype(np.int32), at[part].astype(np.int32), ids[part][first], who]))
+            blobs.append(b"e" + packed([np.diff(one[part], prepend=U64(0)), two[part], local.astype(np.int32), at[part].astype(np.int32), ids[part][first], who]))
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "entries"])
 
     def scan(batches):
-        rows_of_sketch = np.frombuffer(shared.value, np.uint8)
+        rows_of_sketch = opened(shared)
         held, size, seen = [], 0, 0
         for batch in batches:
             keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -206,24 +251,26 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: bytes, shards: in
             yield settle(held)
 
     def group(batches):
-        at, held = None, []
+        let_go()
+        at, held, done = None, [], []
         for batch in batches:
             for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if shard != at:
-                    yield from resolve(at, held)
-                    at, held = shard, []
+                    yield from sent_home(done + resolve(at, held))
+                    at, held, done = shard, [], []
                 blob = blob.as_py()
                 if blob[:1] == b"s":
-                    yield out(*unpacked(blob[1:], SETTLED))
+                    done.append(opened_blob(blob[1:]))
                 else:
-                    held.append(unpacked(blob[1:], ENTRY))
-        yield from resolve(at, held)
+                    steps, *rest = unpacked(blob[1:], ENTRY)
+                    held.append((np.cumsum(steps, dtype=U64), *rest))
+        yield from sent_home(done + resolve(at, held))
 
     def resolve(shard, held):
         """Group a shard's entries, a sub-range of the hash at a time; equal windows are in one."""
         steps = -(-sum(len(h[0]) for h in held) // SUB_RANGE)
         low, width = (shard << 64) // shards if held else 0, (1 << 64) // shards + 1
-        start = [0] * len(held)
+        start, found = [0] * len(held), []
         for k in range(1, steps + 1):
             edge = U64(min(low + width * k // steps, 2 ** 64 - 1))
             stop = [len(h[0]) if k == steps else int(np.searchsorted(h[0], edge)) for h in held]
@@ -234,21 +281,46 @@ def repeated_ranges(docs: DataFrame, n: int, bits: int, found: bytes, shards: in
                 order, _, least = smallest_of_groups(one, two, ids)
                 done = order[ids[order] > least]
                 if len(done):
-                    yield out(*settled(ids[done], rows[done], at[done]))
-
-    def settled(ids, rows, at):
-        """Ranges of positions of each row (rows of one id and equal keys are equal rows)."""
-        names, first, local = np.unique(np.stack([ids, rows], 1), axis=0, return_index=True, return_inverse=True)
-        r, a, b = ranges(local.ravel(), at)
-        return names[r, 0], names[r, 1], a.astype(np.int32), b.astype(np.int32)
+                    found.append((ids[done], rows[done], at[done].astype(np.int64)))
+        held.clear()
+        return found
+
+    def sent_home(found):
+        """A shard's repeated windows, one blob for each range of documents."""
+        if not found:
+            return
+        ids, rows, at = (np.concatenate(c) for c in zip(*found))
+        home = ((rows.view(np.uint64) >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        edges = np.flatnonzero(np.diff(home[order], prepend=-1))
+        names, blobs = [], []
+        for a, b in zip(edges, np.append(edges[1:], len(order))):
+            part = order[a:b]
+            names.append(int(home[part[0]]))
+            blobs.append(found_blob(ids[part], rows[part], at[part]))
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["home", "found"])
 
-    def out(ids, rows, start, stop):
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(rows), pa.array(start), pa.array(stop)], ["id", "row", "start", "stop"])
+    def gather(batches):
+        at, held = None, []
+        for batch in batches:
+            for home, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if home != at:
+                    yield from documents(held)
+                    at, held = home, []
+                held.append(opened_blob(blob.as_py()))
+        yield from documents(held)
+
+    def documents(held):
+        if held:
+            steps, ends, _, ids, rows = by_document(*(np.concatenate(c) for c in zip(*held)))
+            offsets = np.concatenate([[0], ends]).astype(np.int64)
+            windows = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(steps.tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(rows), windows.cast(pa.binary())], ["id", "row", "windows"])
 
     keyed = docs.select(*keys_of(), "text")
     entries = keyed.mapInArrow(scan, "shard int, entries binary")
-    return entries.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(
-        group, "id long, row long, start int, stop int")
+    repeated = entries.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(group, "home int, found binary")
+    return repeated.repartition(shards, "home").sortWithinPartitions("home").mapInArrow(gather, "id long, row long, windows binary")
 
 
 def keys_of() -> list:
@@ -257,13 +329,17 @@ def keys_of() -> list:
 
 
 def removed_windows(docs: DataFrame, n: int = 13, max_cells: int = 1 << 29, shard_bytes: int = 16 << 20) -> DataFrame:
-    """(id, row, ranges): for each row with repeated windows, their position ranges, staged."""
-    ship_package(docs.sparkSession)
+    """(id, row, windows): for each row with repeated windows, the steps between their positions, staged."""
+    spark = docs.sparkSession
+    ship_package(spark)
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = sketch_bits(text_bytes, max_cells)
-    shards = max(docs.sparkSession.sparkContext.defaultParallelism, -(-text_bytes // shard_bytes))
-    found = repeated_ranges(docs, n, bits, sketch(docs, n, bits), shards)
-    return stage(found.groupBy("id", "row").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "ranges")
+    shards = max(spark.sparkContext.defaultParallelism, -(-text_bytes // shard_bytes))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, sketch(docs, n, bits)))
+    found = repeated_windows(docs, n, bits, shared, shards)
+    done = stage(found, "windows")
+    shared.destroy()  # what it told is written
+    return done
 
 
 def cut(docs: DataFrame, n: int = 13, **params) -> DataFrame:
@@ -277,11 +353,9 @@ def cut(docs: DataFrame, n: int = 13, **params) -> DataFrame:
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2)):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 lost = 0
-                if found.is_valid and len(found):
-                    spans = found.values
-                    change = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(change, spans.field("start").to_numpy(), 1)
-                    np.add.at(change, spans.field("stop").to_numpy() + (n - 1), -1)
+                if found.is_valid:
+                    at = positions_of(np.frombuffer(found.as_py(), np.uint8))
+                    change = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + n, minlength=len(words) + 1)
                     keep = np.cumsum(change[:-1]) == 0
                     lost = len(words) - int(keep.sum())
                     words = [words[i] for i in np.flatnonzero(keep)]
@@ -292,7 +366,7 @@ def cut(docs: DataFrame, n: int = 13, **params) -> DataFrame:
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"])
 
-    joined = texts.join(gone, ["id", "row"], "left").select("doc_id", "text", "ranges")
+    joined = texts.join(gone, ["id", "row"], "left").select("doc_id", "text", "windows")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(run, f"doc_id {id_type}, n_words long, n_removed long, kept string")
 
