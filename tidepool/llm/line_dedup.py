@@ -56,9 +56,11 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, salts:
         occurrences.select("h1", "h2", "salt", "doc", "pos").repartitionByRange("h1", "h2", "salt")
         .withColumn("before", F.lag("doc").over(in_order))
         .where(F.col("before").isNull() | (F.col("before") != F.col("doc"))))
-    repeated = (firsts.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
-                .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
-    lost = occurrences.join(repeated, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
+    # A repeated key comes back to its lines once per range that has it, so a common line's join is as spread as the line.
+    ranged = firsts.groupBy("h1", "h2", "salt").agg(F.count("*").alias("n"), F.max("doc").alias("doc"))
+    found = ranged.groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.max("doc").alias("keeper"), F.collect_list("salt").alias("salts"))
+    repeated = found.where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper", F.explode("salts").alias("salt"))
+    lost = occurrences.join(repeated, ["h1", "h2", "salt"]).where(F.col("doc") != F.col("keeper"))
     return (
         lost.groupBy("row", "doc").agg(F.first("n_lines").alias("n_lines"),
                                        F.sort_array(F.collect_set("pos")).alias("dropped"))
