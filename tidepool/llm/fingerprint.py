@@ -98,14 +98,14 @@ def near_pairs(prints: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame
 def successors(docs: DataFrame, rows_per_bucket: int = 500_000) -> DataFrame:
     """(row, n, copies, next_row): each distinct document and the next by ascending doc_id.
 
-    Only keys are ordered: ids are cut into ranges at approximate quantiles,
-    each range is sorted in a task of its own, and the ranges' first rows (one
+    Only keys are ordered: ids are cut into ranges at approximate quantiles, as
+    many as there are cores or more, each range is sorted in a task of its own, and the ranges' first rows (one
     each) close the gaps and the circle.
     """
     ids = stage(docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), F.col("doc_id").cast("long").alias("id"),
                             F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n"))
                 .groupBy("row").agg(F.first("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("copies")), "ids")
-    parts = min(10_000, ids.count() // rows_per_bucket)
+    parts = min(10_000, max(docs.sparkSession.sparkContext.defaultParallelism, ids.count() // rows_per_bucket))
     splits = []
     if parts > 1:
         found = ids.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)], 100_000).alias("q")).first()["q"]
