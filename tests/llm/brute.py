@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators' contracts, and small tables."""
 
 import hashlib
+import math
 import re
 
 import pandas as pd
@@ -147,5 +148,45 @@ def joined(docs, n=5):
     return out
 
 
+def bisect_time(k, q):
+    """The time at which class k (heavy, middle, light) has met the part q of its demand."""
+    a, slope = ((1.5, -1.0), (1.0, 0.0), (0.5, 1.0))[k]
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if a * mid + slope * mid * mid / 2 < q else (low, mid)
+    return low
+
+
+def mixed(docs):
+    """(doc_id, source, size, copy, take, position) of each copy, from (doc_id, source, text) rows; a fill by walking."""
+    docs = [(i, s, len(WORDS.findall(t or ""))) for i, s, t in docs]
+    words = {}
+    for _, s, n in docs:
+        words[s] = words.get(s, 0) + n
+    rank = {s: k % 3 for k, s in enumerate(sorted(words, key=lambda s: (s is None, s or "")))}
+    target, free = {}, set(words)
+    while True:  # share, stop at the brim, share the excess again
+        left = 1.5 * sum(words.values()) - sum(target.values())
+        level = {s: left * (5, 2, 1)[rank[s]] / sum((5, 2, 1)[rank[x]] for x in free) for s in free}
+        over = {s for s in free if level[s] >= 2 * words[s]}
+        if not over:
+            target |= level
+            break
+        target |= {s: 2 * words[s] for s in over}
+        free -= over
+    out = []
+    for s in words:
+        goal, at = math.floor(target[s] + 0.5), 0
+        line = sorted((hashlib.md5(("" if i is None else str(i)).encode()).hexdigest(), i is not None, i or 0, n) for i, x, n in docs if x == s)
+        for copy in range(2):
+            for _, known, i, n in line:
+                take = min(n, goal - at)
+                if take > 0:
+                    out.append((i if known else None, s, n, copy, take, bisect_time(rank[s], (at + take / 2) / goal)))
+                at += n
+    return sorted(out, key=lambda r: r[5])
+
+
 def canon(rows):
     return sorted((tuple(None if pd.isna(v) else v for v in r) for r in rows), key=repr)

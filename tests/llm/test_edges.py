@@ -25,7 +25,7 @@ def test_decontaminate(spark):
     by_null = brute.decontaminated(pairs(), BENCH)  # words hit by the item without an id count, the item is not listed
     want = [(w[0], w[1], n[2], w[3], w[4], n[5]) for w, n in zip(want, by_null)]
     assert canon(got) == canon(want)
-    shuffled = decontaminate.report(docs_frame(spark), bench_frame(spark), max_broadcast_windows=0).collect()
+    shuffled = decontaminate.report(docs_frame(spark), bench_frame(spark), max_broadcast_bytes=0).collect()
     assert canon(shuffled) == canon(want)
 
 
@@ -224,6 +224,25 @@ def test_mixing(spark):
     assert canon((r.doc_id, r.taken) for r in again) == canon((r.doc_id, r.taken) for r in rows)
 
 
+def test_mix_report(spark):
+    got = mixing.report(docs_frame(spark)).collect()
+    assert len(got) == len(edge_docs())
+    at = [r.position for r in got if r.position is not None]
+    assert at == sorted(at) and all(r.position is None for r in got[len(at):])
+    assert all((r.position is None) == (r.taken == 0) == (r.last_position is None) for r in got)
+    want = {}
+    for i, _, size, _, take, position in brute.mixed([(i, s, t) for i, t, _, s in edge_docs()]):
+        first, words = want.get((i, size, "first"), position), want.get((i, size, "taken"), 0)
+        want |= {(i, size, "first"): first, (i, size, "taken"): words + take, (i, size, "last"): position}
+    for r in got:  # rows of one id and size (the repeated row) share their words
+        if r.taken and r.doc_id != 16:
+            assert r.taken == want[r.doc_id, r.size, "taken"]
+            assert abs(r.position - want[r.doc_id, r.size, "first"]) < 1e-9
+            assert abs(r.last_position - want[r.doc_id, r.size, "last"]) < 1e-9
+    taken = sum(r.taken for r in got)
+    assert taken == sum(n for key, n in want.items() if key[2] == "taken")
+
+
 def test_mix_is_ordered_and_follows_the_schedule(spark):
     rows = [(i, prose(i, 10), "en", f"s{i % 3}") for i in range(900)]
     order = mixing.mix(docs_frame(spark, rows)).collect()
@@ -249,7 +268,7 @@ def test_empty_tables(spark):
     none, bench = empty_docs(spark), bench_frame(spark)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for out in (decontaminate.report(none, bench), decontaminate.drop_documents(none, bench), line_dedup.report(none),
-                line_dedup.dedup_lines(none), mixing.assign(none), mixing.mix(none), quality.report(none, labels),
+                line_dedup.dedup_lines(none), mixing.report(none), mixing.mix(none), quality.report(none, labels),
                 pii.spans(none), substring_dedup.report(none), fingerprint.report(none), jaccard.report(none), jaccard.keep_one(none)):
         assert out.count() == 0
     no_bench = bench.limit(0)

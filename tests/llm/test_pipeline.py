@@ -15,6 +15,7 @@ def test_stages(spark):
     kept = {}
     for name, step in P.STAGES:
         rows = [(r.doc_id, r.text) for r in docs.collect()]
+        sourced = [(r.doc_id, r.source, r.text) for r in docs.collect()]
         docs = stage(step(spark, docs, SF), "test")
         kept[name] = docs
         if name != names[-1]:
@@ -35,7 +36,10 @@ def test_stages(spark):
             assert set(got) == {w[0] for w in brute.decontaminated(rows, bench) if not w[5]}
         else:
             assert docs.columns == ["doc_id", "source", "size", "copy", "take", "position"]
-            assert set(got) <= {i for i, _ in rows}
+            copies = sorted(map(tuple, docs.collect()), key=lambda r: (r[0], r[3]))
+            want = sorted(brute.mixed(sourced), key=lambda r: (r[0], r[3]))
+            assert [r[:5] for r in copies] == [w[:5] for w in want]
+            assert all(abs(r[5] - w[5]) < 1e-9 for r, w in zip(copies, want))
     again = P.run(spark, SF).collect()
     assert [(r.doc_id, r.copy, r.take) for r in again] == [(r.doc_id, r.copy, r.take) for r in
                                                           kept[names[-1]].orderBy("position", "doc_id", "copy").collect()]

@@ -7,9 +7,9 @@ broadcast hash set of item windows; a hit is verified word by word, so hash
 collisions never count. A document word inside any verified occurrence is
 hit; the words, or the whole document, can then be removed.
 
-The item windows are counted first and broadcast only up to
-``max_broadcast_windows``; a larger benchmark takes Spark's shuffled join with
-the same rows.
+The item windows are measured first, words and item ids alike, and broadcast
+only up to ``max_broadcast_bytes``; a larger benchmark takes Spark's shuffled
+join with the same rows.
 
 Edge cases: null or wordless texts have no words, no windows, no hits; a
 wordless item has no window; rows of one item_id are one item, a null item_id
@@ -53,11 +53,13 @@ def item_windows(benchmark: DataFrame, n: int) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = 10,
-                max_broadcast_windows: int = 200_000) -> DataFrame:
+                max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """(row, at, len, items): each verified occurrence of an item window; ``at`` counts words from 0."""
     windows = item_windows(benchmark, n)
-    lengths = {r["len"]: r["count"] for r in windows.groupBy("len").count().collect()}  # n rows at most
-    small = sum(lengths.values()) <= max_broadcast_windows
+    # What a window takes in memory: its words and ids, and 16 bytes for each string's place and padding.
+    room = sum(F.octet_length(F.array_join(c, "")) + 16 * F.size(c) + 64 for c in ("window", "items"))
+    lengths = {r["len"]: r["bytes"] for r in windows.groupBy("len").agg(F.sum(room).alias("bytes")).collect()}  # n rows at most
+    small = sum(lengths.values()) <= max_broadcast_bytes
     base = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), words(F.col("text")).alias("w"))
     found = []
     for size in sorted(lengths) or [n]:

@@ -134,6 +134,19 @@ def assign(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
     return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "copies")
 
 
+def report(docs: DataFrame, **params) -> DataFrame:
+    """doc_id, size, source_size, target, taken, position, last_position of every row, in training order.
+
+    ``position`` and ``last_position`` are the training positions (0 to 1) of
+    the document's first and last copy; a document that the mix does not take
+    has null in both and comes last.
+    """
+    first, last = F.get("copies", F.lit(0))["position"], F.get("copies", F.size("copies") - 1)["position"]
+    return (assign(docs, **params).select("doc_id", "size", "source_size", "target", "taken",
+                                          first.alias("position"), last.alias("last_position"))
+            .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
+
+
 def mix(docs: DataFrame, **params) -> DataFrame:
     """The training order: one row per copy, ranged and sorted by position."""
     each = assign(docs, **params).select("doc_id", "source", "size", F.explode("copies").alias("c"))

@@ -15,8 +15,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.assign(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.report(table(spark, sf_dir, "documents"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

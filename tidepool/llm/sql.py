@@ -41,15 +41,27 @@ lev AS (
          sum(w) OVER (ORDER BY cap / w, class, cap, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_from FROM caps),
 filled AS (SELECT *, w * (total - cap_before) >= cap * w_from AS is_full FROM lev),
 plan AS (
-  SELECT source, source_size, CASE WHEN is_full THEN cap ELSE w * (total - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())
+  SELECT source, source_size, class, CASE WHEN is_full THEN cap ELSE w * (total - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ())
            / sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () END AS target FROM filled),
 lined AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ord, doc_id, size
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM sized)
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, CAST(floor(target + 0.5) AS BIGINT) - o))
-          + greatest(0, least(size, CAST(floor(target + 0.5) AS BIGINT) - source_size - o)) AS BIGINT) AS taken
-FROM lined l JOIN plan p ON l.source IS NOT DISTINCT FROM p.source
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM sized),
+took AS (
+  SELECT doc_id, size, source_size, target, class, o, CAST(floor(target + 0.5) AS BIGINT) AS goal,
+         CAST(greatest(0, least(size, goal - o)) AS BIGINT) AS one,
+         CAST(greatest(0, least(size, goal - source_size - o)) AS BIGINT) AS two
+  FROM lined l JOIN plan p ON l.source IS NOT DISTINCT FROM p.source),
+-- The part of the source's demand met at the middle of the first and of the last copy.
+part AS (
+  SELECT *, CASE WHEN one > 0 THEN (CAST(o AS DOUBLE) + CAST(one AS DOUBLE) / 2) / goal END AS q1,
+         CASE WHEN two > 0 THEN (CAST(source_size + o AS DOUBLE) + CAST(two AS DOUBLE) / 2) / goal ELSE q1 END AS q2 FROM took)
+-- Cumulative demand 1.5t - t^2/2, t or 0.5t + t^2/2 by class; solved for t.
+SELECT doc_id, size, source_size, target, one + two AS taken,
+       CASE class WHEN 0 THEN 2 * q1 / (1.5::DOUBLE + sqrt(2.25::DOUBLE - 2 * q1)) WHEN 1 THEN q1
+            ELSE 2 * q1 / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * q1)) END AS position,
+       CASE class WHEN 0 THEN 2 * q2 / (1.5::DOUBLE + sqrt(2.25::DOUBLE - 2 * q2)) WHEN 1 THEN q2
+            ELSE 2 * q2 / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * q2)) END AS last_position
+FROM part
 """
 
 OP3 = r"""
