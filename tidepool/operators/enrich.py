@@ -46,47 +46,61 @@ IN_FLIGHT = 10
 TIMEOUT_S = 3.0
 
 
-_PERMITS: dict = {}  # of this worker: one per call that may be alive, by their number
+# A service from which no call has come back for so many timeouts counts as hanging.
+STALLED = 20
+
+
+class Permits:
+    """Of one worker: a permit for each call that may be alive, and when a call last began or ended."""
+
+    def __init__(self, n: int):
+        import threading
+
+        self.free = threading.Semaphore(n)
+        self.moved = 0.0
+
+
+_PERMITS: dict[int, Permits] = {}  # by their number
 
 
 def call_all(keys: list, lookup: Callable[[str], str | None], in_flight: int, timeout_s: float | None) -> dict:
     """``{key: reply}``; never more than ``in_flight`` calls are alive in this worker.
 
-    ``in_flight`` keys have their turn at a time. A key's time starts with its
-    turn, and again with its call; one that gets no permit, or no reply, within
-    ``timeout_s`` gives None and its turn to the next key. A call that is given
-    up keeps its permit until it really ends, also beyond this batch: a service
-    that hangs has ``in_flight`` calls, and what waits for it times out.
+    A key's time starts with its call; no reply within ``timeout_s`` gives
+    None. A call that is given up keeps its permit until it really ends, also
+    beyond this batch, and the keys behind it wait for the permit. They give
+    None, after ``timeout_s`` at least, once no call has begun or ended for
+    ``STALLED`` timeouts: a service that hangs has ``in_flight`` calls and
+    holds a batch up once.
     """
     import queue
     import threading
     import time
     from collections import deque
 
-    permits = _PERMITS.setdefault(in_flight, threading.Semaphore(in_flight))
+    permits = _PERMITS.setdefault(in_flight, Permits(in_flight))
     replies: dict = {}
     done: queue.Queue = queue.Queue()
-    waiting, turns, running = deque(keys), deque(), {}
+    waiting, running = deque(keys), {}
+    arrived = time.monotonic()
 
     def call(k: str) -> None:
         try:
             said = (k, lookup(k))
         except Exception:  # any failure becomes the default reply
             said = (k, None)
-        permits.release()
+        permits.moved = time.monotonic()
+        permits.free.release()
         done.put(said)
 
-    while waiting or turns or running:
+    while waiting or running:
         now = time.monotonic()
-        while waiting and len(turns) + len(running) < in_flight:
-            turns.append((waiting.popleft(), now))
-        while turns and permits.acquire(blocking=False):
-            k, _ = turns.popleft()
-            running[k] = now
+        while waiting and permits.free.acquire(blocking=False):
+            k = waiting.popleft()
+            running[k] = permits.moved = now
             threading.Thread(target=call, args=(k,), daemon=True).start()
-        since = [*running.values(), *(t for _, t in turns)]
-        left = None if timeout_s is None else max(0.0, min(since) + timeout_s - now)
-        if turns:  # a permit may come back from a call of another batch
+        left = None if timeout_s is None or not running else max(0.0, min(running.values()) + timeout_s - now)
+        if waiting:  # a permit may come back from a call of another batch
             left = 0.02 if left is None else min(left, 0.02)
         try:
             k, reply = done.get(timeout=left)
@@ -96,12 +110,13 @@ def call_all(keys: list, lookup: Callable[[str], str | None], in_flight: int, ti
         except queue.Empty:
             if timeout_s is None:
                 continue
-            over = time.monotonic() - timeout_s
-            for k in [k for k, began in running.items() if began <= over]:
+            now = time.monotonic()
+            for k in [k for k, began in running.items() if began + timeout_s <= now]:
                 del running[k]
                 replies[k] = None
-            while turns and turns[0][1] <= over:
-                replies[turns.popleft()[0]] = None
+            if now - arrived >= timeout_s and now - permits.moved >= STALLED * timeout_s:
+                replies |= dict.fromkeys(waiting)
+                waiting.clear()
     return replies
 
 
