@@ -29,6 +29,19 @@ def test_decontaminate(spark):
     assert canon(shuffled) == canon(want)
 
 
+def test_decontaminate_all_lengths_in_one_pass(spark):
+    docs = [(1, "a b c d e"), (2, "x a b"), (3, "b"), (4, "c d"), (5, "d e a b c"), (6, "B, a; B! a b c d"), (7, ""), (8, None)]
+    bench = [(10, "a b c d"), (11, "b c"), (12, "e"), (13, "x a b"), (14, "b a b a")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    for room in (64 << 20, 0):
+        got = decontaminate.report(frame, items, n=4, max_broadcast_bytes=room).collect()
+        assert sorted(tuple(r) for r in got) == sorted(brute.decontaminated(docs, bench, 4))
+    found = decontaminate.occurrences(frame, items, n=4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(CASE") == 1  # the texts are gone through once for all lengths
+
+
 def test_decontaminate_drop_and_cut(spark):
     docs, bench = docs_frame(spark), bench_frame(spark)
     bad = {w[0] for w in brute.decontaminated(pairs(), BENCH) if w[5]}

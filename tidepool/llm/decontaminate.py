@@ -20,7 +20,6 @@ other columns are never read.
 
 from __future__ import annotations
 
-from functools import reduce
 from string import ascii_letters, ascii_lowercase, digits
 
 from pyspark.sql import Column, DataFrame
@@ -49,19 +48,30 @@ def words(text: Column) -> Column:
                       F.array().cast("array<string>"))
 
 
-def window_hashes(word_list: Column, n: int) -> Column:
-    """The hash of the n words from each position; empty for shorter lists."""
-    starts = F.sequence(F.lit(1), F.size(word_list) - F.lit(n - 1))
-    return F.when(F.size(word_list) >= n, F.transform(starts, lambda i: F.xxhash64(F.slice(word_list, i, n))))
+def window_hash(word_list: Column, at: Column, n: int) -> Column:
+    """The hash of the n words from ``at``: word by word, so that no slice is made and all of it is compiled."""
+    return F.xxhash64(F.lit(n), *[F.get(word_list, at + k) for k in range(n)])
+
+
+def scanned_windows(base: DataFrame, sizes: list[int]) -> DataFrame:
+    """(row, w, at, size, h): the hash of each window of each of the ascending ``sizes``, in one pass."""
+    starts = F.sequence(F.lit(0), F.size("w") - sizes[0])
+    each = base.select("row", "w", F.explode(F.when(F.size("w") >= sizes[0], starts)).alias("at"))
+    hashes = [F.struct(F.lit(n).alias("size"), window_hash(F.col("w"), F.col("at"), n).alias("h")) for n in sizes]
+    if len(sizes) == 1:
+        return each.select("row", "w", "at", hashes[0]["size"].alias("size"), hashes[0]["h"].alias("h"))
+    # A window that would go over the end has no hash and finds nothing.
+    inside = [F.when(F.size("w") - F.col("at") >= n, h) for n, h in zip(sizes, hashes)]
+    return each.select("row", "w", "at", F.inline(F.array(*inside)))
 
 
 def item_windows(benchmark: DataFrame, n: int) -> DataFrame:
-    """(len, window, hash, items): the distinct windows and the items that have them."""
+    """(len, window, items): the distinct windows and the items that have them."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w"))
     items = items.where(F.size("w") > 0).withColumn("len", F.least(F.size("w"), F.lit(n)))
     each = items.select("item", "len", "w", F.explode(F.expr("sequence(1, size(w) - len + 1)")).alias("at"))
     return (each.groupBy("len", F.slice("w", F.col("at"), F.col("len")).alias("window"))
-            .agg(F.collect_set("item").alias("items")).withColumn("hash", F.xxhash64("window")))
+            .agg(F.collect_set("item").alias("items")))
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = 10,
@@ -73,18 +83,19 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = 10,
     lengths = {r["len"]: r["bytes"] for r in windows.groupBy("len").agg(F.sum(room).alias("bytes")).collect()}  # n rows at most
     small = sum(lengths.values()) <= max_broadcast_bytes
     base = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), words(F.col("text")).alias("w"))
-    found = []
-    for size in sorted(lengths) or [n]:
-        of_size = windows.where(F.col("len") == size)
-        scanned = base.select("row", "w", F.posexplode(window_hashes(F.col("w"), size)).alias("at", "h"))
-        said = F.slice(F.col("w"), F.col("at") + 1, size)
-        if small:  # the words stay where they are; only hash hits are sliced and verified
-            hits = scanned.join(F.broadcast(of_size), (F.col("h") == F.col("hash")) & (said == F.col("window")))
-        else:  # what travels is the window, not the whole text's words
-            windowed = scanned.select("row", "at", "h", said.alias("said"))
-            hits = windowed.join(of_size, (F.col("h") == F.col("hash")) & (F.col("said") == F.col("window")))
-        found.append(hits.select("row", "at", "len", "items"))
-    return reduce(DataFrame.unionByName, found)
+    sizes = sorted(lengths) or [n]
+    of_size = [F.when(F.col("len") == k, window_hash(F.col("window"), F.lit(0), k)) for k in sizes]
+    windows = windows.withColumn("hash", F.coalesce(*of_size))
+    scanned = scanned_windows(base, sizes)
+    said = F.slice(F.col("w"), F.col("at") + 1, F.col("size"))
+    if small:  # the words stay where they are; only hash hits are sliced and verified
+        # As two inequalities the verification is no join key, which would be made for every window.
+        same = (said >= F.col("window")) & (said <= F.col("window"))
+        hits = scanned.join(F.broadcast(windows), (F.col("h") == F.col("hash")) & same)
+    else:  # what travels is the window, not the whole text's words
+        windowed = scanned.select("row", "at", "h", said.alias("said"))
+        hits = windowed.join(windows, (F.col("h") == F.col("hash")) & (F.col("said") == F.col("window")))
+    return hits.select("row", "at", "len", "items")
 
 
 def hit_spans(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
