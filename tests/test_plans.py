@@ -97,3 +97,10 @@ def test_registered_prefix_queries_run_many_chunks(spark):
     events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     assert len(chunk_bounds(events, "event_id", 2000)) >= 4
     assert len(chunk_bounds(TB.events_as_orders(events), "seq", 2000)) >= 4
+
+
+@pytest.mark.parametrize("name", ["tumbling_sum", "parse_event_line", "parse_word_num", "scan_behavior_csv"])
+def test_a_strict_check_makes_and_splits_its_line_once(spark, name):
+    p = plan(spark, name)
+    assert p.count("get_json_object(") == 1 and p.count("concat_ws(") == 1
+    assert len(re.findall(r"(?<!_)split\(", p)) == 1

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,12 @@ def test_tumbling_5s_golden(spark):
     assert got == [("flink", base, 3), ("flink", base + 5000, 2), ("flink", base + 10000, 1)]
 
 
+def test_tumbling_sum_fails_on_a_line_without_a_time(spark):
+    ev = parse_event_line(_lines(spark, ["852091200000,flink,1", "noon,flink,2"]))
+    with pytest.raises(Exception, match="bad input line: noon"):
+        tumbling_sum(ev, "word", "ts_ms", "num").collect()
+
+
 def test_sliding_each_row_in_five_windows(spark):
     df = spark.createDataFrame([("a", 10_500, 1)], "k string, t long, v long")
     got = rows(sliding_sum(df, "k", "t", "v"), "window_start")

@@ -41,30 +41,46 @@ def _typed(fields: Column, idx: int, kind: str) -> Column:
     raise ValueError(kind)
 
 
+def computed_once(df: DataFrame, keep: tuple[str, ...], /, **cols: Column) -> DataFrame:
+    """``keep`` and ``cols`` of ``df``, each of ``cols`` computed once per row.
+
+    A plain projection is copied into every filter and column above it: the
+    check of a parsed line would make the line and split it again for each
+    time that it names a field. The output of a generator is not copied.
+    """
+    return df.select(*keep, F.stack(F.lit(1), *cols.values()).alias(*cols))
+
+
 def parse_fields(lines: DataFrame, spec: list[tuple[str, str]], line_col: str = "line",
                  keep: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
     """Split on ``,`` and type fields; adds ``_ok`` (all fields parsed).
 
     ``exact`` demands exactly ``len(spec)`` fields, else extra fields are ignored.
     """
-    fields = java_split(line_col, "comma")
-    cols = [_typed(fields, i, kind).alias(name) for i, (name, kind) in enumerate(spec)]
+    split = computed_once(lines, (*keep, line_col), _fields=java_split(line_col, "comma"))
+    cols = {name: _typed(F.col("_fields"), i, kind) for i, (name, kind) in enumerate(spec)}
     ok = F.lit(True)
     for name, _ in spec:
         ok = ok & F.col(name).isNotNull()
     if exact:
         ok = ok & (F.col("_n") == F.lit(len(spec)))
     return (
-        lines.select(*keep, F.col(line_col), F.size(fields).alias("_n"), *cols)
+        computed_once(split, (*keep, line_col), _n=F.size("_fields"), **cols)
         .withColumn("_ok", F.coalesce(ok, F.lit(False)))
         .drop("_n")
     )
 
 
-def strict(parsed: DataFrame, line_col: str = "line") -> DataFrame:
-    """Fail the job on the first bad row, like an uncaught parse exception."""
+def strict(parsed: DataFrame, line_col: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Fail the job on the first bad row, like an uncaught parse exception.
+
+    The fields come out of the check, so that no later filter on them (a time
+    window adds one) drops a bad row before it is seen.
+    """
     err = F.raise_error(F.concat(F.lit("bad input line: "), F.col(line_col)))
-    return parsed.where(F.when(F.col("_ok"), F.lit(True)).otherwise(err.cast("boolean"))).drop("_ok")
+    ok = F.when(F.col("_ok"), F.lit(True)).otherwise(err.cast("boolean"))
+    fields = {c: F.col(c) for c in parsed.columns if c not in (*keep, line_col, "_ok")}
+    return computed_once(parsed, (*keep, line_col), _ok=ok, **fields).where("_ok").drop("_ok")
 
 
 def tolerant(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,12 +105,12 @@ WORD_NUM_SPEC = [("word", "string"), ("num", "int")]
 
 def parse_behavior_csv(lines: DataFrame, line_col: str = "line", keep=()) -> DataFrame:
     """Strict 5-field behaviour CSV (bad row fails the job)."""
-    return strict(parse_fields(lines, BEHAVIOR_SPEC, line_col, keep), line_col)
+    return strict(parse_fields(lines, BEHAVIOR_SPEC, line_col, keep), line_col, keep)
 
 
 def parse_word_num(lines: DataFrame, line_col: str = "line", keep=()) -> DataFrame:
     """Strict ``word,num``."""
-    return strict(parse_fields(lines, WORD_NUM_SPEC, line_col, keep), line_col)
+    return strict(parse_fields(lines, WORD_NUM_SPEC, line_col, keep), line_col, keep)
 
 
 def parse_orders(lines: DataFrame, line_col: str = "line", keep=()) -> tuple[DataFrame, DataFrame]:
@@ -131,15 +147,16 @@ def parse_event_line(lines: DataFrame, line_col: str = "line", keep=(),
     """
     from tidepool.functions.timefmt import local_ntz_to_ms
 
-    fields = java_split(line_col, "comma")
+    split = computed_once(lines, (*keep, line_col), _fields=java_split(line_col, "comma"))
+    fields = F.col("_fields")
     t = F.get(fields, 0)
     as_ms = parse_long(t)
     as_text = local_ntz_to_ms(t.try_cast("timestamp_ntz"), zone)
     ts_ms = F.when(t.rlike(INT_PATTERN), as_ms).when(t.rlike(EVENT_TIME_PATTERN), as_text)
     word = F.get(fields, 1)
     num = parse_int(F.get(fields, 2))
-    parsed = lines.select(*keep, F.col(line_col), ts_ms.alias("ts_ms"), word.alias("word"), num.alias("num"))
+    parsed = computed_once(split, (*keep, line_col), ts_ms=ts_ms, word=word, num=num)
     parsed = parsed.withColumn(
         "_ok", F.coalesce(F.col("ts_ms").isNotNull() & F.col("word").isNotNull() & F.col("num").isNotNull(),
                           F.lit(False)))
-    return strict(parsed, line_col)
+    return strict(parsed, line_col, keep)
