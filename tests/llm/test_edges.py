@@ -237,6 +237,28 @@ def test_mixing(spark):
     assert canon((r.doc_id, r.taken) for r in again) == canon((r.doc_id, r.taken) for r in rows)
 
 
+def test_sizes_are_counted_without_an_array_of_words(spark):
+    texts = [None, "", " ", " \t\n\x0b\f\r", "a", "  a", "a  ", " a\n\tb\x0b\x0c\r ", "é ü\u00a0x y", "\x1c a\x1d b", "$1 \\ x", "\x00 \x00"]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    sized = mixing.sizes(docs)
+    assert [r.size for r in sized.orderBy("doc_id").collect()] == [0, 0, 0, 0, 1, 1, 1, 2, 3, 3, 3, 2]
+    assert "regexp_extract_all" not in sized._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sizes_of_many_parts_are_staged_in_few_files(spark, monkeypatch):
+    files, staged = [], mixing.stage
+
+    def stage(df, name):
+        out = staged(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(mixing, "stage", stage)
+    docs = docs_frame(spark)
+    assert len(mixing.assign(docs.repartition(40)).collect()) == docs.count()
+    assert files[0] <= 8
+
+
 def test_mix_report(spark):
     got = mixing.report(docs_frame(spark)).collect()
     assert len(got) == len(edge_docs())

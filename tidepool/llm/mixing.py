@@ -31,7 +31,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import NON_SPACES, stage
+from tidepool.functions.text import JAVA_WS_CHARS
+from tidepool.llm.common import NON_SPACES, SPACES, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 # Knots (t, factor of each weight class): heavy sources early, light ones late.
@@ -69,9 +70,19 @@ def invert(schedule, k: int, q: Column) -> Column:
     return out
 
 
+def n_words(text: Column) -> Column:
+    """The number of ``NON_SPACES`` in ``text``, null as empty.
+
+    Each word with the spaces behind it becomes one letter; ``regexp_count``
+    would make an array of all the words first, many times the text's size.
+    """
+    begun = F.ltrim(F.coalesce(text, F.lit("")), F.lit(JAVA_WS_CHARS))
+    return F.length(F.regexp_replace(begun, f"{NON_SPACES}{SPACES}*", "x")).cast("long")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(NON_SPACES)).cast("long").alias("size"),
+    return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
                        order.alias("ord"), F.substring(order, 1, BUCKET_DIGITS).alias("bucket"))
 
 
@@ -106,7 +117,8 @@ def assign(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1
     ``copies``: (copy, take, position) of each copy that the mix takes,
     ``take`` in words (under ``size`` only for a source's last document).
     """
-    sized = stage(sizes(docs), "sizes")
+    # A size is a few bytes: few files of many, whatever parts the texts lie in.
+    sized = stage(sizes(docs).hint("rebalance"), "sizes")
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     by_source = buckets.groupBy("source").agg(F.sum("in_bucket").alias("source_size"))
     plan = targets(by_source, weights, share, max_repeat, schedule)
